@@ -9,7 +9,7 @@ detector runs (``left_semi``), so the expensive kernels only see eligible sensor
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewise.config import DetectionConfig
@@ -19,11 +19,16 @@ from tidewise.operators.detect_common import REGISTRY
 
 
 def eligible(grid: DataFrame, min_points: int = 100) -> tuple[DataFrame, DataFrame]:
-    """DT-14 gate: (grid of sensors with >= min_points non-null points, skipped sensors with counts)."""
+    """DT-14 gate: (grid of sensors with >= min_points non-null points, skipped sensors with counts).
+
+    The gate is a window count on the sensor partitioning the grid already has, so the grid
+    plan is not duplicated by a semi-join and no extra shuffle is added.
+    """
+    n = F.count("value").over(Window.partitionBy(SENSOR))
+    ok = grid.withColumn("_n_points", n).filter(F.col("_n_points") >= min_points).drop("_n_points")
     counts = grid.groupBy(SENSOR).agg(F.count("value").alias("n_points"))
-    ok = counts.filter(F.col("n_points") >= min_points)
     skipped = counts.filter(F.col("n_points") < min_points)
-    return grid.join(ok.select(SENSOR), SENSOR, "left_semi"), skipped
+    return ok, skipped
 
 
 def detect_all(grid: DataFrame, cfg: DetectionConfig = DetectionConfig(), methods=None, gate: bool = True) -> DataFrame:
@@ -37,22 +42,49 @@ def detect_all(grid: DataFrame, cfg: DetectionConfig = DetectionConfig(), method
     return out
 
 
-def combine(detections: DataFrame, periods, methods) -> DataFrame:
-    """Per (sensor, period): combined score = sum(score) / len(methods), plus the per-sensor best
-    period (highest combined, first in the requested order on ties) and its score."""
-    n_methods = float(len(methods))
-    order = {int(p): i for i, p in enumerate(periods)}
-    sensors = detections.select(SENSOR).distinct()
-    grid = sensors.withColumn("period", F.explode(F.array(*[F.lit(int(p)) for p in periods])).cast("long"))
-    sums = detections.groupBy(SENSOR, "period").agg(F.sum("score").alias("_s"))
-    comb = grid.join(sums, [SENSOR, "period"], "left").select(
-        SENSOR, "period", (F.coalesce(F.col("_s"), F.lit(0.0)) / n_methods).alias("combined_score")
+def wide_scores(detections: DataFrame, periods, methods) -> DataFrame:
+    """One row per sensor with ``{m}_{p}`` scores (absent -> 0): a single pivot with an
+    explicit key list, so the detections are read once and the schema is fixed."""
+    keys = [f"{m}_{p}" for m in methods for p in periods]
+    wide = (
+        detections.withColumn("key", F.concat_ws("_", "method", F.col("period").cast("string")))
+        .groupBy(SENSOR)
+        .pivot("key", keys)
+        .agg(F.first("score"))
     )
-    ord_col = F.element_at(F.create_map(*[x for p, i in order.items() for x in (F.lit(p), F.lit(i))]), F.col("period"))
-    best = comb.groupBy(SENSOR).agg(
-        F.min(F.struct((-F.col("combined_score")).alias("neg"), ord_col.alias("o"), F.col("period").alias("p"))).alias("b")
-    ).select(SENSOR, F.col("b.p").alias("best_period"), (-F.col("b.neg")).alias("max_combined_score"))
-    return comb.join(best, SENSOR)
+    return wide.select(SENSOR, *[F.coalesce(F.col(k), F.lit(0.0)).alias(k) for k in keys])
+
+
+def combined_columns(periods, methods) -> list:
+    """combined_{p} = sum over methods of {m}_{p} / number of methods (absent counted as 0)."""
+    n = float(len(methods))
+    out = []
+    for p in periods:
+        tot = F.lit(0.0)
+        for m in methods:
+            tot = tot + F.col(f"{m}_{p}")
+        out.append((tot / n).alias(f"combined_{p}"))
+    return out
+
+
+def best_period_columns(periods) -> list:
+    """Highest combined score and its period, first in the requested order on ties."""
+    best = F.struct(*[F.lit(None).cast("double").alias("s"), F.lit(None).cast("long").alias("p")])
+    for p in periods:
+        c = F.col(f"combined_{p}")
+        best = F.when(best["s"].isNull() | (c > best["s"]), F.struct(c.alias("s"), F.lit(int(p)).cast("long").alias("p"))).otherwise(best)
+    return [best["p"].alias("best_period"), best["s"].alias("max_combined_score")]
+
+
+def combine(detections: DataFrame, periods, methods) -> DataFrame:
+    """Per (sensor, period): combined score = sum of scores over the methods run / number of
+    methods (a missing row counts as 0), plus the sensor's best period and its score."""
+    w = wide_scores(detections, periods, methods).select(SENSOR, *combined_columns(periods, methods))
+    w = w.select("*", *best_period_columns(periods))
+    rows = F.explode(F.array(*[F.struct(F.lit(int(p)).cast("long").alias("period"), F.col(f"combined_{p}").alias("combined_score"))
+                               for p in periods])).alias("x")
+    return w.select(SENSOR, rows, "best_period", "max_combined_score").select(
+        SENSOR, "x.period", "x.combined_score", "best_period", "max_combined_score")
 
 
 def get_score(detections: DataFrame, method: str, period: int) -> DataFrame:

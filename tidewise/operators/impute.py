@@ -20,9 +20,13 @@ def _w() -> Window:
 
 
 def _neighbours(df: DataFrame, x: Column) -> DataFrame:
-    """Previous/next non-null value and their abscissae (positions or times)."""
+    """Previous/next non-null value and their abscissae (positions or times).
+
+    "Next" uses a descending running frame: Spark evaluates ``UNBOUNDED FOLLOWING`` frames
+    by recomputation (quadratic per partition), a running frame is linear.
+    """
     back = _w().rowsBetween(_UNB, 0)
-    fwd = _w().rowsBetween(0, _UNF)
+    fwd = Window.partitionBy(SENSOR).orderBy(F.col(BIN).desc()).rowsBetween(_UNB, 0)
     v = F.col("value")
     return (
         df.withColumn("_x", x)
@@ -30,9 +34,9 @@ def _neighbours(df: DataFrame, x: Column) -> DataFrame:
         .withColumn("_pv", F.last(v, ignorenulls=True).over(back))
         .withColumn("_px", F.last(F.when(v.isNotNull(), F.col("_x")), ignorenulls=True).over(back))
         .withColumn("_pi", F.last(F.when(v.isNotNull(), F.col("_i")), ignorenulls=True).over(back))
-        .withColumn("_nv", F.first(v, ignorenulls=True).over(fwd))
-        .withColumn("_nx", F.first(F.when(v.isNotNull(), F.col("_x")), ignorenulls=True).over(fwd))
-        .withColumn("_ni", F.first(F.when(v.isNotNull(), F.col("_i")), ignorenulls=True).over(fwd))
+        .withColumn("_nv", F.last(v, ignorenulls=True).over(fwd))
+        .withColumn("_nx", F.last(F.when(v.isNotNull(), F.col("_x")), ignorenulls=True).over(fwd))
+        .withColumn("_ni", F.last(F.when(v.isNotNull(), F.col("_i")), ignorenulls=True).over(fwd))
     )
 
 
@@ -105,8 +109,10 @@ def forward_fill(grid: DataFrame, limit: int | None = None) -> DataFrame:
 
 def backward_fill(grid: DataFrame, limit: int | None = None) -> DataFrame:
     """IM-7: first non-null within the next ``limit`` rows."""
-    hi = _UNF if limit is None else int(limit)
-    val = F.first("value", ignorenulls=True).over(_w().rowsBetween(0, hi))
+    if limit is None:
+        desc = Window.partitionBy(SENSOR).orderBy(F.col(BIN).desc()).rowsBetween(_UNB, 0)
+        return _finish(grid, F.last("value", ignorenulls=True).over(desc))
+    val = F.first("value", ignorenulls=True).over(_w().rowsBetween(0, int(limit)))
     return _finish(grid, val)
 
 

@@ -39,22 +39,46 @@ def label_time(b: Column, freq: str) -> Column:
     return b.cast("timestamp_ntz") if freq.upper() != "H" else b
 
 
-def calendar(bounds: DataFrame, freq: str = "D") -> DataFrame:
-    """``(sensor, lo, hi)`` -> one row per bin label from lo to hi."""
+def _step(freq: str):
+    return {"D": F.expr("INTERVAL 1 DAY"), "W": F.expr("INTERVAL 7 DAYS"), "H": F.expr("INTERVAL 1 HOUR"),
+            "M": F.expr("INTERVAL 1 MONTH")}[freq.upper()]
+
+
+def _next_label(b: Column, freq: str) -> Column:
     freq = freq.upper()
     if freq == "D":
-        seq = F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))
-    elif freq == "W":
-        seq = F.sequence("lo", "hi", F.expr("INTERVAL 7 DAYS"))
-    elif freq == "H":
-        seq = F.sequence("lo", "hi", F.expr("INTERVAL 1 HOUR"))
-    elif freq == "M":
-        seq = F.transform(
-            F.sequence(F.trunc("lo", "MM"), F.trunc("hi", "MM"), F.expr("INTERVAL 1 MONTH")), lambda x: F.last_day(x)
-        )
+        return F.date_add(b, 1)
+    if freq == "W":
+        return F.date_add(b, 7)
+    if freq == "M":
+        return F.last_day(F.add_months(F.trunc(b, "MM"), 1))
+    return b + F.expr("INTERVAL 1 HOUR")
+
+
+def _prev_label(b: Column, freq: str) -> Column:
+    freq = freq.upper()
+    if freq == "D":
+        return F.date_sub(b, 1)
+    if freq == "W":
+        return F.date_sub(b, 7)
+    if freq == "M":
+        return F.last_day(F.add_months(F.trunc(b, "MM"), -1))
+    return b - F.expr("INTERVAL 1 HOUR")
+
+
+def labels_between(lo: Column, hi: Column, freq: str) -> Column:
+    """Array of bin labels lo..hi inclusive (empty when hi < lo)."""
+    freq = freq.upper()
+    if freq == "M":
+        seq = F.transform(F.sequence(F.trunc(lo, "MM"), F.trunc(hi, "MM"), _step("M")), lambda x: F.last_day(x))
     else:
-        raise ValueError(f"Unknown resample frequency: {freq}")
-    return bounds.select(SENSOR, F.explode(seq).alias(BIN))
+        seq = F.sequence(lo, hi, _step(freq))
+    return F.when(hi >= lo, seq).otherwise(F.slice(F.array(lo), 1, 0))
+
+
+def calendar(bounds: DataFrame, freq: str = "D") -> DataFrame:
+    """``(sensor, lo, hi)`` -> one row per bin label from lo to hi."""
+    return bounds.select(SENSOR, F.explode(labels_between(F.col("lo"), F.col("hi"), freq)).alias(BIN))
 
 
 def _aggregate(readings: DataFrame, freq: str, method: str) -> DataFrame:
@@ -87,22 +111,37 @@ def resample(
     * mean / median skip NULL readings, empty bins are NULL;
     * ffill is an as-of join at the label instant: last *reading* (a NULL reading stays NULL)
       with ``ts <= label``. Equal timestamps resolve to the largest value (deterministic).
+
+    Plan: scan -> partial aggregate -> exchange(sensor, bin) -> final aggregate -> exchange(sensor)
+    of the (bounded) bin rows -> one window pass that emits each present bin followed by the
+    empty bins up to the next present one (``lead`` + ``explode(sequence)``). No calendar join and
+    no second scan of the readings.
     """
     if method not in METHODS:
         raise ValueError(f"Unknown resample_method: {method}")
+    freq = freq.upper()
     agg = _aggregate(readings, freq, method)
-    bounds = agg.groupBy(SENSOR).agg(F.min(BIN).alias("lo"), F.max(BIN).alias("hi"))
+    payload = ["value"] if method != "ffill" else ["_le", "_all"]
+    w = Window.partitionBy(SENSOR).orderBy(BIN)
+    nxt = F.lead(BIN, 1).over(w)
+    g = agg.withColumn("_nxt", nxt)
+    stop = F.coalesce(_prev_label(F.col("_nxt"), freq), F.col(BIN))
+    start = F.col(BIN)
     if shared_range:
-        # Scalar subqueries: Catalyst runs the one-row aggregate once and inlines it.
-        lo = agg.select(F.min(BIN)).scalar()
-        hi = agg.select(F.max(BIN)).scalar()
-        bounds = bounds.select(SENSOR, lo.alias("lo"), hi.alias("hi"))
-    cal = calendar(bounds, freq)
-    grid = cal.join(agg, [SENSOR, BIN], "left")
+        # Scalar subqueries: Catalyst runs each one-row aggregate once and inlines it.
+        glo = agg.select(F.min(BIN)).scalar()
+        ghi = agg.select(F.max(BIN)).scalar()
+        is_first = F.row_number().over(w) == 1
+        start = F.when(is_first, glo).otherwise(F.col(BIN))
+        stop = F.when(F.col("_nxt").isNull(), ghi).otherwise(stop)
+    g = g.withColumn("_lab", labels_between(start, stop, freq))
+    rec = F.struct(*[F.col(c) for c in payload])
+    empty = F.struct(*[F.lit(None).cast(dict(agg.dtypes)[c]).alias(c) for c in payload])
+    cells = F.transform("_lab", lambda d: F.struct(d.alias(BIN), F.when(d == F.col(BIN), rec).otherwise(empty).alias("p")))
+    grid = g.select(SENSOR, F.explode(cells).alias("c")).select(SENSOR, F.col(f"c.{BIN}").alias(BIN), "c.p.*")
     if method != "ffill":
         return grid.select(SENSOR, BIN, F.col("value").cast("double").alias("value"))
-    w = Window.partitionBy(SENSOR).orderBy(BIN).rowsBetween(Window.unboundedPreceding, -1)
-    prev = F.last(F.col("_all"), ignorenulls=True).over(w)
+    prev = F.last(F.col("_all"), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
     val = F.when(F.col("_le").isNotNull(), F.col("_le.value")).otherwise(prev.getField("value"))
     return grid.select(SENSOR, BIN, val.cast("double").alias("value"))
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidewise.config import DetectionConfig, ScoringConfig, Thresholds
 from tidewise.functions.columns import SENSOR, distributed_row_number
-from tidewise.operators.ensemble import combine
+from tidewise.operators.ensemble import best_period_columns, combined_columns, wide_scores
 
 LEVELS = {"High": 3, "Medium": 2, "Low": 1, "None": 0}
 
@@ -27,17 +27,9 @@ def normalize_score(value: Column, lo: float = 0.0, hi: float = 1.0) -> Column:
 
 def method_scores(detections: DataFrame, periods, methods) -> DataFrame:
     """SC-2: ``{m}_{p}`` (absent -> 0), ``{m}_max`` (floor 0) per sensor."""
-    keys = [f"{m}_{p}" for m in methods for p in periods]
-    wide = (
-        detections.withColumn("key", F.concat_ws("_", "method", F.col("period").cast("string")))
-        .groupBy(SENSOR)
-        .pivot("key", keys)
-        .agg(F.first("score"))
-    )
-    sel = [SENSOR] + [F.coalesce(F.col(k), F.lit(0.0)).alias(k) for k in keys]
-    for m in methods:
-        sel.append(F.greatest(F.lit(0.0), *[F.coalesce(F.col(f"{m}_{p}"), F.lit(0.0)) for p in periods]).alias(f"{m}_max"))
-    return wide.select(*sel)
+    w = wide_scores(detections, periods, methods)
+    maxes = [F.greatest(F.lit(0.0), *[F.col(f"{m}_{p}") for p in periods]).alias(f"{m}_max") for m in methods]
+    return w.select("*", *maxes)
 
 
 def composite(cfg: ScoringConfig = ScoringConfig()) -> Column:
@@ -78,21 +70,16 @@ def label_exploratory(cfg: ScoringConfig = ScoringConfig()) -> Column:
 def scores_table(detections: DataFrame, det: DetectionConfig = DetectionConfig(), sc: ScoringConfig = ScoringConfig(),
                  methods=None) -> DataFrame:
     """RK-1 (SC-2..SC-4, SC-6, SC-7): one row per sensor with every method/period score, combined
-    scores, best period, composite and both labels."""
+    scores, best period, composite and both labels. One pivot of the detections, then only
+    column expressions: no join, no second pass."""
     methods = list(methods or det.methods)
     periods = list(det.periods)
-    ms = method_scores(detections, periods, methods)
+    t = method_scores(detections, periods, methods)
     for m in ("stl", "acf", "fourier"):
-        if f"{m}_max" not in ms.columns:
-            ms = ms.withColumn(f"{m}_max", F.lit(0.0))
-    comb = combine(detections, periods, methods)
-    cw = (
-        comb.groupBy(SENSOR, "best_period", "max_combined_score")
-        .pivot("period", [int(p) for p in periods])
-        .agg(F.first("combined_score"))
-    )
-    cw = cw.select(SENSOR, "best_period", "max_combined_score", *[F.col(str(p)).alias(f"combined_{p}") for p in periods])
-    t = ms.join(cw, SENSOR)
+        if f"{m}_max" not in t.columns:
+            t = t.withColumn(f"{m}_max", F.lit(0.0))
+    t = t.select("*", *combined_columns(periods, methods))
+    t = t.select("*", *best_period_columns(periods))
     return t.select(
         "*",
         composite(sc).alias("composite_score"),
@@ -124,7 +111,7 @@ def label_distribution(scores: DataFrame, mode: str = "strict") -> DataFrame:
     """RK-4 / RP-3: label counts and percentage of all scored sensors."""
     col = f"confidence_{mode}"
     c = scores.groupBy(F.col(col).alias("label")).agg(F.count(F.lit(1)).cast("long").alias("count"))
-    total = scores.select(F.count(F.lit(1))).scalar()
+    total = F.sum("count").over(Window.partitionBy())  # at most four label rows
     return c.select("label", "count", (F.col("count") * 100.0 / total).alias("percentage"))
 
 

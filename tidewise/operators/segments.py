@@ -46,7 +46,9 @@ def changepoints_window_l2(grid: DataFrame, width: int = 50, min_size: int = 30,
     span = order * jump
     left = F.max("gain").over(w.rowsBetween(-span, -1))
     right = F.max("gain").over(w.rowsBetween(1, span))
-    peak = (F.col("gain") > F.coalesce(left, F.lit(float("-inf")))) & (F.col("gain") > F.coalesce(right, F.lit(float("-inf"))))
+    c = c.withColumn("_lm", left).withColumn("_rm", right)
+    ninf = F.lit(float("-inf"))
+    peak = (F.col("gain") > F.coalesce("_lm", ninf)) & (F.col("gain") > F.coalesce("_rm", ninf))
     return c.filter(peak & (F.col("gain") > penalty)).select(SENSOR, F.col("prev_bin").alias("cp_bin"), "gain")
 
 

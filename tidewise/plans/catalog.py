@@ -404,3 +404,397 @@ def _periodogram_slice(spark, sf):
 
 ORACLE["periodogram_slice"] = ORACLE["periodogram_full"].replace(
     "ROUND(1.0 / f, 6) + 0.0 AS period FROM pw", "ROUND(1.0 / f, 6) + 0.0 AS period FROM pw WHERE 1.0 / f <= 100")
+
+
+# ---- ensemble, scores, ranking -----------------------------------------------------------------------
+
+_SC = O.scores_ctes(EXACT_METHODS, PERIODS)
+_SCOLS = O.score_columns(EXACT_METHODS, PERIODS)
+
+
+@q("ensemble_combine", O.with_(*O.detections_ctes(EXACT_METHODS, PERIODS), *O.combine_ctes(EXACT_METHODS, PERIODS))
+   + "SELECT comb.sensor, comb.period, ROUND(combined_score, 6) + 0.0 AS combined_score, CAST(best_period AS BIGINT) AS best_period, "
+   "ROUND(max_combined_score, 6) + 0.0 AS max_combined_score FROM comb JOIN best ON best.sensor = comb.sensor")
+def _ensemble_combine(spark, sf):
+    return combine(exact_detections(spark, sf), PERIODS, EXACT_METHODS)
+
+
+@q("detections", O.with_(*O.detections_ctes(EXACT_METHODS, PERIODS))
+   + "SELECT sensor, method, period, ROUND(score, 6) + 0.0 AS score, significant, error FROM det")
+def _detections(spark, sf):
+    return exact_detections(spark, sf)
+
+
+def _scores_sql(extra_sel="", where="", src="scores"):
+    return O.with_(*_SC) + "SELECT sensor, " + ", ".join(f"ROUND({c}, 6) + 0.0 AS {c}" for c in _SCOLS) + \
+        ", CAST(best_period AS BIGINT) AS best_period, confidence_strict, confidence_exploratory" + extra_sel + f" FROM {src} {where}"
+
+
+@q("scores_table", _scores_sql())
+def _scores_table(spark, sf):
+    return exact_scores(spark, sf)
+
+
+@q("classify_strict", O.with_(*_SC) + "SELECT sensor, confidence_strict FROM scores")
+def _classify_strict(spark, sf):
+    return exact_scores(spark, sf).select("sensor", "confidence_strict")
+
+
+@q("classify_exploratory", O.with_(*_SC) + "SELECT sensor, confidence_exploratory FROM scores")
+def _classify_exploratory(spark, sf):
+    return exact_scores(spark, sf).select("sensor", "confidence_exploratory")
+
+
+@q("ranking", O.with_(*_SC, "rk AS (SELECT *, row_number() OVER (ORDER BY composite_score DESC NULLS LAST, sensor) AS rank FROM scores)")
+   + "SELECT CAST(rank AS BIGINT) AS rank, sensor, " + ", ".join(f"ROUND({c}, 6) + 0.0 AS {c}" for c in _SCOLS)
+   + ", CAST(best_period AS BIGINT) AS best_period, confidence_strict, confidence_exploratory FROM rk")
+def _ranking(spark, sf):
+    return scoring.ranking(exact_scores(spark, sf))
+
+
+@q("top_sensors", O.with_(*_SC, "lv AS (SELECT *, CASE confidence_strict WHEN 'High' THEN 3 WHEN 'Medium' THEN 2 "
+   "WHEN 'Low' THEN 1 ELSE 0 END AS lvl FROM scores)")
+   + "SELECT sensor, " + ", ".join(f"ROUND({c}, 6) + 0.0 AS {c}" for c in _SCOLS)
+   + ", CAST(best_period AS BIGINT) AS best_period, confidence_strict, confidence_exploratory FROM lv WHERE lvl >= 1 "
+   "ORDER BY composite_score DESC, sensor LIMIT 3")
+def _top_sensors(spark, sf):
+    return scoring.top_sensors(exact_scores(spark, sf), n=3, min_confidence="Low")
+
+
+@q("label_distribution", O.with_(*_SC) + "SELECT confidence_strict AS label, count(*) AS count, "
+   "ROUND(count(*) * 100.0 / (SELECT count(*) FROM scores), 6) + 0.0 AS percentage FROM scores GROUP BY 1")
+def _label_distribution(spark, sf):
+    return scoring.label_distribution(exact_scores(spark, sf), "strict")
+
+
+@q("label_distribution_exploratory", O.with_(*_SC) + "SELECT confidence_exploratory AS label, count(*) AS count, "
+   "ROUND(count(*) * 100.0 / (SELECT count(*) FROM scores), 6) + 0.0 AS percentage FROM scores GROUP BY 1")
+def _label_distribution_x(spark, sf):
+    return scoring.label_distribution(exact_scores(spark, sf), "exploratory")
+
+
+@q("period_filter", _scores_sql(where="WHERE combined_7 >= 0.1"))
+def _period_filter(spark, sf):
+    return scoring.filter_by_period(exact_scores(spark, sf), 7, 0.1)
+
+
+@q("period_agreement", O.with_(*O.detections_ctes(EXACT_METHODS, PERIODS))
+   + "SELECT sensor, period, COALESCE(array_to_string(list_sort(list(method) FILTER (WHERE significant)), ','), '') AS significant_methods, "
+   "count(*) FILTER (WHERE significant) AS num_significant, ROUND(sum(score) / 3.0, 6) + 0.0 AS combined_score, "
+   "ROUND(count(*) FILTER (WHERE significant) / 3.0, 6) + 0.0 AS agreement, "
+   + ", ".join(f"ROUND(COALESCE(max(score) FILTER (WHERE method = '{m}'), 0.0), 6) + 0.0 AS {m}_score" for m in EXACT_METHODS)
+   + " FROM det GROUP BY sensor, period")
+def _period_agreement(spark, sf):
+    return scoring.period_agreement(exact_detections(spark, sf), EXACT_METHODS)
+
+
+_SUM_METHODS = ("stl", "acf", "fourier", "periodogram")
+
+
+def _summary_sql():
+    parts = ["SELECT 'overall' AS section, 'total_sensors' AS key, CAST(count(*) AS DOUBLE) AS value FROM scores"]
+    for k, e in (("mean", "avg"), ("std", "stddev_samp"), ("min", "min"), ("max", "max"), ("median", "median")):
+        parts.append(f"SELECT 'composite_score_stats', '{k}', {e}(composite_score) FROM scores")
+    for m in _SUM_METHODS:
+        for k, e in (("mean", "avg"), ("std", "stddev_samp"), ("max", "max")):
+            parts.append(f"SELECT '{m}_stats', '{k}', {e}({m}_max) FROM scores")
+    for sec, col in (("confidence_distribution_strict", "confidence_strict"),
+                     ("confidence_distribution_exploratory", "confidence_exploratory"),
+                     ("best_period_distribution", "best_period")):
+        parts.append(f"SELECT '{sec}', CAST({col} AS VARCHAR), CAST(count(*) AS DOUBLE) FROM scores GROUP BY {col}")
+    return O.with_(*_SC, "sm AS (" + " UNION ALL ".join(parts) + ")") + \
+        "SELECT section, key, ROUND(value, 6) + 0.0 AS value FROM sm"
+
+
+@q("summary_stats", _summary_sql())
+def _summary_stats(spark, sf):
+    return scoring.summary_statistics(exact_scores(spark, sf), _SUM_METHODS)
+
+
+@q("heatmap", O.with_(*_SC) + "SELECT sensor, ROUND(composite_score, 6) + 0.0 AS composite_score, "
+   + ", ".join(f"ROUND({m}_{p}, 6) + 0.0 AS {m}_{p}" for m in EXACT_METHODS for p in PERIODS)
+   + " FROM scores ORDER BY composite_score DESC, sensor LIMIT 3")
+def _heatmap(spark, sf):
+    from tidewise.operators.report import heatmap
+    return heatmap(exact_scores(spark, sf), EXACT_METHODS, PERIODS, n=3)
+
+
+@q("summary_cards", O.with_(*_SC) + "SELECT count(*) AS total_sensors, "
+   + ", ".join(f"count(*) FILTER (WHERE confidence_{m} = '{lab}') AS {m}_{lab.lower()}" for m in ("strict", "exploratory")
+               for lab in ("High", "Medium", "Low"))
+   + ", ROUND(max(composite_score), 6) + 0.0 AS max_composite, ROUND(avg(composite_score), 6) + 0.0 AS mean_composite FROM scores")
+def _summary_cards(spark, sf):
+    from tidewise.operators.report import summary_cards
+    return summary_cards(exact_scores(spark, sf))
+
+
+@q("report_table", O.with_(*_SC, "rk AS (SELECT *, row_number() OVER (ORDER BY composite_score DESC NULLS LAST, sensor) AS rank FROM scores)")
+   + "SELECT sensor, CAST(rank AS BIGINT) AS rank, ROUND(composite_score, 6) + 0.0 AS composite_score, confidence_strict, "
+   "confidence_exploratory, ROUND(stl_max, 6) + 0.0 AS stl_max, ROUND(acf_max, 6) + 0.0 AS acf_max, "
+   "ROUND(fourier_max, 6) + 0.0 AS fourier_max, ROUND(periodogram_max, 6) + 0.0 AS periodogram_max, "
+   "CAST(best_period AS BIGINT) AS best_period, ROUND(acf_7, 6) + 0.0 AS acf_7, ROUND(acf_30, 6) + 0.0 AS acf_30, "
+   "ROUND(acf_365, 6) + 0.0 AS acf_365, ROUND(periodogram_7, 6) + 0.0 AS periodogram_7, "
+   "ROUND(periodogram_30, 6) + 0.0 AS periodogram_30, ROUND(periodogram_365, 6) + 0.0 AS periodogram_365 "
+   "FROM rk ORDER BY rank LIMIT 100")
+def _report_table(spark, sf):
+    from tidewise.operators.report import report_table
+    return report_table(scoring.ranking(exact_scores(spark, sf)))
+
+
+@q("overview_series", O.with_(*_SC)
+   + "SELECT f.sensor, CAST(f.bin AS VARCHAR) AS bin, ROUND(f.value, 6) + 0.0 AS value, s.confidence_strict, "
+   "ROUND(s.composite_score, 6) + 0.0 AS composite_score FROM filled f LEFT JOIN scores s ON s.sensor = f.sensor")
+def _overview_series(spark, sf):
+    from tidewise.operators.report import overview_series
+    return overview_series(orders_filled(spark, sf), exact_scores(spark, sf))
+
+
+def _median_scores(spark, sf):
+    g = impute.interpolate_linear(resample.resample(orders(spark, sf), "D", "median"), direction="forward")
+    from tidewise.operators.ensemble import eligible
+    det = detect_all(eligible(g, 100)[0], DetectionConfig(), EXACT_METHODS, gate=False)
+    return scoring.scores_table(det, DetectionConfig(), methods=EXACT_METHODS)
+
+
+def _median_sc():
+    return [x.replace("avg(value) AS value FROM r GROUP BY 1, 2", "median(value) AS value FROM r GROUP BY 1, 2") for x in _SC]
+
+
+@q("run_compare", O.with_(*_SC, "ra AS (SELECT sensor, row_number() OVER (ORDER BY composite_score DESC NULLS LAST, sensor) AS rank, "
+   "composite_score, confidence_strict FROM scores)")
+   .replace("WITH ", "WITH runb AS (" + O.with_(*_median_sc()) + "SELECT sensor, row_number() OVER (ORDER BY composite_score DESC NULLS LAST, sensor) AS rank, composite_score, confidence_strict FROM scores), ", 1)
+   + """SELECT COALESCE(ra.sensor, runb.sensor) AS sensor, CAST(ra.rank AS BIGINT) AS rank_a, CAST(runb.rank AS BIGINT) AS rank_b,
+   CAST(runb.rank - ra.rank AS BIGINT) AS rank_delta, ROUND(ra.composite_score, 6) + 0.0 AS score_a,
+   ROUND(runb.composite_score, 6) + 0.0 AS score_b, ROUND(runb.composite_score - ra.composite_score, 6) + 0.0 AS score_delta,
+   ra.confidence_strict AS label_a, runb.confidence_strict AS label_b,
+   ra.confidence_strict IS DISTINCT FROM runb.confidence_strict AS label_changed
+   FROM ra FULL OUTER JOIN runb ON ra.sensor = runb.sensor""")
+def _run_compare(spark, sf):
+    return scoring.compare_runs(scoring.ranking(exact_scores(spark, sf)), scoring.ranking(_median_scores(spark, sf)))
+
+
+@q("variant_compare", None)
+def _variant_compare(spark, sf):
+    return scoring.compare_variants({"mean": exact_scores(spark, sf), "median": _median_scores(spark, sf)})
+
+
+ORACLE["variant_compare"] = (
+    O.with_(*_SC).replace("WITH ", "WITH vb AS (" + O.with_(*_median_sc()) + "SELECT 'median' AS variant, sensor, composite_score, confidence_strict FROM scores), ", 1)
+    + ", u AS (SELECT 'mean' AS variant, sensor, composite_score, confidence_strict FROM scores UNION ALL SELECT * FROM vb) "
+    "SELECT variant, count(*) AS n_sensors, ROUND(avg(composite_score), 6) + 0.0 AS mean_composite, "
+    "ROUND(max(composite_score), 6) + 0.0 AS max_composite, count(*) FILTER (WHERE confidence_strict = 'High') AS n_high FROM u GROUP BY variant"
+)
+
+
+# ---- changepoints / segments -------------------------------------------------------------------------
+
+CP_PEN = 1e10
+_CPW = O.filled_ctes("orders") + O.clean_ctes("filled", gate=False)
+_CP_SQL = [
+    """cw0 AS (SELECT *, pos - 1 AS k, lag(bin) OVER w AS prev_bin,
+        sum(value) OVER (w ROWS BETWEEN 25 PRECEDING AND 1 PRECEDING) AS sl, sum(value * value) OVER (w ROWS BETWEEN 25 PRECEDING AND 1 PRECEDING) AS ql,
+        sum(value) OVER (w ROWS BETWEEN CURRENT ROW AND 24 FOLLOWING) AS sr, sum(value * value) OVER (w ROWS BETWEEN CURRENT ROW AND 24 FOLLOWING) AS qr
+      FROM c WINDOW w AS (PARTITION BY sensor ORDER BY pos))""",
+    """cw1 AS (SELECT *, CASE WHEN k % 5 = 0 AND k >= 25 AND k < n - 25 AND n >= 60 THEN
+        ((ql + qr) - (sl + sr) * (sl + sr) / 50) - (ql - sl * sl / 25) - (qr - sr * sr / 25) END AS gain FROM cw0)""",
+    """cw2 AS (SELECT *, max(gain) OVER (PARTITION BY sensor ORDER BY pos ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING) AS lm,
+        max(gain) OVER (PARTITION BY sensor ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND 30 FOLLOWING) AS rm FROM cw1)""",
+    "cps AS (SELECT sensor, prev_bin AS cp_bin, gain FROM cw2 WHERE gain > COALESCE(lm, '-inf'::DOUBLE) AND gain > COALESCE(rm, '-inf'::DOUBLE) AND gain > " + repr(CP_PEN) + ")",
+]
+def _orders_cps(spark, sf):
+    return segments.changepoints_window_l2(orders_filled(spark, sf), penalty=CP_PEN)
+
+
+@q("cp_window_l2", O.with_(*_CPW, *_CP_SQL) + "SELECT sensor, CAST(cp_bin AS VARCHAR) AS cp_bin FROM cps")
+def _cp_window(spark, sf):
+    return _orders_cps(spark, sf).select("sensor", "cp_bin")
+
+
+_SEG_SQL = [
+    "mk AS (SELECT f.*, (cps.cp_bin IS NOT NULL) AS is_cp FROM filled f LEFT JOIN (SELECT DISTINCT sensor, cp_bin FROM cps) cps "
+    "ON cps.sensor = f.sensor AND cps.cp_bin = f.bin)",
+    "sg0 AS (SELECT *, 1 + COALESCE(sum(CAST(is_cp AS INTEGER)) OVER (PARTITION BY sensor ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s0 FROM mk)",
+    "seg AS (SELECT sensor, bin, value, CAST(unnest(CASE WHEN is_cp THEN [s0, s0 + 1] ELSE [s0] END) AS BIGINT) AS segment FROM sg0)",
+]
+
+
+@q("segments", O.with_(*_CPW, *_CP_SQL, *_SEG_SQL)
+   + "SELECT sensor, CAST(bin AS VARCHAR) AS bin, ROUND(value, 6) + 0.0 AS value, segment FROM seg")
+def _segments(spark, sf):
+    return segments.segments(orders_filled(spark, sf), _orders_cps(spark, sf))
+
+
+@q("segment_stats", O.with_(*_CPW, *_CP_SQL, *_SEG_SQL)
+   + "SELECT sensor, segment, CAST(min(bin) AS VARCHAR) AS start, CAST(max(bin) AS VARCHAR) AS \"end\", count(*) AS n_points, "
+   "ROUND(avg(value), 6) + 0.0 AS mean, ROUND(stddev_samp(value), 6) + 0.0 AS std, ROUND(min(value), 6) + 0.0 AS min, "
+   "ROUND(max(value), 6) + 0.0 AS max, ROUND(median(value), 6) + 0.0 AS median FROM seg GROUP BY sensor, segment")
+def _segment_stats(spark, sf):
+    return segments.segment_statistics(orders_filled(spark, sf), _orders_cps(spark, sf))
+
+
+# ---- text ------------------------------------------------------------------------------------------------
+
+@q("name_dictionary", "SELECT name, printf('SENSOR_%03d', n) AS alias, CAST(n AS BIGINT) AS ordinal FROM "
+   "(SELECT name, row_number() OVER (ORDER BY name) AS n FROM (SELECT DISTINCT source AS name FROM documents WHERE source IS NOT NULL))")
+def _name_dictionary(spark, sf):
+    from tidewise.operators.textops import name_dictionary
+    from tidewise.sources.tables import table
+    return name_dictionary(table(spark, sf, "documents"), "source")
+
+
+def _mask_sql(c):
+    out = c
+    for p in (r"[A-Za-z]:\\[^\s\"']+", r"/[^\s\"']+(?:/[^\s\"']+)+", r"~[^\s\"']+"):
+        lit = p.replace("'", "''")
+        out = f"regexp_replace({out}, '{lit}', '[PATH_MASKED]', 'g')"
+    return out
+
+
+@q("mask_paths", f"SELECT page_id, {_mask_sql('url')} AS url_masked, {_mask_sql('html')} AS html_masked FROM pages")
+def _mask_paths(spark, sf):
+    from tidewise.operators.textops import mask_paths
+    from tidewise.sources.tables import table
+    p = table(spark, sf, "pages")
+    return p.select("page_id", mask_paths(F.col("url")).alias("url_masked"), mask_paths(F.col("html")).alias("html_masked"))
+
+
+_LINES_SQL = ("lines AS (SELECT printf('user_%d/%s', user_id, CAST(CAST(ts AS DATE) AS VARCHAR)) AS file, ts, event_id, "
+              "printf('%s %s %s: value=%.2f event=%d', CAST(ts AS VARCHAR), CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'INFO' END, "
+              "event_type, value, event_id) AS line FROM events)")
+
+
+@q("error_extract", O.with_(_LINES_SQL,
+   "e AS (SELECT file, ts, event_id, line FROM lines WHERE regexp_matches(line, '^[0-9]{4}-[0-9]{2}-[0-9]{2}') AND contains(line, 'ERROR'))")
+   + "SELECT file, n, message FROM (SELECT file, CAST(row_number() OVER (PARTITION BY file ORDER BY ts, event_id) AS BIGINT) AS n, "
+   "substring(trim(regexp_extract(line, '(?s)ERROR.*?:(.*)', 1)), 1, 500) AS message FROM e) WHERE n <= 10")
+def _error_extract(spark, sf):
+    from tidewise.operators.textops import error_extract, event_log_lines
+    from tidewise.sources.tables import table
+    return error_extract(event_log_lines(table(spark, sf, "events")), "file", ["ts", "event_id"], 10)
+
+
+@q("log_tail", O.with_("sp AS (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents)",
+   "ln AS (SELECT doc_id, s[i] AS line, i AS line_no FROM sp, generate_series(1, len(s)) g(i))",
+   "lt AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY line_no DESC) AS r FROM ln)")
+   + "SELECT doc_id, count(*) AS n_lines, string_agg(line, chr(10) ORDER BY line_no) AS excerpt FROM lt WHERE r <= 100 GROUP BY doc_id")
+def _log_tail(spark, sf):
+    from tidewise.operators.textops import log_tail, text_lines
+    from tidewise.sources.tables import table
+    return log_tail(text_lines(table(spark, sf, "documents"), "doc_id", "text"), "doc_id", 100)
+
+
+@q("step_shares", "SELECT user_id, event_type, ROUND(d, 6) + 0.0 AS duration, ROUND(sum(d) OVER (PARTITION BY user_id), 6) + 0.0 AS total, "
+   "ROUND(d * 100.0 / sum(d) OVER (PARTITION BY user_id), 6) + 0.0 AS percent FROM (SELECT user_id, event_type, sum(value) AS d FROM events GROUP BY 1, 2)")
+def _step_shares(spark, sf):
+    from tidewise.operators.textops import step_shares
+    from tidewise.sources.tables import table
+    return step_shares(table(spark, sf, "events"), "user_id", "event_type", "value")
+
+
+@q("bundle_counts", """SELECT c.user_id, c.n_errors, c.n_warnings, f.first_errors FROM
+   (SELECT user_id, count(*) FILTER (WHERE event_type = 'error') AS n_errors, count(*) FILTER (WHERE event_type = 'signup') AS n_warnings
+    FROM events GROUP BY user_id) c LEFT JOIN
+   (SELECT user_id, string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY r) AS first_errors FROM
+     (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS r FROM events WHERE event_type = 'error')
+    WHERE r <= 5 GROUP BY user_id) f ON f.user_id = c.user_id""")
+def _bundle_counts(spark, sf):
+    from tidewise.operators.textops import bundle_counts
+    from tidewise.sources.tables import table
+    return bundle_counts(table(spark, sf, "events"))
+
+
+_JSON_SQL = """SELECT src, id, CASE WHEN ok THEN COALESCE(json_extract_string(CASE WHEN ok THEN b END, '$.summary'), 'No summary provided') ELSE substring(t, 1, 500) END AS summary,
+   CAST(CASE WHEN ok THEN COALESCE(json_array_length(CASE WHEN ok THEN b END, '$.issues'), 0) ELSE 0 END AS BIGINT) AS n_issues,
+   CAST(CASE WHEN ok THEN COALESCE(json_array_length(CASE WHEN ok THEN b END, '$.recommendations'), 0) ELSE 0 END AS BIGINT) AS n_recommendations,
+   CASE WHEN ok THEN COALESCE(json_extract_string(CASE WHEN ok THEN b END, '$.confidence'), 'medium') ELSE 'low' END AS confidence
+   FROM (SELECT *, COALESCE(b <> '' AND json_valid(b) AND json_type(CASE WHEN b <> '' AND json_valid(b) THEN b END) = 'OBJECT', false) AS ok FROM (
+     SELECT 'events' AS src, event_id AS id, props AS t, regexp_extract(props, '(?s)(\\{.*\\})', 1) AS b FROM events
+     UNION ALL SELECT 'conversations', conv_id * 1000 + turn, text, regexp_extract(text, '(?s)(\\{.*\\})', 1) FROM conversations))"""
+
+
+@q("json_extract", _JSON_SQL)
+def _json_extract(spark, sf):
+    from tidewise.operators.textops import parse_response
+    from tidewise.sources.tables import table
+    ev = table(spark, sf, "events").select(F.lit("events").alias("src"), F.col("event_id").alias("id"), F.col("props").alias("t"))
+    cv = table(spark, sf, "conversations").select(F.lit("conversations").alias("src"),
+                                                  (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.col("text").alias("t"))
+    u = ev.unionByName(cv).withColumn("r", parse_response(F.col("t")))
+    return u.select("src", "id", "r.summary", F.size("r.issues").cast("long").alias("n_issues"),
+                    F.size("r.recommendations").cast("long").alias("n_recommendations"), "r.confidence")
+
+
+@q("anonymize_text")
+def _anonymize_text(spark, sf):
+    from tidewise.operators.textops import anonymize_column, collect_dictionary, name_dictionary
+    from tidewise.sources.tables import table
+    docs = table(spark, sf, "documents")
+    d = collect_dictionary(name_dictionary(docs, "source"))
+    out = docs.select("doc_id", F.concat_ws(" ", "source", "lang").alias("label"), F.map_from_arrays(F.array("source"), F.array("lang")).alias("m"),
+                      "text")
+    out = anonymize_column(anonymize_column(anonymize_column(out, "label", d), "m", d), "text", d)
+    return out.select("doc_id", "label", F.map_keys("m")[0].alias("m_key"), F.length("text").cast("long").alias("text_len"))
+
+
+# ---- rows-only (iterative / randomised kernels) ----------------------------------------------------------
+
+@q("stl_strength")
+def _stl_strength(spark, sf):
+    return stl.stl_strength(orders_eligible(spark, sf), PERIODS)
+
+
+@q("stl_components")
+def _stl_components(spark, sf):
+    return stl.stl_components(orders_eligible(spark, sf), 7)
+
+
+@q("residual_histogram")
+def _residual_histogram(spark, sf):
+    from tidewise.operators.report import residual_histogram
+    return residual_histogram(stl.stl_components(orders_eligible(spark, sf), 7))
+
+
+@q("joint_fit")
+def _joint_fit(spark, sf):
+    return harmonic.joint_fit(orders_eligible(spark, sf), PERIODS)
+
+
+@q("joint_delta_r2")
+def _joint_delta(spark, sf):
+    return harmonic.delta_r2_map(orders_eligible(spark, sf), PERIODS)
+
+
+@q("joint_predict")
+def _joint_predict(spark, sf):
+    return harmonic.fit_and_predict(orders_eligible(spark, sf), PERIODS)
+
+
+@q("pacf")
+def _pacf(spark, sf):
+    return stl.pacf(orders_eligible(spark, sf), 50)
+
+
+@q("cp_pelt")
+def _cp_pelt(spark, sf):
+    return segments.changepoints_pelt(orders_filled(spark, sf), model="l2", min_size=30, penalty=CP_PEN)
+
+
+@q("cp_pelt_rbf")
+def _cp_pelt_rbf(spark, sf):
+    return segments.changepoints_pelt(resample.resample(orders(spark, sf), "W", "mean"), model="rbf", min_size=30, penalty=5.0)
+
+
+@q("outlier_iforest")
+def _outlier_iforest(spark, sf):
+    return outliers.flag_iforest(orders_grid(spark, sf), 0.05, 42, 100)
+
+
+@q("interp_spline")
+def _interp_spline(spark, sf):
+    return impute.interpolate_spline(orders_grid(spark, sf), order=3)
+
+
+@q("ensemble_all_methods")
+def _ensemble_all(spark, sf):
+    det = detect_all(orders_eligible(spark, sf), DetectionConfig(), gate=False)
+    return scoring.scores_table(det, DetectionConfig())
