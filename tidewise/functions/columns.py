@@ -34,26 +34,22 @@ def sensor_frame() -> Window:
     return Window.partitionBy(SENSOR)
 
 
-def lgamma(x: Column) -> Column:
-    """log Gamma(x) for x > 0 as a native expression: shift by 10 then Stirling series.
+def lgamma_sql(x: str) -> str:
+    """SQL text of log Gamma(x) for x > 0: shift by 10 then the Stirling series.
 
-    Absolute error below 1e-13 for all x > 0 (Spark SQL has no lgamma builtin).
-    """
-    shift = 10
-    z = x + F.lit(float(shift))
-    stirling = (
-        (z - 0.5) * F.log(z)
-        - z
-        + F.lit(0.5 * math.log(2 * math.pi))
-        + 1.0 / (12.0 * z)
-        - 1.0 / (360.0 * F.pow(z, 3))
-        + 1.0 / (1260.0 * F.pow(z, 5))
-        - 1.0 / (1680.0 * F.pow(z, 7))
-    )
-    prod = F.lit(0.0)
-    for j in range(shift):
-        prod = prod + F.log(x + F.lit(float(j)))
-    return stirling - prod
+    Absolute error below 1e-13 for all x > 0 (Spark SQL has no lgamma builtin)."""
+    z = f"(({x}) + 10.0D)"
+    stirling = (f"(({z} - 0.5D) * ln({z}) - {z} + {0.5 * math.log(2 * math.pi)!r}D + 1.0D / (12.0D * {z}) "
+                f"- 1.0D / (360.0D * power({z}, 3)) + 1.0D / (1260.0D * power({z}, 5)) - 1.0D / (1680.0D * power({z}, 7)))")
+    shift = " + ".join(f"ln(({x}) + {j}.0D)" for j in range(10))
+    return f"({stirling} - ({shift}))"
+
+
+def lgamma(x: Column | str) -> Column:
+    """Column form of :func:`lgamma_sql`; ``x`` is a column name or SQL text."""
+    if not isinstance(x, str):
+        raise TypeError("pass the argument as SQL text or a column name")
+    return F.expr(lgamma_sql(x))
 
 
 def days_between(later: Column, earlier: Column) -> Column:
@@ -84,3 +80,13 @@ def distributed_row_number(df: DataFrame, order_cols: list[Column], name: str =
     ).select("_pid", "_off")
     out = local.join(F.broadcast(offsets), "_pid").withColumn(name, (F.col("_local") + F.col("_off")).cast("long"))
     return out.drop("_pid", "_local", "_off")
+
+
+def by_sensor(df: DataFrame) -> DataFrame:
+    """Hash-partition on sensor with an explicit partition count before a grouped-map kernel.
+
+    Kernel stages are compute-heavy but byte-light; AQE would coalesce them into one task.
+    A user-specified ``repartition(n, sensor)`` keeps one sensor per group spread over n tasks
+    and already satisfies the grouping's distribution (no second shuffle)."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return df.repartition(n, SENSOR)

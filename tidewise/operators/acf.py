@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewise.config import DetectionConfig
-from tidewise.functions.columns import SENSOR
+from tidewise.functions.columns import by_sensor, SENSOR
 from tidewise.operators.detect_common import as_detection, clean, register
 
 
@@ -26,21 +26,20 @@ def needed_lags(periods, tolerance: int, max_lag: int) -> list[int]:
 
 
 def acf_at_lags(grid: DataFrame, lags: list[int]) -> DataFrame:
-    """One row per sensor: n, den = sum dx^2 and acf_k for each lag."""
+    """One row per sensor: n, den = sum dx^2 and acf_k for each lag (one window pass of
+    ``lead`` products, then one partial aggregation)."""
     c = clean(grid)
-    whole = Window.partitionBy(SENSOR)
-    c = c.withColumn("dx", F.col("value") - F.avg("value").over(whole))
-    w = Window.partitionBy(SENSOR).orderBy("pos")
     prods = c.select(
-        SENSOR, "n", "dx", *[(F.col("dx") * F.lead("dx", k).over(w)).alias(f"p{k}") for k in lags]
+        SENSOR, "n",
+        F.expr("value - avg(value) OVER (PARTITION BY sensor)").alias("dx"),
+        "pos",
+    ).select(
+        SENSOR, "n", "dx",
+        *[F.expr(f"dx * lead(dx, {k}) OVER (PARTITION BY sensor ORDER BY pos)").alias(f"p{k}") for k in lags],
     )
-    aggs = [F.first("n").alias("n"), F.sum(F.col("dx") * F.col("dx")).alias("den")] + [
-        F.sum(f"p{k}").alias(f"s{k}") for k in lags
-    ]
+    aggs = [F.expr("first(n) AS n"), F.expr("sum(dx * dx) AS den")] + [F.expr(f"sum(p{k}) AS s{k}") for k in lags]
     m = prods.groupBy(SENSOR).agg(*aggs)
-    return m.select(
-        SENSOR, "n", "den", *[F.try_divide(F.coalesce(F.col(f"s{k}"), F.lit(0.0)), F.col("den")).alias(f"acf{k}") for k in lags]
-    )
+    return m.select(SENSOR, "n", "den", *[F.expr(f"try_divide(coalesce(s{k}, 0.0), den) AS acf{k}") for k in lags])
 
 
 def acf_detect(grid: DataFrame, periods=(7, 30, 365), cfg: DetectionConfig = DetectionConfig()) -> DataFrame:
@@ -48,44 +47,35 @@ def acf_detect(grid: DataFrame, periods=(7, 30, 365), cfg: DetectionConfig = Det
 
     max_lag = min(cfg.acf_max_lag, n // 2 - 1); sensors with max_lag < 10 yield no rows;
     p > max_lag gives score 0 with ``period_exceeds_max_lag``; ties go to the smallest lag.
+    The peak is picked per sensor row with a higher-order expression over the period's
+    candidate lags (``array_min`` of ``(-|acf|, lag)`` structs): no join, one pass.
     """
     tol = cfg.acf_tolerance
     lags = needed_lags(periods, tol, cfg.acf_max_lag)
-    m = acf_at_lags(grid, lags)
-    m = m.withColumn("max_lag", F.least(F.lit(cfg.acf_max_lag), F.floor(F.col("n") / 2) - 1)).filter(
+    m = acf_at_lags(grid, lags).withColumn("max_lag", F.expr(f"least({cfg.acf_max_lag}, floor(n / 2) - 1)")).filter(
         F.col("max_lag") >= 10
     )
-    per_period = []
+    per = []
     for p in periods:
         cands = [k for k in lags if max(1, p - tol) <= k <= p + tol]
-        arr = F.array(
-            *[
-                F.struct(
-                    (-F.abs(F.col(f"acf{k}"))).alias("key"), F.lit(k).alias("lag"), F.col(f"acf{k}").alias("acf")
-                )
-                for k in cands
-            ]
-        ) if cands else F.array().cast("array<struct<key:double,lag:int,acf:double>>")
-        within = F.filter(arr, lambda x: x["lag"] <= F.col("max_lag"))
-        best = F.array_min(within)
-        per_period.append(F.struct(F.lit(int(p)).alias("period"), best.alias("best")))
-    rows = m.select(SENSOR, "n", "den", "max_lag", F.explode(F.array(*per_period)).alias("x")).select(
-        SENSOR, "n", "den", "max_lag", "x.period", "x.best"
-    )
-    conf = F.lit(1.96) / F.sqrt(F.col("n").cast("double"))
-    peak = F.col("best.acf")
-    exceeds = F.col("period") > F.col("max_lag")
-    zero_var = F.col("den") <= 0.0
-    score = F.when(exceeds | zero_var | peak.isNull(), F.lit(0.0)).otherwise(F.abs(peak))
+        if cands:
+            arr = "array(" + ", ".join(f"named_struct('key', -abs(acf{k}), 'lag', {k}, 'acf', acf{k})" for k in cands) + ")"
+            best = f"array_min(filter({arr}, x -> x.lag <= max_lag))"
+        else:
+            best = "CAST(NULL AS STRUCT<key: DOUBLE, lag: INT, acf: DOUBLE>)"
+        per.append(f"named_struct('period', {int(p)}, 'best', {best})")
+    rows = m.select(SENSOR, "n", "den", "max_lag", F.expr(f"explode(array({', '.join(per)})) AS x")).select(
+        SENSOR, "n", "den", "max_lag", "x.period", "x.best")
     return rows.select(
         SENSOR,
         F.col("period").cast("long").alias("period"),
-        score.alias("score"),
-        (~exceeds & ~zero_var & (F.abs(peak) > conf) & (F.abs(peak) > F.lit(cfg.acf_peak_threshold))).alias("significant"),
-        F.when(exceeds, F.lit("period_exceeds_max_lag")).when(zero_var, F.lit("zero_variance")).alias("error"),
-        F.when(~exceeds, peak).alias("peak_value"),
-        F.when(~exceeds, F.col("best.lag")).cast("long").alias("actual_lag"),
-        conf.alias("conf_int"),
+        F.expr("CASE WHEN period > max_lag OR den <= 0 OR best.acf IS NULL THEN 0.0D ELSE abs(best.acf) END").alias("score"),
+        F.expr(f"coalesce(NOT (period > max_lag) AND NOT (den <= 0) AND abs(best.acf) > 1.96D / sqrt(CAST(n AS DOUBLE)) "
+               f"AND abs(best.acf) > {cfg.acf_peak_threshold!r}D, false)").alias("significant"),
+        F.expr("CASE WHEN period > max_lag THEN 'period_exceeds_max_lag' WHEN den <= 0 THEN 'zero_variance' END").alias("error"),
+        F.expr("CASE WHEN NOT period > max_lag THEN best.acf END").alias("peak_value"),
+        F.expr("CAST(CASE WHEN NOT period > max_lag THEN best.lag END AS BIGINT)").alias("actual_lag"),
+        F.expr("1.96D / sqrt(CAST(n AS DOUBLE))").alias("conf_int"),
         F.col("max_lag").cast("long").alias("max_lag"),
     )
 
@@ -105,4 +95,4 @@ def acf_full(grid: DataFrame, max_lag: int = 400) -> DataFrame:
 
     c = clean(grid).select(SENSOR, "pos", "value")
     schema = "sensor string, lag long, acf double, conf_int_upper double, conf_int_lower double"
-    return c.groupBy(SENSOR).applyInPandas(lambda pdf: acf_fft_group(pdf, max_lag), schema=schema)
+    return by_sensor(c).groupBy(SENSOR).applyInPandas(lambda pdf: acf_fft_group(pdf, max_lag), schema=schema)

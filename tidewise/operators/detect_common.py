@@ -28,12 +28,12 @@ def clean(grid: DataFrame) -> DataFrame:
     """Drop NULLs, then index the remaining points by position (``pos`` 1..n) and by whole days
     since the sensor's first remaining point (``t``); ``n`` is the point count."""
     g = grid.filter(F.col("value").isNotNull())
-    w = Window.partitionBy(SENSOR).orderBy(BIN)
-    whole = Window.partitionBy(SENSOR)
-    return (
-        g.withColumn("pos", F.row_number().over(w).cast("long"))
-        .withColumn("n", F.count(F.lit(1)).over(whole))
-        .withColumn("t", days_between(F.col(BIN), F.min(BIN).over(whole)).cast("double"))
+    return g.select(
+        "*",
+        F.expr("CAST(row_number() OVER (PARTITION BY sensor ORDER BY bin) AS BIGINT)").alias("pos"),
+        F.expr("count(1) OVER (PARTITION BY sensor)").alias("n"),
+        F.expr("CAST(timestampdiff(DAY, CAST(min(bin) OVER (PARTITION BY sensor) AS TIMESTAMP_NTZ), "
+               "CAST(bin AS TIMESTAMP_NTZ)) AS DOUBLE)").alias("t"),
     )
 
 

@@ -26,67 +26,63 @@ def _sc(t: Column, p: float) -> tuple[Column, Column]:
     return F.sin(ang), F.cos(ang)
 
 
+def r2_sql(vsy: str, vcy: str, vss: str, vcc: str, vsc: str, vyy: str) -> tuple[str, str, str]:
+    """SQL text of (r2, b_sin, b_cos) of the two-regressor least squares; degenerate designs
+    (sin or cos constant) fall back to the single-term fit."""
+    d = f"({vss} * {vcc} - {vsc} * {vsc})"
+    r2 = (f"CASE WHEN {vyy} <= 0.0 THEN 0.0 "
+          f"WHEN {d} > {EPS!r} THEN ({vsy} * {vsy} * {vcc} - 2.0D * {vsy} * {vcy} * {vsc} + {vcy} * {vcy} * {vss}) / ({d} * {vyy}) "
+          f"WHEN {vss} > {EPS!r} THEN {vsy} * {vsy} / ({vss} * {vyy}) "
+          f"WHEN {vcc} > {EPS!r} THEN {vcy} * {vcy} / ({vcc} * {vyy}) ELSE 0.0 END")
+    bs = f"CASE WHEN {d} > {EPS!r} THEN ({vsy} * {vcc} - {vcy} * {vsc}) / {d} WHEN {vss} > {EPS!r} THEN {vsy} / {vss} ELSE 0.0 END"
+    bc = (f"CASE WHEN {d} > {EPS!r} THEN ({vcy} * {vss} - {vsy} * {vsc}) / {d} "
+          f"WHEN NOT ({vss} > {EPS!r}) AND {vcc} > {EPS!r} THEN {vcy} / {vcc} ELSE 0.0 END")
+    return r2, bs, bc
+
+
 def r2_from_moments(vsy: Column, vcy: Column, vss: Column, vcc: Column, vsc: Column, vyy: Column):
-    """(r2, b_sin, b_cos) of the two-regressor least squares, degenerate cases by single term."""
+    """Column form of :func:`r2_sql` for callers holding Columns."""
     d = vss * vcc - vsc * vsc
     full_ok = d > F.lit(EPS)
-    bs_full = (vsy * vcc - vcy * vsc) / d
-    bc_full = (vcy * vss - vsy * vsc) / d
-    r2_full = (vsy * vsy * vcc - F.lit(2.0) * vsy * vcy * vsc + vcy * vcy * vss) / (d * vyy)
-    s_ok = vss > F.lit(EPS)
-    c_ok = vcc > F.lit(EPS)
     r2 = (
         F.when(vyy <= F.lit(0.0), F.lit(0.0))
-        .when(full_ok, r2_full)
-        .when(s_ok, vsy * vsy / (vss * vyy))
-        .when(c_ok, vcy * vcy / (vcc * vyy))
+        .when(full_ok, (vsy * vsy * vcc - F.lit(2.0) * vsy * vcy * vsc + vcy * vcy * vss) / (d * vyy))
+        .when(vss > F.lit(EPS), vsy * vsy / (vss * vyy))
+        .when(vcc > F.lit(EPS), vcy * vcy / (vcc * vyy))
         .otherwise(F.lit(0.0))
     )
-    bs = F.when(full_ok, bs_full).when(s_ok, vsy / vss).otherwise(F.lit(0.0))
-    bc = F.when(full_ok, bc_full).when(~s_ok & c_ok, vcy / vcc).otherwise(F.lit(0.0))
-    return r2, bs, bc
+    return r2, None, None
 
 
 def harmonic_fit(grid: DataFrame, periods=(7, 30, 365), delta_r2_threshold: float = 0.1) -> DataFrame:
     """Per (sensor, period): r2, delta_r2, sin_coef, cos_coef, score = clip(10 delta_r2, 0, 1)."""
     c = clean(grid)
-    y = F.col("value")
-    aggs = [F.var_pop(y).alias("vyy"), F.count(y).alias("n")]
+    aggs = [F.expr("var_pop(value) AS vyy"), F.expr("count(value) AS n")]
     for i, p in enumerate(periods):
-        s, co = _sc(F.col("t"), p)
+        ang = f"({TWO_PI!r}D * t / {float(p)!r}D)"
         aggs += [
-            F.covar_pop(s, y).alias(f"vsy{i}"),
-            F.covar_pop(co, y).alias(f"vcy{i}"),
-            F.var_pop(s).alias(f"vss{i}"),
-            F.var_pop(co).alias(f"vcc{i}"),
-            F.covar_pop(s, co).alias(f"vsc{i}"),
+            F.expr(f"covar_pop(sin({ang}), value) AS vsy{i}"),
+            F.expr(f"covar_pop(cos({ang}), value) AS vcy{i}"),
+            F.expr(f"var_pop(sin({ang})) AS vss{i}"),
+            F.expr(f"var_pop(cos({ang})) AS vcc{i}"),
+            F.expr(f"covar_pop(sin({ang}), cos({ang})) AS vsc{i}"),
         ]
     m = c.groupBy(SENSOR).agg(*aggs)
-    rows = []
+    structs = []
     for i, p in enumerate(periods):
-        r2, bs, bc = r2_from_moments(
-            F.col(f"vsy{i}"), F.col(f"vcy{i}"), F.col(f"vss{i}"), F.col(f"vcc{i}"), F.col(f"vsc{i}"), F.col("vyy")
-        )
-        rows.append(
-            F.struct(
-                F.lit(int(p)).alias("period"),
-                r2.alias("r2"),
-                bs.alias("sin_coef"),
-                bc.alias("cos_coef"),
-            )
-        )
-    out = m.select(SENSOR, "vyy", F.explode(F.array(*rows)).alias("h")).select(SENSOR, "vyy", "h.*")
-    dr2 = F.col("r2")
+        r2, bs, bc = r2_sql(f"vsy{i}", f"vcy{i}", f"vss{i}", f"vcc{i}", f"vsc{i}", "vyy")
+        structs.append(f"named_struct('period', {int(p)}L, 'r2', {r2}, 'sin_coef', {bs}, 'cos_coef', {bc})")
+    out = m.select(SENSOR, "vyy", F.expr(f"explode(array({', '.join(structs)})) AS h")).select(SENSOR, "vyy", "h.*")
     return out.select(
         SENSOR,
         F.col("period").cast("long").alias("period"),
         F.col("r2"),
-        dr2.alias("delta_r2"),
+        F.col("r2").alias("delta_r2"),
         F.col("sin_coef"),
         F.col("cos_coef"),
-        F.least(F.greatest(dr2 * 10.0, F.lit(0.0)), F.lit(1.0)).alias("score"),
-        (dr2 > F.lit(delta_r2_threshold)).alias("significant"),
-        F.when(F.col("vyy") <= 0.0, F.lit("zero_variance")).alias("error"),
+        F.expr("least(greatest(r2 * 10.0D, 0.0D), 1.0D)").alias("score"),
+        F.expr(f"r2 > {delta_r2_threshold!r}D").alias("significant"),
+        F.expr("CASE WHEN vyy <= 0.0D THEN 'zero_variance' END").alias("error"),
     )
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewise.functions.columns import BIN, SENSOR, days_between
+from tidewise.functions.columns import by_sensor, BIN, SENSOR, days_between
 
 _UNB = Window.unboundedPreceding
 _UNF = Window.unboundedFollowing
@@ -144,7 +144,7 @@ def interpolate_spline(grid: DataFrame, order: int = 3, extrapolate: bool = True
     def fill(pdf):
         return spline_fill(pdf, cols, order=order, extrapolate=extrapolate)
 
-    return grid.groupBy(SENSOR).applyInPandas(fill, schema=schema)
+    return by_sensor(grid).groupBy(SENSOR).applyInPandas(fill, schema=schema)
 
 
 def impute_missing(grid: DataFrame, method: str = "linear", limit: int | None = None, **kw) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewise.functions.columns import BIN, SENSOR
+from tidewise.functions.columns import by_sensor, BIN, SENSOR
 
 
 def _whole() -> Window:
@@ -59,7 +59,7 @@ def flag_iforest(grid: DataFrame, contamination: float = 0.05, seed: int = 42, n
     def run(pdf):
         return iforest_group(pdf, cols, contamination, seed, n_trees)
 
-    return grid.groupBy(SENSOR).applyInPandas(run, schema=schema)
+    return by_sensor(grid).groupBy(SENSOR).applyInPandas(run, schema=schema)
 
 
 def detect_outliers(grid: DataFrame, method: str = "iqr", threshold: float | None = None, **kw) -> DataFrame:

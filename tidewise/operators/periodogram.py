@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewise.config import DetectionConfig
-from tidewise.functions.columns import SENSOR, lgamma
+from tidewise.functions.columns import by_sensor, SENSOR, lgamma_sql
 from tidewise.operators.detect_common import as_detection, clean, register
 from tidewise.operators.harmonic import r2_from_moments
 
@@ -36,25 +36,26 @@ def sensor_stats(c: DataFrame) -> DataFrame:
     )
 
 
-def fap_baluev(z: Column, n: Column, span: Column, var_t: Column) -> Column:
-    """Baluev (2008) false-alarm probability for standard-normalised power ``z``.
+def fap_baluev_sql(z: str = "power", n: str = "n", span: str = "span", var_t: str = "var_t") -> str:
+    """SQL text of the Baluev (2008) false-alarm probability for standard-normalised power.
 
-    f_max is the automatic limit of the original call (samples_per_peak 5, nyquist_factor 5).
-    """
-    nd = n.cast("double")
-    nh = nd - 1.0
-    nk = nd - 3.0
-    df5 = 1.0 / (5.0 * span)
-    fmin5 = 0.5 * df5
-    fmax_raw = 5.0 * 0.5 * nd / span
-    nf5 = F.rint((fmax_raw - fmin5) / df5) + 1.0
-    fmax = fmin5 + df5 * (nf5 - 1.0)
-    w = fmax * F.sqrt(F.lit(4.0 * math.pi) * var_t)
-    gamma = F.sqrt(2.0 / nh) * F.exp(lgamma(nh / 2.0) - lgamma((nh - 1.0) / 2.0))
-    one_minus = F.greatest(F.lit(1.0) - z, F.lit(0.0))
-    tau = gamma * w * F.pow(one_minus, (nk - 1.0) / 2.0) * F.sqrt(nh * z / 2.0)
-    cdf = F.lit(1.0) - F.pow(one_minus, nk / 2.0)
-    return F.lit(1.0) - cdf * F.exp(-tau)
+    f_max is the automatic limit of the original call (samples_per_peak 5, nyquist_factor 5)."""
+    nd = f"CAST({n} AS DOUBLE)"
+    nh, nk = f"({nd} - 1.0D)", f"({nd} - 3.0D)"
+    df5 = f"(1.0D / (5.0D * {span}))"
+    fmin5 = f"(0.5D * {df5})"
+    fmax_raw = f"(2.5D * {nd} / {span})"
+    nf5 = f"(rint(({fmax_raw} - {fmin5}) / {df5}) + 1.0D)"
+    fmax = f"({fmin5} + {df5} * ({nf5} - 1.0D))"
+    w = f"({fmax} * sqrt({4.0 * math.pi!r}D * {var_t}))"
+    gamma = f"(sqrt(2.0D / {nh}) * exp({lgamma_sql(f'{nh} / 2.0D')} - {lgamma_sql(f'({nh} - 1.0D) / 2.0D')}))"
+    om = f"greatest(1.0D - {z}, 0.0D)"
+    tau = f"({gamma} * {w} * power({om}, ({nk} - 1.0D) / 2.0D) * sqrt({nh} * {z} / 2.0D))"
+    return f"(1.0D - (1.0D - power({om}, {nk} / 2.0D)) * exp(-{tau}))"
+
+
+def fap_baluev(z: str = "power", n: str = "n", span: str = "span", var_t: str = "var_t") -> Column:
+    return F.expr(fap_baluev_sql(z, n, span, var_t))
 
 
 def band_frequencies(stats: DataFrame, periods, cfg: DetectionConfig) -> DataFrame:
@@ -143,7 +144,7 @@ def band_peaks(grid: DataFrame, periods=(7, 30, 365), cfg: DetectionConfig = Det
         return pd.DataFrame(rows, columns=cols)
 
     c = clean(grid).select(SENSOR, "t", "value")
-    return c.groupBy(SENSOR).applyInPandas(run, schema=schema)
+    return by_sensor(c).groupBy(SENSOR).applyInPandas(run, schema=schema)
 
 
 def periodogram_detect(grid: DataFrame, periods=(7, 30, 365), cfg: DetectionConfig = DetectionConfig()) -> DataFrame:
@@ -154,7 +155,7 @@ def periodogram_detect(grid: DataFrame, periods=(7, 30, 365), cfg: DetectionConf
     The FAP is a native expression on the peak rows.
     """
     r = band_peaks(grid, periods, cfg)
-    fap = fap_baluev(F.col("power"), F.col("n"), F.col("span"), F.col("var_t"))
+    fap = fap_baluev("power", "n", "span", "var_t")
     has = F.col("power").isNotNull()
     return r.select(
         SENSOR,
@@ -198,4 +199,4 @@ def periodogram_full(grid: DataFrame, cfg: DetectionConfig = DetectionConfig())
         f = fmin + k * df
         return pd.DataFrame({"sensor": pdf["sensor"].iloc[0], "k": k, "frequency": f, "power": p, "period": 1.0 / f})
 
-    return c.groupBy(SENSOR).applyInPandas(run, schema=schema)
+    return by_sensor(c).groupBy(SENSOR).applyInPandas(run, schema=schema)

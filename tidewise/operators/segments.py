@@ -14,42 +14,58 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewise.functions.columns import BIN, SENSOR
+from tidewise.functions.columns import by_sensor, BIN, SENSOR
 from tidewise.operators.detect_common import clean
 
 CP_SCHEMA = "sensor string, cp_bin {bt}"
 
 
-def changepoints_window_l2(grid: DataFrame, width: int = 50, min_size: int = 30, penalty: float = 10.0,
-                           jump: int = 5) -> DataFrame:
-    """CP-2 for the l2 cost -> (sensor, cp_bin = last point of the left segment)."""
+def window_l2_marks(grid: DataFrame, width: int = 50, min_size: int = 30, penalty: float = 10.0,
+                    jump: int = 5) -> DataFrame:
+    """CP-2 for the l2 cost on every cleaned grid row: ``gain`` at candidates and ``is_cp`` on the
+    last point of the left segment. All window expressions over one sensor ordering."""
     half = width // 2
     order = max(max(width, 2 * min_size) // (2 * jump), 1)
-    c = clean(grid).select(SENSOR, BIN, "value", "pos", "n")
-    w = Window.partitionBy(SENSOR).orderBy("pos")
-    x = F.col("value")
-
-    def sums(lo, hi):
-        f = w.rowsBetween(lo, hi)
-        return F.sum(x).over(f), F.sum(x * x).over(f)
-
-    sl, ql = sums(-half, -1)
-    sr, qr = sums(0, half - 1)
-    k = F.col("pos") - 1                                   # 0-based index of the first right point
-    cand = (k % jump == 0) & (k >= half) & (k < F.col("n") - half) & (F.col("n") >= 2 * min_size)
-    c = c.withColumn("_sl", sl).withColumn("_ql", ql).withColumn("_sr", sr).withColumn("_qr", qr)
-    cost_l = F.col("_ql") - F.col("_sl") * F.col("_sl") / half
-    cost_r = F.col("_qr") - F.col("_sr") * F.col("_sr") / half
-    sa, qa = F.col("_sl") + F.col("_sr"), F.col("_ql") + F.col("_qr")
-    cost_all = qa - sa * sa / (2 * half)
-    c = c.withColumn("gain", F.when(cand, cost_all - cost_l - cost_r)).withColumn("prev_bin", F.lag(BIN, 1).over(w))
     span = order * jump
-    left = F.max("gain").over(w.rowsBetween(-span, -1))
-    right = F.max("gain").over(w.rowsBetween(1, span))
-    c = c.withColumn("_lm", left).withColumn("_rm", right)
-    ninf = F.lit(float("-inf"))
-    peak = (F.col("gain") > F.coalesce("_lm", ninf)) & (F.col("gain") > F.coalesce("_rm", ninf))
-    return c.filter(peak & (F.col("gain") > penalty)).select(SENSOR, F.col("prev_bin").alias("cp_bin"), "gain")
+    c = clean(grid).select(SENSOR, BIN, "value", "pos", "n")
+    w = "PARTITION BY sensor ORDER BY pos"
+    c = c.select(
+        "*",
+        F.expr(f"sum(value) OVER ({w} ROWS BETWEEN {half} PRECEDING AND 1 PRECEDING)").alias("_sl"),
+        F.expr(f"sum(value * value) OVER ({w} ROWS BETWEEN {half} PRECEDING AND 1 PRECEDING)").alias("_ql"),
+        F.expr(f"sum(value) OVER ({w} ROWS BETWEEN CURRENT ROW AND {half - 1} FOLLOWING)").alias("_sr"),
+        F.expr(f"sum(value * value) OVER ({w} ROWS BETWEEN CURRENT ROW AND {half - 1} FOLLOWING)").alias("_qr"),
+    )
+    cand = f"(pos - 1) % {jump} = 0 AND pos - 1 >= {half} AND pos - 1 < n - {half} AND n >= {2 * min_size}"
+    gain = (f"CASE WHEN {cand} THEN ((_ql + _qr) - (_sl + _sr) * (_sl + _sr) / {2 * half}) "
+            f"- (_ql - _sl * _sl / {half}) - (_qr - _sr * _sr / {half}) END")
+    c = c.select(SENSOR, BIN, "value", "pos", "n", F.expr(gain).alias("gain"))
+    c = c.select(
+        "*",
+        F.expr(f"max(gain) OVER ({w} ROWS BETWEEN {span} PRECEDING AND 1 PRECEDING)").alias("_lm"),
+        F.expr(f"max(gain) OVER ({w} ROWS BETWEEN 1 FOLLOWING AND {span} FOLLOWING)").alias("_rm"),
+    )
+    peak = (f"gain > coalesce(_lm, CAST('-inf' AS DOUBLE)) AND gain > coalesce(_rm, CAST('-inf' AS DOUBLE)) "
+            f"AND gain > {float(penalty)!r}D")
+    c = c.select(SENSOR, BIN, "value", "pos", "gain", F.expr(f"coalesce({peak}, false)").alias("_peak"))
+    return c.select(SENSOR, BIN, "value", "pos", "gain",
+                    F.expr(f"coalesce(lead(_peak, 1) OVER ({w}), false)").alias("is_cp"))
+
+
+def changepoints_window_l2(grid: DataFrame, width: int = 50, min_size: int = 30, penalty: float = 10.0,
+                           jump: int = 5) -> DataFrame:
+    """CP-2 for the l2 cost -> (sensor, cp_bin = last point of the left segment)."""
+    return window_l2_marks(grid, width, min_size, penalty, jump).filter("is_cp").select(SENSOR, F.col(BIN).alias("cp_bin"))
+
+
+def segments_from_marks(marked: DataFrame) -> DataFrame:
+    """CP-4 without a join: ``marked`` carries ``is_cp``; segment = 1 + changepoints before the row,
+    changepoint rows are emitted twice (closing k, opening k+1)."""
+    seg = F.expr("1 + coalesce(sum(CAST(is_cp AS INT)) OVER (PARTITION BY sensor ORDER BY bin "
+                 "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)")
+    g = marked.withColumn("_seg", seg)
+    g = g.withColumn("segment", F.explode(F.expr("CASE WHEN is_cp THEN array(_seg, _seg + 1) ELSE array(_seg) END")))
+    return g.drop("is_cp", "_seg").withColumn("segment", F.col("segment").cast("long"))
 
 
 def changepoints_pelt(grid: DataFrame, model: str = "rbf", min_size: int = 30, penalty: float = 10.0,
@@ -75,7 +91,7 @@ def changepoints_pelt(grid: DataFrame, model: str = "rbf", min_size: int = 30, p
         bins = pdf[BIN].to_numpy()[idx]
         return pd.DataFrame({"sensor": name, "cp_bin": bins, "error": None})
 
-    return c.groupBy(SENSOR).applyInPandas(run, schema=schema)
+    return by_sensor(c).groupBy(SENSOR).applyInPandas(run, schema=schema)
 
 
 def detect_changepoints(grid: DataFrame, method: str = "pelt", model: str = "rbf", min_size: int = 30,
@@ -91,19 +107,15 @@ def detect_changepoints(grid: DataFrame, method: str = "pelt", model: str = "rbf
 
 
 def segments(grid: DataFrame, cps: DataFrame) -> DataFrame:
-    """CP-4: rows of ``grid`` with a 1-based ``segment``; changepoint rows belong to two segments."""
-    marks = cps.select(SENSOR, F.col("cp_bin").alias(BIN), F.lit(True).alias("_cp")).distinct()
-    g = grid.join(marks, [SENSOR, BIN], "left").withColumn("_cp", F.coalesce("_cp", F.lit(False)))
-    w = Window.partitionBy(SENSOR).orderBy(BIN).rowsBetween(Window.unboundedPreceding, -1)
-    seg = F.lit(1) + F.coalesce(F.sum(F.col("_cp").cast("int")).over(w), F.lit(0))
-    g = g.withColumn("_seg", seg)
-    g = g.withColumn("segment", F.explode(F.when(F.col("_cp"), F.array("_seg", F.col("_seg") + 1)).otherwise(F.array("_seg"))))
-    return g.drop("_cp", "_seg").withColumn("segment", F.col("segment").cast("long"))
+    """CP-4 for changepoints given as a table: mark them with an equi-join on (sensor, bin)."""
+    marks = cps.select(SENSOR, F.col("cp_bin").alias(BIN), F.lit(True).alias("is_cp")).distinct()
+    g = grid.join(marks, [SENSOR, BIN], "left").withColumn("is_cp", F.coalesce("is_cp", F.lit(False)))
+    return segments_from_marks(g)
 
 
-def segment_statistics(grid: DataFrame, cps: DataFrame) -> DataFrame:
+def segment_statistics(grid: DataFrame, cps: DataFrame | None = None, segmented: DataFrame | None = None) -> DataFrame:
     """CP-5: per (sensor, segment) start, end, n_points (NULL rows counted), mean, sample std, min, max, median."""
-    s = segments(grid, cps)
+    s = segmented if segmented is not None else segments(grid, cps)
     return s.groupBy(SENSOR, "segment").agg(
         F.min(BIN).alias("start"),
         F.max(BIN).alias("end"),

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewise.config import DetectionConfig
-from tidewise.functions.columns import BIN, SENSOR
+from tidewise.functions.columns import by_sensor, BIN, SENSOR
 from tidewise.operators.detect_common import as_detection, clean, register
 
 STL_SCHEMA = (
@@ -52,7 +52,7 @@ def stl_strength(grid: DataFrame, periods=(7, 30, 365), cfg: DetectionConfig = D
     """Per (sensor, period): F = var(seasonal)/var(resid), score = F/(F+1), trend strength."""
     c = clean(grid).select(SENSOR, "pos", "value")
     ps, ns, rb, th = tuple(periods), cfg.stl_seasonal, cfg.stl_robust, cfg.stl_strength_threshold
-    return c.groupBy(SENSOR).applyInPandas(lambda pdf: _stl_group(pdf, ps, ns, rb, th), schema=STL_SCHEMA)
+    return by_sensor(c).groupBy(SENSOR).applyInPandas(lambda pdf: _stl_group(pdf, ps, ns, rb, th), schema=STL_SCHEMA)
 
 
 @register("stl")
@@ -82,7 +82,7 @@ def stl_components(grid: DataFrame, period: int = 7, cfg: DetectionConfig = Dete
         return pd.DataFrame({"sensor": pdf["sensor"].to_numpy(), "period": period, "bin": pdf[BIN].to_numpy(),
                              "observed": y, "trend": r["trend"], "seasonal": r["seasonal"], "residual": r["resid"]})[cols]
 
-    return c.groupBy(SENSOR).applyInPandas(run, schema=schema)
+    return by_sensor(c).groupBy(SENSOR).applyInPandas(run, schema=schema)
 
 
 def pacf(grid: DataFrame, nlags: int = 50) -> DataFrame:
@@ -113,4 +113,4 @@ def pacf(grid: DataFrame, nlags: int = 50) -> DataFrame:
                 out[k] = phi[k, k]
         return pd.DataFrame({"sensor": pdf["sensor"].iloc[0], "lag": np.arange(p + 1, dtype=np.int64), "pacf": out})
 
-    return a.groupBy(SENSOR).applyInPandas(lev, schema="sensor string, lag long, pacf double")
+    return by_sensor(a).groupBy(SENSOR).applyInPandas(lev, schema="sensor string, lag long, pacf double")

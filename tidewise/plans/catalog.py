@@ -18,6 +18,7 @@ from tidewise.operators import (acf, harmonic, impute, outliers, periodogram, qu
                                 segments, stl)
 from tidewise.operators.ensemble import combine, detect_all
 from tidewise.plans import oracle as O
+from tidewise.session import cut_lineage
 from tidewise.sources.tables import readings
 
 PERIODS = (7, 30, 365)
@@ -449,7 +450,8 @@ def _classify_exploratory(spark, sf):
    + "SELECT CAST(rank AS BIGINT) AS rank, sensor, " + ", ".join(f"ROUND({c}, 6) + 0.0 AS {c}" for c in _SCOLS)
    + ", CAST(best_period AS BIGINT) AS best_period, confidence_strict, confidence_exploratory FROM rk")
 def _ranking(spark, sf):
-    return scoring.ranking(exact_scores(spark, sf))
+    # the global sort samples its input first: rank a materialised scores table, not the plan
+    return scoring.ranking(cut_lineage(exact_scores(spark, sf)))
 
 
 @q("top_sensors", O.with_(*_SC, "lv AS (SELECT *, CASE confidence_strict WHEN 'High' THEN 3 WHEN 'Medium' THEN 2 "
@@ -538,7 +540,7 @@ def _summary_cards(spark, sf):
    "FROM rk ORDER BY rank LIMIT 100")
 def _report_table(spark, sf):
     from tidewise.operators.report import report_table
-    return report_table(scoring.ranking(exact_scores(spark, sf)))
+    return report_table(scoring.ranking(cut_lineage(exact_scores(spark, sf))))
 
 
 @q("overview_series", O.with_(*_SC)
@@ -570,7 +572,8 @@ def _median_sc():
    ra.confidence_strict IS DISTINCT FROM runb.confidence_strict AS label_changed
    FROM ra FULL OUTER JOIN runb ON ra.sensor = runb.sensor""")
 def _run_compare(spark, sf):
-    return scoring.compare_runs(scoring.ranking(exact_scores(spark, sf)), scoring.ranking(_median_scores(spark, sf)))
+    return scoring.compare_runs(scoring.ranking(cut_lineage(exact_scores(spark, sf))),
+                                scoring.ranking(cut_lineage(_median_scores(spark, sf))))
 
 
 @q("variant_compare", None)
@@ -618,10 +621,15 @@ _SEG_SQL = [
 ]
 
 
+def _orders_segmented(spark, sf):
+    marked = segments.window_l2_marks(orders_filled(spark, sf), penalty=CP_PEN)
+    return segments.segments_from_marks(marked.select("sensor", "bin", "value", "is_cp"))
+
+
 @q("segments", O.with_(*_CPW, *_CP_SQL, *_SEG_SQL)
    + "SELECT sensor, CAST(bin AS VARCHAR) AS bin, ROUND(value, 6) + 0.0 AS value, segment FROM seg")
 def _segments(spark, sf):
-    return segments.segments(orders_filled(spark, sf), _orders_cps(spark, sf))
+    return _orders_segmented(spark, sf)
 
 
 @q("segment_stats", O.with_(*_CPW, *_CP_SQL, *_SEG_SQL)
@@ -629,7 +637,7 @@ def _segments(spark, sf):
    "ROUND(avg(value), 6) + 0.0 AS mean, ROUND(stddev_samp(value), 6) + 0.0 AS std, ROUND(min(value), 6) + 0.0 AS min, "
    "ROUND(max(value), 6) + 0.0 AS max, ROUND(median(value), 6) + 0.0 AS median FROM seg GROUP BY sensor, segment")
 def _segment_stats(spark, sf):
-    return segments.segment_statistics(orders_filled(spark, sf), _orders_cps(spark, sf))
+    return segments.segment_statistics(None, segmented=_orders_segmented(spark, sf))
 
 
 # ---- text ------------------------------------------------------------------------------------------------
