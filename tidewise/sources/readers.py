@@ -136,7 +136,7 @@ def read_log_lines(spark: SparkSession, path: str) -> DataFrame:
     ``wholetext`` keeps a file in one row so line numbers are exact; ``posexplode``
     then spreads the lines back out. Log files are bounded by rotation.
     """
-    files = spark.read.option("wholetext", True).text(path).withColumn("file", F.input_file_name())
+    files = spark.read.text(path, wholetext=True).withColumn("file", F.input_file_name())
     return files.select(
         "file", F.posexplode(F.split(F.col("value"), "\n", -1)).alias("line_no", "line")
     ).withColumn("line_no", F.col("line_no") + 1)
