@@ -16,27 +16,27 @@ from tidewise.functions.columns import SENSOR
 def health_summary(readings: DataFrame, periods=(7, 30, 365)) -> DataFrame:
     """DQ-1/2/3/5/6 in one row: records, range, sensors, missing rate, observations per present
     day (min/max/mean), span in whole days, warning count, healthy flag and summary text."""
-    per_day = readings.groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("c"))
-    day_stats = per_day.agg(
-        F.min("c").cast("double").alias("obs_min"), F.max("c").cast("double").alias("obs_max"),
-        F.avg("c").alias("obs_mean"),
+    # One scan: a (sensor, day) rollup with map-side combine (bounded by sensors x days), then
+    # grouping sets (day) and (sensor) over it in one Expand + aggregate, then one global row.
+    daily = readings.groupBy(SENSOR, F.to_date("ts").alias("day")).agg(
+        F.count(F.lit(1)).alias("c"), F.count("value").alias("nn"),
+        F.min("ts").alias("lo"), F.max("ts").alias("hi"),
     )
-    sensors = readings.groupBy(SENSOR).agg(F.count("value").alias("nn"))
-    sens = sensors.agg(F.count(F.lit(1)).alias("sensor_count"), F.count_if(F.col("nn") == 0).alias("all_missing"))
-    base = readings.agg(
-        F.count(F.lit(1)).alias("total_records"),
-        F.count_if(F.col("value").isNull()).alias("missing"),
-        F.min("ts").alias("start"),
-        F.max("ts").alias("end"),
+    sets = daily.groupingSets([["day"], [SENSOR]], "day", SENSOR).agg(
+        F.sum("c").alias("c"), F.sum("nn").alias("nn"), F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+        F.grouping("day").alias("by_sensor"),
     )
-    # three one-row aggregates side by side: scalar subqueries, no join
-    row = base.select(
-        "*",
-        sens.select("sensor_count").scalar().alias("sensor_count"),
-        sens.select("all_missing").scalar().alias("all_missing"),
-        day_stats.select("obs_min").scalar().alias("obs_min"),
-        day_stats.select("obs_max").scalar().alias("obs_max"),
-        day_stats.select("obs_mean").scalar().alias("obs_mean"),
+    d, sn = F.col("by_sensor") == 0, F.col("by_sensor") == 1
+    row = sets.agg(
+        F.coalesce(F.sum(F.when(d, F.col("c"))), F.lit(0)).alias("total_records"),
+        F.coalesce(F.sum(F.when(d, F.col("c") - F.col("nn"))), F.lit(0)).alias("missing"),
+        F.min(F.when(d, F.col("lo"))).alias("start"),
+        F.max(F.when(d, F.col("hi"))).alias("end"),
+        F.count_if(sn).alias("sensor_count"),
+        F.count_if(sn & (F.col("nn") == 0)).alias("all_missing"),
+        F.min(F.when(d, F.col("c"))).cast("double").alias("obs_min"),
+        F.max(F.when(d, F.col("c"))).cast("double").alias("obs_max"),
+        F.avg(F.when(d, F.col("c"))).alias("obs_mean"),
     )
     rate = F.coalesce(F.try_divide(F.col("missing").cast("double"), F.col("total_records").cast("double")), F.lit(0.0))
     span = F.timestamp_diff("DAY", F.col("start"), F.col("end"))

@@ -57,3 +57,28 @@ def summary_cards(scores: DataFrame) -> DataFrame:
             aggs.append(F.count_if(F.col(f"confidence_{mode}") == lab).cast("long").alias(f"{mode}_{lab.lower()}"))
     aggs += [F.max("composite_score").alias("max_composite"), F.avg("composite_score").alias("mean_composite")]
     return scores.agg(*aggs)
+
+
+def detail_tables(grid: DataFrame, scores: DataFrame, periods=(7, 30, 365), n: int = 5, min_points: int = 100) -> dict:
+    """RP-2: per-sensor detail tables for the top-n sensors by composite (>= min_points points):
+    STL components (period = 2nd requested period if <= n_points // 2, else the 1st), full ACF,
+    joint-model fit, full periodogram and PACF. Sensors are selected with a semi-join on the
+    (n-row) top list, so every table is computed only for them."""
+    from tidewise.operators import acf, harmonic, periodogram, stl
+
+    top = top_sensors(scores, n=n, min_confidence="None").select(SENSOR)
+    g = grid.join(F.broadcast(top), SENSOR, "left_semi")
+    counts = g.groupBy(SENSOR).agg(F.count("value").alias("n_points")).filter(F.col("n_points") >= min_points)
+    g = g.join(counts.select(SENSOR), SENSOR, "left_semi")
+    p1 = int(periods[0])
+    p2 = int(periods[1]) if len(periods) > 1 else p1
+    comps = stl.stl_components(g, p2).unionByName(stl.stl_components(g, p1))
+    chosen = counts.select(SENSOR, F.when(F.lit(p2) <= F.floor(F.col("n_points") / 2), F.lit(p2)).otherwise(F.lit(p1))
+                           .cast("long").alias("period"))
+    return {
+        "components": comps.join(chosen, [SENSOR, "period"], "left_semi"),
+        "acf": acf.acf_full(g),
+        "fit": harmonic.fit_and_predict(g, periods),
+        "periodogram": periodogram.periodogram_full(g).filter(F.col("period") <= 100),
+        "pacf": stl.pacf(g, 50),
+    }

@@ -129,8 +129,10 @@ def resample(
     start = F.col(BIN)
     if shared_range:
         # Scalar subqueries: Catalyst runs each one-row aggregate once and inlines it.
-        glo = agg.select(F.min(BIN)).scalar()
-        ghi = agg.select(F.max(BIN)).scalar()
+        # One scalar subquery (a struct of both bounds, reused for both uses): Catalyst runs the
+        # one-row aggregate once (a pruned, partially aggregated scan) and inlines it.
+        bounds = agg.select(F.struct(F.min(BIN).alias("lo"), F.max(BIN).alias("hi"))).scalar()
+        glo, ghi = bounds.getField("lo"), bounds.getField("hi")
         is_first = F.row_number().over(w) == 1
         start = F.when(is_first, glo).otherwise(F.col(BIN))
         stop = F.when(F.col("_nxt").isNull(), ghi).otherwise(stop)

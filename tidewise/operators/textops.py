@@ -184,3 +184,25 @@ def parse_response(text: Column) -> Column:
         F.struct(F.substring(text, 1, 500).alias("summary"), empty.alias("issues"), empty.alias("recommendations"),
                  F.lit("low").alias("confidence"))
     )
+
+
+def anonymize_bundles(bundles: DataFrame, dictionary: list[tuple[str, str]], mask: bool = True) -> DataFrame:
+    """TXT-5: names replaced and paths masked in every text field of the bundle rows: the log
+    excerpt, warnings, error maps, health-check messages and the config / summary maps."""
+    def clean(c):
+        c = replace_names(c, dictionary)
+        return mask_paths(c) if mask else c
+
+    b = bundles
+    if "log_excerpt" in b.columns:
+        b = b.withColumn("log_excerpt", clean(F.col("log_excerpt")))
+    if "warnings" in b.columns:
+        b = b.withColumn("warnings", F.transform("warnings", clean))
+    if "errors" in b.columns:
+        b = b.withColumn("errors", F.transform("errors", lambda m: F.transform_values(m, lambda k, v: clean(v))))
+    for mcol in ("config", "data_summary", "results_summary"):
+        if mcol in b.columns:
+            b = b.withColumn(mcol, F.transform_values(F.transform_keys(mcol, lambda k, v: clean(k)), lambda k, v: clean(v)))
+    if "health_checks" in b.columns:
+        b = b.withColumn("health_checks", F.transform("health_checks", lambda h: h.withField("message", clean(h["message"]))))
+    return b

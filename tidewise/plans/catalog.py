@@ -806,3 +806,33 @@ def _interp_spline(spark, sf):
 def _ensemble_all(spark, sf):
     det = detect_all(orders_eligible(spark, sf), DetectionConfig(), gate=False)
     return scoring.scores_table(det, DetectionConfig())
+
+
+# ---- accessors and detail tables -------------------------------------------------------------------------
+
+@q("score_lookup", O.with_(*O.detections_ctes(EXACT_METHODS, PERIODS))
+   + "SELECT s.sensor, ROUND(COALESCE(d.score, 0.0), 6) + 0.0 AS score, COALESCE(d.significant, false) AS significant "
+   "FROM (SELECT DISTINCT sensor FROM det) s LEFT JOIN (SELECT * FROM det WHERE method = 'acf' AND period = 30) d ON d.sensor = s.sensor")
+def _score_lookup(spark, sf):
+    from tidewise.operators.ensemble import get_score
+    return get_score(exact_detections(spark, sf), "acf", 30)
+
+
+@q("score_normalize", O.with_(*_DET_BASE, *O.harmonic_ctes(PERIODS))
+   + "SELECT sensor, period, ROUND(CASE WHEN isnan(sin_coef) THEN 0.0 ELSE greatest(0.0, least(1.0, (sin_coef - (-5000.0)) / 10000.0)) END, 6) + 0.0 AS normalized "
+   "FROM det_fourier")
+def _score_normalize(spark, sf):
+    return harmonic.harmonic_fit(orders_eligible(spark, sf), PERIODS).select(
+        "sensor", "period", scoring.normalize_score(F.col("sin_coef"), -5000.0, 5000.0).alias("normalized"))
+
+
+@q("detail_components")
+def _detail_components(spark, sf):
+    from tidewise.operators.report import detail_tables
+    return detail_tables(orders_filled(spark, sf), cut_lineage(exact_scores(spark, sf)), PERIODS, n=2)["components"]
+
+
+@q("detail_fit")
+def _detail_fit(spark, sf):
+    from tidewise.operators.report import detail_tables
+    return detail_tables(orders_filled(spark, sf), cut_lineage(exact_scores(spark, sf)), PERIODS, n=2)["fit"]
