@@ -173,3 +173,14 @@ def test_segments_share_the_boundary_row(spark):
     st = segments.segment_statistics(g, cps).orderBy("segment").collect()
     assert [r["segment"] for r in st] == [1, 2]
     assert [r["n_points"] for r in st] == [51, 50]
+
+
+def test_iforest_flags_the_spike(spark):
+    rng = np.random.default_rng(3)
+    vals = list(rng.normal(10, 1, 200))
+    vals[77] = 60.0
+    g = to_grid(spark, vals)
+    f = outliers.flag_iforest(g, contamination=0.01).orderBy("bin").collect()
+    flagged = [i for i, r in enumerate(f) if r["is_outlier"]]
+    assert 77 in flagged and len(flagged) <= 3
+    assert g.columns == ["sensor", "bin", "value"]

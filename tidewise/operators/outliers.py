@@ -53,8 +53,10 @@ def flag_iforest(grid: DataFrame, contamination: float = 0.05, seed: int = 42, n
     """OU-3: 1-D isolation forest per sensor (grouped map); flags the top ``contamination`` share."""
     from tidewise.kernels.iforest import iforest_group
 
-    schema = grid.schema.add("is_outlier", "boolean")
-    cols = grid.columns
+    from pyspark.sql import types as T
+
+    cols = list(grid.columns)
+    schema = T.StructType(list(grid.schema.fields) + [T.StructField("is_outlier", T.BooleanType())])
 
     def run(pdf):
         return iforest_group(pdf, cols, contamination, seed, n_trees)
