@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -37,13 +38,41 @@ def acf_fft_group(pdf: pd.DataFrame, max_lag: int) -> pd.DataFrame:
     )[cols]
 
 
+@lru_cache(maxsize=32)
+def _chirp_plan(M: int, T: int, K: int, step: int):
+    """Chirps and the transformed kernel for given (M, T, K, step); shared by sensors of equal span."""
+    two_m = 2 * M
+
+    def chirp(j, sign):
+        r = (step * (j.astype(np.int64) ** 2)) % two_m
+        return np.exp(sign * 1j * np.pi * r / M)
+
+    L = 1 << int(np.ceil(np.log2(T + K - 1)))
+    v = chirp(np.arange(-(T - 1), K), 1.0)
+    vv = np.zeros(L, dtype=complex)
+    vv[: len(v)] = v
+    return chirp(np.arange(T), -1.0), np.fft.fft(vv), chirp(np.arange(K), -1.0), L
+
+
+def chirp_dft(ti: np.ndarray, a: np.ndarray, M: int, K: int, step: int = 1) -> np.ndarray:
+    """X_k = sum_j a_j exp(-2 pi i step k t_j / M) for k < K (integer t_j >= 0), by the chirp-z
+    identity k t = (k^2 + t^2 - (k - t)^2) / 2 and power-of-two FFTs (M need not be smooth).
+    Chirp angles are reduced with integer arithmetic, so precision does not decay with k."""
+    T = int(ti.max()) + 1 if len(ti) else 1
+    u = np.zeros(T, dtype=complex)
+    np.add.at(u, ti, a)
+    pre, vf, post, L = _chirp_plan(int(M), T, int(K), int(step))
+    conv = np.fft.ifft(np.fft.fft(u * pre, L) * vf)
+    return post * conv[T - 1 : T - 1 + K]
+
+
 def periodogram_fft(t: np.ndarray, y: np.ndarray, fmin: float, df: float, nf: int) -> np.ndarray:
     """Standard Lomb-Scargle power with a fitted mean at f_k = fmin + k df, k < nf.
 
     ``t`` are whole days, and 1/df = 10 * span is a whole number M, so
-    exp(-2 pi i f_k t) = exp(-2 pi i fmin t) exp(-2 pi i k t / M): every trig sum is an
-    exact length-M FFT. Power = R^2 of y ~ 1 + sin + cos (same closed form as the
-    harmonic detector).
+    exp(-2 pi i f_k t) = exp(-2 pi i fmin t) exp(-2 pi i k t / M): every trig sum is an exact
+    DFT at bins k / M (chirp-z, so M may have large prime factors). Power = R^2 of
+    y ~ 1 + sin + cos (same closed form as the harmonic detector).
     """
     t = np.asarray(t, dtype=float)
     y = np.asarray(y, dtype=float)
@@ -51,17 +80,9 @@ def periodogram_fft(t: np.ndarray, y: np.ndarray, fmin: float, df: float, nf: in
     M = int(round(1.0 / df))
     ti = np.rint(t).astype(np.int64)
     yc = y - y.mean()
-
-    def dft(weights, f0, step):
-        a = np.zeros(M, dtype=complex)
-        np.add.at(a, ti % M, weights * np.exp(-2j * np.pi * f0 * t))
-        F = np.fft.fft(a)
-        idx = (np.arange(nf) * step) % M
-        return F[idx]
-
-    e1 = dft(np.ones(n), fmin, 1)             # sum exp(-i theta)
-    ey = dft(yc, fmin, 1)                     # sum y exp(-i theta)
-    e2 = dft(np.ones(n), 2 * fmin, 2)         # sum exp(-2 i theta)
+    e1 = chirp_dft(ti, np.exp(-2j * np.pi * fmin * t), M, nf, 1)          # sum exp(-i theta)
+    ey = chirp_dft(ti, yc * np.exp(-2j * np.pi * fmin * t), M, nf, 1)     # sum y exp(-i theta)
+    e2 = chirp_dft(ti, np.exp(-2j * np.pi * 2 * fmin * t), M, nf, 2)      # sum exp(-2 i theta)
     S_c, S_s = e1.real, -e1.imag
     S_yc, S_ys = ey.real, -ey.imag
     C2, S2 = e2.real, -e2.imag
@@ -73,8 +94,8 @@ def periodogram_fft(t: np.ndarray, y: np.ndarray, fmin: float, df: float, nf: in
     vcy = S_yc / n
     vyy = float(np.mean(yc * yc))
     d = vss * vcc - vsc * vsc
-    with np.errstate(divide="ignore", invalid="ignore"):
-        r2 = (vsy * vsy * vcc - 2 * vsy * vcy * vsc + vcy * vcy * vss) / (d * vyy)
     if vyy <= 0:
         return np.zeros(nf)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        r2 = (vsy * vsy * vcc - 2 * vsy * vcy * vsc + vcy * vcy * vss) / (d * vyy)
     return np.where(d > 1e-12, r2, 0.0)

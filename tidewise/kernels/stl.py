@@ -62,6 +62,16 @@ def _loess(Y: np.ndarray, RW: np.ndarray | None, span: int, xs: np.ndarray, nlef
     return ys, ok
 
 
+def _corr_valid(x: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """``np.correlate(x, k, 'valid')``; by FFT for long kernels (O(n log n) instead of O(n L))."""
+    n, L = len(x), len(k)
+    if L <= 64:
+        return np.correlate(x, k, "valid")
+    m = 1 << int(np.ceil(np.log2(n + L - 1)))
+    conv = np.fft.irfft(np.fft.rfft(x, m) * np.fft.rfft(k[::-1], m), m)
+    return conv[L - 1:n]
+
+
 def _interior(y: np.ndarray, rw: np.ndarray | None, span: int) -> tuple[np.ndarray, np.ndarray]:
     """Symmetric-window points: every window has the same tricube kernel, so the five
     weighted sums of the local linear fit are correlations with fixed kernels."""
@@ -72,12 +82,12 @@ def _interior(y: np.ndarray, rw: np.ndarray | None, span: int) -> tuple[np.ndarr
     w0 = np.where(r <= 0.999 * h, np.where(r <= 0.001 * h, 1.0, (1.0 - (r / h) ** 3) ** 3), 0.0)
     v = np.ones(n) if rw is None else rw
     vy = v * y
-    s0 = np.correlate(v, w0, "valid")
-    s1 = np.correlate(v, w0 * d, "valid")
-    s2 = np.correlate(v, w0 * d * d, "valid")
-    t0 = np.correlate(vy, w0, "valid")
-    t1 = np.correlate(vy, w0 * d, "valid")
-    ok = s0 > 0
+    s0 = _corr_valid(v, w0)
+    s1 = _corr_valid(v, w0 * d)
+    s2 = _corr_valid(v, w0 * d * d)
+    t0 = _corr_valid(vy, w0)
+    t1 = _corr_valid(vy, w0 * d)
+    ok = s0 > 1e-12 * max(1.0, float(np.max(np.abs(s0)))) if len(s0) else s0 > 0
     with np.errstate(divide="ignore", invalid="ignore"):
         s0s = np.where(ok, s0, 1.0)
         md = s1 / s0s

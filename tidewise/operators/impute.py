@@ -22,22 +22,21 @@ def _w() -> Window:
 def _neighbours(df: DataFrame, x: Column) -> DataFrame:
     """Previous/next non-null value and their abscissae (positions or times).
 
-    "Next" uses a descending running frame: Spark evaluates ``UNBOUNDED FOLLOWING`` frames
-    by recomputation (quadratic per partition), a running frame is linear.
+    One ``last(struct(value, x, i), ignorenulls)`` per direction (Spark's window operator is
+    interpreted, so fewer window functions is faster). "Next" uses a descending running frame:
+    ``UNBOUNDED FOLLOWING`` frames are re-evaluated per row (quadratic), a running frame is linear.
     """
     back = _w().rowsBetween(_UNB, 0)
     fwd = Window.partitionBy(SENSOR).orderBy(F.col(BIN).desc()).rowsBetween(_UNB, 0)
     v = F.col("value")
-    return (
-        df.withColumn("_x", x)
-        .withColumn("_i", F.row_number().over(_w()))
-        .withColumn("_pv", F.last(v, ignorenulls=True).over(back))
-        .withColumn("_px", F.last(F.when(v.isNotNull(), F.col("_x")), ignorenulls=True).over(back))
-        .withColumn("_pi", F.last(F.when(v.isNotNull(), F.col("_i")), ignorenulls=True).over(back))
-        .withColumn("_nv", F.last(v, ignorenulls=True).over(fwd))
-        .withColumn("_nx", F.last(F.when(v.isNotNull(), F.col("_x")), ignorenulls=True).over(fwd))
-        .withColumn("_ni", F.last(F.when(v.isNotNull(), F.col("_i")), ignorenulls=True).over(fwd))
-    )
+    d = df.withColumn("_x", x).withColumn("_i", F.row_number().over(_w()))
+    rec = F.when(v.isNotNull(), F.struct(v.alias("v"), F.col("_x").alias("x"), F.col("_i").alias("i")))
+    d = d.withColumn("_p", F.last(rec, ignorenulls=True).over(back)).withColumn("_n", F.last(rec, ignorenulls=True).over(fwd))
+    return d.select(
+        "*",
+        F.col("_p.v").alias("_pv"), F.col("_p.x").alias("_px"), F.col("_p.i").alias("_pi"),
+        F.col("_n.v").alias("_nv"), F.col("_n.x").alias("_nx"), F.col("_n.i").alias("_ni"),
+    ).drop("_p", "_n")
 
 
 def _interp_value(direction: str, limit: int | None) -> Column:

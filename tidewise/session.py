@@ -40,7 +40,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss, unlike localCheckpoint)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Materialise ``df`` as Parquet in the shared checkpoint folder and read it back.
+
+    One computation (``DataFrame.checkpoint`` evaluates the plan once for its count and again
+    for the RDD checkpoint write), columnar on disk, and the re-read plan has no lineage, so a
+    lost executor only costs re-reading files. Never ``localCheckpoint``.
+    """
+    import uuid
+
+    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{base}/tidewise/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
