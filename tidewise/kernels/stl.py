@@ -72,22 +72,27 @@ def _corr_valid(x: np.ndarray, k: np.ndarray) -> np.ndarray:
     return conv[L - 1:n]
 
 
-def _interior(y: np.ndarray, rw: np.ndarray | None, span: int) -> tuple[np.ndarray, np.ndarray]:
-    """Symmetric-window points: every window has the same tricube kernel, so the five
-    weighted sums of the local linear fit are correlations with fixed kernels."""
-    n = len(y)
+def _interior(Y: np.ndarray, RW: np.ndarray | None, span: int) -> tuple[np.ndarray, np.ndarray]:
+    """Symmetric-window points of every row: all windows share one tricube kernel, so the five
+    weighted sums of the local linear fit are correlations with fixed kernels (batched)."""
+    B, n = Y.shape
     h = (span - 1) / 2.0
     d = np.arange(span) - h
     r = np.abs(d)
     w0 = np.where(r <= 0.999 * h, np.where(r <= 0.001 * h, 1.0, (1.0 - (r / h) ** 3) ** 3), 0.0)
-    v = np.ones(n) if rw is None else rw
-    vy = v * y
-    s0 = _corr_valid(v, w0)
-    s1 = _corr_valid(v, w0 * d)
-    s2 = _corr_valid(v, w0 * d * d)
-    t0 = _corr_valid(vy, w0)
-    t1 = _corr_valid(vy, w0 * d)
-    ok = s0 > 1e-12 * max(1.0, float(np.max(np.abs(s0)))) if len(s0) else s0 > 0
+    V = np.ones_like(Y) if RW is None else RW
+    VY = V * Y
+    if B == 1:
+        v, vy = V[0], VY[0]
+        s0, s1, s2 = (_corr_valid(v, w0)[None], _corr_valid(v, w0 * d)[None], _corr_valid(v, w0 * d * d)[None])
+        t0, t1 = _corr_valid(vy, w0)[None], _corr_valid(vy, w0 * d)[None]
+    else:
+        sv = np.lib.stride_tricks.sliding_window_view(V, span, axis=1)     # B x (n-L+1) x L
+        svy = np.lib.stride_tricks.sliding_window_view(VY, span, axis=1)
+        s0, s1, s2 = sv @ w0, sv @ (w0 * d), sv @ (w0 * d * d)
+        t0, t1 = svy @ w0, svy @ (w0 * d)
+    scale = np.maximum(np.abs(s0).max(axis=1, keepdims=True), 1.0) if s0.size else 1.0
+    ok = s0 > 1e-12 * scale
     with np.errstate(divide="ignore", invalid="ignore"):
         s0s = np.where(ok, s0, 1.0)
         md = s1 / s0s
@@ -116,76 +121,73 @@ def _common_window_weights(n: int, span: int, start: int, stop: int, first: int,
     return xr, pos, w, h
 
 
-def _fit_common(y: np.ndarray, v: np.ndarray, n: int, span: int, start: int, stop: int, first: int, length: int):
+def _fit_common(Y: np.ndarray, V: np.ndarray, n: int, span: int, start: int, stop: int, first: int, length: int):
+    """Local linear fits of every row at points start..stop-1 that share one window: five
+    matrix products with the cached weights. Returns (B x Q values, B x Q ok)."""
     xr, pos, w, h = _common_window_weights(n, span, start, stop, first, length)
-    yy = y[first - 1:first - 1 + length]
-    vv = v[first - 1:first - 1 + length]
-    s0 = w @ vv
-    s1 = w @ (vv * pos)
-    s2 = w @ (vv * pos * pos)
-    t0 = w @ (vv * yy)
-    t1 = w @ (vv * pos * yy)
+    yy = Y[:, first - 1:first - 1 + length]
+    vv = V[:, first - 1:first - 1 + length]
+    s0 = vv @ w.T
+    s1 = (vv * pos) @ w.T
+    s2 = (vv * pos * pos) @ w.T
+    t0 = (vv * yy) @ w.T
+    t1 = (vv * pos * yy) @ w.T
     ok = s0 > 0
     with np.errstate(divide="ignore", invalid="ignore"):
         s0s = np.where(ok, s0, 1.0)
         m = s1 / s0s
         c = s2 / s0s - m * m
-        adj = (h > 0) & (np.sqrt(np.maximum(c, 0.0)) > 0.001 * (n - 1))
-        b = np.where(adj, (xr - m) / np.where(adj, c, 1.0), 0.0)
+        adj = (h[None, :] > 0) & (np.sqrt(np.maximum(c, 0.0)) > 0.001 * (n - 1))
+        b = np.where(adj, (xr[None, :] - m) / np.where(adj, c, 1.0), 0.0)
         ys = t0 / s0s + b * (t1 / s0s - m * t0 / s0s)
     return ys, ok
 
 
 def _smooth(Y: np.ndarray, RW: np.ndarray | None, span: int) -> np.ndarray:
-    """LOESS at every point 1..n (the stless window rule), fallback to the data where no weight."""
+    """LOESS at every point 1..n of every row (the stless window rule); where no weight, the data."""
     B, n = Y.shape
-    xs = np.arange(1, n + 1)
-    if B > 1 or (span < n and span % 2 == 0):
-        if span >= n:
-            nleft = np.ones(n, dtype=int)
-        else:
-            nleft = np.clip(xs - (span + 1) // 2 + 1, 1, n - span + 1)
+    V = np.ones_like(Y) if RW is None else RW
+    if span >= n:
+        ys, ok = _fit_common(Y, V, n, span, 1, n + 1, 1, n)
+        return np.where(ok, ys, Y)
+    if span % 2 == 0:
+        xs = np.arange(1, n + 1)
+        nleft = np.clip(xs - (span + 1) // 2 + 1, 1, n - span + 1)
         ys, ok = _loess(Y, RW, span, xs, nleft)
         return np.where(ok, ys, Y)
-    y = Y[0]
-    v = np.ones(n) if RW is None else RW[0]
-    if span >= n:
-        ys, ok = _fit_common(y, v, n, span, 1, n + 1, 1, n)
-        return np.where(ok, ys, y)[None, :]
     nsh = (span + 1) // 2
-    out = np.empty(n)
-    okv = np.empty(n, dtype=bool)
+    out = np.empty_like(Y)
+    okv = np.empty(Y.shape, dtype=bool)
     lo, hi = nsh - 1, n - nsh + 1          # 0-based interior slice [lo, hi)
-    out[lo:hi], okv[lo:hi] = _interior(y, v, span)
+    out[:, lo:hi], okv[:, lo:hi] = _interior(Y, RW, span)
     if lo > 0:
-        out[:lo], okv[:lo] = _fit_common(y, v, n, span, 1, nsh, 1, span)
+        out[:, :lo], okv[:, :lo] = _fit_common(Y, V, n, span, 1, nsh, 1, span)
     if hi < n:
-        out[hi:], okv[hi:] = _fit_common(y, v, n, span, hi + 1, n + 1, n - span + 1, span)
-    return np.where(okv, out, y)[None, :]
+        out[:, hi:], okv[:, hi:] = _fit_common(Y, V, n, span, hi + 1, n + 1, n - span + 1, span)
+    return np.where(okv, out, Y)
 
 
 def _cycle_subseries(D: np.ndarray, rw: np.ndarray | None, period: int, ns: int) -> np.ndarray:
-    """Smooth each cycle-subseries and extend it one point on each side -> length n + 2p."""
+    """Smooth each cycle-subseries and extend it one point on each side -> length n + 2p.
+    Subseries of equal length are stacked and smoothed together."""
     n = len(D)
     C = np.empty(n + 2 * period)
-    lengths = {}
+    lengths: dict[int, list[int]] = {}
     for j in range(period):
         k = (n - j - 1) // period + 1
         lengths.setdefault(k, []).append(j)
     for k, js in lengths.items():
         idx = np.array(js)[:, None] + period * np.arange(k)[None, :]   # B x k, 0-based
         Y = D[idx]
-        RW = rw[idx] if rw is not None else None
-        inner = _smooth(Y, RW, ns)
+        V = rw[idx] if rw is not None else np.ones_like(Y)
+        inner = _smooth(Y, V if rw is not None else None, ns)
         L = min(ns, k)
-        left_ys, left_ok = _loess(Y, RW, ns, np.array([0]), np.array([1]))
-        right_ys, right_ok = _loess(Y, RW, ns, np.array([k + 1]), np.array([max(1, k - ns + 1) if ns < k else 1]))
+        left_ys, left_ok = _fit_common(Y, V, k, ns, 0, 1, 1, L)
+        right_ys, right_ok = _fit_common(Y, V, k, ns, k + 1, k + 2, k - L + 1, L)
         left = np.where(left_ok[:, 0], left_ys[:, 0], inner[:, 0])
         right = np.where(right_ok[:, 0], right_ys[:, 0], inner[:, -1])
         ext = np.concatenate([left[:, None], inner, right[:, None]], axis=1)   # B x (k+2)
-        for b, j in enumerate(js):
-            C[j + period * np.arange(k + 2)] = ext[b]
-        del L
+        C[np.array(js)[:, None] + period * np.arange(k + 2)[None, :]] = ext
     return C
 
 
