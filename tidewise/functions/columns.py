@@ -83,10 +83,17 @@ def distributed_row_number(df: DataFrame, order_cols: list[Column], name: str =
 
 
 def by_sensor(df: DataFrame) -> DataFrame:
-    """Hash-partition on sensor with an explicit partition count before a grouped-map kernel.
+    """Hash-partition on sensor with an explicit partition count ahead of a grouped-map kernel.
 
-    Kernel stages are compute-heavy but byte-light; AQE would coalesce them into one task.
-    A user-specified ``repartition(n, sensor)`` keeps one sensor per group spread over n tasks
-    and already satisfies the grouping's distribution (no second shuffle)."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    Kernel stages are compute-heavy but byte-light, and AQE would coalesce them into a few
+    tasks. A user ``repartition(n, sensor)`` (REPARTITION_BY_NUM) is never coalesced. Apply it
+    *before* the per-sensor windows: they and the grouping then reuse this one exchange. ``n``
+    (``spark.tidewise.kernelPartitions``, default 3 x default parallelism) differs from the
+    shuffle partition count, so the planner cannot mistake it for an existing exchange and drop it.
+    """
+    spark = df.sparkSession
+    n = spark.conf.get("spark.tidewise.kernelPartitions", None)
+    n = int(n) if n else 3 * spark.sparkContext.defaultParallelism
+    if n == int(spark.conf.get("spark.sql.shuffle.partitions", "200")):
+        n += 1
     return df.repartition(n, SENSOR)

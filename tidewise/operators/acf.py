@@ -93,6 +93,6 @@ def acf_full(grid: DataFrame, max_lag: int = 400) -> DataFrame:
     """
     from tidewise.kernels.spectral import acf_fft_group
 
-    c = clean(grid).select(SENSOR, "pos", "value")
+    c = clean(by_sensor(grid)).select(SENSOR, "pos", "value")
     schema = "sensor string, lag long, acf double, conf_int_upper double, conf_int_lower double"
-    return by_sensor(c).groupBy(SENSOR).applyInPandas(lambda pdf: acf_fft_group(pdf, max_lag), schema=schema)
+    return c.groupBy(SENSOR).applyInPandas(lambda pdf: acf_fft_group(pdf, max_lag), schema=schema)

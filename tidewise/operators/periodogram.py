@@ -143,8 +143,8 @@ def band_peaks(grid: DataFrame, periods=(7, 30, 365), cfg: DetectionConfig = Det
             rows = [(name, p, n, span, var_t, None, None) for p in ps]
         return pd.DataFrame(rows, columns=cols)
 
-    c = clean(grid).select(SENSOR, "t", "value")
-    return by_sensor(c).groupBy(SENSOR).applyInPandas(run, schema=schema)
+    c = clean(by_sensor(grid)).select(SENSOR, "t", "value")
+    return c.groupBy(SENSOR).applyInPandas(run, schema=schema)
 
 
 def periodogram_detect(grid: DataFrame, periods=(7, 30, 365), cfg: DetectionConfig = DetectionConfig()) -> DataFrame:
@@ -184,7 +184,7 @@ def periodogram_full(grid: DataFrame, cfg: DetectionConfig = DetectionConfig())
     fmin = 1.0 / cfg.periodogram_max_period
     fmax = 1.0 / cfg.periodogram_min_period
     spp = cfg.periodogram_samples_per_peak
-    c = clean(grid).select(SENSOR, "t", "value")
+    c = clean(by_sensor(grid)).select(SENSOR, "t", "value")
     schema = "sensor string, k long, frequency double, power double, period double"
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -199,4 +199,4 @@ def periodogram_full(grid: DataFrame, cfg: DetectionConfig = DetectionConfig())
         f = fmin + k * df
         return pd.DataFrame({"sensor": pdf["sensor"].iloc[0], "k": k, "frequency": f, "power": p, "period": 1.0 / f})
 
-    return by_sensor(c).groupBy(SENSOR).applyInPandas(run, schema=schema)
+    return c.groupBy(SENSOR).applyInPandas(run, schema=schema)

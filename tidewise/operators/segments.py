@@ -73,7 +73,7 @@ def changepoints_pelt(grid: DataFrame, model: str = "rbf", min_size: int = 30, p
     """CP-1 -> (sensor, cp_bin, error); failures (e.g. rbf on n > 5000) become error rows."""
     from tidewise.kernels.pelt import pelt
 
-    c = clean(grid).select(SENSOR, BIN, "pos", "value")
+    c = clean(by_sensor(grid)).select(SENSOR, BIN, "pos", "value")
     bt = dict(grid.dtypes)[BIN]
     schema = f"sensor string, cp_bin {bt}, error string"
 
@@ -91,7 +91,7 @@ def changepoints_pelt(grid: DataFrame, model: str = "rbf", min_size: int = 30, p
         bins = pdf[BIN].to_numpy()[idx]
         return pd.DataFrame({"sensor": name, "cp_bin": bins, "error": None})
 
-    return by_sensor(c).groupBy(SENSOR).applyInPandas(run, schema=schema)
+    return c.groupBy(SENSOR).applyInPandas(run, schema=schema)
 
 
 def detect_changepoints(grid: DataFrame, method: str = "pelt", model: str = "rbf", min_size: int = 30,

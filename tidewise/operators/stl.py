@@ -50,9 +50,9 @@ def _stl_group(pdf: pd.DataFrame, periods, seasonal: int, robust: bool, threshol
 
 def stl_strength(grid: DataFrame, periods=(7, 30, 365), cfg: DetectionConfig = DetectionConfig()) -> DataFrame:
     """Per (sensor, period): F = var(seasonal)/var(resid), score = F/(F+1), trend strength."""
-    c = clean(grid).select(SENSOR, "pos", "value")
+    c = clean(by_sensor(grid)).select(SENSOR, "pos", "value")
     ps, ns, rb, th = tuple(periods), cfg.stl_seasonal, cfg.stl_robust, cfg.stl_strength_threshold
-    return by_sensor(c).groupBy(SENSOR).applyInPandas(lambda pdf: _stl_group(pdf, ps, ns, rb, th), schema=STL_SCHEMA)
+    return c.groupBy(SENSOR).applyInPandas(lambda pdf: _stl_group(pdf, ps, ns, rb, th), schema=STL_SCHEMA)
 
 
 @register("stl")
@@ -67,7 +67,7 @@ def stl_components(grid: DataFrame, period: int = 7, cfg: DetectionConfig = Dete
     """DT-3: one row per non-null point with trend, seasonal, residual (none when n < 2 period)."""
     from tidewise.kernels.stl import stl
 
-    c = clean(grid).select(SENSOR, BIN, "pos", "value")
+    c = clean(by_sensor(grid)).select(SENSOR, BIN, "pos", "value")
     bin_type = dict(grid.dtypes)[BIN]
     schema = COMP_SCHEMA.replace("bin date", f"bin {bin_type}")
     ns, rb = cfg.stl_seasonal, cfg.stl_robust
@@ -82,7 +82,7 @@ def stl_components(grid: DataFrame, period: int = 7, cfg: DetectionConfig = Dete
         return pd.DataFrame({"sensor": pdf["sensor"].to_numpy(), "period": period, "bin": pdf[BIN].to_numpy(),
                              "observed": y, "trend": r["trend"], "seasonal": r["seasonal"], "residual": r["resid"]})[cols]
 
-    return by_sensor(c).groupBy(SENSOR).applyInPandas(run, schema=schema)
+    return c.groupBy(SENSOR).applyInPandas(run, schema=schema)
 
 
 def pacf(grid: DataFrame, nlags: int = 50) -> DataFrame:

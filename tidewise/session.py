@@ -8,10 +8,20 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Kernels run one per task slot: numpy's BLAS must not start its own thread pool in every
+# Python worker (8 workers x 8 BLAS threads oversubscribes the cores several times over).
+KERNEL_THREADS_ENV = {"OMP_NUM_THREADS": "1", "OPENBLAS_NUM_THREADS": "1", "MKL_NUM_THREADS": "1"}
+
+
 def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str = "tidewise") -> SparkSession:
     master = master or f"local[{os.environ.get('BENCH_CPUS', '8')}]"
+    for k, v in KERNEL_THREADS_ENV.items():
+        os.environ.setdefault(k, v)
+    builder = SparkSession.builder
+    for k, v in KERNEL_THREADS_ENV.items():
+        builder = builder.config(f"spark.executorEnv.{k}", v)
     spark = (
-        SparkSession.builder.master(master)
+        builder.master(master)
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
