@@ -46,6 +46,15 @@ def main():
         g = resample.resample_and_interpolate(readings(spark, sf_dir, "events"), "H", "mean", "linear")
         return detect_all(g, cfg)
 
+    def synthetic(n_sensors, n_days, methods):
+        from tidewise.sources.synthetic import multi_sensor
+        from tidewise.session import cut_lineage
+
+        def run():
+            r = cut_lineage(multi_sensor(spark, n_days=n_days, n_sensors=n_sensors, partitions=int(cpus) * 4), "synthetic")
+            return analyze(r, RunConfig(), methods=methods, materialize=True)["ranking"]
+        return run
+
     headline = {
         "resample_lineitem": lambda: C.Q["resample_median"](spark, sf_dir),
         "interp_orders": lambda: C.Q["interp_linear"](spark, sf_dir),
@@ -63,6 +72,9 @@ def main():
         "mask_paths_pages": lambda: C.Q["mask_paths"](spark, sf_dir),
         "log_tail_documents": lambda: C.Q["log_tail"](spark, sf_dir),
         "json_extract": lambda: C.Q["json_extract"](spark, sf_dir),
+        # scale runs (generated by Spark, 1,500 days per sensor): throughput per sensor
+        "synthetic_2000x1500_exact_methods": synthetic(2000, 1500, ["acf", "periodogram", "fourier"]),
+        "synthetic_200x1500_all_methods": synthetic(200, 1500, ["stl", "acf", "periodogram", "fourier"]),
     }
     only = [a for a in sys.argv[1:]]
     # warm-up: JVM, codegen and Python workers

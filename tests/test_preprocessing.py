@@ -184,3 +184,11 @@ def test_iforest_flags_the_spike(spark):
     flagged = [i for i, r in enumerate(f) if r["is_outlier"]]
     assert 77 in flagged and len(flagged) <= 3
     assert g.columns == ["sensor", "bin", "value"]
+
+
+def test_window_method_other_costs(spark):
+    rng = np.random.default_rng(11)
+    vals = list(np.r_[rng.normal(10, 1, 100), rng.normal(20, 1, 100)])
+    cps = segments.detect_changepoints(to_grid(spark, vals), method="window", model="rbf", penalty=1.0).collect()
+    assert len(cps) >= 1
+    assert any(abs((r["cp_bin"] - __import__("datetime").date(2024, 1, 1)).days - 99) <= 5 for r in cps)

@@ -167,3 +167,12 @@ def test_stream_grid_matches_batch(spark):
     a = {(r["sensor"], str(r["bin"])): round(r["value"], 9) for r in g.collect()}
     b = {(r["sensor"], str(r["bin"])): round(r["value"], 9) for r in batch.collect()}
     assert a == b
+
+
+def test_lenient_csv_quarantines_bad_timestamps(spark):
+    d = tmpdir()
+    p = os.path.join(d, "x.csv")
+    with open(p, "w") as f:
+        f.write("date,time,sensor_1\n2024-01-01,00:00:00,1\nnot-a-date,00:00:00,2\n2024-01-02,00:00:00,3\n")
+    good, bad, sensors = readers.read_wide_csv_lenient(spark, p)
+    assert good.count() == 2 and [r["_date_raw"] for r in bad.collect()] == ["not-a-date"]

@@ -68,3 +68,29 @@ def pelt(x: np.ndarray, model: str = "rbf", min_size: int = 30, pen: float = 10.
         admissible = [s for (t, s) in cands if t <= tot + pen] + [a for a in admissible if a not in best]
         admissible = sorted(set(admissible))
     return best.get(n, (0.0, [n]))[1]
+
+
+def window_scores(x: np.ndarray, model: str = "rbf", width: int = 50, jump: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """Split gain cost(t-w/2, t+w/2) - cost(t-w/2, t) - cost(t, t+w/2) at candidates t (multiples of
+    ``jump``, full windows only)."""
+    n = len(x)
+    half = width // 2
+    cost = Cost(x, model)
+    inds = np.array([t for t in range(0, n, jump) if half <= t < n - half], dtype=int)
+    gains = np.array([cost.error(t - half, t + half) - cost.error(t - half, t) - cost.error(t, t + half) for t in inds])
+    return inds, gains
+
+
+def window_changepoints(x: np.ndarray, model: str = "rbf", width: int = 50, min_size: int = 30, pen: float = 10.0,
+                        jump: int = 5) -> list[int]:
+    """Breakpoints (end-exclusive indices) whose gain exceeds ``pen`` and every other candidate
+    gain within +/- order candidates, order = max(width, 2 min_size) // (2 jump)."""
+    inds, gains = window_scores(x, model, width, jump)
+    order = max(max(width, 2 * min_size) // (2 * jump), 1)
+    out = []
+    for j, (t, g) in enumerate(zip(inds, gains)):
+        lo, hi = max(0, j - order), min(len(gains), j + order + 1)
+        others = np.r_[gains[lo:j], gains[j + 1:hi]]
+        if g > pen and (len(others) == 0 or g > others.max()):
+            out.append(int(t))
+    return out + [len(x)]

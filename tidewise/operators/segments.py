@@ -69,9 +69,10 @@ def segments_from_marks(marked: DataFrame) -> DataFrame:
 
 
 def changepoints_pelt(grid: DataFrame, model: str = "rbf", min_size: int = 30, penalty: float = 10.0,
-                      jump: int = 5) -> DataFrame:
-    """CP-1 -> (sensor, cp_bin, error); failures (e.g. rbf on n > 5000) become error rows."""
-    from tidewise.kernels.pelt import pelt
+                      jump: int = 5, method: str = "pelt", width: int = 50) -> DataFrame:
+    """CP-1 (and CP-2 for the non-l2 costs, ``method='window'``) per sensor in a grouped map ->
+    (sensor, cp_bin, error); failures (e.g. rbf on n > 5000) become error rows."""
+    from tidewise.kernels.pelt import pelt, window_changepoints
 
     c = clean(by_sensor(grid)).select(SENSOR, BIN, "pos", "value")
     bt = dict(grid.dtypes)[BIN]
@@ -84,7 +85,10 @@ def changepoints_pelt(grid: DataFrame, model: str = "rbf", min_size: int = 30, p
         if len(x) < 2 * min_size:
             return pd.DataFrame(columns=["sensor", "cp_bin", "error"])
         try:
-            bk = pelt(x, model, min_size, penalty, jump)
+            if method == "window":
+                bk = window_changepoints(x, model, width, min_size, penalty, jump)
+            else:
+                bk = pelt(x, model, min_size, penalty, jump)
         except Exception as e:  # noqa: BLE001
             return pd.DataFrame({"sensor": [name], "cp_bin": [None], "error": [str(e)[:200]]})
         idx = [i - 1 for i in bk[:-1] if i < len(x)]
@@ -100,9 +104,10 @@ def detect_changepoints(grid: DataFrame, method: str = "pelt", model: str = "rbf
     if method == "pelt":
         return changepoints_pelt(grid, model, min_size, penalty).filter(F.col("error").isNull()).select(SENSOR, "cp_bin")
     if method == "window":
-        if model != "l2":
-            raise ValueError("the native window method implements the l2 cost; use pelt for other costs")
-        return changepoints_window_l2(grid, width, min_size, penalty).select(SENSOR, "cp_bin")
+        if model == "l2":
+            return changepoints_window_l2(grid, width, min_size, penalty).select(SENSOR, "cp_bin")
+        return changepoints_pelt(grid, model, min_size, penalty, method="window", width=width) \
+            .filter(F.col("error").isNull()).select(SENSOR, "cp_bin")
     raise ValueError(f"Unknown changepoint method: {method}")
 
 

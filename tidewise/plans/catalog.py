@@ -836,3 +836,9 @@ def _detail_components(spark, sf):
 def _detail_fit(spark, sf):
     from tidewise.operators.report import detail_tables
     return detail_tables(orders_filled(spark, sf), cut_lineage(exact_scores(spark, sf)), PERIODS, n=2)["fit"]
+
+
+@q("cp_window_rbf")
+def _cp_window_rbf(spark, sf):
+    return segments.changepoints_pelt(resample.resample(orders(spark, sf), "W", "mean"), model="rbf", min_size=30,
+                                      penalty=1.0, method="window")

@@ -26,7 +26,16 @@ def detect_sensor_columns(columns: list[str], prefix: str = "sensor_") -> list[s
     return cols
 
 
-def read_wide_csv(spark: SparkSession, path: str, cfg: DataConfig = DataConfig()) -> tuple[DataFrame, list[str]]:
+def read_wide_csv_lenient(spark: SparkSession, path: str, cfg: DataConfig = DataConfig()) -> tuple[DataFrame, DataFrame, list[str]]:
+    """SRC-2 lenient mode: unparseable timestamps do not fail the job; those rows go to a
+    quarantine frame (with the raw date/time text) and the rest load as in :func:`read_wide_csv`."""
+    wide, sensors = read_wide_csv(spark, path, cfg, lenient=True)
+    bad = wide.filter(F.col("ts").isNull() & F.col("_date_raw").isNotNull())
+    good = wide.filter(~(F.col("ts").isNull() & F.col("_date_raw").isNotNull())).drop("_date_raw", "_time_raw")
+    return good, bad, sensors
+
+
+def read_wide_csv(spark: SparkSession, path: str, cfg: DataConfig = DataConfig(), lenient: bool = False) -> tuple[DataFrame, list[str]]:
     """SRC-1/2/3/5: CSV with header -> wide frame ``ts, sensor_*`` (date/time columns dropped).
 
     The schema is built from the header: STRING for date/time, DOUBLE for sensors,
@@ -52,11 +61,13 @@ def read_wide_csv(spark: SparkSession, path: str, cfg: DataConfig = DataConfig()
     )
     raw = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
     has_time = cfg.time_column is not None and cfg.time_column in cols
-    if has_time:
-        ts = F.to_timestamp_ntz(F.concat(F.col(cfg.date_column), F.lit(" "), F.col(cfg.time_column)))
-    else:
-        ts = F.to_timestamp_ntz(F.col(cfg.date_column))
-    wide = raw.select(ts.alias("ts"), *[nan_to_null(F.col(f"`{c}`")).alias(c) for c in sensors])
+    text = F.concat(F.col(cfg.date_column), F.lit(" "), F.col(cfg.time_column)) if has_time else F.col(cfg.date_column)
+    ts = F.try_to_timestamp(text).cast("timestamp_ntz") if lenient else F.to_timestamp_ntz(text)
+    extra = []
+    if lenient:
+        extra = [F.col(cfg.date_column).alias("_date_raw"),
+                 (F.col(cfg.time_column) if has_time else F.lit(None).cast("string")).alias("_time_raw")]
+    wide = raw.select(ts.alias("ts"), *[nan_to_null(F.col(f"`{c}`")).alias(c) for c in sensors], *extra)
     return wide, sensors
 
 
