@@ -97,3 +97,16 @@ def by_sensor(df: DataFrame) -> DataFrame:
     if n == int(spark.conf.get("spark.sql.shuffle.partitions", "200")):
         n += 1
     return df.repartition(n, SENSOR)
+
+
+def exact_median(df: DataFrame, col: str) -> DataFrame:
+    """One-row exact (interpolated) median of ``col`` over all rows, without one group holding
+    every value: a distributed rank (range-partitioned sort + offsets) selects the middle one or
+    two rows, whose mean is the median. NULLs are ignored; no rows -> NULL."""
+    v = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull())
+    ranked = distributed_row_number(v, [F.col("v").asc()], "r")
+    n = v.select(F.count(F.lit(1))).scalar()
+    lo = F.floor((n + 1) / 2)
+    hi = F.floor(n / 2) + 1
+    mid = ranked.filter((F.col("r") == lo) | (F.col("r") == hi))
+    return mid.agg(F.avg("v").alias("median"))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewise.config import DetectionConfig, ScoringConfig, Thresholds
-from tidewise.functions.columns import SENSOR, distributed_row_number
+from tidewise.functions.columns import SENSOR, distributed_row_number, exact_median
 from tidewise.operators.ensemble import best_period_columns, combined_columns, wide_scores
 
 LEVELS = {"High": 3, "Medium": 2, "Low": 1, "None": 0}
@@ -143,13 +143,13 @@ def summary_statistics(scores: DataFrame, methods=("stl", "acf", "fourier", "per
         F.stddev_samp("composite_score").alias("composite_std"),
         F.min("composite_score").alias("composite_min"),
         F.max("composite_score").alias("composite_max"),
-        F.median("composite_score").alias("composite_median"),
     ]
     for m in methods:
         if f"{m}_max" in scores.columns:
             aggs += [F.avg(f"{m}_max").alias(f"{m}_mean"), F.stddev_samp(f"{m}_max").alias(f"{m}_std"),
                      F.max(f"{m}_max").alias(f"{m}_maxv")]
-    row = scores.agg(*aggs)
+    # the median is exact but distributed (no single group with every sensor's score)
+    row = scores.agg(*aggs).select("*", exact_median(scores, "composite_score").select("median").scalar().alias("composite_median"))
     entries = [F.struct(F.lit("overall").alias("section"), F.lit("total_sensors").alias("key"), F.col("total_sensors").alias("value"))]
     for k in ("mean", "std", "min", "max", "median"):
         entries.append(F.struct(F.lit("composite_score_stats").alias("section"), F.lit(k).alias("key"), F.col(f"composite_{k}").alias("value")))

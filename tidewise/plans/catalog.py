@@ -510,7 +510,7 @@ def _summary_sql():
 
 @q("summary_stats", _summary_sql())
 def _summary_stats(spark, sf):
-    return scoring.summary_statistics(exact_scores(spark, sf), _SUM_METHODS)
+    return scoring.summary_statistics(cut_lineage(exact_scores(spark, sf)), _SUM_METHODS)
 
 
 @q("heatmap", O.with_(*_SC) + "SELECT sensor, ROUND(composite_score, 6) + 0.0 AS composite_score, "
