@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidewise.config import DetectionConfig, ScoringConfig, Thresholds
 from tidewise.functions.columns import SENSOR, distributed_row_number, exact_median
-from tidewise.operators.ensemble import best_period_columns, combined_columns, wide_scores
+from tidewise.operators.ensemble import wide_scores
 
 LEVELS = {"High": 3, "Medium": 2, "Low": 1, "None": 0}
 
@@ -67,24 +67,44 @@ def label_exploratory(cfg: ScoringConfig = ScoringConfig()) -> Column:
     return F.when(sig & strong, "High").when(sig, "Medium").when(weak, "Low").otherwise("None")
 
 
+def _thr(t: Thresholds, scale: float = 1.0) -> list[str]:
+    return [f"stl_max > {t.stl_strength * scale!r}D", f"acf_max > {t.acf_peak * scale!r}D",
+            f"fourier_max > {t.delta_r2 * scale!r}D"]
+
+
 def scores_table(detections: DataFrame, det: DetectionConfig = DetectionConfig(), sc: ScoringConfig = ScoringConfig(),
                  methods=None) -> DataFrame:
     """RK-1 (SC-2..SC-4, SC-6, SC-7): one row per sensor with every method/period score, combined
-    scores, best period, composite and both labels. One pivot of the detections, then only
-    column expressions: no join, no second pass."""
+    scores, best period, composite and both labels. One pivot of the detections, then the
+    derived columns as SQL text in two projections (cheap to plan): no join, no second pass."""
     methods = list(methods or det.methods)
-    periods = list(det.periods)
-    t = method_scores(detections, periods, methods)
-    for m in ("stl", "acf", "fourier"):
-        if f"{m}_max" not in t.columns:
-            t = t.withColumn(f"{m}_max", F.lit(0.0))
-    t = t.select("*", *combined_columns(periods, methods))
-    t = t.select("*", *best_period_columns(periods))
-    return t.select(
+    periods = [int(p) for p in det.periods]
+    w = wide_scores(detections, periods, methods)
+    keys = [f"{m}_{p}" for m in methods for p in periods]
+    n = float(len(methods))
+    maxes = [f"greatest(0.0D, {', '.join(f'{m}_{p}' for p in periods)}) AS {m}_max" for m in methods]
+    maxes += [f"0.0D AS {m}_max" for m in ("stl", "acf", "fourier") if m not in methods]
+    comb = [f"({' + '.join(f'{m}_{p}' for m in methods)}) / {n!r}D AS combined_{p}" for p in periods]
+    t = w.selectExpr("sensor", *keys, *maxes, *comb)
+    # best period: highest combined score, first in the requested order on ties
+    best = "CAST(NULL AS STRUCT<s: DOUBLE, p: BIGINT>)"
+    for p in periods:
+        best = (f"CASE WHEN ({best}) IS NULL OR combined_{p} > ({best}).s "
+                f"THEN named_struct('s', combined_{p}, 'p', {p}L) ELSE ({best}) END")
+    comp = (f"{sc.weight('stl')!r}D * stl_max + {sc.weight('acf')!r}D * acf_max "
+            f"+ {sc.weight('fourier')!r}D * least(fourier_max * 10.0D, 1.0D)")
+    n_ok = " + ".join(f"CASE WHEN {c} THEN 1 ELSE 0 END" for c in _thr(sc.strict))
+    sig, strong, weak = (" OR ".join(_thr(sc.exploratory)), " OR ".join(_thr(sc.strict)),
+                         " OR ".join(_thr(sc.exploratory, 0.5)))
+    lab = list(sc.labels)
+    return t.selectExpr(
         "*",
-        composite(sc).alias("composite_score"),
-        label_strict(sc).alias("confidence_strict"),
-        label_exploratory(sc).alias("confidence_exploratory"),
+        f"named_struct('b', {best}).b.p AS best_period",
+        f"named_struct('b', {best}).b.s AS max_combined_score",
+        f"{comp} AS composite_score",
+        f"CASE {n_ok} WHEN 3 THEN '{lab[0]}' WHEN 2 THEN '{lab[1]}' WHEN 1 THEN '{lab[2]}' ELSE '{lab[3]}' END AS confidence_strict",
+        f"CASE WHEN ({sig}) AND ({strong}) THEN '{lab[0]}' WHEN ({sig}) THEN '{lab[1]}' WHEN ({weak}) THEN '{lab[2]}' "
+        f"ELSE '{lab[3]}' END AS confidence_exploratory",
     )
 
 
@@ -136,37 +156,29 @@ def period_agreement(detections: DataFrame, methods) -> DataFrame:
 
 
 def summary_statistics(scores: DataFrame, methods=("stl", "acf", "fourier", "periodogram")) -> DataFrame:
-    """RK-6 in long form ``(section, key, value)``."""
-    aggs = [
-        F.count(F.lit(1)).cast("double").alias("total_sensors"),
-        F.avg("composite_score").alias("composite_mean"),
-        F.stddev_samp("composite_score").alias("composite_std"),
-        F.min("composite_score").alias("composite_min"),
-        F.max("composite_score").alias("composite_max"),
-    ]
-    for m in methods:
-        if f"{m}_max" in scores.columns:
-            aggs += [F.avg(f"{m}_max").alias(f"{m}_mean"), F.stddev_samp(f"{m}_max").alias(f"{m}_std"),
-                     F.max(f"{m}_max").alias(f"{m}_maxv")]
+    """RK-6 in long form ``(section, key, value)``; one aggregate row unpivoted with ``stack``,
+    plus the three distributions (label counts, best-period counts) as grouped counts."""
+    present = [m for m in methods if f"{m}_max" in scores.columns]
+    aggs = ["CAST(count(1) AS DOUBLE) AS total_sensors", "avg(composite_score) AS composite_mean",
+            "stddev_samp(composite_score) AS composite_std", "min(composite_score) AS composite_min",
+            "max(composite_score) AS composite_max"]
+    for m in present:
+        aggs += [f"avg({m}_max) AS {m}_mean", f"stddev_samp({m}_max) AS {m}_std", f"max({m}_max) AS {m}_maxv"]
     # the median is exact but distributed (no single group with every sensor's score)
-    row = scores.agg(*aggs).select("*", exact_median(scores, "composite_score").select("median").scalar().alias("composite_median"))
-    entries = [F.struct(F.lit("overall").alias("section"), F.lit("total_sensors").alias("key"), F.col("total_sensors").alias("value"))]
-    for k in ("mean", "std", "min", "max", "median"):
-        entries.append(F.struct(F.lit("composite_score_stats").alias("section"), F.lit(k).alias("key"), F.col(f"composite_{k}").alias("value")))
-    for m in methods:
-        if f"{m}_max" in scores.columns:
-            for k, c in (("mean", f"{m}_mean"), ("std", f"{m}_std"), ("max", f"{m}_maxv")):
-                entries.append(F.struct(F.lit(f"{m}_stats").alias("section"), F.lit(k).alias("key"), F.col(c).alias("value")))
-    stats = row.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
-    dists = []
+    med = exact_median(scores, "composite_score").select("median").scalar()
+    row = scores.agg(*[F.expr(a) for a in aggs]).select("*", med.alias("composite_median"))
+    entries = [("overall", "total_sensors", "total_sensors")]
+    entries += [("composite_score_stats", k, f"composite_{k}") for k in ("mean", "std", "min", "max", "median")]
+    for m in present:
+        entries += [(f"{m}_stats", k, c) for k, c in (("mean", f"{m}_mean"), ("std", f"{m}_std"), ("max", f"{m}_maxv"))]
+    stack = ", ".join(f"'{a}', '{b}', {c}" for a, b, c in entries)
+    stats = row.selectExpr(f"stack({len(entries)}, {stack}) AS (section, key, value)")
+    out = stats
     for sec, col in (("confidence_distribution_strict", "confidence_strict"),
                      ("confidence_distribution_exploratory", "confidence_exploratory"),
                      ("best_period_distribution", "best_period")):
-        dists.append(scores.groupBy(F.col(col).cast("string").alias("key")).agg(F.count(F.lit(1)).cast("double").alias("value"))
-                     .select(F.lit(sec).alias("section"), "key", "value"))
-    out = stats
-    for d in dists:
-        out = out.unionByName(d)
+        out = out.unionByName(scores.groupBy(F.col(col).cast("string").alias("key")).agg(F.count(F.lit(1)).cast("double").alias("value"))
+                              .selectExpr(f"'{sec}' AS section", "key", "value"))
     return out
 
 
