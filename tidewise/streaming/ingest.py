@@ -33,3 +33,30 @@ def grid_from_sink(parts: DataFrame) -> DataFrame:
     g = parts.groupBy("sensor", "bin").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
     return g.select("sensor", F.col("bin").cast("timestamp_ntz").alias("bin"),
                     F.try_divide(F.col("total"), F.col("n")).alias("value"))
+
+
+def run_stream_grid(spark, path: str, sensor: str, ts: str, value: str, bin_size: str = "1 hour",
+                    watermark: str = "2 hours") -> "DataFrame":
+    """Drive a file-stream of readings through :func:`stream_grid` to completion (available-now
+    trigger) into a memory table and return the merged grid. The stream's checkpoint lives in the
+    shared checkpoint folder, so a restarted query resumes instead of re-reading."""
+    import uuid
+
+    from tidewise.session import ensure_checkpoint_dir
+
+    import os
+
+    schema = spark.read.parquet(path).schema
+    name = f"tidewise_grid_{uuid.uuid4().hex[:12]}"
+    ckpt = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}"
+    reader = spark.readStream.schema(schema)
+    if path.endswith(".parquet") and not os.path.isdir(path):
+        # a file source watches a folder: watch the table's folder, admit only this file name
+        reader = reader.option("pathGlobFilter", os.path.basename(path))
+        path = os.path.dirname(path)
+    stream = reader.parquet(path)
+    q = (stream_grid(stream, sensor, ts, value, bin_size, watermark)
+         .writeStream.outputMode("update").format("memory").queryName(name)
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return grid_from_sink(spark.table(name))
