@@ -27,19 +27,16 @@ def needed_lags(periods, tolerance: int, max_lag: int) -> list[int]:
 
 def acf_at_lags(grid: DataFrame, lags: list[int]) -> DataFrame:
     """One row per sensor: n, den = sum dx^2 and acf_k for each lag (one window pass of
-    ``lead`` products, then one partial aggregation)."""
+    ``lead`` products, then one partial aggregation). Built as SQL text (few client calls)."""
     c = clean(grid)
-    prods = c.select(
-        SENSOR, "n",
-        F.expr("value - avg(value) OVER (PARTITION BY sensor)").alias("dx"),
-        "pos",
-    ).select(
-        SENSOR, "n", "dx",
-        *[F.expr(f"dx * lead(dx, {k}) OVER (PARTITION BY sensor ORDER BY pos)").alias(f"p{k}") for k in lags],
-    )
-    aggs = [F.expr("first(n) AS n"), F.expr("sum(dx * dx) AS den")] + [F.expr(f"sum(p{k}) AS s{k}") for k in lags]
+    prods = c.selectExpr("sensor", "n", "pos", "value - avg(value) OVER (PARTITION BY sensor) AS dx").selectExpr(
+        "sensor", "n", "dx", *[f"dx * lead(dx, {k}) OVER (PARTITION BY sensor ORDER BY pos) AS p{k}" for k in lags])
+    aggs = [F.expr("first(n)").alias("n"), F.expr("sum(dx * dx)").alias("den")]
+    if lags:  # all lag sums in one struct: one client call, however many lags
+        aggs.append(F.expr("struct(" + ", ".join(f"sum(p{k}) AS s{k}" for k in lags) + ")").alias("s"))
     m = prods.groupBy(SENSOR).agg(*aggs)
-    return m.select(SENSOR, "n", "den", *[F.expr(f"try_divide(coalesce(s{k}, 0.0), den) AS acf{k}") for k in lags])
+    m = m.select(SENSOR, "n", "den", "s.*") if lags else m
+    return m.selectExpr("sensor", "n", "den", *[f"try_divide(coalesce(s{k}, 0.0D), den) AS acf{k}" for k in lags])
 
 
 def acf_detect(grid: DataFrame, periods=(7, 30, 365), cfg: DetectionConfig = DetectionConfig()) -> DataFrame:

@@ -38,13 +38,9 @@ def clean(grid: DataFrame) -> DataFrame:
 
 
 def as_detection(df: DataFrame, method: str) -> DataFrame:
-    return df.select(
-        SENSOR,
-        F.lit(method).alias("method"),
-        F.col("period").cast("long").alias("period"),
-        F.col("score").cast("double").alias("score"),
-        F.col("significant").cast("boolean").alias("significant"),
-        F.col("error").cast("string").alias("error"),
+    return df.selectExpr(
+        "sensor", f"'{method}' AS method", "CAST(period AS BIGINT) AS period", "CAST(score AS DOUBLE) AS score",
+        "CAST(significant AS BOOLEAN) AS significant", "CAST(error AS STRING) AS error",
     )
 
 
