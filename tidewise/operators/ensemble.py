@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewise.config import DetectionConfig
-from tidewise.functions.columns import SENSOR
+from tidewise.functions.columns import SENSOR, by_sensor
 from tidewise.operators import acf, harmonic, periodogram, stl  # noqa: F401  (registers detectors)
 from tidewise.operators.detect_common import REGISTRY
 
@@ -34,7 +34,10 @@ def eligible(grid: DataFrame, min_points: int = 100) -> tuple[DataFrame, DataFra
 def detect_all(grid: DataFrame, cfg: DetectionConfig = DetectionConfig(), methods=None, gate: bool = True) -> DataFrame:
     """Long detection table for every method in ``methods`` (default: cfg.methods)."""
     methods = list(methods or cfg.methods)
-    g = eligible(grid, cfg.min_points)[0] if gate else grid
+    # One sensor exchange for every detector: the windows of the native detectors and the
+    # kernels' own (identical) repartition reuse it.
+    g = by_sensor(grid)
+    g = eligible(g, cfg.min_points)[0] if gate else g
     parts = [REGISTRY[m](g, cfg.periods, cfg) for m in methods]
     out = parts[0]
     for p in parts[1:]:
