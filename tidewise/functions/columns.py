@@ -65,11 +65,15 @@ def with_pos(df: DataFrame, order_col: str = BIN, name: str = "pos") -> DataFram
 def distributed_row_number(df: DataFrame, order_cols: list[Column], name: str = "rank") -> DataFrame:
     """1..N over a global order without moving every row into one task.
 
-    Range-partitioned sort, per-partition counts (one row per partition), running
-    offsets over that tiny table, then local row numbers plus the offset. The
-    offsets table has one row per partition, so broadcasting it is size-bounded.
+    A range-partitioned sort stamps every row with its partition id in ONE execution, which is
+    written to the shared checkpoint folder (so the two uses below cannot see two different
+    samplings of the range boundaries, and a lost executor only costs re-reading files). Then
+    per-partition counts (one row per partition), running offsets over that tiny table, and
+    local row numbers plus the offset. The offsets table is bounded by the partition count.
     """
-    ordered = df.orderBy(*order_cols).withColumn("_pid", F.spark_partition_id())
+    from tidewise.session import cut_lineage
+
+    ordered = cut_lineage(df.orderBy(*order_cols).withColumn("_pid", F.spark_partition_id()), "rank")
     local = ordered.withColumn(
         "_local", F.row_number().over(Window.partitionBy("_pid").orderBy(*order_cols))
     )
