@@ -146,7 +146,9 @@ def test_save_results(spark):
     from tidewise.plans.run import analyze
     out = analyze(synthetic.multi_sensor(spark, n_days=200, n_sensors=3), materialize=True)
     d = tmpdir()
-    paths = sinks.save_results(out, d, run="r1")
+    from tidewise.config import RunConfig
+    paths = sinks.save_results(out, d, run="r1", config=RunConfig())
+    assert "periods" in spark.read.text(paths["config"]).collect()[0][0]
     assert spark.read.parquet(paths["ranking"]).filter("run_id = 'r1'").count() == 3
     assert spark.read.text(paths["summary"]).count() == out["summary"].count()
 

@@ -41,10 +41,20 @@ def to_json_safe(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct(*cols)).alias("json"))
 
 
-def save_results(results: dict[str, DataFrame], output_dir: str, run: str | None = None) -> dict[str, str]:
-    """SNK-2: scores and ranking as Parquet + CSV, summary as JSON lines, one shared run id."""
+def save_results(results: dict[str, DataFrame], output_dir: str, run: str | None = None, config=None) -> dict[str, str]:
+    """SNK-2: scores and ranking as Parquet + CSV, summary as JSON lines and the run config as
+    JSON, all under one shared run id."""
     run = run or run_id()
     out = {}
+    if config is not None and "scores" in results:
+        import dataclasses
+        import json
+
+        spark = results["scores"].sparkSession
+        text = json.dumps(dataclasses.asdict(config), default=str, sort_keys=True)
+        p = f"{output_dir.rstrip('/')}/config/run_id={run}"
+        spark.createDataFrame([(text,)], "json string").coalesce(1).write.mode("overwrite").text(p)
+        out["config"] = p
     for kind in ("scores", "ranking"):
         if kind in results:
             base = f"{output_dir.rstrip('/')}/{kind}"
