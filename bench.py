@@ -42,7 +42,8 @@ def main():
     def hourly_events():
         from tidewise.operators import resample
         from tidewise.operators.ensemble import detect_all
-        cfg = DetectionConfig(periods=(24, 168), methods=("acf", "periodogram", "fourier"), min_points=100)
+        cfg = DetectionConfig(periods=(24, 168), methods=("acf", "periodogram", "fourier"), min_points=100,
+                              time_unit="hour")
         g = resample.resample_and_interpolate(readings(spark, sf_dir, "events"), "H", "mean", "linear")
         return detect_all(g, cfg)
 

@@ -41,6 +41,9 @@ class DetectionConfig:
     fap_threshold: float = 0.05
     fourier_delta_r2_threshold: float = 0.1
     min_points: int = 100
+    # whole-unit time axis of the harmonic / Lomb-Scargle models: "day" (the original; sub-daily
+    # grids collapse onto whole days) or "hour" (for hourly grids, periods then count hours)
+    time_unit: str = "day"
 
 
 @dataclass(frozen=True)

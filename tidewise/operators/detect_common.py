@@ -12,6 +12,7 @@ from tidewise.functions.columns import BIN, SENSOR, days_between
 DETECTION_COLUMNS = ["sensor", "method", "period", "score", "significant", "error"]
 
 REGISTRY: dict[str, Callable[..., DataFrame]] = {}
+_UNITS = {"day": "DAY", "hour": "HOUR"}
 
 
 def register(name: str):
@@ -24,7 +25,7 @@ def register(name: str):
     return deco
 
 
-def clean(grid: DataFrame) -> DataFrame:
+def clean(grid: DataFrame, time_unit: str = "day") -> DataFrame:
     """Drop NULLs, then index the remaining points by position (``pos`` 1..n) and by whole days
     since the sensor's first remaining point (``t``); ``n`` is the point count."""
     g = grid.filter(F.col("value").isNotNull())
@@ -32,7 +33,7 @@ def clean(grid: DataFrame) -> DataFrame:
         "*",
         F.expr("CAST(row_number() OVER (PARTITION BY sensor ORDER BY bin) AS BIGINT)").alias("pos"),
         F.expr("count(1) OVER (PARTITION BY sensor)").alias("n"),
-        F.expr("CAST(timestampdiff(DAY, CAST(min(bin) OVER (PARTITION BY sensor) AS TIMESTAMP_NTZ), "
+        F.expr(f"CAST(timestampdiff({_UNITS[time_unit]}, CAST(min(bin) OVER (PARTITION BY sensor) AS TIMESTAMP_NTZ), "
                "CAST(bin AS TIMESTAMP_NTZ)) AS DOUBLE)").alias("t"),
     )
 

@@ -54,9 +54,10 @@ def r2_from_moments(vsy: Column, vcy: Column, vss: Column, vcc: Column, vsc: Col
     return r2, None, None
 
 
-def harmonic_fit(grid: DataFrame, periods=(7, 30, 365), delta_r2_threshold: float = 0.1) -> DataFrame:
+def harmonic_fit(grid: DataFrame, periods=(7, 30, 365), delta_r2_threshold: float = 0.1,
+                 time_unit: str = "day") -> DataFrame:
     """Per (sensor, period): r2, delta_r2, sin_coef, cos_coef, score = clip(10 delta_r2, 0, 1)."""
-    c = clean(grid)
+    c = clean(grid, time_unit)
     aggs = [F.expr("var_pop(value) AS vyy"), F.expr("count(value) AS n")]
     for i, p in enumerate(periods):
         ang = f"({TWO_PI!r}D * t / {float(p)!r}D)"
@@ -88,7 +89,7 @@ def harmonic_fit(grid: DataFrame, periods=(7, 30, 365), delta_r2_threshold: floa
 
 @register("fourier")
 def detect_fourier(grid: DataFrame, periods, cfg: DetectionConfig = DetectionConfig()) -> DataFrame:
-    return as_detection(harmonic_fit(grid, periods, cfg.fourier_delta_r2_threshold), "fourier")
+    return as_detection(harmonic_fit(grid, periods, cfg.fourier_delta_r2_threshold, cfg.time_unit), "fourier")
 
 
 # --- joint model with all periods (DT-7, DT-8, DT-9) --------------------------------------------

@@ -79,7 +79,7 @@ def band_frequencies(stats: DataFrame, periods, cfg: DetectionConfig) -> DataFra
 
 def periodogram_band_power(grid: DataFrame, periods=(7, 30, 365), cfg: DetectionConfig = DetectionConfig()) -> DataFrame:
     """(sensor, period, k, f, power) for the band frequencies of each period."""
-    c = clean(grid).select(SENSOR, "t", "value")
+    c = clean(grid, cfg.time_unit).select(SENSOR, "t", "value")
     st = sensor_stats(c)
     freqs = band_frequencies(st, periods, cfg)
     pts = c.join(st.select(SENSOR, "mean_y"), SENSOR).select(SENSOR, "t", (F.col("value") - F.col("mean_y")).alias("yc"))
@@ -143,7 +143,7 @@ def band_peaks(grid: DataFrame, periods=(7, 30, 365), cfg: DetectionConfig = Det
             rows = [(name, p, n, span, var_t, None, None) for p in ps]
         return pd.DataFrame(rows, columns=cols)
 
-    c = clean(by_sensor(grid)).select(SENSOR, "t", "value")
+    c = clean(by_sensor(grid), cfg.time_unit).select(SENSOR, "t", "value")
     return c.groupBy(SENSOR).applyInPandas(run, schema=schema)
 
 
@@ -184,7 +184,7 @@ def periodogram_full(grid: DataFrame, cfg: DetectionConfig = DetectionConfig())
     fmin = 1.0 / cfg.periodogram_max_period
     fmax = 1.0 / cfg.periodogram_min_period
     spp = cfg.periodogram_samples_per_peak
-    c = clean(by_sensor(grid)).select(SENSOR, "t", "value")
+    c = clean(by_sensor(grid), cfg.time_unit).select(SENSOR, "t", "value")
     schema = "sensor string, k long, frequency double, power double, period double"
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:

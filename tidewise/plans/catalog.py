@@ -851,3 +851,38 @@ def _stream_hourly_grid(spark, sf):
     """Structured Streaming ingest of the whole events table (file source, watermark, update mode)."""
     from tidewise.streaming.ingest import run_stream_grid
     return run_stream_grid(spark, f"{sf.rstrip('/')}/events.parquet", "event_type", "ts", "value", "1 hour", "30 days")
+
+
+
+# ---- hourly grids: detectors with an hour time axis ----------------------------------------------------
+
+HOURLY = (24, 168)
+_HOUR_BASE = O.filled_ctes("events", "H") + O.clean_ctes("filled", gate=True, unit="hour")
+_HOUR_CFG = DetectionConfig(periods=HOURLY, time_unit="hour")
+
+
+def _events_hourly(spark, sf):
+    from tidewise.operators.ensemble import eligible
+    g = resample.resample_and_interpolate(readings(spark, sf, "events"), "H", "mean", "linear")
+    return eligible(g, 100)[0]
+
+
+@q("hourly_harmonic", O.with_(*_HOUR_BASE, *O.harmonic_ctes(HOURLY))
+   + "SELECT sensor, period, ROUND(r2, 6) + 0.0 AS r2, ROUND(r2, 6) + 0.0 AS delta_r2, ROUND(sin_coef, 6) + 0.0 AS sin_coef, "
+   "ROUND(cos_coef, 6) + 0.0 AS cos_coef, ROUND(score, 6) + 0.0 AS score, significant, error FROM det_fourier")
+def _hourly_harmonic(spark, sf):
+    return harmonic.harmonic_fit(_events_hourly(spark, sf), HOURLY, time_unit="hour")
+
+
+@q("hourly_periodogram", O.with_(*_HOUR_BASE, *O.periodogram_ctes(HOURLY))
+   + "SELECT sensor, period, ROUND(score, 6) + 0.0 AS score, significant, error, ROUND(power, 6) + 0.0 AS power, "
+   "ROUND(actual_period, 6) + 0.0 AS actual_period, ROUND(fap, 6) + 0.0 AS fap FROM det_periodogram")
+def _hourly_periodogram(spark, sf):
+    return periodogram.periodogram_detect(_events_hourly(spark, sf), HOURLY, _HOUR_CFG)
+
+
+@q("hourly_acf", O.with_(*_HOUR_BASE, *O.acf_ctes(HOURLY))
+   + "SELECT sensor, period, ROUND(score, 6) + 0.0 AS score, significant, error, ROUND(peak_value, 6) + 0.0 AS peak_value, "
+   "CAST(actual_lag AS BIGINT) AS actual_lag, ROUND(conf_int, 6) + 0.0 AS conf_int, CAST(max_lag AS BIGINT) AS max_lag FROM det_acf")
+def _hourly_acf(spark, sf):
+    return acf.acf_detect(_events_hourly(spark, sf), HOURLY, _HOUR_CFG)

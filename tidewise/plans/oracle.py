@@ -109,7 +109,7 @@ def filled_ctes(table: str = "orders", freq: str = "D") -> list[str]:
     ]
 
 
-def clean_ctes(src: str = "filled", gate: bool = True) -> list[str]:
+def clean_ctes(src: str = "filled", gate: bool = True, unit: str = "day") -> list[str]:
     out = []
     base = src
     if gate:
@@ -120,7 +120,7 @@ def clean_ctes(src: str = "filled", gate: bool = True) -> list[str]:
         f"""c AS (SELECT sensor, bin, value,
               row_number() OVER (PARTITION BY sensor ORDER BY bin) AS pos,
               count(*) OVER (PARTITION BY sensor) AS n,
-              CAST(date_diff('day', min(bin) OVER (PARTITION BY sensor), bin) AS DOUBLE) AS t
+              CAST(date_diff('{unit}', min(bin) OVER (PARTITION BY sensor), bin) AS DOUBLE) AS t
             FROM {base} WHERE value IS NOT NULL)"""
     )
     return out
