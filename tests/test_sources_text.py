@@ -178,3 +178,22 @@ def test_lenient_csv_quarantines_bad_timestamps(spark):
         f.write("date,time,sensor_1\n2024-01-01,00:00:00,1\nnot-a-date,00:00:00,2\n2024-01-02,00:00:00,3\n")
     good, bad, sensors = readers.read_wide_csv_lenient(spark, p)
     assert good.count() == 2 and [r["_date_raw"] for r in bad.collect()] == ["not-a-date"]
+
+
+def test_anonymize_bundles_every_text_field(spark):
+    d = tmpdir()
+    b = {"bundle_id": "b2", "config": {"sensor_10": "on /home/u/cfg.yaml"}, "warnings": ["sensor_1 low"],
+         "errors": [{"message": "sensor_10 failed at /var/log/x.log"}],
+         "health_checks": [{"check_name": "c", "passed": False, "message": "sensor_1 missing"}],
+         "log_excerpt": "sensor_1 and sensor_10"}
+    with open(os.path.join(d, "b.json"), "w") as f:
+        json.dump(b, f)
+    bundles = readers.read_bundles(spark, d)
+    names = spark.createDataFrame([("sensor_1",), ("sensor_10",)], "s string")
+    pairs = textops.collect_dictionary(textops.name_dictionary(names, "s"))
+    r = textops.anonymize_bundles(bundles, pairs).collect()[0]
+    assert r["log_excerpt"] == "SENSOR_001 and SENSOR_002"
+    assert r["warnings"] == ["SENSOR_001 low"]
+    assert r["errors"][0]["message"] == "SENSOR_002 failed at [PATH_MASKED]"
+    assert r["config"] == {"SENSOR_002": "on [PATH_MASKED]"}
+    assert r["health_checks"][0]["message"] == "SENSOR_001 missing"
