@@ -1,7 +1,7 @@
 """PELT changepoints (Killick, Fearnhead & Eckley 2012) with l2 / l1 / normal / rbf segment costs.
 
 Candidate breakpoints are multiples of ``jump`` (5) at least ``min_size`` apart, as in the
-common reference implementation. Returns breakpoints as end-exclusive indices.
+widely used open-source implementations. Returns breakpoints as end-exclusive indices.
 """
 
 from __future__ import annotations

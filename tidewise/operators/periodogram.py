@@ -1,6 +1,6 @@
 """Lomb-Scargle detector (DT-10) and full periodogram (DT-11).
 
-Frequency grid (astropy auto-grid rule with the original limits): f_k = fmin + k df,
+Frequency grid (the published automatic grid rule with the original limits): f_k = fmin + k df,
 fmin = 1/max_period, df = 1/(samples_per_peak * span), Nf = 1 + round((1/min_period - fmin)/df),
 t = whole days since the first point. Standard power with a fitted mean equals the R^2 of
 ``y ~ 1 + sin(2 pi f t) + cos(2 pi f t)``, i.e. the harmonic closed form at p = 1/f.

@@ -12,6 +12,19 @@ from pyspark.sql import functions as F
 
 from tidewise.functions.columns import SENSOR
 
+# fixed values: texts and formats of the original health report, warnings and checks
+REPORT_TITLE = "=== Data Health Report ==="
+WARN_NO_RECORDS = "No records in data"
+WARN_HIGH_MISSING = "High missing rate: %.1f%%"
+WARN_ALL_MISSING = "Sensors with all missing values: %d"
+WARN_SHORT_RANGE = "Short date range: %d days (recommended: >30 days)"
+WARN_ANNUAL = "Date range (%d days) may be insufficient for annual seasonality detection"
+HIGH_MISSING_RATE = 0.1
+SHORT_RANGE_DAYS = 30
+ANNUAL_DAYS = 365
+CHECK_LOADED = "Loaded %d records"
+CHECK_MISSING = "Missing rate: %.2f%%"
+
 
 def health_summary(readings: DataFrame, periods=(7, 30, 365)) -> DataFrame:
     """DQ-1/2/3/5/6 in one row: records, range, sensors, missing rate, observations per present
@@ -46,7 +59,7 @@ def health_summary(readings: DataFrame, periods=(7, 30, 365)) -> DataFrame:
     healthy = (F.size("warnings") == 0) & (F.col("total_records") > 0)
     text = F.concat_ws(
         "\n",
-        F.lit("=== Data Health Report ==="),
+        F.lit(REPORT_TITLE),
         F.concat(F.lit("Total records: "), F.format_number(F.col("total_records"), 0)),
         F.concat(F.lit("Date range: "), F.col("start").cast("string"), F.lit(" to "), F.col("end").cast("string")),
         F.concat(F.lit("Sensor count: "), F.col("sensor_count").cast("string")),
@@ -78,17 +91,16 @@ def warnings_array(row: DataFrame, periods) -> Column:
     """DQ-5 warning texts (NULL entries filtered out)."""
     span = F.col("span_days")
     n = F.col("total_records")
-    long_period = any(p >= 365 for p in periods)
+    long_period = any(p >= ANNUAL_DAYS for p in periods)
     items = [
-        F.when(n == 0, F.lit("No records in data")),
-        F.when(F.col("missing_rate") > 0.1, F.format_string("High missing rate: %.1f%%", F.col("missing_rate") * 100)),
-        F.when(F.col("all_missing") > 0, F.format_string("Sensors with all missing values: %d", F.col("all_missing"))),
-        F.when((n > 0) & (span < 30), F.format_string("Short date range: %d days (recommended: >30 days)", span)),
+        F.when(n == 0, F.lit(WARN_NO_RECORDS)),
+        F.when(F.col("missing_rate") > HIGH_MISSING_RATE, F.format_string(WARN_HIGH_MISSING, F.col("missing_rate") * 100)),
+        F.when(F.col("all_missing") > 0, F.format_string(WARN_ALL_MISSING, F.col("all_missing"))),
+        F.when((n > 0) & (span < SHORT_RANGE_DAYS), F.format_string(WARN_SHORT_RANGE, span)),
     ]
     if long_period:
         items.append(
-            F.when((n > 0) & (span < 365),
-                   F.format_string("Date range (%d days) may be insufficient for annual seasonality detection", span))
+            F.when((n > 0) & (span < ANNUAL_DAYS), F.format_string(WARN_ANNUAL, span))
         )
     return F.filter(F.array(*items), lambda x: x.isNotNull())
 
@@ -178,9 +190,9 @@ def health_checks(readings: DataFrame, detections: DataFrame | None = None, scor
     ).withColumn("rate", F.coalesce(F.try_divide(F.col("m").cast("double"), F.col("n").cast("double")), F.lit(0.0)))
     checks = [
         s.select(F.lit("data_loaded").alias("check_name"), (F.col("n") > 0).alias("passed"),
-                 F.format_string("Loaded %d records", F.col("n")).alias("message")),
-        s.select(F.lit("missing_rate").alias("check_name"), (F.col("rate") < 0.1).alias("passed"),
-                 F.format_string("Missing rate: %.2f%%", F.col("rate") * 100).alias("message")),
+                 F.format_string(CHECK_LOADED, F.col("n")).alias("message")),
+        s.select(F.lit("missing_rate").alias("check_name"), (F.col("rate") < HIGH_MISSING_RATE).alias("passed"),
+                 F.format_string(CHECK_MISSING, F.col("rate") * 100).alias("message")),
     ]
     if detections is not None:
         d = detections.agg(F.count(F.lit(1)).alias("k"))

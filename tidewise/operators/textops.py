@@ -13,7 +13,8 @@ from pyspark.sql import types as T
 
 from tidewise.functions.columns import distributed_row_number
 
-# fixed values: default path patterns of the original masker (Windows, Unix, home) and its token
+# fixed values: default path patterns of the original masker (Windows, Unix, home), its token,
+# the log-entry start, name prefix, error/tail limits and the response-parsing defaults
 DEFAULT_PATH_PATTERNS = [
     r"[A-Za-z]:\\[^\s\"']+",
     r"/[^\s\"']+(?:/[^\s\"']+)+",
@@ -21,10 +22,18 @@ DEFAULT_PATH_PATTERNS = [
 ]
 PATH_MASK = "[PATH_MASKED]"
 DATE_START = r"^\d{4}-\d{2}-\d{2}"
+NAME_PREFIX = "SENSOR_"
+MAX_ERRORS = 10
+MAX_ERROR_CHARS = 500
+TAIL_LINES = 100
+NO_SUMMARY = "No summary provided"
+DEFAULT_CONFIDENCE = "medium"
+FALLBACK_CONFIDENCE = "low"
+FALLBACK_CHARS = 500
 MAX_DICTIONARY = 10_000
 
 
-def name_dictionary(names: DataFrame, col: str, prefix: str = "SENSOR_") -> DataFrame:
+def name_dictionary(names: DataFrame, col: str, prefix: str = NAME_PREFIX) -> DataFrame:
     """TXT-1: distinct names in sorted order -> ``prefix`` + 3-digit (or longer) number."""
     d = names.select(F.col(col).alias("name")).where(F.col("name").isNotNull()).distinct()
     r = distributed_row_number(d, [F.col("name").asc()], "n")
@@ -79,7 +88,7 @@ def text_lines(df: DataFrame, key: str, text: str) -> DataFrame:
     )
 
 
-def log_tail(lines: DataFrame, key: str, max_lines: int = 100) -> DataFrame:
+def log_tail(lines: DataFrame, key: str, max_lines: int = TAIL_LINES) -> DataFrame:
     """TXT-7: last ``max_lines`` lines of each file, re-joined in order."""
     w = Window.partitionBy(key).orderBy(F.col("line_no").desc())
     last = lines.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= max_lines)
@@ -102,7 +111,7 @@ def event_log_lines(events: DataFrame) -> DataFrame:
     )
 
 
-def error_extract(lines: DataFrame, key: str = "file", order: list[str] | None = None, max_errors: int = 10) -> DataFrame:
+def error_extract(lines: DataFrame, key: str = "file", order: list[str] | None = None, max_errors: int = MAX_ERRORS) -> DataFrame:
     """TXT-6 (line-session form): a line starting with a date opens an entry, other lines continue it;
     entries containing ``ERROR`` yield the text after the first ':' following ERROR, trimmed, first
     500 chars; at most ``max_errors`` per file (the original keeps the first 10)."""
@@ -117,7 +126,7 @@ def error_extract(lines: DataFrame, key: str = "file", order: list[str] | None =
     )
     err = entries.filter(F.col("text").contains("ERROR"))
     msg = F.regexp_extract(F.col("text"), r"(?s)ERROR.*?:(.*)", 1)
-    err = err.withColumn("message", F.substring(F.trim(msg), 1, 500))
+    err = err.withColumn("message", F.substring(F.trim(msg), 1, MAX_ERROR_CHARS))
     we = Window.partitionBy(key).orderBy("_first")
     return err.withColumn("n", F.row_number().over(we)).filter(F.col("n") <= max_errors).select(
         key, F.col("n").cast("long").alias("n"), "message"
@@ -175,14 +184,14 @@ def parse_response(text: Column) -> Column:
     return F.when(
         has,
         F.struct(
-            F.coalesce(js["summary"], F.lit("No summary provided")).alias("summary"),
+            F.coalesce(js["summary"], F.lit(NO_SUMMARY)).alias("summary"),
             F.coalesce(js["issues"], empty).alias("issues"),
             F.coalesce(js["recommendations"], empty).alias("recommendations"),
-            F.coalesce(js["confidence"], F.lit("medium")).alias("confidence"),
+            F.coalesce(js["confidence"], F.lit(DEFAULT_CONFIDENCE)).alias("confidence"),
         ),
     ).otherwise(
-        F.struct(F.substring(text, 1, 500).alias("summary"), empty.alias("issues"), empty.alias("recommendations"),
-                 F.lit("low").alias("confidence"))
+        F.struct(F.substring(text, 1, FALLBACK_CHARS).alias("summary"), empty.alias("issues"), empty.alias("recommendations"),
+                 F.lit(FALLBACK_CONFIDENCE).alias("confidence"))
     )
 
 
