@@ -48,3 +48,19 @@ def test_oracle_agreement_small(spark, name):
     a = canon(df.columns, [tuple(r) for r in df.collect()])
     b = canon([d[0] for d in res.description], res.fetchall())
     assert a == b
+
+
+def test_kernels_work_from_any_working_directory(tmp_path):
+    """Workers import tidewise from the shipped zip, not from the driver's working directory."""
+    import subprocess
+    import sys
+    code = (
+        "import importlib.util\n"
+        "spec = importlib.util.spec_from_file_location('e', '/root/repo/__spark_entry__.py')\n"
+        "E = importlib.util.module_from_spec(spec); spec.loader.exec_module(E)\n"
+        "from pyspark.sql import SparkSession\n"
+        "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "print('ROWS', E.queries()['stl_strength'](s, '/root/testdata/sf0.001').count())\n"
+    )
+    r = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path), capture_output=True, text=True, timeout=600)
+    assert "ROWS 15" in r.stdout, r.stderr[-2000:]

@@ -95,7 +95,10 @@ def by_sensor(df: DataFrame) -> DataFrame:
     (``spark.tidewise.kernelPartitions``, default 3 x default parallelism) differs from the
     shuffle partition count, so the planner cannot mistake it for an existing exchange and drop it.
     """
+    from tidewise.session import ship_package
+
     spark = df.sparkSession
+    ship_package(spark)  # every kernel path passes here: workers must import tidewise
     n = spark.conf.get("spark.tidewise.kernelPartitions", None)
     n = int(n) if n else 3 * spark.sparkContext.defaultParallelism
     if n == int(spark.conf.get("spark.sql.shuffle.partitions", "200")):

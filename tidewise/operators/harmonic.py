@@ -127,8 +127,11 @@ def joint_fit(grid: DataFrame, periods=(7, 30, 365)) -> DataFrame:
     import numpy as np
     import pandas as pd
 
+    from tidewise.session import ship_package
+
     k = 2 * len(periods)
     mom = joint_moments(grid, periods)
+    ship_package(grid.sparkSession)
     coef_fields = ", ".join(f"b{i} double" for i in range(k))
     schema = f"sensor string, n long, r2 double, delta_r2 double, intercept double, {coef_fields}"
 

@@ -18,7 +18,7 @@ from tidewise.operators import (acf, harmonic, impute, outliers, periodogram, qu
                                 segments, stl)
 from tidewise.operators.ensemble import combine, detect_all
 from tidewise.plans import oracle as O
-from tidewise.session import cut_lineage
+from tidewise.session import cut_lineage, ship_package
 from tidewise.sources.tables import readings
 
 PERIODS = (7, 30, 365)
@@ -71,9 +71,14 @@ Q: dict = {}
 ORACLE: dict = {}
 
 
+def _run(fn, spark, sf):
+    ship_package(spark)
+    return fin(fn(spark, sf))
+
+
 def q(name, sql=None):
     def deco(fn):
-        Q[name] = lambda spark, sf: fin(fn(spark, sf))
+        Q[name] = lambda spark, sf: _run(fn, spark, sf)
         if sql is not None:
             ORACLE[name] = sql
         return fn

@@ -38,9 +38,38 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str
     )
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+_ZIP: list[str] = []
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tidewise`` importable in the Python workers that run the grouped-map kernels.
+
+    The package is zipped once per driver process and added with ``SparkContext.addPyFile``
+    (Spark distributes it to every executor), once per application."""
+    import zipfile
+
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    if not _ZIP:
+        root = os.path.dirname(os.path.abspath(__file__))
+        out = os.path.join(tempfile.mkdtemp(prefix="tidewise-pkg-"), "tidewise.zip")
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+            for d, _, files in os.walk(root):
+                for f in files:
+                    if f.endswith(".py"):
+                        full = os.path.join(d, f)
+                        z.write(full, os.path.join("tidewise", os.path.relpath(full, root)))
+        _ZIP.append(out)
+    spark.sparkContext.addPyFile(_ZIP[0])
+    _SHIPPED.add(app)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder; only set one where it is unset (tests)."""
     d = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
