@@ -197,3 +197,16 @@ def test_anonymize_bundles_every_text_field(spark):
     assert r["errors"][0]["message"] == "SENSOR_002 failed at [PATH_MASKED]"
     assert r["config"] == {"SENSOR_002": "on [PATH_MASKED]"}
     assert r["health_checks"][0]["message"] == "SENSOR_001 missing"
+
+
+def test_wide_csv_to_ranking_end_to_end(spark):
+    """The original `run` flow: wide CSV (date, time, sensor_*) -> long -> grid -> detectors -> ranking."""
+    from tidewise.plans.run import analyze
+    long = synthetic.multi_sensor(spark, n_days=400, n_sensors=4, n_seasonal=2)
+    d = tmpdir()
+    sinks.write_wide_csv(long, d, [f"sensor_{i}" for i in range(1, 5)], include_time=True)
+    wide, sensors = readers.read_wide_csv(spark, d)
+    out = analyze(readers.to_long(wide, sensors), methods=["acf", "fourier", "periodogram"], materialize=True)
+    rk = out["ranking"].orderBy("rank").collect()
+    assert [r["rank"] for r in rk] == [1, 2, 3, 4]
+    assert {r["sensor"] for r in rk[:2]} == {"sensor_1", "sensor_2"}  # the seasonal ones rank first
