@@ -50,3 +50,29 @@ def test_gap_report_matches_loop(spark, vals):
     if run:
         gaps.append(run)
     assert (r["missing_count"], r["num_gaps"], r["max_gap"]) == (sum(gaps), len(gaps), max(gaps) if gaps else 0)
+
+
+readings_st = st.lists(st.tuples(st.integers(0, 10 * 24 * 60), st.one_of(st.none(), st.floats(-100, 100, allow_nan=False))),
+                       min_size=1, max_size=30, unique_by=lambda x: x[0])
+
+
+def _frame(spark, rows):
+    base = pd.Timestamp("2024-01-01")
+    ts = [base + pd.Timedelta(minutes=m) for m, _ in rows]
+    df = spark.createDataFrame([("a", t.to_pydatetime(), v) for t, (_, v) in zip(ts, rows)],
+                               "sensor string, ts timestamp_ntz, value double")
+    s = pd.Series([np.nan if v is None else v for _, v in rows], index=pd.DatetimeIndex(ts), dtype=float).sort_index()
+    return df, s
+
+
+@settings(max_examples=6, deadline=None)
+@given(readings_st)
+def test_daily_mean_and_ffill_match_pandas(spark, rows):
+    from tidewise.operators import resample
+    df, s = _frame(spark, rows)
+    mean = resample.resample(df, "D", "mean").orderBy("bin").collect()
+    exp = s.resample("D").mean()
+    assert [str(r["bin"]) for r in mean] == [str(d.date()) for d in exp.index]
+    assert close([r["value"] for r in mean], list(exp))
+    ff = [r["value"] for r in resample.resample(df, "D", "ffill").orderBy("bin").collect()]
+    assert close(ff, list(s.resample("D").ffill()))
