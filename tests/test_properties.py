@@ -100,3 +100,21 @@ def test_rolling_zscore_matches_pandas(spark, vals, w):
     exp = list(((s - mean) / sd).abs() > 1.0)
     got = [r["is_outlier"] for r in outliers.flag_rolling(to_grid(spark, vals), w, 1.0).orderBy("bin").collect()]
     assert got == exp
+
+
+@settings(max_examples=4, deadline=None, derandomize=True)
+@given(st.lists(st.one_of(st.none(), st.floats(-50, 50, allow_nan=False)), min_size=12, max_size=60), st.sampled_from([3, 7, 11]))
+def test_harmonic_matches_lstsq_with_gaps(spark, vals, p):
+    from tidewise.operators import harmonic
+    y = np.array([np.nan if v is None else v for v in vals])
+    keep = ~np.isnan(y)
+    if keep.sum() < 4 or np.nanvar(y) < 1e-6:
+        return
+    t = np.flatnonzero(keep).astype(float)
+    t = t - t[0]
+    yy = y[keep]
+    X = np.column_stack([np.ones_like(t), np.sin(2 * np.pi * t / p), np.cos(2 * np.pi * t / p)])
+    b, *_ = np.linalg.lstsq(X, yy, rcond=None)
+    r2 = 1 - np.sum((yy - X @ b) ** 2) / np.sum((yy - yy.mean()) ** 2)
+    got = harmonic.harmonic_fit(to_grid(spark, vals), (p,)).collect()[0]
+    assert abs(got["r2"] - r2) < 1e-8
