@@ -118,3 +118,25 @@ def test_harmonic_matches_lstsq_with_gaps(spark, vals, p):
     r2 = 1 - np.sum((yy - X @ b) ** 2) / np.sum((yy - yy.mean()) ** 2)
     got = harmonic.harmonic_fit(to_grid(spark, vals), (p,)).collect()[0]
     assert abs(got["r2"] - r2) < 1e-8
+
+
+@settings(max_examples=4, deadline=None, derandomize=True)
+@given(st.lists(st.one_of(st.none(), st.floats(-50, 50, allow_nan=False)), min_size=24, max_size=80))
+def test_acf_detect_matches_numpy(spark, vals):
+    from tidewise.operators import acf
+    y = np.array([v for v in vals if v is not None], dtype=float)
+    n = len(y)
+    max_lag = min(400, n // 2 - 1)
+    rows = {r["period"]: r for r in acf.acf_detect(to_grid(spark, vals), (7, 30)).collect()}
+    if max_lag < 10 or np.var(y) == 0:
+        return
+    d = y - y.mean()
+    ac = np.array([np.sum(d[: n - k] * d[k:]) for k in range(max_lag + 1)]) / np.sum(d * d)
+    for p in (7, 30):
+        r = rows[p]
+        if p > max_lag:
+            assert r["score"] == 0.0 and r["error"] == "period_exceeds_max_lag"
+            continue
+        lags = range(max(1, p - 3), min(max_lag, p + 3) + 1)
+        best = max(lags, key=lambda k: (abs(ac[k]), -k))
+        assert r["actual_lag"] == best and abs(r["score"] - abs(ac[best])) < 1e-10
