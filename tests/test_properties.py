@@ -140,3 +140,18 @@ def test_acf_detect_matches_numpy(spark, vals):
         lags = range(max(1, p - 3), min(max_lag, p + 3) + 1)
         best = max(lags, key=lambda k: (abs(ac[k]), -k))
         assert r["actual_lag"] == best and abs(r["score"] - abs(ac[best])) < 1e-10
+
+
+@settings(max_examples=4, deadline=None, derandomize=True)
+@given(series, st.sampled_from([7, 30]))
+def test_seasonal_fill_matches_python(spark, vals, p):
+    from tidewise.operators import impute
+    days = pd.date_range("2024-01-01", periods=len(vals), freq="D")
+    pos = [d.dayofweek for d in days] if p == 7 else [i % p for i in range(len(vals))]
+    means = {}
+    for k in set(pos):
+        xs = [v for v, q in zip(vals, pos) if q == k and v is not None]
+        means[k] = sum(xs) / len(xs) if xs else None
+    exp = [v if v is not None else means[q] for v, q in zip(vals, pos)]
+    got = collect_values(impute.fill_seasonal_mean(to_grid(spark, vals), p))
+    assert all((a is None and b is None) or (a is not None and b is not None and abs(a - b) < 1e-9) for a, b in zip(got, exp))
