@@ -155,3 +155,17 @@ def test_seasonal_fill_matches_python(spark, vals, p):
     exp = [v if v is not None else means[q] for v, q in zip(vals, pos)]
     got = collect_values(impute.fill_seasonal_mean(to_grid(spark, vals), p))
     assert all((a is None and b is None) or (a is not None and b is not None and abs(a - b) < 1e-9) for a, b in zip(got, exp))
+
+
+@settings(max_examples=4, deadline=None, derandomize=True)
+@given(st.lists(st.floats(-100, 100, allow_nan=False), min_size=5, max_size=40))
+def test_describe_matches_pandas(spark, vals):
+    from tidewise.operators import quality
+    s = pd.Series(vals, dtype=float)
+    if s.std() < 1e-6:
+        return
+    r = quality.describe(to_grid(spark, vals)).collect()[0]
+    exp = {"count": s.count(), "mean": s.mean(), "std": s.std(), "min": s.min(), "q25": s.quantile(0.25),
+           "median": s.median(), "q75": s.quantile(0.75), "max": s.max(), "skewness": s.skew(), "kurtosis": s.kurt()}
+    for k, v in exp.items():
+        assert abs(r[k] - v) <= 1e-7 * max(1.0, abs(v)), k
