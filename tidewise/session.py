@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 
@@ -70,13 +71,51 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
+def checkpoint_root(spark: SparkSession) -> str:
+    """The shared folder for intermediate tables.
+
+    ``spark.checkpoint.dir`` is read from the session; a folder set on the context comes next.
+    Only a local master may fall back to a temporary folder (tests): on a cluster the executors
+    would each write to a disk of their own, so a missing setting is an error there."""
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(root)
+        return root.rstrip("/")
+    if not sc.getCheckpointDir():
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidewise-ckpt-"))
+    return sc.getCheckpointDir().rstrip("/")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder; only set one where it is unset (tests)."""
-    d = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="tidewise-ckpt-")
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+    """Return the shared checkpoint folder; it is set once, and only where it is unset."""
+    return checkpoint_root(spark)
+
+
+_RUN_FOLDERS: dict[str, SparkSession] = {}
+
+
+def run_folder(spark: SparkSession) -> str:
+    """This application's folder under the checkpoint root; removed when the driver ends."""
+    path = f"{checkpoint_root(spark)}/tidewise-{spark.sparkContext.applicationId}"
+    if path not in _RUN_FOLDERS:
+        if not _RUN_FOLDERS:
+            atexit.register(release_all)
+        _RUN_FOLDERS[path] = spark
+    return path
+
+
+def release_all() -> None:
+    """Delete the intermediate tables of every application of this driver that still runs."""
+    for path, spark in list(_RUN_FOLDERS.items()):
+        sc = spark.sparkContext
+        if sc._jsc is not None and not sc._jsc.sc().isStopped():
+            p = sc._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+        del _RUN_FOLDERS[path]
 
 
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -88,7 +127,6 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     """
     import uuid
 
-    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
-    path = f"{base}/tidewise/{name}-{uuid.uuid4().hex}"
+    path = f"{run_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
