@@ -39,6 +39,12 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.report(table(spark, sf_dir, "documents"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewise.llm import jaccard
+
+    return jaccard.report(table(spark, sf_dir, "documents"))
+
+
 def op7_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewise.llm import sharding
 
@@ -60,5 +66,11 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.report(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
-Q = {f.__name__: f for f in (op1_ctw_score, op2_license_scan, op3_secret_scan, op4_decontaminate, op5_language_id, op7_histogram_shards, op8_pii, op9_byte_bpe)}
+def op10_stable_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewise.llm import neighbours
+
+    return neighbours.report(table(spark, sf_dir, "embeddings"))
+
+
+Q = {f.__name__: f for f in (op1_ctw_score, op2_license_scan, op3_secret_scan, op4_decontaminate, op5_language_id, op6_jaccard_join, op7_histogram_shards, op8_pii, op9_byte_bpe, op10_stable_projections)}
 ORACLE: dict[str, str] = {}
