@@ -118,6 +118,21 @@ def release_all() -> None:
         del _RUN_FOLDERS[path]
 
 
+_SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def write_table(df: DataFrame, path: str) -> None:
+    """Write ``df`` as Parquet once. The shuffle files of this write are deleted as soon as it has ended (the
+    table is what later steps read), so a job of many steps holds the shuffles of one step at a time."""
+    conf = df.sparkSession.conf
+    before = conf.get(_SHUFFLE_CLEANUP, None)
+    conf.set(_SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        conf.unset(_SHUFFLE_CLEANUP) if before is None else conf.set(_SHUFFLE_CLEANUP, before)
+
+
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Materialise ``df`` as Parquet in the shared checkpoint folder and read it back.
 
@@ -128,5 +143,5 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     import uuid
 
     path = f"{run_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    write_table(df, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
