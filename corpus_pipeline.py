@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewise.llm import bpe, decontaminate, jaccard, langid, pii
-from tidewise.session import run_folder
+from tidewise.session import run_folder, write_table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -64,6 +64,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     folder = f"{run_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
+        write_table(stage(spark, docs, sf_dir), f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
     return docs

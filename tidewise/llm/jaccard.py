@@ -82,7 +82,8 @@ def _set_id(u: np.ndarray) -> bytes:
 
 
 def shingle_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(doc_id, n_shingles, set_id, sig, prefix) of every row; the last three are null for an empty set."""
+    """(doc_id, n_shingles, set_id, short, sig, prefix) of every row; the last four are null for an empty set. ``short``
+    is the first half of set_id: enough to meet by, since a clash only adds a candidate."""
     spark = docs.sparkSession
     heavy = _common(docs, n)
     order = np.argsort(heavy)
@@ -93,12 +94,12 @@ def shingle_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
         for b in batches:
             for lo, hi in slices(b.column(1)):
                 keys, first = Words(b.column(1), lo, hi).grams(n)
-                size, ids, sigs, prefixes = [], [], [], []
+                size, ids, shorts, sigs, prefixes = [], [], [], [], []
                 for d in range(hi - lo):
                     u = np.unique(keys[first[d]:first[d + 1]])
                     size.append(len(u))
                     if not len(u):
-                        ids.append(None), sigs.append(None), prefixes.append(None)
+                        ids.append(None), shorts.append(None), sigs.append(None), prefixes.append(None)
                         continue
                     take = len(u) - _least_common(len(u), percent) + 1
                     if len(common):
@@ -108,13 +109,15 @@ def shingle_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
                     else:
                         ordered = u[:take]
                     ids.append(_set_id(u))
+                    shorts.append(int.from_bytes(ids[-1][:8], "little", signed=True))
                     sigs.append(_signature(u).tobytes())
                     prefixes.append(ordered.view(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(lo, hi - lo), pa.array(size, pa.int64()), pa.array(ids, pa.binary()), pa.array(sigs, pa.binary()),
-                     pa.array(prefixes, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "set_id", "sig", "prefix"])
+                    [b.column(0).slice(lo, hi - lo), pa.array(size, pa.int64()), pa.array(ids, pa.binary()), pa.array(shorts, pa.int64()),
+                     pa.array(sigs, pa.binary()), pa.array(prefixes, pa.list_(pa.int64()))],
+                    names=["doc_id", "n_shingles", "set_id", "short", "sig", "prefix"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, set_id binary, sig binary, prefix array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, set_id binary, short long, sig binary, prefix array<long>")
 
 
 def _could(size_a, size_b, rest_a, rest_b, common, percent):
@@ -343,14 +346,15 @@ def links(docs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:
     """Verified links (a, b) between classes of ``sets`` that connect all that the threshold connects."""
     spark = docs.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    classes = sets.filter(F.col("set_id").isNotNull()).groupBy("set_id").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"), F.first("prefix").alias("prefix"))
-    classes = cut_lineage(classes, "jaccard-classes")
-    keys = classes.select(F.explode("prefix").alias("key"), "set_id")
-    met = keys.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key"))).filter("n > 1").select("key", "set_id")
-    member = cut_lineage(met.join(classes.select("set_id", "n_shingles", "sig"), "set_id"), "jaccard-buckets")
-    place = Window.partitionBy("key").orderBy("n_shingles", "set_id")
-    member = member.withColumn("blk", F.floor((F.row_number().over(place) - 1) / BLOCK).cast("int"))
+    full = sets.filter(F.col("set_id").isNotNull())
+    classes = cut_lineage(full.groupBy("set_id").agg(
+        F.min("doc_id").alias("doc_id"), F.first("short").alias("short"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig")), "jaccard-classes")
+    keys = full.select("set_id", "short", "n_shingles", "prefix").dropDuplicates(["set_id"]).select(F.explode("prefix").alias("key"), "short", "n_shingles")
+    # the size range is tested first: a member stays if the next smaller or larger one of its bucket fits
+    place = Window.partitionBy("key").orderBy("n_shingles", "short")
+    met = keys.withColumn("less", F.lag("n_shingles").over(place)).withColumn("more", F.lead("n_shingles").over(place))
+    met = met.filter((100 * F.col("less") >= percent * F.col("n_shingles")) | (100 * F.col("n_shingles") >= percent * F.col("more")))
+    member = cut_lineage(met.select("key", "short", "n_shingles", F.floor((F.row_number().over(place) - 1) / BLOCK).cast("int").alias("blk")), "jaccard-buckets")
     sized = member.groupBy("key", "blk").agg(F.min("n_shingles").alias("lo"), F.max("n_shingles").alias("hi"))
     # block pairs whose size ranges fit; nearly every bucket has the one pair (0, 0)
     first, second = sized.select("key", F.col("blk").alias("i"), F.col("hi").alias("hi_i")), sized.select("key", F.col("blk").alias("j"), F.col("lo").alias("lo_j"))
@@ -360,6 +364,7 @@ def links(docs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:
     ends = pairs.select("key", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("blk"))
     single = member.join(many, "key", "left_anti").withColumn("i", F.lit(0)).withColumn("j", F.lit(0))
     spread = member.join(ends, ["key", "blk"]).unionByName(single)
+    spread = spread.select("key", "i", "j", "blk", "short").join(classes.select("short", "set_id", "n_shingles", "sig"), "short")
     rows = spread.repartition(tasks, "key", "i", "j").sortWithinPartitions("key", "i", "j")
     found = cut_lineage(_prune(rows, percent), "jaccard-candidates")
     candidates = found.filter("kind = 0").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()

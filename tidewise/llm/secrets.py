@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewise.llm.spans import empty, regex_spans
-from tidewise.session import run_folder
+from tidewise.session import run_folder, write_table
 
 # fixed values: kind -> (pattern, guard)
 # assign  (password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)  letters in either case, group 2 of 12+
@@ -76,7 +76,7 @@ def update_ledger(docs: DataFrame, ledger: str, rule_version: str = RULE_VERSION
     if p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
         seen = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(version).select("blob")
         unseen = unseen.join(seen, "blob", "left_anti")
-    unseen.select("blob", findings(F.col("text")).alias("found")).write.parquet(f"{version}/{uuid.uuid4().hex}")
+    write_table(unseen.select("blob", findings(F.col("text")).alias("found")), f"{version}/{uuid.uuid4().hex}")
     return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(version)
 
 
