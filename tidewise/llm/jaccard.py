@@ -10,13 +10,14 @@ result. Classes that share such a key meet in a bucket, and there a signature tr
 * two nodes are traversed together only while a pair below them could still reach the threshold: the overlap
   is at most rest + common bits, and at most the smaller size.
 
-What the trees leave is verified on the whole texts. In a small bucket the pairs go on, each once. In a large one
-(many near copies) only the members go on; their texts meet once more, the most similar pairs are verified first,
+What the trees leave are candidate pairs; a large bucket sends on a spanning forest of them. The components of the
+candidates are clusters: every link lies inside one, and a class that lies in many common buckets is sent to its cluster
+once. There the whole texts meet, signature trees name the pairs again, the most similar pairs are verified first,
 and a pair whose ends are linked already is skipped, so a group of n near copies gives n - 1 links, not n * n.
 No link between different components is lost, so components are exact.
 
-Scale: a bucket over BLOCK members is split into blocks by size, and only block pairs whose size ranges fit
-meet in a task. Links and labels stay distributed.
+Scale: a bucket over BLOCK members and a cluster over BLOCK_SHINGLES shingles are split into blocks by size, and
+only block pairs whose size ranges fit meet in a task. Candidates, links and labels stay distributed.
 
 Cases: null or empty texts have no set (n_shingles 0) and are their own component; fewer than n words make one
 shingle of the whole sequence; repeated rows are one class; null ids are never the smallest unless all are
@@ -39,8 +40,9 @@ from tidewise.session import cut_lineage, ship_package
 
 BITS = 1024
 LEAF, FAN = 16, 8
-SMALL = 16  # buckets up to this size pass on pairs
+SMALL = 16  # buckets up to this size are one leaf; they are taken together
 BLOCK = 1024
+BLOCK_SHINGLES = 1 << 18
 HEAVY = 1 << 16  # common shingles that come last in the order (an upper bound of what is broadcast)
 
 
@@ -206,50 +208,67 @@ def _fixed(column: pa.ChunkedArray, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(-1, width)
 
 
+def _forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """The smallest member of each member's component under the pairs (a, b)."""
+    label = np.arange(n)
+    while True:
+        low = np.minimum(label[a], label[b])
+        new = label.copy()
+        np.minimum.at(new, a, low)
+        np.minimum.at(new, b, low)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
+
 def _prune(rows: DataFrame, percent: int) -> DataFrame:
-    """Signature trees over the buckets (key, i, j; sorted): candidate pairs (kind 0: a, b) of small buckets, members
-    with a candidate (kind 1: a) of the others."""
+    """Signature trees over the buckets (key, i, j; sorted): candidate pairs (a, b), of a large bucket only a
+    spanning forest."""
     def run(batches):
         for t, cuts in _runs(batches, 3):
             size = np.asarray(t.column("n_shingles"))
             sig = np.ascontiguousarray(_fixed(t.column("sig"), BITS // 8)).view(np.uint64)
             ids = t.column("set_id").to_pylist()
-            key, bi, bj, blk = (np.asarray(t.column(c)) for c in ("key", "i", "j", "blk"))
+            bi, bj, blk = (np.asarray(t.column(c)) for c in ("i", "j", "blk"))
             length = np.diff(cuts)
-            a_out, b_out, kind, at = [], [], [], []
-            small = cuts[:-1][(length > 1) & (length <= SMALL)]
-            width = length[(length > 1) & (length <= SMALL)]
-            for m in np.unique(width):  # all small buckets of one size at once: each is a single leaf
+            leaf = (sig, size, size, size - np.bitwise_count(sig).sum(axis=1).astype(np.int64))
+            a_out, b_out = [], []
+            few = (length > 1) & (length <= SMALL)
+            for m in np.unique(length[few]):  # all small buckets of one size at once: each is a single leaf
                 x, y = np.triu_indices(m, 1)
-                a = (small[width == m][:, None] + x).ravel()
-                b = (small[width == m][:, None] + y).ravel()
-                leaf = (sig, size, size, size - np.bitwise_count(sig).sum(axis=1).astype(np.int64))
+                begin = cuts[:-1][few & (length == m)]
+                a, b = (begin[:, None] + x).ravel(), (begin[:, None] + y).ravel()
                 good = _possible(leaf, leaf, a, b, percent)
-                a_out += [ids[k] for k in a[good]]
-                b_out += [ids[k] for k in b[good]]
-                kind += [0] * int(good.sum())
-                at += a[good].tolist()
+                a_out.append(a[good])
+                b_out.append(b[good])
             for lo, m in zip(cuts[:-1][length > SMALL], length[length > SMALL]):
                 rows = np.arange(lo, lo + m)
                 rows = rows[np.lexsort((size[rows], blk[rows]))]
-                if bi[lo] == bj[lo]:
-                    a, b = traverse(Tree(size[rows], sig[rows]), None, percent)
-                    active = rows[np.unique(np.concatenate((a, b)))]
-                else:
-                    one, two = rows[blk[rows] == bi[lo]], rows[blk[rows] == bj[lo]]
-                    a, b = traverse(Tree(size[one], sig[one]), Tree(size[two], sig[two]), percent)
-                    active = np.concatenate((one[np.unique(a)], two[np.unique(b)]))
-                a_out += [ids[k] for k in active]
-                b_out += [None] * len(active)
-                kind += [1] * len(active)
-                at += active.tolist()
-            at = np.array(at, dtype=np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(kind, pa.int32()), pa.array(key[at]), pa.array(bi[at]), pa.array(bj[at]), pa.array(blk[at]), pa.array(a_out, pa.binary()), pa.array(b_out, pa.binary())],
-                names=["kind", "key", "i", "j", "blk", "a", "b"])
-
-    return (rows.select("key", "i", "j", "blk", "n_shingles", "sig", "set_id")
-            .mapInArrow(run, "kind int, key long, i int, j int, blk int, a binary, b binary"))
+                one, two = rows[blk[rows] == bi[lo]], rows[blk[rows] == bj[lo]]
+                right = None if bi[lo] == bj[lo] else Tree(size[two], sig[two])
+                if len(one) and len(two):
+                    a, b = traverse(Tree(size[one], sig[one]), right, percent)
+                    label = lo + _forest(one[a] - lo, two[b] - lo, m)
+                    inner = np.flatnonzero(label != np.arange(lo, lo + m))
+                    a_out.append(lo + inner)
+                    b_out.append(label[inner])
+            at = [np.concatenate(x).tolist() if x else [] for x in (a_out, b_out)]
+            yield pa.RecordBatch.from_arrays([pa.array([ids[k] for k in x], pa.binary()) for x in at], names=["a", "b"])
+
+    return rows.select("key", "i", "j", "blk", "n_shingles", "sig", "set_id").mapInArrow(run, "a binary, b binary")
+
+
+def _block_pairs(member: DataFrame, percent: int) -> DataFrame:
+    """``member`` (key, blk, n_shingles, ...) with i and j: a row for every pair of blocks of its key that it takes part
+    in and whose size ranges fit; nearly every key has the one pair (0, 0)."""
+    many = member.filter("blk > 0").select("key").distinct()
+    sized = member.join(many, "key", "left_semi").groupBy("key", "blk").agg(F.min("n_shingles").alias("lo"), F.max("n_shingles").alias("hi"))
+    first, second = sized.select("key", F.col("blk").alias("i"), F.col("hi").alias("hi_i")), sized.select("key", F.col("blk").alias("j"), F.col("lo").alias("lo_j"))
+    pairs = first.join(second, "key").filter((F.col("i") <= F.col("j")) & (100 * F.col("hi_i") >= percent * F.col("lo_j")))
+    ends = pairs.select("key", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("blk"))
+    single = member.join(many, "key", "left_anti").withColumn("i", F.lit(0)).withColumn("j", F.lit(0))
+    return member.join(ends, ["key", "blk"]).unionByName(single)
 
 
 def _sets(texts: pa.Array, n: int) -> list[np.ndarray]:
@@ -280,27 +299,9 @@ def _texts(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     return got.dropDuplicates(["set_id"])
 
 
-def _verify_pairs(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
-    def run(batches):
-        for b in batches:
-            if not len(b):
-                continue
-            good = np.zeros(len(b), dtype=bool)
-            for lo in range(0, len(b), 256):
-                part = b.slice(lo, 256)
-                for k, (u, v) in enumerate(zip(_sets(part.column(2), n), _sets(part.column(3), n))):
-                    good[lo + k] = _linked(u, v, percent)
-            yield b.select(["a", "b"]).filter(pa.array(good))
-
-    left = texts.select(F.col("set_id").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("set_id").alias("b"), F.col("text").alias("text_b"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-    return joined.mapInArrow(run, "a binary, b binary")
-
-
-def _verify_members(members: DataFrame, texts: DataFrame, n: int, percent: int, tasks: int) -> DataFrame:
-    """Spanning links of every large bucket (block pair): candidates by falling similarity bound, skipping pairs
-    whose ends are linked already."""
+def _verify(members: DataFrame, texts: DataFrame, n: int, percent: int, tasks: int) -> DataFrame:
+    """Spanning links of every cluster (block pair): pairs by falling similarity bound, skipping those whose ends
+    are linked already."""
     def run(batches):
         for t, cuts in _runs(batches, 3):
             for lo, hi in zip(cuts[:-1], cuts[1:]):
@@ -334,11 +335,11 @@ def _verify_members(members: DataFrame, texts: DataFrame, n: int, percent: int,
                     if x != y and _linked(sets[a[k]], sets[b[k]], percent):
                         root[max(x, y)] = min(x, y)
                         links.append((int(a[k]), int(b[k])))
-                ids = part.column("a").to_pylist()
+                ids = part.column("set_id").to_pylist()
                 yield pa.RecordBatch.from_arrays([pa.array([ids[x] for x, _ in links], pa.binary()), pa.array([ids[y] for _, y in links], pa.binary())], names=["a", "b"])
 
-    rows = (members.join(texts.withColumnRenamed("set_id", "a"), "a").select("key", "i", "j", "blk", "a", "text")
-            .repartition(tasks, "key", "i", "j").sortWithinPartitions("key", "i", "j", "a"))
+    rows = (members.join(texts, "set_id").select("key", "i", "j", "blk", "set_id", "text")
+            .repartition(tasks, "key", "i", "j").sortWithinPartitions("key", "i", "j", "set_id"))
     return rows.mapInArrow(run, "a binary, b binary")
 
 
@@ -355,24 +356,16 @@ def links(docs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:
     met = keys.withColumn("less", F.lag("n_shingles").over(place)).withColumn("more", F.lead("n_shingles").over(place))
     met = met.filter((100 * F.col("less") >= percent * F.col("n_shingles")) | (100 * F.col("n_shingles") >= percent * F.col("more")))
     member = cut_lineage(met.select("key", "short", "n_shingles", F.floor((F.row_number().over(place) - 1) / BLOCK).cast("int").alias("blk")), "jaccard-buckets")
-    sized = member.groupBy("key", "blk").agg(F.min("n_shingles").alias("lo"), F.max("n_shingles").alias("hi"))
-    # block pairs whose size ranges fit; nearly every bucket has the one pair (0, 0)
-    first, second = sized.select("key", F.col("blk").alias("i"), F.col("hi").alias("hi_i")), sized.select("key", F.col("blk").alias("j"), F.col("lo").alias("lo_j"))
-    many = sized.filter("blk > 0").select("key").distinct()
-    pairs = (first.join(many, "key", "left_semi").join(second.join(many, "key", "left_semi"), "key")
-             .filter((F.col("i") <= F.col("j")) & (100 * F.col("hi_i") >= percent * F.col("lo_j"))).select("key", "i", "j"))
-    ends = pairs.select("key", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("blk"))
-    single = member.join(many, "key", "left_anti").withColumn("i", F.lit(0)).withColumn("j", F.lit(0))
-    spread = member.join(ends, ["key", "blk"]).unionByName(single)
-    spread = spread.select("key", "i", "j", "blk", "short").join(classes.select("short", "set_id", "n_shingles", "sig"), "short")
-    rows = spread.repartition(tasks, "key", "i", "j").sortWithinPartitions("key", "i", "j")
-    found = cut_lineage(_prune(rows, percent), "jaccard-candidates")
-    candidates = found.filter("kind = 0").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    candidates = cut_lineage(candidates, "jaccard-pairs")
-    members = found.filter("kind = 1").select("key", "i", "j", "blk", "a")
-    wanted = candidates.select(F.explode(F.array("a", "b")).alias("set_id")).unionAll(members.select(F.col("a").alias("set_id"))).distinct()
-    texts = cut_lineage(_texts(docs, wanted.join(classes.select("set_id", "doc_id"), "set_id"), n), "jaccard-texts")
-    return cut_lineage(_verify_pairs(candidates, texts, n, percent).unionAll(_verify_members(members, texts, n, percent, tasks)), "jaccard-links")
+    spread = _block_pairs(member, percent).select("key", "i", "j", "blk", "short")
+    rows = (spread.join(classes.select("short", "set_id", "n_shingles", "sig"), "short")
+            .repartition(tasks, "key", "i", "j").sortWithinPartitions("key", "i", "j"))
+    cluster = components(_prune(rows, percent))
+    inside = Window.partitionBy("key").orderBy("n_shingles", "set_id")
+    before = F.coalesce(F.sum("n_shingles").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    member = classes.join(cluster, classes["set_id"] == cluster["v"]).select(F.col("c").alias("key"), "set_id", "doc_id", "n_shingles")
+    member = cut_lineage(member.withColumn("blk", F.floor(before / BLOCK_SHINGLES).cast("int")), "jaccard-clusters")
+    texts = _texts(docs, member.select("set_id", "doc_id"), n)
+    return cut_lineage(_verify(_block_pairs(member, percent).select("key", "i", "j", "blk", "set_id"), texts, n, percent, tasks), "jaccard-links")
 
 
 def groups(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
