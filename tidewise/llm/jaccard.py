@@ -5,10 +5,11 @@ of each class goes on. Two classes can only reach ``percent`` if they share a sh
 set in any fixed order (prefix filter); common shingles come last in our order, which changes the work, not the
 result. Classes that share such a key meet in a bucket, and there a signature tree prunes:
 
-* a member has its size, a 1024-bit map of its shingles and ``rest`` = size - bits set;
+* a member has its size, a bit map of its shingles (of a long document those with the smallest hashes, as many as fill
+  half the map) and ``rest`` = size - bits set;
 * a node has the OR of its members' maps, the range of their sizes and their largest ``rest``;
 * two nodes are traversed together only while a pair below them could still reach the threshold: the overlap
-  is at most rest + common bits, and at most the smaller size.
+  is at most rest (of the longer document, whose shingles are sampled more sparsely) + common bits.
 
 What the trees leave are candidate pairs; a large bucket sends on a spanning forest of them. The components of the
 candidates are clusters: every link lies inside one, and a class that lies in many common buckets is sent to its cluster
@@ -38,11 +39,12 @@ from tidewise.llm.bytewords import Words, slices
 from tidewise.llm.components import components
 from tidewise.session import cut_lineage, ship_package
 
-BITS = 1024
+BITS = 2048
+SAMPLED = 1420  # shingles of a long document in its map: they set half the bits
 LEAF, FAN = 16, 8
 SMALL = 16  # buckets up to this size are one leaf; they are taken together
 BLOCK = 1024
-BLOCK_SHINGLES = 1 << 18
+BLOCK_SHINGLES = 1 << 20
 HEAVY = 1 << 16  # common shingles that come last in the order (an upper bound of what is broadcast)
 
 
@@ -75,6 +77,8 @@ def _least_common(size: int, percent: int) -> int:
 
 def _signature(u: np.ndarray) -> np.ndarray:
     bits = np.zeros(BITS, dtype=bool)
+    if len(u) > SAMPLED:
+        u = u[u < np.uint64(int(SAMPLED / len(u) * 2.0 ** 64))]
     bits[(u & np.uint64(BITS - 1)).astype(np.int64)] = True
     return np.packbits(bits)
 
@@ -122,9 +126,11 @@ def shingle_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, set_id binary, short long, sig binary, prefix array<long>")
 
 
-def _could(size_a, size_b, rest_a, rest_b, common, percent):
-    """Whether a pair (or some pair of two nodes, given their smallest sizes) can reach the threshold."""
-    return (100 + percent) * (np.minimum(rest_a, rest_b) + common) >= percent * (size_a + size_b)
+def _could(x, y, a, b, common, percent):
+    """Whether node pairs (x[a], y[b]) can hold a pair that reaches the threshold."""
+    whole = (x[2][a] <= SAMPLED) & (y[2][b] <= SAMPLED)  # nothing sampled: either side bounds the overlap
+    rest = np.where(whole, np.minimum(x[3][a], y[3][b]), np.maximum(x[3][a], y[3][b]))
+    return (100 + percent) * (rest + common) >= percent * (x[1][a] + y[1][b])
 
 
 class Tree:
@@ -154,7 +160,7 @@ def _possible(x, y, a, b, percent):
         part = k[lo:lo + (1 << 16)]
         i, j = a[part], b[part]
         common = np.bitwise_count(x[0][i] & y[0][j]).sum(axis=1).astype(np.int64)
-        out[part] = _could(x[1][i], y[1][j], x[3][i], y[3][j], common, percent)
+        out[part] = _could(x, y, i, j, common, percent)
     return out
 
 
