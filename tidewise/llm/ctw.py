@@ -116,7 +116,7 @@ def _summed(parts: list[tuple]) -> tuple:
     return found, np.bincount(codes, weights=np.concatenate([p[1] for p in parts]), minlength=len(found))
 
 
-def ask(payloads: DataFrame) -> DataFrame:
+def ask(payloads: DataFrame, depth: int = DEPTH) -> DataFrame:
     """(block, kind, key, n): every distinct word and window of a block with its training count (0 where only
     held-out texts have it)."""
     def run(batches):
@@ -128,7 +128,7 @@ def ask(payloads: DataFrame) -> DataFrame:
                     train = ~np.asarray(b.column(1))
                     stream, at = token_stream(w)
                     for kind, keys, weight in ((WORD, w.hash, np.repeat(train, np.diff(w.first))),
-                                               (WINDOW, windows(stream, at), np.repeat(train, np.diff(at)))):
+                                               (WINDOW, windows(stream, at, depth), np.repeat(train, np.diff(at)))):
                         codes, found = pd.factorize(keys)
                         held[kind].append((found, np.bincount(codes, weights=weight, minlength=len(found))))
                         if len(held[kind]) >= 8:
@@ -189,7 +189,7 @@ def score(docs: DataFrame, depth: int = DEPTH, block_bytes: int = BLOCK_BYTES) -
     spark = docs.sparkSession
     ship_package(spark)
     payloads = blocks(docs.select(F.col("doc_id").cast("long"), F.col("held").cast("boolean"), "text"), block_bytes)
-    asked = cut_lineage(ask(payloads), "lm-asked")
+    asked = cut_lineage(ask(payloads, depth), "lm-asked")
     totals = cut_lineage(asked.groupBy("kind", "key").agg(F.sum("n").alias("n")), "lm-counts")
     n_docs = docs.filter(~F.col("held")).count()  # training end tokens
     row = totals.filter(f"kind = {WORD}").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(F.col("n") > 0).alias("v")).collect()[0]
