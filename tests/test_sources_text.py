@@ -153,22 +153,39 @@ def test_save_results(spark):
     assert spark.read.text(paths["summary"]).count() == out["summary"].count()
 
 
-def test_stream_grid_matches_batch(spark):
+def test_stream_grid_matches_batch_over_many_batches_and_resumes(spark):
+    """One file per batch, bins shared by batches, old readings last; a second call takes only the new file."""
+    from pyspark.sql import functions as F
     from tidewise.operators import resample
-    from tidewise.streaming.ingest import grid_from_sink, stream_grid
+    from tidewise.streaming.ingest import run_stream_grid
     src = spark.read.parquet(f"{SF}/events.parquet")
     d = tmpdir()
-    src.write.mode("overwrite").parquet(d + "/in")
-    stream = spark.readStream.schema(src.schema).parquet(d + "/in")
-    q = (stream_grid(stream, "event_type", "ts", "value", "1 hour", "10 days")
-         .writeStream.outputMode("update").format("memory").queryName("grid_parts").start())
-    q.processAllAvailable()
-    q.stop()
-    g = grid_from_sink(spark.table("grid_parts"))
-    batch = resample.resample(readings(spark, SF, "events"), "H", "mean").filter("value IS NOT NULL")
-    a = {(r["sensor"], str(r["bin"])): round(r["value"], 9) for r in g.collect()}
-    b = {(r["sensor"], str(r["bin"])): round(r["value"], 9) for r in batch.collect()}
-    assert a == b
+    dealt = src.withColumn("_part", F.pmod(F.xxhash64("event_id" if "event_id" in src.columns else src.columns[0]), F.lit(4)))
+    for k in (3, 1, 0):
+        dealt.filter(F.col("_part") == k).drop("_part").coalesce(1).write.mode("append").parquet(d + "/in")
+    values = lambda df: {(r["sensor"], str(r["bin"])): round(r["value"], 9) for r in df.collect()}
+    run_stream_grid(spark, d + "/in", "event_type", "ts", "value", folder=d + "/state", max_files=1)
+    assert len([x for x in os.listdir(d + "/state/parts") if x.startswith("batch=")]) == 3
+    dealt.filter("_part = 2").drop("_part").coalesce(1).write.mode("append").parquet(d + "/in")
+    g = run_stream_grid(spark, d + "/in", "event_type", "ts", "value", folder=d + "/state", max_files=1)
+    assert len([x for x in os.listdir(d + "/state/parts") if x.startswith("batch=")]) == 4
+    assert values(g) == values(resample.resample(readings(spark, SF, "events"), "H", "mean").filter("value IS NOT NULL"))
+
+
+def test_checkpoint_folder_is_set_once(spark):
+    from tidewise.session import checkpoint_root, cut_lineage, run_folder
+    root, folder = checkpoint_root(spark), run_folder(spark)
+    for _ in range(300):
+        assert checkpoint_root(spark) == root and run_folder(spark) == folder
+    assert cut_lineage(spark.range(5)).count() == 5
+
+
+def test_analyze_skips_sensors_with_few_raw_readings(spark):
+    from tidewise.plans.run import analyze
+    r = spark.sql("""select concat('s', s) sensor, timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, i * if(s = 0, 1, 10)) ts,
+                     sin(i * 2 * pi() / 7) value from range(2) t(s), range(150) u(i) where s = 0 or i < 50""")
+    out = analyze(r, methods=["fourier"])
+    assert [x["sensor"] for x in out["ranking"].collect()] == ["s0"]
 
 
 def test_lenient_csv_quarantines_bad_timestamps(spark):

@@ -18,7 +18,7 @@ class PreprocessingConfig:
     resample_freq: str = "D"
     resample_method: str = "mean"          # mean | median | ffill
     outlier_method: str = "none"           # iqr | zscore | iforest | none (off by default, as in the run)
-    outlier_threshold: float = 1.5
+    outlier_threshold: float | None = None  # None: the method's own default
     impute_method: str = "linear"          # linear | spline | ffill | none
     changepoint_method: str = "none"       # pelt | window | none
     changepoint_penalty: float = 10.0

@@ -45,12 +45,12 @@ def anomaly_scores(x: np.ndarray, n_trees: int = 100, max_samples: int = 256, se
     return 2.0 ** (-(total / n_trees) / _c(psi))
 
 
-def iforest_group(pdf: pd.DataFrame, cols: list[str], contamination: float, seed: int, n_trees: int) -> pd.DataFrame:
+def iforest_group(pdf: pd.DataFrame, cols: list[str], contamination: float, seed: int, n_trees: int, max_samples: int = 256) -> pd.DataFrame:
     v = pdf["value"].to_numpy(dtype=float)
     ok = ~np.isnan(v)
     flag = np.zeros(len(v), dtype=bool)
     if ok.sum() > 1:
-        s = anomaly_scores(v[ok], n_trees=n_trees, seed=seed)
+        s = anomaly_scores(v[ok], n_trees=n_trees, max_samples=max_samples, seed=seed)
         thr = np.percentile(s, 100.0 * (1.0 - contamination))
         flag[np.flatnonzero(ok)] = s > thr
     out = pdf[cols].copy()

@@ -49,8 +49,10 @@ def flag_rolling(grid: DataFrame, window: int = 30, threshold: float = 3.0) -> D
     return grid.withColumn("is_outlier", F.coalesce(z > threshold, F.lit(False)))
 
 
-def flag_iforest(grid: DataFrame, contamination: float = 0.05, seed: int = 42, n_trees: int = 100) -> DataFrame:
-    """OU-3: 1-D isolation forest per sensor (grouped map); flags the top ``contamination`` share."""
+def flag_iforest(grid: DataFrame, contamination: float = 0.05, seed: int = 42, n_trees: int = 100,
+                 max_samples: int = 256) -> DataFrame:
+    """OU-3: 1-D isolation forest per sensor (grouped map); flags the top ``contamination`` share. Each tree
+    is grown on ``max_samples`` points (the published default), all points are scored."""
     from tidewise.kernels.iforest import iforest_group
 
     from pyspark.sql import types as T
@@ -59,7 +61,7 @@ def flag_iforest(grid: DataFrame, contamination: float = 0.05, seed: int = 42, n
     schema = T.StructType(list(grid.schema.fields) + [T.StructField("is_outlier", T.BooleanType())])
 
     def run(pdf):
-        return iforest_group(pdf, cols, contamination, seed, n_trees)
+        return iforest_group(pdf, cols, contamination, seed, n_trees, max_samples)
 
     return by_sensor(grid).groupBy(SENSOR).applyInPandas(run, schema=schema)
 

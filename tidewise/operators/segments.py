@@ -90,7 +90,7 @@ def changepoints_pelt(grid: DataFrame, model: str = "rbf", min_size: int = 30, p
             else:
                 bk = pelt(x, model, min_size, penalty, jump)
         except Exception as e:  # noqa: BLE001
-            return pd.DataFrame({"sensor": [name], "cp_bin": [None], "error": [str(e)[:200]]})
+            return pd.DataFrame({"sensor": [name], "cp_bin": [None], "error": [str(e)]})
         idx = [i - 1 for i in bk[:-1] if i < len(x)]
         bins = pdf[BIN].to_numpy()[idx]
         return pd.DataFrame({"sensor": name, "cp_bin": bins, "error": None})

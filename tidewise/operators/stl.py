@@ -44,7 +44,7 @@ def _stl_group(pdf: pd.DataFrame, periods, seasonal: int, robust: bool, threshol
                  float(np.var(r["seasonal"])), float(np.var(r["resid"])), float(tstr))
             )
         except Exception as e:  # isolate failures per group
-            rows.append((name, int(p), 0.0, False, str(e)[:200], None, None, None, None))
+            rows.append((name, int(p), 0.0, False, str(e), None, None, None, None))
     return pd.DataFrame(rows, columns=[c.split()[0] for c in STL_SCHEMA.split(", ")])
 
 

@@ -853,9 +853,9 @@ def _cp_window_rbf(spark, sf):
 @q("stream_hourly_grid", "SELECT event_type AS sensor, CAST(date_trunc('hour', ts) AS VARCHAR) AS bin, "
    "ROUND(sum(value) / count(value), 6) + 0.0 AS value FROM events GROUP BY 1, 2")
 def _stream_hourly_grid(spark, sf):
-    """Structured Streaming ingest of the whole events table (file source, watermark, update mode)."""
+    """Structured Streaming ingest of the whole events table (file source, partials of each batch)."""
     from tidewise.streaming.ingest import run_stream_grid
-    return run_stream_grid(spark, f"{sf.rstrip('/')}/events.parquet", "event_type", "ts", "value", "1 hour", "30 days")
+    return run_stream_grid(spark, f"{sf.rstrip('/')}/events.parquet", "event_type", "ts", "value", "1 hour")
 
 
 

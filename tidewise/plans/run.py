@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from tidewise.config import DetectionConfig, PreprocessingConfig, RunConfig
 from tidewise.operators import impute, outliers, resample
 from tidewise.operators.ensemble import detect_all, eligible
+from tidewise.operators.quality import keep_valid
 from tidewise.operators.scoring import ranking, scores_table, summary_statistics
 from tidewise.session import cut_lineage
 
@@ -38,6 +39,8 @@ def analyze(readings: DataFrame, cfg: RunConfig = RunConfig(), methods=None, mat
             remove_outliers: bool = False) -> dict[str, DataFrame]:
     det: DetectionConfig = cfg.detection
     methods = list(methods or det.methods)
+    # sensors with too few readings are skipped before gaps are filled, which would hide them
+    readings = keep_valid(readings, det.min_points)
     grid = preprocess(readings, cfg.preprocessing, remove_outliers=remove_outliers)
     if materialize:
         grid = cut_lineage(grid)
