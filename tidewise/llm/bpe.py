@@ -220,7 +220,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], block_bytes: int):
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text",
-           block_bytes: int = 8 << 20) -> DataFrame:
+           block_bytes: int = 32 << 20) -> DataFrame:
     """(id, ids array<int>) for every row."""
     ship_package(docs.sparkSession)
     schema = T.StructType([docs.schema[id_col], T.StructField("ids", T.ArrayType(T.IntegerType()))])
@@ -249,7 +249,7 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids") ->
     return encoded.mapInArrow(run, schema)
 
 
-def report(docs: DataFrame, ranks: dict[bytes, int], pattern: str, block_bytes: int = 8 << 20) -> DataFrame:
+def report(docs: DataFrame, ranks: dict[bytes, int], pattern: str, block_bytes: int = 32 << 20) -> DataFrame:
     """One row per document: number of ids, digest of the ids, digest of the bytes decoded from them."""
     ship_package(docs.sparkSession)
 
