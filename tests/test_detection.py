@@ -148,3 +148,36 @@ def test_batch_skips_short_sensors(spark):
     g = to_grid(spark, list(WEEKLY), sensor="long").unionByName(to_grid(spark, list(WEEKLY[:50]), sensor="short"))
     det = detect_all(g, DetectionConfig(periods=(7,)), methods=("fourier",))
     assert {r["sensor"] for r in det.collect()} == {"long"}
+
+
+def _full_kernel_pelt(x, min_size, pen, jump):
+    """Plain optimal partitioning on the full kernel matrix."""
+    d = (x[:, None] - x[None, :]) ** 2
+    gamma = 1.0 / np.median(d[np.triu_indices(len(x), 1)])
+    k = np.exp(-np.clip(gamma * d, 1e-2, 1e2))
+    ends = [e for e in range(0, len(x), jump) if e >= min_size] + [len(x)]
+    best = {0: (0.0, [])}
+    for e in ends:
+        opts = [(best[s][0] + np.trace(k[s:e, s:e]) - k[s:e, s:e].sum() / (e - s) + pen, s) for s in best if e - s >= min_size]
+        if opts:
+            tot, s = min(opts)
+            best[e] = (tot, best[s][1] + [e])
+    return best[len(x)][1]
+
+
+def test_rbf_costs_equal_the_full_kernel():
+    from tidewise.kernels.pelt import median_square_distance, pelt
+    rng = np.random.default_rng(5)
+    x = np.round(np.r_[rng.normal(0, 1, 113), rng.normal(4, 1, 90), rng.normal(1, 2, 101)], 1)
+    d = (x[:, None] - x[None, :]) ** 2
+    assert abs(median_square_distance(x) - np.median(d[np.triu_indices(len(x), 1)])) < 1e-12
+    for pen in (0.5, 2.0, 10.0):
+        assert pelt(x, "rbf", 30, pen) == _full_kernel_pelt(x, 30, pen, 5)
+
+
+def test_rbf_has_no_length_limit(spark):
+    from tidewise.kernels.pelt import pelt, window_changepoints
+    rng = np.random.default_rng(6)
+    x = np.r_[rng.normal(10, 1, 12_000), rng.normal(20, 1, 8_000)]
+    assert 12_000 in pelt(x, "rbf", 30, 10.0)
+    assert 12_000 in window_changepoints(x, "rbf", 50, 30, 5.0)

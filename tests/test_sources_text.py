@@ -227,3 +227,31 @@ def test_wide_csv_to_ranking_end_to_end(spark):
     rk = out["ranking"].orderBy("rank").collect()
     assert [r["rank"] for r in rk] == [1, 2, 3, 4]
     assert {r["sensor"] for r in rk[:2]} == {"sensor_1", "sensor_2"}  # the seasonal ones rank first
+
+
+def test_replacing_is_one_pass_and_has_no_name_limit(spark):
+    df = spark.createDataFrame([("web S (a.b) 12",), ("no name",), (None,)], "t string")
+    pairs = [("S", "SENSOR_001"), ("web", "SENSOR_002"), ("(a.b)", "SENSOR_003"), ("(a", "SENSOR_004")]
+    got = [r[0] for r in df.select(textops.replace_names(F.col("t"), pairs)).collect()]
+    assert got == ["SENSOR_002 SENSOR_001 SENSOR_003 12", "no name", None]
+    many = [(f"sensor_{i}", f"SENSOR_{i:05d}") for i in range(12_000)]
+    df = spark.createDataFrame([("sensor_7,sensor_11999;sensor_120000 sensor_x",)], "t string")
+    got = df.select(textops.replace_names(F.col("t"), many)).collect()[0][0]
+    # the longest listed name at a place: sensor_12000 is not listed, sensor_1200 is
+    assert got == "SENSOR_00007,SENSOR_11999;SENSOR_0120000 sensor_x"
+
+
+def test_saved_bundles_hold_no_name_and_no_path(spark):
+    d, out = tmpdir(), tmpdir()
+    leak = "sensor_1 and sensor_10 in /home/u/x.csv"
+    b = {"bundle_id": "b3", "config": {leak: leak}, "data_summary": {"sensor_columns": ["sensor_1", "sensor_10"], "file": leak},
+         "warnings": [leak], "errors": [{leak: leak}], "results_summary": {"top": leak}, "log_excerpt": leak,
+         "health_checks": [{"check_name": leak, "passed": False, "message": leak, "details": {leak: leak}}],
+         "processing_steps": [{"step_name": leak, "status": "ok", "start_time": "2024-01-01T00:00:00", "end_time": "2024-01-01T00:00:01",
+                               "duration_seconds": 1.0, "message": leak, "details": {leak: leak}, "metrics": {leak: leak}}]}
+    with open(os.path.join(d, "b.json"), "w") as f:
+        json.dump(b, f)
+    sinks.save_bundles(readers.read_bundles(spark, d), out)
+    text = "".join(r[0] for r in spark.read.text(out).collect())
+    assert "sensor_1" not in text and "/home" not in text and "SENSOR_002" in text
+    assert "2024-01-01T00:00:01" in text

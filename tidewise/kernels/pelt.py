@@ -9,24 +9,36 @@ from __future__ import annotations
 import numpy as np
 
 
+def median_square_distance(x: np.ndarray) -> float:
+    """Exact median of (x_i - x_j)^2 over all pairs, by counting on the sorted values: O(n) memory."""
+    xs = np.sort(x)
+    n, own = len(xs), np.arange(len(xs)) + 1
+    pairs = n * (n - 1) // 2
+
+    def kth(k: int) -> float:
+        # non-negative doubles are ordered as their bits, so halving the bits ends at the exact distance
+        lo, hi = 0, int(np.float64(xs[-1] - xs[0]).view(np.int64))
+        while lo < hi:
+            mid = (lo + hi) // 2
+            reach = xs + np.int64(mid).view(np.float64)
+            if int((np.searchsorted(xs, reach, side="right") - own).sum()) >= k:
+                hi = mid
+            else:
+                lo = mid + 1
+        return float(np.int64(lo).view(np.float64))
+
+    if pairs % 2:
+        return kth(pairs // 2 + 1) ** 2
+    return (kth(pairs // 2) ** 2 + kth(pairs // 2 + 1) ** 2) / 2
+
+
 class Cost:
     def __init__(self, x: np.ndarray, model: str):
         self.x = np.asarray(x, dtype=float)
         self.model = model
-        n = len(x)
         if model in ("l2", "normal"):
             self.c1 = np.concatenate([[0.0], np.cumsum(self.x)])
             self.c2 = np.concatenate([[0.0], np.cumsum(self.x * self.x)])
-        elif model == "rbf":
-            if n > 5000:
-                raise ValueError("rbf cost needs an n x n kernel; refused for n > 5000 (use l2 or a coarser grid)")
-            d = (self.x[:, None] - self.x[None, :]) ** 2
-            med = np.median(d[np.triu_indices(n, 1)]) if n > 1 else 1.0
-            gamma = 1.0 / med if med > 0 else 1.0
-            k = np.exp(-np.clip(gamma * d, 1e-2, 1e2))
-            self.kc = np.zeros((n + 1, n + 1))
-            self.kc[1:, 1:] = k.cumsum(0).cumsum(1)
-            self.kdiag = np.concatenate([[0.0], np.cumsum(np.diag(k))])
         elif model != "l1":
             raise ValueError(f"Unknown cost model: {model}")
 
@@ -39,35 +51,82 @@ class Cost:
             s1 = self.c1[e] - self.c1[s]
             var = (self.c2[e] - self.c2[s]) / m - (s1 / m) ** 2
             return float(m * np.log(max(var, 1e-12)))
-        if self.model == "l1":
-            seg = self.x[s:e]
-            return float(np.abs(seg - np.median(seg)).sum())
-        kc = self.kc
-        block = kc[e, e] - kc[s, e] - kc[e, s] + kc[s, s]
-        return float(self.kdiag[e] - self.kdiag[s] - block / m)
+        seg = self.x[s:e]
+        return float(np.abs(seg - np.median(seg)).sum())
+
+    def errors(self, starts: np.ndarray, e: int) -> np.ndarray:
+        return np.array([self.error(int(s), e) for s in starts])
+
+
+class RbfCost:
+    """Segment costs under the clipped Gaussian kernel without the n x n matrix: one running kernel sum per
+    start, to which the rows of the points between two ends are added."""
+
+    DIAGONAL = float(np.exp(-1e-2))
+
+    def __init__(self, x: np.ndarray):
+        self.x = np.asarray(x, dtype=float)
+        med = median_square_distance(self.x) if len(self.x) > 1 else 1.0
+        self.gamma = 1.0 / med if med > 0 else 1.0
+        self.starts, self.sums, self.end = np.empty(0, dtype=int), np.empty(0), 0
+
+    def kernel(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        d = a[..., :, None] - b[..., None, :]
+        return np.exp(-np.clip(self.gamma * d * d, 1e-2, 1e2))
+
+    def errors(self, starts: np.ndarray, e: int) -> np.ndarray:
+        """Costs of [s, e) for ascending ``starts``; the ends of successive calls rise."""
+        old, new = self.end, self.x[self.end:e]
+        sums = np.zeros(len(starts))
+        known = np.isin(starts, self.starts)
+        if known.any():
+            kept = starts[known]
+            rows = self.kernel(new, self.x[kept[0]:old]).sum(axis=0)
+            tail = rows[::-1].cumsum()[::-1]
+            before = self.sums[np.searchsorted(self.starts, kept)]
+            sums[known] = before + 2.0 * tail[kept - kept[0]] + self.kernel(new, new).sum()
+        for i in np.flatnonzero(~known):
+            seg = self.x[starts[i]:e]
+            sums[i] = self.kernel(seg, seg).sum()
+        self.starts, self.sums, self.end = starts, sums, e
+        m = e - starts
+        return self.DIAGONAL * m - sums / m
+
+    def window_gains(self, inds: np.ndarray, half: int) -> np.ndarray:
+        """Split gains of the windows of 2 * half points around ``inds``, a block of windows at a time."""
+        gains = []
+        for at in range(0, len(inds), 256):
+            w = self.x[inds[at:at + 256, None] + np.arange(-half, half)]
+            k = self.kernel(w, w)
+            inner = k[:, :half, :half].sum(axis=(1, 2)) + k[:, half:, half:].sum(axis=(1, 2))
+            gains.append(inner / half - k.sum(axis=(1, 2)) / (2 * half))
+        return np.concatenate(gains) if gains else np.empty(0)
 
 
 def pelt(x: np.ndarray, model: str = "rbf", min_size: int = 30, pen: float = 10.0, jump: int = 5) -> list[int]:
     n = len(x)
-    cost = Cost(x, model)
-    best = {0: (0.0, [])}            # end -> (total cost incl. penalties, breakpoints)
-    admissible: list[int] = []
-    ends = [k for k in range(0, n, jump) if k >= min_size] + [n]
-    for e in ends:
-        admissible.append(int(np.floor((e - min_size) / jump) * jump))
-        cands = []
-        for s in admissible:
-            if s not in best or e - s < min_size:
-                continue
-            tot = best[s][0] + cost.error(s, e) + pen
-            cands.append((tot, s))
-        if not cands:
+    cost = RbfCost(x) if model == "rbf" else Cost(x, model)
+    total = np.full(n + 1, np.nan)   # end -> cost with penalties
+    total[0] = 0.0
+    came: dict[int, int] = {}        # end -> start of its last segment
+    starts = np.empty(0, dtype=int)
+    for e in [k for k in range(0, n, jump) if k >= min_size] + [n]:
+        s = (e - min_size) // jump * jump
+        if s >= 0 and not np.isnan(total[s]):
+            starts = np.union1d(starts, [s])
+        if not len(starts):
             continue
-        tot, s = min(cands)
-        best[e] = (tot, best[s][1] + [e])
-        admissible = [s for (t, s) in cands if t <= tot + pen] + [a for a in admissible if a not in best]
-        admissible = sorted(set(admissible))
-    return best.get(n, (0.0, [n]))[1]
+        tot = total[starts] + cost.errors(starts, e) + pen
+        j = int(np.argmin(tot))
+        total[e], came[e] = tot[j], int(starts[j])
+        starts = starts[tot <= tot[j] + pen]
+    if n not in came:
+        return [n]
+    out, e = [], n
+    while e > 0:
+        out.append(e)
+        e = came[e]
+    return out[::-1]
 
 
 def window_scores(x: np.ndarray, model: str = "rbf", width: int = 50, jump: int = 5) -> tuple[np.ndarray, np.ndarray]:
@@ -75,8 +134,10 @@ def window_scores(x: np.ndarray, model: str = "rbf", width: int = 50, jump: int
     ``jump``, full windows only)."""
     n = len(x)
     half = width // 2
-    cost = Cost(x, model)
     inds = np.array([t for t in range(0, n, jump) if half <= t < n - half], dtype=int)
+    if model == "rbf":
+        return inds, RbfCost(x).window_gains(inds, half)
+    cost = Cost(x, model)
     gains = np.array([cost.error(t - half, t + half) - cost.error(t - half, t) - cost.error(t, t + half) for t in inds])
     return inds, gains
 

@@ -103,9 +103,9 @@ def _design(t: Column, periods) -> list[Column]:
     return cols
 
 
-def joint_moments(grid: DataFrame, periods=(7, 30, 365)) -> DataFrame:
+def joint_moments(grid: DataFrame, periods=(7, 30, 365), time_unit: str = "day") -> DataFrame:
     """Native partial aggregates: means and the full covariance matrix of (x_1..x_2k, y)."""
-    c = clean(grid)
+    c = clean(grid, time_unit)
     xs = _design(F.col("t"), periods)
     y = F.col("value")
     k = len(xs)
@@ -118,7 +118,7 @@ def joint_moments(grid: DataFrame, periods=(7, 30, 365)) -> DataFrame:
     return c.groupBy(SENSOR).agg(*aggs)
 
 
-def joint_fit(grid: DataFrame, periods=(7, 30, 365)) -> DataFrame:
+def joint_fit(grid: DataFrame, periods=(7, 30, 365), time_unit: str = "day") -> DataFrame:
     """DT-7: per sensor r2 and delta_r2 of the model with every period, plus coefficients.
 
     The (2k x 2k) solve is per sensor on one row, in ``mapInPandas`` (lstsq, so collinear
@@ -130,7 +130,7 @@ def joint_fit(grid: DataFrame, periods=(7, 30, 365)) -> DataFrame:
     from tidewise.session import ship_package
 
     k = 2 * len(periods)
-    mom = joint_moments(grid, periods)
+    mom = joint_moments(grid, periods, time_unit)
     ship_package(grid.sparkSession)
     coef_fields = ", ".join(f"b{i} double" for i in range(k))
     schema = f"sensor string, n long, r2 double, delta_r2 double, intercept double, {coef_fields}"
@@ -155,10 +155,10 @@ def joint_fit(grid: DataFrame, periods=(7, 30, 365)) -> DataFrame:
     return mom.mapInPandas(solve, schema=schema)
 
 
-def fit_and_predict(grid: DataFrame, periods=(7, 30, 365)) -> DataFrame:
+def fit_and_predict(grid: DataFrame, periods=(7, 30, 365), time_unit: str = "day") -> DataFrame:
     """DT-8: fitted values of the joint model on every non-null grid point."""
-    fit = joint_fit(grid, periods)
-    c = clean(grid)
+    fit = joint_fit(grid, periods, time_unit)
+    c = clean(grid, time_unit)
     xs = _design(F.col("t"), periods)
     pred = F.col("intercept")
     for i, x in enumerate(xs):
@@ -166,10 +166,10 @@ def fit_and_predict(grid: DataFrame, periods=(7, 30, 365)) -> DataFrame:
     return c.join(fit.drop("n"), SENSOR).select(SENSOR, BIN, F.col("value"), pred.alias("fitted"))
 
 
-def delta_r2_map(grid: DataFrame, periods=(7, 30, 365)) -> DataFrame:
+def delta_r2_map(grid: DataFrame, periods=(7, 30, 365), time_unit: str = "day") -> DataFrame:
     """DT-9: rows (sensor, key, delta_r2) with keys ``period_p`` and ``full``."""
-    per = harmonic_fit(grid, periods).select(
+    per = harmonic_fit(grid, periods, time_unit=time_unit).select(
         SENSOR, F.concat(F.lit("period_"), F.col("period").cast("string")).alias("key"), "delta_r2"
     )
-    full = joint_fit(grid, periods).select(SENSOR, F.lit("full").alias("key"), "delta_r2")
+    full = joint_fit(grid, periods, time_unit).select(SENSOR, F.lit("full").alias("key"), "delta_r2")
     return per.unionByName(full)

@@ -71,7 +71,7 @@ def segments_from_marks(marked: DataFrame) -> DataFrame:
 def changepoints_pelt(grid: DataFrame, model: str = "rbf", min_size: int = 30, penalty: float = 10.0,
                       jump: int = 5, method: str = "pelt", width: int = 50) -> DataFrame:
     """CP-1 (and CP-2 for the non-l2 costs, ``method='window'``) per sensor in a grouped map ->
-    (sensor, cp_bin, error); failures (e.g. rbf on n > 5000) become error rows."""
+    (sensor, cp_bin, error); a failure of one sensor becomes an error row."""
     from tidewise.kernels.pelt import pelt, window_changepoints
 
     c = clean(by_sensor(grid)).select(SENSOR, BIN, "pos", "value")
@@ -100,20 +100,19 @@ def changepoints_pelt(grid: DataFrame, model: str = "rbf", min_size: int = 30, p
 
 def detect_changepoints(grid: DataFrame, method: str = "pelt", model: str = "rbf", min_size: int = 30,
                         penalty: float = 10.0, width: int = 50) -> DataFrame:
-    """CP-3: dispatcher -> (sensor, cp_bin)."""
+    """CP-3: dispatcher -> (sensor, cp_bin, error); a sensor that failed has an error row without a bin."""
     if method == "pelt":
-        return changepoints_pelt(grid, model, min_size, penalty).filter(F.col("error").isNull()).select(SENSOR, "cp_bin")
+        return changepoints_pelt(grid, model, min_size, penalty)
     if method == "window":
         if model == "l2":
-            return changepoints_window_l2(grid, width, min_size, penalty).select(SENSOR, "cp_bin")
-        return changepoints_pelt(grid, model, min_size, penalty, method="window", width=width) \
-            .filter(F.col("error").isNull()).select(SENSOR, "cp_bin")
+            return changepoints_window_l2(grid, width, min_size, penalty).withColumn("error", F.lit(None).cast("string"))
+        return changepoints_pelt(grid, model, min_size, penalty, method="window", width=width)
     raise ValueError(f"Unknown changepoint method: {method}")
 
 
 def segments(grid: DataFrame, cps: DataFrame) -> DataFrame:
     """CP-4 for changepoints given as a table: mark them with an equi-join on (sensor, bin)."""
-    marks = cps.select(SENSOR, F.col("cp_bin").alias(BIN), F.lit(True).alias("is_cp")).distinct()
+    marks = cps.filter(F.col("cp_bin").isNotNull()).select(SENSOR, F.col("cp_bin").alias(BIN), F.lit(True).alias("is_cp")).distinct()
     g = grid.join(marks, [SENSOR, BIN], "left").withColumn("is_cp", F.coalesce("is_cp", F.lit(False)))
     return segments_from_marks(g)
 

@@ -1,12 +1,15 @@
 """Text / diagnostics operators (TXT-1..TXT-10), re-aimed at tables of text and log lines.
 
 All are row-level expressions or bounded windows: per document, per log file (bounded by
-rotation: derived logs here are one file per user and day), per bundle. The one place a
-dictionary enters expressions (TXT-3) collects it only after checking its size.
+rotation: derived logs here are one file per user and day), per bundle. The name dictionary (one
+entry per sensor) is part of the plan as two constants: a pattern and a map.
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,7 +33,7 @@ NO_SUMMARY = "No summary provided"
 DEFAULT_CONFIDENCE = "medium"
 FALLBACK_CONFIDENCE = "low"
 FALLBACK_CHARS = 500
-MAX_DICTIONARY = 10_000
+BUNDLE_KEYS = ("bundle_id", "created_at", "version")
 
 
 def name_dictionary(names: DataFrame, col: str, prefix: str = NAME_PREFIX) -> DataFrame:
@@ -48,37 +51,65 @@ def mask_paths(text: Column, patterns: list[str] | None = None) -> Column:
     return out
 
 
+def _any_of(names: list[str]) -> str:
+    """A pattern for the longest of ``names`` at a position: common prefixes are shared, so matching
+    costs the length of a name, not their number. ``names`` are sorted and distinct."""
+    out, i = [], 0
+    while i < len(names):
+        j = i + 1
+        while j < len(names) and names[j][:1] == names[i][:1]:
+            j += 1
+        prefix = names[i]
+        while not names[j - 1].startswith(prefix):  # first and last of the sorted run share what all share
+            prefix = prefix[:-1]
+        rest = [n[len(prefix):] for n in names[i:j] if n != prefix]
+        tail = f"(?:{_any_of(rest)}){'?' if names[i] == prefix else ''}" if rest else ""
+        out.append("".join("\\" + c if c.isascii() and not c.isalnum() else c for c in prefix) + tail)
+        i = j
+    return "|".join(out)
+
+
 def replace_names(text: Column, dictionary: list[tuple[str, str]], parity: bool = False) -> Column:
-    """TXT-3: plain substring replacement. Default longest name first (so ``sensor_1`` cannot
-    eat the prefix of ``sensor_10``); ``parity=True`` keeps dictionary order."""
-    pairs = list(dictionary) if parity else sorted(dictionary, key=lambda kv: (-len(kv[0]), kv[0]))
-    out = text
-    for name, alias in pairs:
-        out = F.replace(out, F.lit(name), F.lit(alias))
-    return out
+    """TXT-3: substring replacement in one pass, at each place the longest name, so neither ``sensor_1``
+    eats the prefix of ``sensor_10`` nor a name rewrites an alias; any number of names. ``parity=True``
+    replaces one name after the other in dictionary order, over the aliases too."""
+    pairs = [(n, a) for n, a in dictionary if n]
+    if not pairs:
+        return text
+    if parity:
+        steps = F.from_json(F.lit(json.dumps([{"n": n, "a": a} for n, a in pairs])), "array<struct<n:string,a:string>>")
+        return F.aggregate(steps, text, lambda acc, p: F.replace(acc, p["n"], p["a"]))
+    pattern = _any_of(sorted({n for n, _ in pairs}))
+    alias = F.from_json(F.lit(json.dumps(dict(pairs))), "map<string,string>")
+    between = F.split(text, pattern, -1)
+    aliases = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: F.element_at(alias, m))
+    replaced = F.concat_ws("", F.flatten(F.zip_with(between, aliases, lambda t, m: F.array(t, F.coalesce(m, F.lit(""))))))
+    return F.when(text.rlike(pattern), replaced).otherwise(text)
 
 
 def collect_dictionary(d: DataFrame) -> list[tuple[str, str]]:
-    """Bring a name dictionary to the driver only after checking it is small enough to inline."""
-    n = d.count()
-    if n > MAX_DICTIONARY:
-        raise ValueError(f"dictionary of {n} names exceeds {MAX_DICTIONARY}; join on whole tokens instead")
+    """The name dictionary for the expressions above: one short pair per sensor, however many readings there are."""
     return [(r["name"], r["alias"]) for r in d.select("name", "alias").collect()]
 
 
+def map_strings(c: Column, kind: T.DataType, f: Callable[[Column], Column]) -> Column:
+    """``f`` on every string inside a column: array elements, map keys and values, struct fields, at any depth."""
+    if isinstance(kind, T.StringType):
+        return f(c)
+    if isinstance(kind, T.ArrayType):
+        return F.transform(c, lambda x: map_strings(x, kind.elementType, f))
+    if isinstance(kind, T.MapType):
+        keyed = F.transform_keys(c, lambda k, v: map_strings(k, kind.keyType, f))
+        return F.transform_values(keyed, lambda k, v: map_strings(v, kind.valueType, f))
+    if isinstance(kind, T.StructType):
+        fields = [map_strings(c[x.name], x.dataType, f).alias(x.name) for x in kind.fields]
+        return F.when(c.isNotNull(), F.struct(*fields))
+    return c
+
+
 def anonymize_column(df: DataFrame, col: str, dictionary: list[tuple[str, str]]) -> DataFrame:
-    """TXT-4: anonymise strings, array elements, or map keys and values, by the column's type."""
-    dt = df.schema[col].dataType
-    f = lambda c: replace_names(c, dictionary)
-    if isinstance(dt, T.StringType):
-        e = f(F.col(col))
-    elif isinstance(dt, T.ArrayType):
-        e = F.transform(col, f)
-    elif isinstance(dt, T.MapType):
-        e = F.transform_values(F.transform_keys(col, lambda k, v: f(k)), lambda k, v: f(v) if isinstance(dt.valueType, T.StringType) else v)
-    else:
-        e = F.col(col)
-    return df.withColumn(col, e)
+    """TXT-4: anonymise every string of a column, nested or not."""
+    return df.withColumn(col, map_strings(F.col(col), df.schema[col].dataType, lambda c: replace_names(c, dictionary)))
 
 
 def text_lines(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -196,22 +227,12 @@ def parse_response(text: Column) -> Column:
 
 
 def anonymize_bundles(bundles: DataFrame, dictionary: list[tuple[str, str]], mask: bool = True) -> DataFrame:
-    """TXT-5: names replaced and paths masked in every text field of the bundle rows: the log
-    excerpt, warnings, error maps, health-check messages and the config / summary maps."""
+    """TXT-5: names replaced and paths masked in every string of the bundle rows, nested ones included;
+    only the bundle's id, time and version stay as they are."""
     def clean(c):
         c = replace_names(c, dictionary)
         return mask_paths(c) if mask else c
 
-    b = bundles
-    if "log_excerpt" in b.columns:
-        b = b.withColumn("log_excerpt", clean(F.col("log_excerpt")))
-    if "warnings" in b.columns:
-        b = b.withColumn("warnings", F.transform("warnings", clean))
-    if "errors" in b.columns:
-        b = b.withColumn("errors", F.transform("errors", lambda m: F.transform_values(m, lambda k, v: clean(v))))
-    for mcol in ("config", "data_summary", "results_summary"):
-        if mcol in b.columns:
-            b = b.withColumn(mcol, F.transform_values(F.transform_keys(mcol, lambda k, v: clean(k)), lambda k, v: clean(v)))
-    if "health_checks" in b.columns:
-        b = b.withColumn("health_checks", F.transform("health_checks", lambda h: h.withField("message", clean(h["message"]))))
-    return b
+    return bundles.select(*[
+        F.col(x.name) if x.name in BUNDLE_KEYS else map_strings(F.col(x.name), x.dataType, clean).alias(x.name)
+        for x in bundles.schema.fields])

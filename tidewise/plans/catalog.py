@@ -87,20 +87,16 @@ def q(name, sql=None):
 
 # ---- sources / quality ----------------------------------------------------------------------------
 
-PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]  # fixed values: the table's domain
-
-
 @q("ingest_long", O.with_(f"r AS ({O.readings_sql('orders')})",
-   "w AS (SELECT ts, " + ", ".join(f"avg(value) FILTER (WHERE sensor = '{p}') AS sensor_{i + 1}" for i, p in enumerate(PRIORITIES))
-   + " FROM r GROUP BY ts)")
-   + "SELECT sensor, CAST(ts AS VARCHAR) AS ts, ROUND(value, 6) + 0.0 AS value FROM w UNPIVOT INCLUDE NULLS "
-   "(value FOR sensor IN (" + ", ".join(f"sensor_{i + 1}" for i in range(5)) + "))")
+   "names AS (SELECT sensor, row_number() OVER (ORDER BY sensor) AS i FROM (SELECT DISTINCT sensor FROM r))",
+   "m AS (SELECT ts, sensor, avg(value) AS value FROM r GROUP BY ts, sensor)")
+   + "SELECT 'sensor_' || i AS sensor, CAST(t.ts AS VARCHAR) AS ts, ROUND(m.value, 6) + 0.0 AS value "
+   "FROM (SELECT DISTINCT ts FROM r) t CROSS JOIN names LEFT JOIN m ON m.ts = t.ts AND m.sensor = names.sensor")
 def _ingest_long(spark, sf):
     from tidewise.sources.readers import to_long
-    r = orders(spark, sf)
-    wide = r.groupBy("ts").pivot("sensor", PRIORITIES).agg(F.avg("value"))
-    wide = wide.select("ts", *[F.col(f"`{p}`").alias(f"sensor_{i + 1}") for i, p in enumerate(PRIORITIES)])
-    return to_long(wide, [f"sensor_{i + 1}" for i in range(5)])
+    wide = orders(spark, sf).groupBy("ts").pivot("sensor").agg(F.avg("value"))
+    names = [f"sensor_{i + 1}" for i in range(len(wide.columns) - 1)]
+    return to_long(wide.toDF("ts", *names), names)
 
 
 _HS = O.with_(f"r AS ({O.readings_sql('orders')})",
@@ -746,7 +742,7 @@ def _anonymize_text(spark, sf):
     out = docs.select("doc_id", F.concat_ws(" ", "source", "lang").alias("label"), F.map_from_arrays(F.array("source"), F.array("lang")).alias("m"),
                       "text")
     out = anonymize_column(anonymize_column(anonymize_column(out, "label", d), "m", d), "text", d)
-    return out.select("doc_id", "label", F.map_keys("m")[0].alias("m_key"), F.length("text").cast("long").alias("text_len"))
+    return out.select("doc_id", "label", F.map_keys("m")[0].alias("m_key"), "text")
 
 
 # ---- rows-only (iterative / randomised kernels) ----------------------------------------------------------
@@ -794,7 +790,7 @@ def _cp_pelt(spark, sf):
 
 @q("cp_pelt_rbf")
 def _cp_pelt_rbf(spark, sf):
-    return segments.changepoints_pelt(resample.resample(orders(spark, sf), "W", "mean"), model="rbf", min_size=30, penalty=5.0)
+    return segments.changepoints_pelt(orders_filled(spark, sf), model="rbf", min_size=30, penalty=1.0)
 
 
 @q("outlier_iforest")
@@ -845,8 +841,7 @@ def _detail_fit(spark, sf):
 
 @q("cp_window_rbf")
 def _cp_window_rbf(spark, sf):
-    return segments.changepoints_pelt(resample.resample(orders(spark, sf), "W", "mean"), model="rbf", min_size=30,
-                                      penalty=1.0, method="window")
+    return segments.changepoints_pelt(orders_filled(spark, sf), model="rbf", min_size=30, penalty=1.0, method="window")
 
 
 

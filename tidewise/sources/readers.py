@@ -107,7 +107,11 @@ PROCESSING_STEP = T.StructType(
     [
         T.StructField("step_name", T.StringType()),
         T.StructField("status", T.StringType()),
+        T.StructField("start_time", T.StringType()),
+        T.StructField("end_time", T.StringType()),
         T.StructField("duration_seconds", T.DoubleType()),
+        T.StructField("message", T.StringType()),
+        T.StructField("metrics", T.MapType(T.StringType(), T.StringType())),
         T.StructField("details", T.MapType(T.StringType(), T.StringType())),
     ]
 )

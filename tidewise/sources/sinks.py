@@ -69,15 +69,15 @@ def save_results(results: dict[str, DataFrame], output_dir: str, run: str | None
 
 
 def save_bundles(bundles: DataFrame, path: str, anonymize: bool = True) -> str:
-    """SNK-4: diagnostic bundles as JSON; by default sensor names are replaced (TXT-1/3) and paths
-    masked (TXT-2) in every string field of the log excerpt, warnings and error maps."""
-    from tidewise.operators.textops import mask_paths
+    """SNK-4: diagnostic bundles as JSON; by default the sensor names listed in ``data_summary.sensor_columns``
+    are replaced (TXT-1/3) and paths masked (TXT-2) in every string of every field."""
+    from tidewise.operators.textops import anonymize_bundles, collect_dictionary, name_dictionary
 
     b = bundles
     if anonymize:
-        b = b.withColumn("log_excerpt", mask_paths(F.col("log_excerpt")))
-        b = b.withColumn("warnings", F.transform("warnings", lambda x: mask_paths(x)))
-        b = b.withColumn("errors", F.transform("errors", lambda m: F.transform_values(m, lambda k, v: mask_paths(v))))
+        listed = F.col("data_summary")["sensor_columns"]
+        names = b.select(F.explode(F.from_json(listed, "array<string>")).alias("name"))
+        b = anonymize_bundles(b, collect_dictionary(name_dictionary(names, "name")))
     b.write.mode("overwrite").json(path)
     return path
 
