@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pytest
 
 from conftest import collect_values, make_series, to_grid
 from tidewise.operators import impute, outliers, resample, segments
@@ -192,3 +193,33 @@ def test_window_method_other_costs(spark):
     cps = segments.detect_changepoints(to_grid(spark, vals), method="window", model="rbf", penalty=1.0).collect()
     assert len(cps) >= 1
     assert any(abs((r["cp_bin"] - __import__("datetime").date(2024, 1, 1)).days - 99) <= 5 for r in cps)
+
+
+def test_spline_orders_reproduce_polynomials(spark):
+    x = np.arange(40.0) / 10
+    for order in (1, 2, 3, 5):
+        full = sum((x - 1.5) ** d for d in range(order + 1))
+        vals = [None if i in (0, 5, 6, 17, 18, 19, 30, 38, 39) else float(v) for i, v in enumerate(full)]
+        inside = collect_values(impute.interpolate_missing(to_grid(spark, vals), "polynomial", order=order))
+        assert inside[0] is None and inside[38] is None and inside[39] is None
+        assert inside[1:38] == pytest.approx(full[1:38], abs=1e-8)
+        assert collect_values(impute.interpolate_missing(to_grid(spark, vals), "spline", order=order)) == pytest.approx(full, abs=1e-7)
+
+
+def test_spline_limits_and_short_series(spark):
+    vals = [None, 1.0, None, None, None, 9.0, None]
+    fill = lambda **kw: collect_values(impute.interpolate_missing(to_grid(spark, vals), "spline", order=3, **kw))
+    line = [-1.0, 1.0, 3.0, 5.0, 7.0, 9.0, 11.0]  # two points: the line through them
+    for kw, empty in (({}, ()), ({"limit": 1}, (3,)), ({"limit_direction": "forward"}, (0,)), ({"limit_direction": "backward", "limit": 2}, (2, 6))):
+        got = fill(**kw)
+        assert [i for i, v in enumerate(got) if v is None] == list(empty)
+        assert [v for v in got if v is not None] == pytest.approx([v for i, v in enumerate(line) if i not in empty])
+
+
+def test_missing_report_reads_the_grid_once(spark, tmp_path):
+    path = str(tmp_path / "grid")
+    to_grid(spark, [1.0, None, None, 4.0]).write.parquet(path)
+    report = impute.missing_report(spark.read.parquet(path))
+    assert report._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    r = report.collect()[0]
+    assert (r["total_count"], r["missing_count"], r["num_gaps"], r["max_gap"], r["mean_gap"]) == (4, 2, 1, 2, 2.0)

@@ -255,3 +255,12 @@ def test_saved_bundles_hold_no_name_and_no_path(spark):
     text = "".join(r[0] for r in spark.read.text(out).collect())
     assert "sensor_1" not in text and "/home" not in text and "SENSOR_002" in text
     assert "2024-01-01T00:00:01" in text
+
+
+def test_text_tail_equals_log_tail(spark):
+    texts = ["", "a", "a\nb\nc\n", "\n\n", None, "x\ny"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = lambda d: sorted((r["doc_id"], r["n_lines"], r["excerpt"]) for r in d.collect())
+    whole = textops.text_tail(df, "doc_id", "text", 2)
+    assert rows(whole) == rows(textops.log_tail(textops.text_lines(df, "doc_id", "text"), "doc_id", 2))
+    assert "Exchange" not in whole._jdf.queryExecution().executedPlan().toString()

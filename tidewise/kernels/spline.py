@@ -6,49 +6,73 @@ import numpy as np
 import pandas as pd
 
 
-def natural_cubic_coeffs(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Second derivatives of the natural cubic spline through (x, y) (tridiagonal solve)."""
+def knots(x: np.ndarray, k: int) -> np.ndarray:
+    """Not-a-knot knots of degree ``k`` through the points ``x``: the points for an odd degree, the middles between
+    them for an even one, so a polynomial of this degree is reproduced."""
     n = len(x)
-    m = np.zeros(n)
-    if n < 3:
-        return m
-    h = np.diff(x)
-    a = h[:-1]
-    b = 2.0 * (h[:-1] + h[1:])
-    c = h[1:]
-    d = 6.0 * ((y[2:] - y[1:-1]) / h[1:] - (y[1:-1] - y[:-2]) / h[:-1])
-    # Thomas algorithm
-    k = n - 2
-    cp = np.zeros(k)
-    dp = np.zeros(k)
-    cp[0] = c[0] / b[0]
-    dp[0] = d[0] / b[0]
-    for i in range(1, k):
-        den = b[i] - a[i] * cp[i - 1]
-        cp[i] = c[i] / den if i < k - 1 else 0.0
-        dp[i] = (d[i] - a[i] * dp[i - 1]) / den
-    sol = np.zeros(k)
-    sol[-1] = dp[-1]
-    for i in range(k - 2, -1, -1):
-        sol[i] = dp[i] - cp[i] * sol[i + 1]
-    m[1:-1] = sol
-    return m
+    inner = x[(k + 1) // 2:n - (k + 1) // 2] if k % 2 else ((x[1:] + x[:-1]) / 2)[k // 2:n - 1 - k // 2]
+    return np.concatenate((np.full(k + 1, x[0]), inner, np.full(k + 1, x[-1])))
 
 
-def eval_cubic(x: np.ndarray, y: np.ndarray, m: np.ndarray, xq: np.ndarray) -> np.ndarray:
-    j = np.clip(np.searchsorted(x, xq) - 1, 0, len(x) - 2)
-    h = x[j + 1] - x[j]
-    t0 = x[j + 1] - xq
-    t1 = xq - x[j]
-    return (
-        m[j] * t0**3 / (6 * h)
-        + m[j + 1] * t1**3 / (6 * h)
-        + (y[j] / h - m[j] * h / 6) * t0
-        + (y[j + 1] / h - m[j + 1] * h / 6) * t1
-    )
+def basis(t: np.ndarray, k: int, xq: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the first basis function, values of the k + 1 that are not zero) at each ``xq``; outside the
+    knots the end pieces go on."""
+    at = np.clip(np.searchsorted(t, xq, side="right") - 1, k, len(t) - k - 2)
+    out = np.zeros((len(xq), k + 1))
+    out[:, 0] = 1.0
+    for d in range(1, k + 1):
+        carried = np.zeros(len(xq))
+        for r in range(d):
+            hi, lo = t[at + r + 1], t[at + r + 1 - d]
+            share = out[:, r] / (hi - lo)
+            out[:, r] = carried + (hi - xq) * share
+            carried = (xq - lo) * share
+        out[:, d] = carried
+    return at - k, out
 
 
-def spline_fill(pdf: pd.DataFrame, cols: list[str], order: int = 3, extrapolate: bool = True) -> pd.DataFrame:
+def coefficients(t: np.ndarray, k: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Spline coefficients through (x, y). The collocation matrix is banded and totally positive, so
+    elimination needs no pivots: time and memory are linear in the points."""
+    n = len(x)
+    first, values = basis(t, k, x)
+    band = np.zeros((n, 2 * k + 1))  # column k is the diagonal
+    for c in range(k + 1):
+        band[np.arange(n), first + c - np.arange(n) + k] = values[:, c]
+    y = y.astype(float).copy()
+    for i in range(n):
+        for r in range(i + 1, min(i + k, n - 1) + 1):
+            f = band[r, k + i - r] / band[i, k]
+            if f:
+                band[r, k + i - r:2 * k + 1 + i - r] -= f * band[i, k:]
+                y[r] -= f * y[i]
+    out = np.zeros(n + k)
+    for i in range(n - 1, -1, -1):
+        out[i] = (y[i] - band[i, k + 1:] @ out[i + 1:i + k + 1]) / band[i, k]
+    return out[:n]
+
+
+def spline_values(x: np.ndarray, y: np.ndarray, xq: np.ndarray, order: int) -> np.ndarray:
+    """The spline of degree ``order`` (fewer points than order + 1: the polynomial through them) at ``xq``."""
+    k = min(order, len(x) - 1)
+    t = knots(x, k)
+    c = coefficients(t, k, x, y)
+    first, values = basis(t, k, xq)
+    return (c[first[:, None] + np.arange(k + 1)] * values).sum(axis=1)
+
+
+def allowed(known: np.ndarray, direction: str, limit: int | None) -> np.ndarray:
+    """Positions that ``direction`` and ``limit`` (rows from the nearest known point on that side) let be filled."""
+    i, n = np.arange(len(known)), len(known)
+    prev = np.maximum.accumulate(np.where(known, i, -1))
+    nxt = np.minimum.accumulate(np.where(known, i, n)[::-1])[::-1]
+    reach = n if limit is None else limit
+    ahead, behind = (prev >= 0) & (i - prev <= reach), (nxt < n) & (nxt - i <= reach)
+    return {"forward": ahead, "backward": behind, "both": ahead | behind}[direction]
+
+
+def spline_fill(pdf: pd.DataFrame, cols: list[str], order: int = 3, extrapolate: bool = True,
+                direction: str = "forward", limit: int | None = None) -> pd.DataFrame:
     pdf = pdf.sort_values("bin").reset_index(drop=True)
     t = pd.to_datetime(pdf["bin"])
     x_all = ((t - t.iloc[0]).dt.total_seconds() / 86400.0).to_numpy(dtype=float)
@@ -57,14 +81,10 @@ def spline_fill(pdf: pd.DataFrame, cols: list[str], order: int = 3, extrapolate:
     out = y_all.copy()
     if known.sum() >= 2:
         x, y = x_all[known], y_all[known]
-        miss = ~known
-        first, last = x[0], x[-1]
-        target = miss & (x_all > first) & ((x_all < last) | extrapolate)
+        target = ~known & allowed(known, direction, limit)
+        if not extrapolate:
+            target &= (x_all > x[0]) & (x_all < x[-1])
         if target.any():
-            if order >= 3 and len(x) >= 3:
-                m = natural_cubic_coeffs(x, y)
-                out[target] = eval_cubic(x, y, m, x_all[target])
-            else:
-                out[target] = np.interp(x_all[target], x, y)
+            out[target] = spline_values(x, y, x_all[target], order)
     pdf["value"] = out
     return pdf[cols]

@@ -92,8 +92,7 @@ def combine(detections: DataFrame, periods, methods) -> DataFrame:
 
 def get_score(detections: DataFrame, method: str, period: int) -> DataFrame:
     """DT-16: score / significance of one (method, period) per sensor, default 0.0 / False."""
-    sensors = detections.select(SENSOR).distinct()
-    one = detections.filter((F.col("method") == method) & (F.col("period") == period))
-    return sensors.join(one.select(SENSOR, "score", "significant"), SENSOR, "left").select(
-        SENSOR, F.coalesce("score", F.lit(0.0)).alias("score"), F.coalesce("significant", F.lit(False)).alias("significant")
-    )
+    one = (F.col("method") == method) & (F.col("period") == period)
+    return detections.groupBy(SENSOR).agg(
+        F.coalesce(F.max(F.when(one, F.col("score"))), F.lit(0.0)).alias("score"),
+        F.coalesce(F.max(F.when(one, F.col("significant"))), F.lit(False)).alias("significant"))

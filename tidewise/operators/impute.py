@@ -93,9 +93,9 @@ def interpolate_missing(grid: DataFrame, method: str = "linear", limit: int | No
     if method == "time":
         return interpolate_time(grid, limit_direction, limit)
     if method == "spline":
-        return interpolate_spline(grid, order=order, extrapolate=True)
+        return interpolate_spline(grid, order, True, limit_direction, limit)
     if method == "polynomial":
-        return interpolate_spline(grid, order=order, extrapolate=False)
+        return interpolate_spline(grid, order, False, limit_direction, limit)
     raise ValueError(f"Unknown interpolation method: {method}")
 
 
@@ -130,18 +130,24 @@ def fill_seasonal_mean(grid: DataFrame, period: int = 7) -> DataFrame:
     return _finish(g, F.coalesce(F.col("value"), mean))
 
 
-def interpolate_spline(grid: DataFrame, order: int = 3, extrapolate: bool = True) -> DataFrame:
-    """IM-4/IM-5: cubic (order 3) or linear (order 1) interpolating spline through the known
-    points, per sensor in a grouped map (the grid is bounded per sensor). ``extrapolate``
-    extends the end polynomials to trailing gaps; leading gaps stay NULL (forward direction).
+def interpolate_spline(grid: DataFrame, order: int = 3, extrapolate: bool = True,
+                       direction: str = "forward", limit: int | None = None) -> DataFrame:
+    """IM-4/IM-5: interpolating spline of any ``order`` >= 1 through the known points, per sensor in a
+    grouped map (the grid is bounded per sensor). ``extrapolate`` extends the end polynomials to outer gaps:
+    trailing ones in direction 'forward', leading ones in 'backward', either in 'both'. ``limit`` fills at
+    most k NULLs counted from each allowed side.
     """
     from tidewise.kernels.spline import spline_fill
 
+    if order < 1:
+        raise ValueError(f"Spline order must be at least 1: {order}")
+    if direction not in ("forward", "backward", "both"):
+        raise ValueError(f"Unknown limit_direction: {direction}")
     schema = grid.schema
     cols = grid.columns
 
     def fill(pdf):
-        return spline_fill(pdf, cols, order=order, extrapolate=extrapolate)
+        return spline_fill(pdf, cols, order, extrapolate, direction, limit)
 
     return by_sensor(grid).groupBy(SENSOR).applyInPandas(fill, schema=schema)
 
@@ -162,23 +168,18 @@ def impute_missing(grid: DataFrame, method: str = "linear", limit: int | None =
 
 
 def missing_report(grid: DataFrame) -> DataFrame:
-    """DQ-8: per sensor total, missing, rate, number of gaps, max and mean gap (gaps-and-islands)."""
-    w = _w()
+    """DQ-8: per sensor total, missing, rate, number of gaps, max and mean gap (gaps-and-islands). Runs of NULL and of
+    known values are counted alike, so one pass over the grid gives the totals, too."""
     isnull = F.col("value").isNull()
-    g = grid.withColumn("_i", F.row_number().over(w)).withColumn(
-        "_j", F.row_number().over(Window.partitionBy(SENSOR, isnull).orderBy(BIN))
-    )
-    runs = (
-        g.filter(isnull)
-        .groupBy(SENSOR, (F.col("_i") - F.col("_j")).alias("_island"))
-        .agg(F.count(F.lit(1)).alias("_len"))
-        .groupBy(SENSOR)
-        .agg(F.count(F.lit(1)).alias("num_gaps"), F.max("_len").alias("max_gap"), F.avg("_len").alias("mean_gap"))
+    g = grid.withColumn("_null", isnull).withColumn("_i", F.row_number().over(_w())).withColumn(
+        "_j", F.row_number().over(Window.partitionBy(SENSOR, "_null").orderBy(BIN))
     )
-    tot = grid.groupBy(SENSOR).agg(
-        F.count(F.lit(1)).alias("total_count"), F.count_if(isnull).alias("missing_count")
+    runs = g.groupBy(SENSOR, "_null", (F.col("_i") - F.col("_j")).alias("_island")).agg(F.count(F.lit(1)).alias("_len"))
+    gap = F.when(F.col("_null"), F.col("_len"))
+    out = runs.groupBy(SENSOR).agg(
+        F.sum("_len").alias("total_count"), F.coalesce(F.sum(gap), F.lit(0)).alias("missing_count"),
+        F.count(gap).alias("num_gaps"), F.max(gap).alias("max_gap"), F.avg(gap).alias("mean_gap"),
     )
-    out = tot.join(runs, SENSOR, "left")
     return out.select(
         SENSOR,
         F.col("total_count").cast("long").alias("total_count"),

@@ -129,6 +129,15 @@ def log_tail(lines: DataFrame, key: str, max_lines: int = TAIL_LINES) -> DataFra
     )
 
 
+def text_tail(df: DataFrame, key: str, text: str, max_lines: int = TAIL_LINES) -> DataFrame:
+    """TXT-7 of whole texts: the last ``max_lines`` lines of each row's text, without exploding or shuffling lines. A
+    null text gives no row."""
+    lines = df.filter(F.col(text).isNotNull()).select(key, F.split(text, "\n", -1).alias("_lines"))
+    n = F.least(F.size("_lines"), F.lit(max_lines))
+    return lines.select(key, n.cast("long").alias("n_lines"),
+                        F.array_join(F.slice("_lines", F.size("_lines") - n + 1, n), "\n").alias("excerpt"))
+
+
 def event_log_lines(events: DataFrame) -> DataFrame:
     """Log lines derived from the events table, one log file per user and day:
     ``<ts> <LEVEL> <event_type>: value=<v> event=<id>`` with ERROR for error events."""

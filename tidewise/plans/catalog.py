@@ -687,9 +687,9 @@ def _error_extract(spark, sf):
    "lt AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY line_no DESC) AS r FROM ln)")
    + "SELECT doc_id, count(*) AS n_lines, string_agg(line, chr(10) ORDER BY line_no) AS excerpt FROM lt WHERE r <= 100 GROUP BY doc_id")
 def _log_tail(spark, sf):
-    from tidewise.operators.textops import log_tail, text_lines
+    from tidewise.operators.textops import text_tail
     from tidewise.sources.tables import table
-    return log_tail(text_lines(table(spark, sf, "documents"), "doc_id", "text"), "doc_id", 100)
+    return text_tail(table(spark, sf, "documents"), "doc_id", "text", 100)
 
 
 @q("step_shares", "SELECT user_id, event_type, ROUND(d, 6) + 0.0 AS duration, ROUND(sum(d) OVER (PARTITION BY user_id), 6) + 0.0 AS total, "
@@ -803,6 +803,11 @@ def _interp_spline(spark, sf):
     return impute.interpolate_spline(orders_grid(spark, sf), order=3)
 
 
+@q("interp_polynomial")
+def _interp_polynomial(spark, sf):
+    return impute.interpolate_missing(orders_grid(spark, sf), "polynomial", order=2)
+
+
 @q("ensemble_all_methods")
 def _ensemble_all(spark, sf):
     det = detect_all(orders_eligible(spark, sf), DetectionConfig(), gate=False)
