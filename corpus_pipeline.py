@@ -1,6 +1,7 @@
 """Corpus pipeline: five stages over ``documents``, each written as Parquet and read back as the next one's input.
 
-Language ID drops documents without a letter in any learned language's script (``und``); near-duplicate removal
+Language ID drops documents without a letter and those whose score says that they are in no learned language (``langid.keep``;
+where no labelled row was learned from, only the former); near-duplicate removal
 keeps the document with the smallest doc_id of each group (five-word shingles, similarity 0.8); decontamination drops
 documents that hold a benchmark passage; PII spans are replaced in the text (``n_chars`` follows); the last
 stage encodes what is left with a byte-level BPE vocabulary.
@@ -25,7 +26,7 @@ def _documents(docs: DataFrame) -> DataFrame:
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = _documents(docs)
-    return _documents(langid.predict(docs, langid.fit_on_training(docs)).filter(F.col("lang_pred") != langid.UND))
+    return langid.keep(docs, langid.fit_on_training(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

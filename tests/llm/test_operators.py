@@ -10,6 +10,7 @@ from collections import Counter
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 from tidewise.llm import bpe, components, ctw, decontaminate, jaccard, langid, licenses, neighbours, pii, secrets, sharding
 
@@ -243,6 +244,32 @@ def test_language_id(spark):
     assert {r["lang_pred"] for r in langid.report(docs.withColumn("lang", docs["lang"].substr(9, 1)).filter("lang is null")).collect()} == {"und"}
 
 
+def test_language_stage(spark):
+    import corpus_pipeline
+
+    rng = random.Random(6)
+    stock = {"en": ["the", "house", "with", "thing", "over"], "de": ["der", "schule", "nicht", "über", "ich"]}
+    texts, langs = [], []
+    for i in range(60):
+        lang = sorted(stock)[i % 2]
+        texts.append(" ".join(rng.choice(stock[lang]) for _ in range(30)))
+        langs.append(lang)
+    clean = len(texts)
+    texts += ["Ωμέγα και άλφα " * 8, "qzxv kkwpj vvbnq " * 8, "Ωμέγα και βήτα " * 8, "new word", "1 2 3", None]
+    langs += [None, "en", "el", None, None, "en"]
+    docs = docs_of(spark, texts, langs)
+    kept = lambda d: sorted(r["doc_id"] for r in corpus_pipeline.language(spark, d, "").collect())
+    ids = [i for i in range(len(texts)) if zlib.crc32(str(i).encode()) % 3 == 1]
+    assert {clean + 1, clean + 2} < set(ids)  # so neither is learned from
+    # other scripts and letter salad go; a label that wasn't learned, a text too short to tell and clean texts stay
+    assert kept(docs) == [*range(clean), clean + 2, clean + 3]
+    # nothing learned: no label at all, or only on held-out ids
+    letters = list(range(clean + 4))
+    assert kept(docs.withColumn("lang", F.lit(None).cast("string"))) == letters
+    assert kept(docs.withColumn("lang", F.when(F.col("doc_id").isin(ids), F.col("lang")))) == letters
+    assert kept(docs.limit(0)) == []
+
+
 def brute_ctw(train, text, depth):
     """log10 probability of a token stream, one binary context tree per decision node."""
     counts = Counter()

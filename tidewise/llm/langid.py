@@ -33,6 +33,7 @@ HASHES = 3
 MAX_SLOTS = 1 << 22
 PLANE = 62  # languages per mask word
 UND = "und"
+LEAST, FEW = 0.2, 20  # ``keep`` rejects below this share of what was learned, from so many n-grams on
 # space for ASCII that is no letter
 _KEEP = np.arange(256, dtype=np.uint8)
 _KEEP[[b for b in range(128) if not chr(b).isalpha()]] = 32
@@ -96,10 +97,11 @@ def _slot_of(keys: np.ndarray, j: int, slots: int) -> np.ndarray:
 
 
 class Model:
-    """``langs`` (most trained first), ``masks`` [planes, slots], ``fp`` false-positive rate of each language."""
+    """``langs`` (most trained first), ``masks`` [planes, slots], ``fp`` false-positive rate of each language, ``seen``
+    the share of the language's n-grams that training has met (Good-Turing: all but the share of those met once)."""
 
-    def __init__(self, langs: list[str], masks: np.ndarray):
-        self.langs, self.masks = langs, masks
+    def __init__(self, langs: list[str], masks: np.ndarray, seen: list[float] = ()):
+        self.langs, self.masks, self.seen = langs, masks, np.array(seen, dtype=float)
         self.fp = np.array([np.mean((masks[i // PLANE] >> np.uint64(i % PLANE)) & np.uint64(1)) ** HASHES for i in range(len(langs))])
 
 
@@ -109,7 +111,7 @@ def fit(labelled: DataFrame, share: float = 0.5) -> Model:
 
     spark = labelled.sparkSession
     counts = cut_lineage(count_grams(labelled.filter(F.col("lang").isNotNull()).select("text", "lang")), "lang-grams")
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("distinct"))
+    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("distinct"), F.count_if(F.col("n") == 1).alias("once"))
     known = sorted(totals.collect(), key=lambda r: (-r["total"], r["lang"]))  # one row per language
     if not known:
         return Model([], np.zeros((1, 1), dtype=np.uint64))
@@ -133,7 +135,7 @@ def fit(labelled: DataFrame, share: float = 0.5) -> Model:
              .groupBy("plane", "slot").agg(F.bit_or("mask").alias("mask"))).toArrow()  # at most planes x slots rows
     masks = np.zeros((-(-len(langs) // PLANE), slots), dtype=np.uint64)
     masks[np.asarray(table["plane"]), np.asarray(table["slot"])] = np.asarray(table["mask"]).astype(np.uint64)
-    return Model(langs, masks)
+    return Model(langs, masks, [1 - r["once"] / r["total"] for r in known])
 
 
 def _scores(model: Model, texts: pa.Array, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
@@ -153,6 +155,21 @@ def _scores(model: Model, texts: pa.Array, lo: int, hi: int) -> tuple[np.ndarray
     return out, n
 
 
+def _judged(model: Model, column: pa.Array):
+    """(lo, hi, whether there is a letter, best language, its score, n-grams) for slices of the texts."""
+    letter = regex.compile(r"\p{L}")
+    raw = pc.fill_null(column, "")
+    texts = pc.utf8_lower(raw)
+    for lo, hi in slices(texts):
+        spoken = np.array([letter.search(t) is not None for t in raw.slice(lo, hi - lo).to_pylist()], dtype=bool)
+        best, scores, n = np.zeros(hi - lo, dtype=np.int64), np.zeros(hi - lo), np.zeros(hi - lo, dtype=np.int64)
+        if model.langs:
+            found, n = _scores(model, texts, lo, hi)
+            best = found.argmax(axis=1)
+            scores = np.where(spoken, np.clip(found[np.arange(hi - lo), best] / np.maximum(n, 1), 0, 1), 0.0)
+        yield lo, hi, spoken, best, scores, n
+
+
 def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` (the corrected share of n-grams that the language holds)."""
     spark = docs.sparkSession
@@ -164,25 +181,36 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     at = columns.index(text_col)
 
     def run(batches):
-        m, letter = shared.value, regex.compile(r"\p{L}")
+        m = shared.value
         for b in batches:
-            raw = pc.fill_null(b.column(at), "")
-            texts = pc.utf8_lower(raw)
-            for lo, hi in slices(texts):
-                part = b.slice(lo, hi - lo)
-                names, scores = [UND] * (hi - lo), np.zeros(hi - lo)
-                if m.langs:
-                    found, n = _scores(m, texts, lo, hi)
-                    best = found.argmax(axis=1)
-                    spoken = [letter.search(t) is not None for t in raw.slice(lo, hi - lo).to_pylist()]
-                    names = [m.langs[k] if s else UND for k, s in zip(best, spoken)]
-                    scores = np.where(spoken, np.clip(found[np.arange(hi - lo), best] / np.maximum(n, 1), 0, 1), 0.0)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
+            for lo, hi, spoken, best, scores, _ in _judged(m, b.column(at)):
+                names = [m.langs[k] if s and m.langs else UND for k, s in zip(best, spoken)]
+                yield pa.RecordBatch.from_arrays([*b.slice(lo, hi - lo).columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                                                  names=[*columns, "lang_pred", "score"])
 
     return docs.mapInArrow(run, schema)
 
 
+def keep(docs: DataFrame, model: Model, text_col: str = "text", lang_col: str = "lang", least: float = LEAST) -> DataFrame:
+    """The documents that are in a learned language; columns unchanged. A text without a letter goes; of FEW
+    n-grams or more, so does one whose score is below ``least`` times the share of n-grams that training has met of
+    the best language. Where nothing was learned, or not of the language a row is labelled with, letters suffice."""
+    ship_package(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at, label = docs.columns.index(text_col), docs.columns.index(lang_col)
+
+    def run(batches):
+        m = shared.value
+        learned = pa.array(m.langs, pa.string())
+        for b in batches:
+            judge = np.asarray(pc.or_(pc.is_null(b.column(label)), pc.is_in(b.column(label), learned)))
+            for lo, hi, spoken, best, scores, n in _judged(m, b.column(at)):
+                good = spoken & (~judge[lo:hi] | (n < FEW) | (scores >= least * m.seen[best])) if m.langs else spoken
+                yield b.slice(lo, hi - lo).filter(pa.array(good, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(doc_id: str = "doc_id"):
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
