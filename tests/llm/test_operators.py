@@ -197,6 +197,19 @@ def test_jaccard_components(spark, n, percent, monkeypatch):
         assert kept == [i for i in range(len(texts)) if find(i) == i]
 
 
+@pytest.mark.parametrize("block", [1 << 20, 2000])
+def test_jaccard_links(spark, block, monkeypatch):
+    rng = random.Random(8)
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", block)
+    base = [" ".join(f"t{rng.randrange(90)}" for _ in range(m)) for m in (60, 150, 1600)]
+    texts = [None, "", "one", "one"] + base + [edited(b, rng, rng.randrange(1, 4)) for b in base for _ in range(25)] + base[:2] * 2
+    sets = [{tuple(w[i:i + 3]) for i in range(max(1, len(w) - 2))} if w else set() for w in map(words, texts)]
+    near = lambda x, y: bool(x) and 100 * len(x & y) >= 90 * len(x | y)
+    want = {i: sum(near(x, y) for j, y in enumerate(sets) if i != j) for i, x in enumerate(sets)}
+    got = {r["doc_id"]: r["n_links"] for r in jaccard.report(docs_of(spark, texts)).collect()}
+    assert got == want and sum(want.values()) // 2 > 2 * len(texts)  # far more links than any forest has
+
+
 def test_components_of_a_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
     assert {r["v"]: r["c"] for r in components.components(links).collect()} == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}

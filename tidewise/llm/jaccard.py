@@ -13,9 +13,9 @@ result. Classes that share such a key meet in a bucket, and there a signature tr
 
 What the trees leave are candidate pairs; a large bucket sends on a spanning forest of them. The components of the
 candidates are clusters: every link lies inside one, and a class that lies in many common buckets is sent to its cluster
-once. There the whole texts meet, signature trees name the pairs again, the most similar pairs are verified first,
-and a pair whose ends are linked already is skipped, so a group of n near copies gives n - 1 links, not n * n.
-No link between different components is lost, so components are exact.
+once. There the whole texts meet, signature trees name the pairs again, and every pair is verified, block pair by
+block pair. What leaves a task is the number of links of each class and a spanning forest of them, so a group of n near
+copies sends 2 n rows, not n * n; the forest gives the components. Both are exact.
 
 Scale: a bucket over BLOCK members and a cluster over BLOCK_SHINGLES shingles are split into blocks by size, and
 only block pairs whose size ranges fit meet in a task. Candidates, links and labels stay distributed.
@@ -285,9 +285,29 @@ def _sets(texts: pa.Array, n: int) -> list[np.ndarray]:
     return out
 
 
-def _linked(u: np.ndarray, v: np.ndarray, percent: int) -> bool:
-    common = len(np.intersect1d(u, v, assume_unique=True))
-    return 100 * common >= percent * (len(u) + len(v) - common)
+def _linked(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """Which of the pairs (a, b) of sets reach the threshold: the shingles of each a are marked, those of its partners
+    looked up, about 2 million at a time."""
+    size = np.array([len(u) for u in sets], dtype=np.int64)
+    words, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    start = np.concatenate(([0], np.cumsum(size)))
+    marked, out = np.zeros(len(words), dtype=bool), np.zeros(len(a), dtype=bool)
+    order = np.argsort(a, kind="stable")
+    cut = np.concatenate(([0], np.flatnonzero(np.diff(a[order])) + 1, [len(a)])) if len(a) else np.zeros(1, dtype=np.int64)
+    for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist()):
+        x = a[order[lo]]
+        own = flat[start[x]:start[x + 1]]
+        marked[own] = True
+        step = max(1, (1 << 21) // int(size[b[order[lo:hi]]].max()))
+        for k in range(lo, hi, step):
+            pairs = order[k:min(hi, k + step)]
+            y = b[pairs]
+            first = np.cumsum(size[y]) - size[y]
+            at = np.arange(int(size[y].sum())) + np.repeat(start[y] - first, size[y])
+            common = np.add.reduceat(marked[flat[at]], first, dtype=np.int64)
+            out[pairs] = 100 * common >= percent * (size[x] + size[y] - common)
+        marked[own] = False
+    return out
 
 
 def _texts(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
@@ -306,8 +326,8 @@ def _texts(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
 
 
 def _verify(members: DataFrame, texts: DataFrame, n: int, percent: int, tasks: int) -> DataFrame:
-    """Spanning links of every cluster (block pair): pairs by falling similarity bound, skipping those whose ends
-    are linked already."""
+    """Every candidate pair of every cluster (block pair) is verified. Rows (a, b, null) are spanning links, rows
+    (a, null, n) say that class a is linked to n documents of other classes there."""
     def run(batches):
         for t, cuts in _runs(batches, 3):
             for lo, hi in zip(cuts[:-1], cuts[1:]):
@@ -326,36 +346,34 @@ def _verify(members: DataFrame, texts: DataFrame, n: int, percent: int, tasks: i
                         continue
                     a, b = traverse(Tree(size[one], sig[one]), Tree(size[two], sig[two]), percent)
                 a, b = one[a], two[b]
-                common = np.concatenate([np.bitwise_count(sig[a[k:k + 65536]] & sig[b[k:k + 65536]]).sum(axis=1) for k in range(0, len(a), 65536)] or [np.zeros(0)])
-                root = list(range(len(sets)))
-
-                def find(v):
-                    while root[v] != v:
-                        root[v] = root[root[v]]
-                        v = root[v]
-                    return v
-
-                links = []
-                for k in np.argsort(-common.astype(np.int64) / (size[a] + size[b]), kind="stable").tolist():
-                    x, y = find(a[k]), find(b[k])
-                    if x != y and _linked(sets[a[k]], sets[b[k]], percent):
-                        root[max(x, y)] = min(x, y)
-                        links.append((int(a[k]), int(b[k])))
+                good = _linked(sets, a, b, percent)
+                a, b = a[good], b[good]
+                copies = np.asarray(part.column("copies"))
+                count = np.zeros(len(sets), dtype=np.int64)
+                np.add.at(count, a, copies[b])
+                np.add.at(count, b, copies[a])
+                label = _forest(a, b, len(sets))
+                inner, some = np.flatnonzero(label != np.arange(len(sets))), np.flatnonzero(count)
                 ids = part.column("set_id").to_pylist()
-                yield pa.RecordBatch.from_arrays([pa.array([ids[x] for x, _ in links], pa.binary()), pa.array([ids[y] for _, y in links], pa.binary())], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([ids[x] for x in inner] + [ids[x] for x in some], pa.binary()),
+                     pa.array([ids[x] for x in label[inner]] + [None] * len(some), pa.binary()),
+                     pa.array([None] * len(inner) + count[some].tolist(), pa.int64())], names=["a", "b", "n"])
 
-    rows = (members.join(texts, "set_id").select("key", "i", "j", "blk", "set_id", "text")
+    rows = (members.join(texts, "set_id").select("key", "i", "j", "blk", "set_id", "copies", "text")
             .repartition(tasks, "key", "i", "j").sortWithinPartitions("key", "i", "j", "set_id"))
-    return rows.mapInArrow(run, "a binary, b binary")
+    return rows.mapInArrow(run, "a binary, b binary, n long")
 
 
-def links(docs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:
-    """Verified links (a, b) between classes of ``sets`` that connect all that the threshold connects."""
+def links(docs: DataFrame, sets: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) between classes of ``sets`` that connect all that the threshold connects, and (a, n): the number of
+    documents of other classes that class a is linked to, of all pairs that reach the threshold."""
     spark = docs.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     full = sets.filter(F.col("set_id").isNotNull())
     classes = cut_lineage(full.groupBy("set_id").agg(
-        F.min("doc_id").alias("doc_id"), F.first("short").alias("short"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig")), "jaccard-classes")
+        F.min("doc_id").alias("doc_id"), F.first("short").alias("short"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"),
+        F.count(F.lit(1)).alias("copies")), "jaccard-classes")
     keys = full.select("set_id", "short", "n_shingles", "prefix").dropDuplicates(["set_id"]).select(F.explode("prefix").alias("key"), "short", "n_shingles")
     # the size range is tested first: a member stays if the next smaller or larger one of its bucket fits
     place = Window.partitionBy("key").orderBy("n_shingles", "short")
@@ -368,30 +386,36 @@ def links(docs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:
     cluster = components(_prune(rows, percent))
     inside = Window.partitionBy("key").orderBy("n_shingles", "set_id")
     before = F.coalesce(F.sum("n_shingles").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    member = classes.join(cluster, classes["set_id"] == cluster["v"]).select(F.col("c").alias("key"), "set_id", "doc_id", "n_shingles")
+    member = classes.join(cluster, classes["set_id"] == cluster["v"]).select(F.col("c").alias("key"), "set_id", "doc_id", "n_shingles", "copies")
     member = cut_lineage(member.withColumn("blk", F.floor(before / BLOCK_SHINGLES).cast("int")), "jaccard-clusters")
     texts = _texts(docs, member.select("set_id", "doc_id"), n)
-    return cut_lineage(_verify(_block_pairs(member, percent).select("key", "i", "j", "blk", "set_id"), texts, n, percent, tasks), "jaccard-links")
+    found = cut_lineage(_verify(_block_pairs(member, percent).select("key", "i", "j", "blk", "set_id", "copies"), texts, n, percent, tasks), "jaccard-links")
+    return found.filter("n IS NULL").select("a", "b"), found.filter("n IS NOT NULL").groupBy("a").agg(F.sum("n").alias("n"))
 
 
-def groups(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row: component_id is the smallest doc_id that links reach."""
+def groups(docs: DataFrame, n: int = 3, percent: int = 90, count: bool = True) -> DataFrame:
+    """(doc_id, n_shingles, component_id, n_links) for every row: component_id is the smallest doc_id that links reach,
+    n_links (with ``count``) the number of other rows at the threshold or above, equal sets among them."""
     ship_package(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     sets = cut_lineage(shingle_sets(docs, n, percent), "jaccard-sets")
-    label = components(links(docs, sets, n, percent))
-    smallest = sets.filter(F.col("set_id").isNotNull()).groupBy("set_id").agg(F.min("doc_id").alias("least"))
-    smallest = smallest.join(label, smallest["set_id"] == label["v"], "left").select("set_id", "least", F.coalesce("c", "set_id").alias("c"))
+    spanning, linked = links(docs, sets, n, percent)
+    label = components(spanning)
+    smallest = sets.filter(F.col("set_id").isNotNull()).groupBy("set_id").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"))
+    smallest = smallest.join(label, smallest["set_id"] == label["v"], "left").select("set_id", "least", "copies", F.coalesce("c", "set_id").alias("c"))
     component = smallest.groupBy("c").agg(F.min("least").alias("component_id"))
-    by_set = smallest.join(component, "c").select("set_id", "component_id")
+    by_set = smallest.join(component, "c").select("set_id", "component_id", "copies")
+    if count:
+        by_set = by_set.join(linked, by_set["set_id"] == linked["a"], "left").withColumn("n_links", F.col("copies") - 1 + F.coalesce("n", F.lit(0)))
     return (sets.select("doc_id", "n_shingles", "set_id").join(by_set, "set_id", "left")
-            .select("doc_id", "n_shingles", F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
+            .select("doc_id", "n_shingles", F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+                    *([F.coalesce("n_links", F.lit(0)).alias("n_links")] if count else [])))
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """The document with the smallest doc_id of every group; columns unchanged. Rows equal in id and text
     are one document."""
-    kept = groups(docs, n, percent).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
+    kept = groups(docs, n, percent, count=False).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
     return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").dropDuplicates(["doc_id", "text"])
 
 
