@@ -210,6 +210,17 @@ def test_jaccard_links(spark, block, monkeypatch):
     assert got == want and sum(want.values()) // 2 > 2 * len(texts)  # far more links than any forest has
 
 
+def test_keep_one_with_null_and_repeated_ids(spark):
+    a, b, c = (" ".join(f"{k}{i}" for i in range(60)) for k in "abc")
+    rows = [(None, ""), (None, a), (None, a + " tail"), (None, a.upper()), (7, b), (3, b + " tail"), (7, c), (9, c), (9, c + " tail"), (3, ""), (5, a + " x y")]
+    rows += [(None, "z " + c + " tail"), (None, "only " * 9), (None, "only " * 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r["doc_id"], r["text"]) for r in jaccard.keep_one(docs).collect()), key=str)
+    assert got == sorted([(None, ""), (5, a + " x y"), (3, b + " tail"), (7, c), (3, ""), (None, "only " * 9)], key=str)
+    got = [r["text"] for r in jaccard.keep_one(docs.filter("doc_id IS NULL AND text LIKE 'a%' OR text = ''")).collect()]
+    assert len(got) == 3 and sum(t.startswith("a") for t in got) == 1
+
+
 def test_components_of_a_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
     assert {r["v"]: r["c"] for r in components.components(links).collect()} == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}

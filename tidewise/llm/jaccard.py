@@ -34,6 +34,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewise.llm.bytewords import Words, slices
 from tidewise.llm.components import components
@@ -393,9 +394,9 @@ def links(docs: DataFrame, sets: DataFrame, n: int, percent: int) -> tuple[DataF
     return found.filter("n IS NULL").select("a", "b"), found.filter("n IS NOT NULL").groupBy("a").agg(F.sum("n").alias("n"))
 
 
-def groups(docs: DataFrame, n: int = 3, percent: int = 90, count: bool = True) -> DataFrame:
+def groups(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links) for every row: component_id is the smallest doc_id that links reach,
-    n_links (with ``count``) the number of other rows at the threshold or above, equal sets among them."""
+    n_links the number of other rows at the threshold or above, equal sets among them."""
     ship_package(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     sets = cut_lineage(shingle_sets(docs, n, percent), "jaccard-sets")
@@ -404,19 +405,47 @@ def groups(docs: DataFrame, n: int = 3, percent: int = 90, count: bool = True) -
     smallest = sets.filter(F.col("set_id").isNotNull()).groupBy("set_id").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"))
     smallest = smallest.join(label, smallest["set_id"] == label["v"], "left").select("set_id", "least", "copies", F.coalesce("c", "set_id").alias("c"))
     component = smallest.groupBy("c").agg(F.min("least").alias("component_id"))
-    by_set = smallest.join(component, "c").select("set_id", "component_id", "copies")
-    if count:
-        by_set = by_set.join(linked, by_set["set_id"] == linked["a"], "left").withColumn("n_links", F.col("copies") - 1 + F.coalesce("n", F.lit(0)))
+    by_set = smallest.join(component, "c").join(linked, F.col("set_id") == linked["a"], "left").select(
+        "set_id", "component_id", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"))
     return (sets.select("doc_id", "n_shingles", "set_id").join(by_set, "set_id", "left")
             .select("doc_id", "n_shingles", F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-                    *([F.coalesce("n_links", F.lit(0)).alias("n_links")] if count else [])))
+                    F.coalesce("n_links", F.lit(0)).alias("n_links")))
+
+
+def _with_set(docs: DataFrame, n: int) -> DataFrame:
+    """``docs`` with ``_set``, the set_id of each row's text."""
+    columns, at = docs.columns, docs.columns.index("text")
+
+    def run(batches):
+        for b in batches:
+            for lo, hi in slices(b.column(at)):
+                part = b.slice(lo, hi - lo)
+                own = pa.array([_set_id(u) if len(u) else None for u in _sets(part.column(at), n)], pa.binary())
+                yield pa.RecordBatch.from_arrays([*part.columns, own], names=[*columns, "_set"])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("_set", T.BinaryType())]))
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """The document with the smallest doc_id of every group; columns unchanged. Rows equal in id and text
-    are one document."""
-    kept = groups(docs, n, percent, count=False).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").dropDuplicates(["doc_id", "text"])
+    """One document of every group, the smallest by (doc_id, set_id, text) with null ids last; columns unchanged. Rows
+    without a word are their own groups, those equal in id and text one. Only rows whose id (or null) stands with
+    several sets are looked up by their own set."""
+    ship_package(docs.sparkSession)
+    short = docs.select(F.col("doc_id").cast("long"), "text")
+    sets = cut_lineage(shingle_sets(short, n, percent), "jaccard-sets")
+    label = components(links(short, sets, n, percent)[0])
+    full = sets.filter(F.col("set_id").isNotNull()).groupBy("set_id").agg(F.min("doc_id").alias("_id"))
+    full = full.join(label, full["set_id"] == label["v"], "left").select(F.coalesce("c", "set_id").alias("c"), F.struct(F.col("_id").isNull(), "_id", "set_id").alias("s"))
+    kept = full.groupBy("c").agg(F.min("s").alias("s")).select(F.col("s")["_id"].alias("_id"), F.col("s")["set_id"].alias("_own"))
+    kept = kept.unionByName(sets.filter(F.col("set_id").isNull()).select(F.col("doc_id").alias("_id"), F.col("set_id").alias("_own")).distinct())
+    ids = sets.groupBy("doc_id").agg(F.min("set_id").alias("a"), F.max("set_id").alias("b"), F.count("set_id").alias("k"), F.count(F.lit(1)).alias("m"))
+    several = cut_lineage(ids.filter((F.col("a") != F.col("b")) | ((F.col("k") > 0) & (F.col("k") < F.col("m")))).select(F.col("doc_id").alias("_many")), "jaccard-several")
+    same = F.col("doc_id").eqNullSafe(F.col("_id"))
+    plain = docs.join(kept.join(several, F.col("_id").eqNullSafe(F.col("_many")), "left_anti"), same).drop("_id").withColumnRenamed("_own", "_set")
+    mixed = _with_set(docs.join(several, F.col("doc_id").eqNullSafe(F.col("_many")), "left_semi"), n)
+    mixed = mixed.join(kept, same & F.col("_set").eqNullSafe(F.col("_own")), "left_semi")
+    row = Window.partitionBy("doc_id", "_set", F.when(F.col("_set").isNull(), F.col("text"))).orderBy("text")
+    return plain.unionByName(mixed).withColumn("_row", F.row_number().over(row)).filter("_row = 1").select(*docs.columns)
 
 
 def report(docs: DataFrame) -> DataFrame:
