@@ -145,3 +145,27 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = f"{run_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     write_table(df, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+class Scratch:
+    """The intermediate tables of one job in the shared checkpoint folder. ``drop`` deletes a table as soon as its
+    last reader has been written; what is left goes with the run's folder when the driver ends."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        import uuid
+
+        self.spark = spark
+        self.folder = f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        write_table(df, f"{self.folder}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            delete_folder(self.spark, f"{self.folder}/{name}")
