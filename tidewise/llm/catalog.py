@@ -72,5 +72,66 @@ def op10_stable_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.report(table(spark, sf_dir, "embeddings"))
 
 
-Q = {f.__name__: f for f in (op1_ctw_score, op2_license_scan, op3_secret_scan, op4_decontaminate, op5_language_id, op6_jaccard_join, op7_histogram_shards, op8_pii, op9_byte_bpe, op10_stable_projections)}
-ORACLE: dict[str, str] = {}
+def op11_skyband(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewise.llm import skyband
+
+    return skyband.report(table(spark, sf_dir, "documents"))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewise.llm import exactdedup
+
+    return exactdedup.report(table(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewise.llm import collocations
+
+    return collocations.report(table(spark, sf_dir, "documents"))
+
+
+Q = {f.__name__: f for f in (op1_ctw_score, op2_license_scan, op3_secret_scan, op4_decontaminate, op5_language_id, op6_jaccard_join, op7_histogram_shards, op8_pii, op9_byte_bpe, op10_stable_projections, op11_skyband, op12_exact_dedup, op13_collocations)}
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE: dict[str, str] = {
+    "op11_skyband": f"""
+with d as (select row_number() over () as doc, coalesce(lang, '') as lang, coalesce(source, '') as source, {_LOWER} as text from documents),
+words as (select doc, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from d),
+kept as (select lang, term, count(*) as lc from words group by lang, term having count(distinct doc) >= 30),
+counts as (select w.lang, w.source, w.term, count(*) as n from words w join kept using (lang, term) group by all),
+langs as (select lang, count(*) as v, sum(lc) as ln from kept group by lang),
+groups as (select g.lang, g.source, coalesce(l.v, 0) as v, coalesce(l.ln, 0) as ln, coalesce(t.n, 0) as n
+  from (select distinct lang, source from d) g left join langs l using (lang) left join (select lang, source, sum(n) as n from counts group by all) t using (lang, source)),
+shares as (select g.lang, g.source, k.term, coalesce(c.n, 0) as n,
+    1 + (1000000000::hugeint * (coalesce(c.n, 0) + 5)) // (g.n + 5 * g.v) as p, 1 + (1000000000::hugeint * (k.lc + 5)) // (g.ln + 5 * g.v) as q
+  from groups g join kept k using (lang) left join counts c using (lang, source, term)),
+pairs as (select a.lang, a.source, b.source as item, sum(abs(a.p - b.p)) as value from shares a join shares b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+both_parts as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce(p.value, 0)::bigint as value
+  from groups a join groups b on a.lang = b.lang and a.source <> b.source left join pairs p on p.lang = a.lang and p.source = a.source and p.item = b.source
+  union all select lang, source, 'term', term, (p - q)::bigint from shares where n > 0 and p > q),
+ranked as (select *, row_number() over (partition by lang, source, part order by value desc, item) as rank from both_parts)
+select lang, source, part, item, value, rank from ranked where part = 'pair' or rank <= 50""",
+    "op12_exact_dedup": r"""
+with d as (select doc_id, sha256(regexp_replace(coalesce(text, ''), '[ 	-]+', ' ', 'g')) as text_sha256 from documents)
+select doc_id, min(doc_id) over same as keep_id, count(*) over same as group_size, doc_id = min(doc_id) over same as kept, text_sha256
+from d window same as (partition by text_sha256)""",
+    "op13_collocations": f"""
+with d as (select coalesce(lang, 'und') as lang, {_LOWER} as text from documents),
+pieces as (select lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) as piece from d),
+words as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+sizes as (select lang, sum(len(w)) as n from words group by lang),
+starts as (select lang, w, unnest(range(1, len(w) + 1)) as s from words),
+grams as (select lang, w[s:s + k - 1] as g from starts, (values (1), (2), (3), (4)) x(k) where s + k - 1 <= len(w)),
+often as (select lang, g, array_to_string(g, ' ') as phrase, count(*) as f from grams group by lang, g having count(*) >= 30),
+cand as (select * from often where len(g) > 1),
+cuts as (select c.lang, c.phrase, c.f as a, k, l.f as l, r.f as r, (2000000::hugeint * c.f) // (l.f + r.f) as score
+  from (select *, unnest(range(1, len(g))) as k from cand) c join often l on l.lang = c.lang and l.g = c.g[1:c.k] join often r on r.lang = c.lang and r.g = c.g[c.k + 1:]),
+best as (select * from (select *, row_number() over (partition by lang, phrase order by score, k) as i from cuts) where i = 1),
+inside as (select lang, f, g[s:s + m - 1] as g from (select *, unnest(range(1, len(g) - m + 2)) as s from (select *, unnest(range(2, len(g))) as m from cand))),
+longer as (select lang, array_to_string(g, ' ') as phrase, max(f) as longer from inside group by all),
+ranked as (select b.*, row_number() over (partition by b.lang order by b.score desc, b.a desc, b.phrase) as rank
+  from best b left join longer o using (lang, phrase) where o.longer is null or 100 * o.longer < 80 * b.a)
+select r.lang, r.rank, r.phrase, r.a, r.l, r.r, s.n::bigint as n, r.score::bigint as score from ranked r join sizes s using (lang) where r.rank <= 2000""",
+}
