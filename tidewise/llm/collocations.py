@@ -38,7 +38,9 @@ LONGEST = 4
 PERCENT = 80
 TOP = 2000
 SCALE = 2_000_000
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
+#: rows of one Arrow batch that a block sends
+BATCH_ROWS = 32
 
 #: no byte of UTF-8: stands for the end of a piece, and of a document
 _BREAK = b"\xff"
@@ -133,15 +135,15 @@ def sent(held: DataFrame, bits: int) -> DataFrame:
         for batch in batches:
             for block, payload in zip(batch.column(0).to_pylist(), batch.column(1)):
                 found = [p.counted(k)[1:] for p in _languages(payload.as_py()) for k in range(1, LONGEST + 1)]
-                if not found:
-                    continue
                 hashes, counts = np.concatenate([h for _, h in found]), np.concatenate([c for c, _ in found])
+                del found
                 order = np.argsort(hashes)
                 part, key = _split(hashes[order], bits)
                 counts = counts[order].astype(np.uint32)
                 ends = np.searchsorted(part, np.arange((1 << bits) + 1))
                 rows = [(p, block, key[a:b].tobytes(), counts[a:b].tobytes()) for p, (a, b) in enumerate(zip(ends[:-1], ends[1:])) if b > a]
-                yield pa.RecordBatch.from_arrays([pa.array(column) for column in zip(*rows)], names=["part", "block", "keys", "counts"]) if rows else pa.RecordBatch.from_pylist([], schema=pa.schema({"part": pa.int64(), "block": pa.int64(), "keys": pa.binary(), "counts": pa.binary()}))
+                for i in range(0, len(rows), BATCH_ROWS):
+                    yield pa.RecordBatch.from_arrays([pa.array(column) for column in zip(*rows[i:i + BATCH_ROWS])], names=["part", "block", "keys", "counts"])
 
     return held.mapInArrow(run, "part long, block long, keys binary, counts binary")
 
