@@ -1,12 +1,17 @@
 import pytest
+
+# expected values and inputs: fixed values
 from pyspark.sql import functions as F
 
-from tidewise.config import ScoringConfig
+from tidewise.config import DetectionConfig, ScoringConfig
 from tidewise.operators import scoring
 
 
-def one_row(spark, stl, acf, fourier):
-    return spark.createDataFrame([("s", stl, acf, fourier)], "sensor string, stl_max double, acf_max double, fourier_max double")
+def one_row(spark, stl, acf, fourier, cfg=ScoringConfig()):
+    """The scores of one sensor with these method scores at one period."""
+    rows = [("s", m, 7, v) for m, v in (("stl", stl), ("acf", acf), ("fourier", fourier))]
+    found = spark.createDataFrame(rows, "sensor string, method string, period long, score double")
+    return scoring.scores_table(found, DetectionConfig(periods=(7,)), cfg, ("stl", "acf", "fourier")).first()
 
 
 def test_normalize(spark):
@@ -16,24 +21,24 @@ def test_normalize(spark):
 
 
 def test_composite_default_weights(spark):
-    r = one_row(spark, 0.6, 0.4, 0.1).select(scoring.composite()).collect()[0][0]
+    r = one_row(spark, 0.6, 0.4, 0.1)["composite_score"]
     assert r == pytest.approx(0.3 * 0.6 + 0.3 * 0.4 + 0.4 * 1.0)
 
 
 def test_composite_custom_weights(spark):
     cfg = ScoringConfig(weights=(("stl", 0.5), ("acf", 0.5), ("fourier", 0.0)))
-    r = one_row(spark, 0.5, 0.5, 0.05).select(scoring.composite(cfg)).collect()[0][0]
+    r = one_row(spark, 0.5, 0.5, 0.05, cfg)["composite_score"]
     assert r == pytest.approx(0.5)
 
 
 @pytest.mark.parametrize("vals,label", [((0.6, 0.4, 0.15), "High"), ((0.6, 0.4, 0.05), "Medium"),
                                         ((0.6, 0.2, 0.05), "Low"), ((0.3, 0.1, 0.01), "None")])
 def test_strict_labels(spark, vals, label):
-    assert one_row(spark, *vals).select(scoring.label_strict()).collect()[0][0] == label
+    assert one_row(spark, *vals)["confidence_strict"] == label
 
 
 def test_exploratory_label(spark):
-    assert one_row(spark, 0.3, 0.2, 0.03).select(scoring.label_exploratory()).collect()[0][0] in ("High", "Medium")
+    assert one_row(spark, 0.3, 0.2, 0.03)["confidence_exploratory"] in ("High", "Medium")
 
 
 def _scores(spark):

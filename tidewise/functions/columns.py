@@ -22,17 +22,11 @@ def r6(c: Column | str) -> Column:
     return F.round(c, 6) + F.lit(0.0)
 
 
-def safe_div(a: Column, b: Column) -> Column:
-    return F.try_divide(a, b)
-
 
 def sensor_window(order_col: str = BIN) -> Window:
     return Window.partitionBy(SENSOR).orderBy(order_col)
 
 
-def sensor_frame() -> Window:
-    return Window.partitionBy(SENSOR)
-
 
 def lgamma_sql(x: str) -> str:
     """SQL text of log Gamma(x) for x > 0: shift by 10 then the Stirling series.
@@ -45,35 +39,22 @@ def lgamma_sql(x: str) -> str:
     return f"({stirling} - ({shift}))"
 
 
-def lgamma(x: Column | str) -> Column:
-    """Column form of :func:`lgamma_sql`; ``x`` is a column name or SQL text."""
-    if not isinstance(x, str):
-        raise TypeError("pass the argument as SQL text or a column name")
-    return F.expr(lgamma_sql(x))
-
 
 def days_between(later: Column, earlier: Column) -> Column:
     """Whole days between two DATE/TIMESTAMP_NTZ values (floor), timezone independent."""
     return F.timestamp_diff("DAY", earlier.cast("timestamp_ntz"), later.cast("timestamp_ntz")).cast("long")
 
 
-def with_pos(df: DataFrame, order_col: str = BIN, name: str = "pos") -> DataFrame:
-    """1-based position of each row inside its sensor (grid-level only: the grid is bounded per sensor)."""
-    return df.withColumn(name, F.row_number().over(sensor_window(order_col)).cast("long"))
 
+def ordered_parts(df: DataFrame, order_cols: list[Column]) -> DataFrame:
+    """``df`` sorted by range partitions, each row with its partition's number ``_pid``. Write it before use: two uses of the
+    plan could see two samplings of the range boundaries."""
+    return df.orderBy(*order_cols).withColumn("_pid", F.spark_partition_id())
 
-def distributed_row_number(df: DataFrame, order_cols: list[Column], name: str = "rank") -> DataFrame:
-    """1..N over a global order without moving every row into one task.
-
-    A range-partitioned sort stamps every row with its partition id in ONE execution, which is
-    written to the shared checkpoint folder (so the two uses below cannot see two different
-    samplings of the range boundaries, and a lost executor only costs re-reading files). Then
-    per-partition counts (one row per partition), running offsets over that tiny table, and
-    local row numbers plus the offset. The offsets table is bounded by the partition count.
-    """
-    from tidewise.session import cut_lineage
 
-    ordered = cut_lineage(df.orderBy(*order_cols).withColumn("_pid", F.spark_partition_id()), "rank")
+def numbered(ordered: DataFrame, order_cols: list[Column], name: str = "rank") -> DataFrame:
+    """1..N over the written result of ``ordered_parts``: per-partition counts (one row per partition), running offsets over
+    that tiny table, and local row numbers plus the offset. The offsets table is bounded by the partition count."""
     local = ordered.withColumn(
         "_local", F.row_number().over(Window.partitionBy("_pid").orderBy(*order_cols))
     )
@@ -86,6 +67,14 @@ def distributed_row_number(df: DataFrame, order_cols: list[Column], name: str =
     return out.drop("_pid", "_local", "_off")
 
 
+def distributed_row_number(df: DataFrame, order_cols: list[Column], name: str = "rank") -> DataFrame:
+    """1..N over a global order without moving every row into one task: a range-partitioned sort, written to the shared
+    checkpoint folder (a lost executor only costs re-reading files), and ``numbered``. Runs its sort when called."""
+    from tidewise.session import cut_lineage
+
+    return numbered(cut_lineage(ordered_parts(df, order_cols), "rank"), order_cols, name)
+
+
 def by_sensor(df: DataFrame) -> DataFrame:
     """Hash-partition on sensor with an explicit partition count ahead of a grouped-map kernel.
 
@@ -104,16 +93,3 @@ def by_sensor(df: DataFrame) -> DataFrame:
     if n == int(spark.conf.get("spark.sql.shuffle.partitions", "200")):
         n += 1
     return df.repartition(n, SENSOR)
-
-
-def exact_median(df: DataFrame, col: str) -> DataFrame:
-    """One-row exact (interpolated) median of ``col`` over all rows, without one group holding
-    every value: a distributed rank (range-partitioned sort + offsets) selects the middle one or
-    two rows, whose mean is the median. NULLs are ignored; no rows -> NULL."""
-    v = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    ranked = distributed_row_number(v, [F.col("v").asc()], "r")
-    n = v.select(F.count(F.lit(1))).scalar()
-    lo = F.floor((n + 1) / 2)
-    hi = F.floor(n / 2) + 1
-    mid = ranked.filter((F.col("r") == lo) | (F.col("r") == hi))
-    return mid.agg(F.avg("v").alias("median"))

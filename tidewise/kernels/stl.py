@@ -16,6 +16,9 @@ from functools import lru_cache
 
 import numpy as np
 
+#: points smoothed in step: more would leave the cache
+BLOCK_POINTS = 40_000
+
 
 def _odd_at_least(x: int) -> int:
     x = int(x)
@@ -62,35 +65,53 @@ def _loess(Y: np.ndarray, RW: np.ndarray | None, span: int, xs: np.ndarray, nlef
     return ys, ok
 
 
-def _corr_valid(x: np.ndarray, k: np.ndarray) -> np.ndarray:
-    """``np.correlate(x, k, 'valid')``; by FFT for long kernels (O(n log n) instead of O(n L))."""
-    n, L = len(x), len(k)
-    if L <= 64:
-        return np.correlate(x, k, "valid")
-    m = 1 << int(np.ceil(np.log2(n + L - 1)))
-    conv = np.fft.irfft(np.fft.rfft(x, m) * np.fft.rfft(k[::-1], m), m)
-    return conv[L - 1:n]
+@lru_cache(maxsize=256)
+def _fft_size(n: int) -> int:
+    """The smallest number from n on whose only prime factors are 2, 3 and 5."""
+    while True:
+        m = n
+        for f in (2, 3, 5):
+            while m % f == 0:
+                m //= f
+        if m == 1:
+            return n
+        n += 1
 
 
-def _interior(Y: np.ndarray, RW: np.ndarray | None, span: int) -> tuple[np.ndarray, np.ndarray]:
-    """Symmetric-window points of every row: all windows share one tricube kernel, so the five
-    weighted sums of the local linear fit are correlations with fixed kernels (batched)."""
-    B, n = Y.shape
+@lru_cache(maxsize=64)
+def _interior_kernels(span: int, size: int):
+    """Tricube weights of a full window times 1, d and d^2 (d: offset from its middle), and their transforms of ``size``."""
     h = (span - 1) / 2.0
     d = np.arange(span) - h
-    r = np.abs(d)
-    w0 = np.where(r <= 0.999 * h, np.where(r <= 0.001 * h, 1.0, (1.0 - (r / h) ** 3) ** 3), 0.0)
-    V = np.ones_like(Y) if RW is None else RW
-    VY = V * Y
-    if B == 1:
-        v, vy = V[0], VY[0]
-        s0, s1, s2 = (_corr_valid(v, w0)[None], _corr_valid(v, w0 * d)[None], _corr_valid(v, w0 * d * d)[None])
-        t0, t1 = _corr_valid(vy, w0)[None], _corr_valid(vy, w0 * d)[None]
-    else:
-        sv = np.lib.stride_tricks.sliding_window_view(V, span, axis=1)     # B x (n-L+1) x L
-        svy = np.lib.stride_tricks.sliding_window_view(VY, span, axis=1)
-        s0, s1, s2 = sv @ w0, sv @ (w0 * d), sv @ (w0 * d * d)
-        t0, t1 = svy @ w0, svy @ (w0 * d)
+    k = _tricube(np.abs(d), np.full(span, h)) * np.stack([np.ones(span), d, d * d])
+    return k, np.fft.rfft(k[:, ::-1], size)
+
+
+def _correlate(X: np.ndarray, span: int, powers: int) -> list[np.ndarray]:
+    """Correlations of every row of X with the first ``powers`` interior kernels, where the window fits. Long kernels go
+    by FFT; a circular one of n points will do, as it only spoils places that are not asked for."""
+    n = X.shape[1]
+    size = _fft_size(n)
+    k, spectra = _interior_kernels(span, size)
+    if span <= 12:
+        q = n - span + 1
+        out = [np.zeros((X.shape[0], q)) for _ in range(powers)]
+        for j in range(span):
+            part = X[:, j:j + q]
+            for p in range(powers):
+                out[p] += k[p, j] * part
+        return out
+    f = np.fft.rfft(X, size)
+    return [np.fft.irfft(f * spectra[p], size)[:, span - 1:n] for p in range(powers)]
+
+
+def _interior(Y: np.ndarray, RW: np.ndarray | None, span: int) -> tuple[np.ndarray, np.ndarray]:
+    """Symmetric-window points of every row: all windows share one tricube kernel, so the five weighted sums of the local
+    linear fit are correlations with fixed kernels. Without weights the first three are the same for all rows."""
+    n = Y.shape[1]
+    h = (span - 1) / 2.0
+    s0, s1, s2 = _correlate(np.ones((1, n)) if RW is None else RW, span, 3)
+    t0, t1 = _correlate(Y if RW is None else RW * Y, span, 2)
     scale = np.maximum(np.abs(s0).max(axis=1, keepdims=True), 1.0) if s0.size else 1.0
     ok = s0 > 1e-12 * scale
     with np.errstate(divide="ignore", invalid="ignore"):
@@ -100,7 +121,7 @@ def _interior(Y: np.ndarray, RW: np.ndarray | None, span: int) -> tuple[np.ndarr
         adj = (h > 0) & (np.sqrt(np.maximum(c, 0.0)) > 0.001 * (n - 1))
         b = np.where(adj, -md / np.where(adj, c, 1.0), 0.0)
         ys = t0 / s0s + b * (t1 / s0s - md * t0 / s0s)
-    return ys, ok
+    return ys, np.broadcast_to(ok, ys.shape)
 
 
 def _tricube(r: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -146,7 +167,7 @@ def _fit_common(Y: np.ndarray, V: np.ndarray, n: int, span: int, start: int, sto
 def _smooth(Y: np.ndarray, RW: np.ndarray | None, span: int) -> np.ndarray:
     """LOESS at every point 1..n of every row (the stless window rule); where no weight, the data."""
     B, n = Y.shape
-    V = np.ones_like(Y) if RW is None else RW
+    V = np.ones((1, n)) if RW is None else RW
     if span >= n:
         ys, ok = _fit_common(Y, V, n, span, 1, n + 1, 1, n)
         return np.where(ok, ys, Y)
@@ -167,39 +188,44 @@ def _smooth(Y: np.ndarray, RW: np.ndarray | None, span: int) -> np.ndarray:
     return np.where(okv, out, Y)
 
 
-def _cycle_subseries(D: np.ndarray, rw: np.ndarray | None, period: int, ns: int) -> np.ndarray:
-    """Smooth each cycle-subseries and extend it one point on each side -> length n + 2p.
-    Subseries of equal length are stacked and smoothed together."""
-    n = len(D)
-    C = np.empty(n + 2 * period)
+def _cycle_subseries(D: np.ndarray, RW: np.ndarray | None, period: int, ns: int) -> np.ndarray:
+    """Smooth each cycle-subseries of every row and extend it one point on each side -> length n + 2p.
+    Subseries of equal length, of all rows, are smoothed together."""
+    B, n = D.shape
+    C = np.empty((B, n + 2 * period))
     lengths: dict[int, list[int]] = {}
     for j in range(period):
-        k = (n - j - 1) // period + 1
-        lengths.setdefault(k, []).append(j)
+        lengths.setdefault((n - j - 1) // period + 1, []).append(j)
     for k, js in lengths.items():
-        idx = np.array(js)[:, None] + period * np.arange(k)[None, :]   # B x k, 0-based
-        Y = D[idx]
-        V = rw[idx] if rw is not None else np.ones_like(Y)
-        inner = _smooth(Y, V if rw is not None else None, ns)
+        idx = np.array(js)[:, None] + period * np.arange(k)[None, :]   # J x k, 0-based
+        Y = D[:, idx].reshape(-1, k)
+        V = RW[:, idx].reshape(-1, k) if RW is not None else None
+        inner = _smooth(Y, V, ns)
+        weights = np.ones_like(Y) if V is None else V
         L = min(ns, k)
-        left_ys, left_ok = _fit_common(Y, V, k, ns, 0, 1, 1, L)
-        right_ys, right_ok = _fit_common(Y, V, k, ns, k + 1, k + 2, k - L + 1, L)
+        left_ys, left_ok = _fit_common(Y, weights, k, ns, 0, 1, 1, L)
+        right_ys, right_ok = _fit_common(Y, weights, k, ns, k + 1, k + 2, k - L + 1, L)
         left = np.where(left_ok[:, 0], left_ys[:, 0], inner[:, 0])
         right = np.where(right_ok[:, 0], right_ys[:, 0], inner[:, -1])
-        ext = np.concatenate([left[:, None], inner, right[:, None]], axis=1)   # B x (k+2)
-        C[np.array(js)[:, None] + period * np.arange(k + 2)[None, :]] = ext
+        ext = np.concatenate([left[:, None], inner, right[:, None]], axis=1)   # (B J) x (k + 2)
+        C[:, np.array(js)[:, None] + period * np.arange(k + 2)[None, :]] = ext.reshape(B, len(js), k + 2)
     return C
 
 
-def _ma(x: np.ndarray, w: int) -> np.ndarray:
-    c = np.cumsum(np.concatenate([[0.0], x]))
-    return (c[w:] - c[:-w]) / w
+def _ma(X: np.ndarray, w: int) -> np.ndarray:
+    c = np.cumsum(np.concatenate([np.zeros((X.shape[0], 1)), X], axis=1), axis=1)
+    return (c[:, w:] - c[:, :-w]) / w
 
 
-def stl(y: np.ndarray, period: int, seasonal: int = 7, robust: bool = True,
-        trend: int | None = None, low_pass: int | None = None) -> dict[str, np.ndarray]:
-    y = np.asarray(y, dtype=float)
-    n = len(y)
+def stl_stack(Y: np.ndarray, period: int, seasonal: int = 7, robust: bool = True,
+              trend: int | None = None, low_pass: int | None = None) -> dict[str, np.ndarray]:
+    """The decomposition of every row of Y (series x n), a block of rows in step."""
+    Y = np.asarray(Y, dtype=float)
+    B, n = Y.shape
+    rows = max(1, BLOCK_POINTS // max(n, 1))
+    if B > rows:
+        parts = [stl_stack(Y[i:i + rows], period, seasonal, robust, trend, low_pass) for i in range(0, B, rows)]
+        return {k: np.concatenate([p[k] for p in parts]) for k in parts[0]}
     if period < 2:
         raise ValueError("period must be >= 2")
     if n < 2 * period:
@@ -208,26 +234,38 @@ def stl(y: np.ndarray, period: int, seasonal: int = 7, robust: bool = True,
     nt = trend or nt
     nl = low_pass or nl
     inner, outer = (2, 15) if robust else (5, 0)
-    T = np.zeros(n)
-    S = np.zeros(n)
-    rw = None
+    T = np.zeros((B, n))
+    S = np.zeros((B, n))
+    RW = None
     for it in range(outer + 1):
         for _ in range(inner):
-            C = _cycle_subseries(y - T, rw, period, ns)
+            C = _cycle_subseries(Y - T, RW, period, ns)
             low = _ma(_ma(_ma(C, period), period), 3)
-            Lw = _smooth(low[None, :], None, nl)[0]
-            S = C[period:period + n] - Lw
-            T = _smooth((y - S)[None, :], rw[None, :] if rw is not None else None, nt)[0]
+            S = C[:, period:period + n] - _smooth(low, None, nl)
+            T = _smooth(Y - S, RW, nt)
         if it >= outer:
             break
-        r = np.abs(y - S - T)
-        cmad = 6.0 * np.median(r)
+        r = np.abs(Y - S - T)
+        cmad = 6.0 * np.median(r, axis=1, keepdims=True)
         with np.errstate(divide="ignore", invalid="ignore"):
-            u = r / cmad if cmad > 0 else np.zeros(n)
-        rw = np.where(r <= 0.001 * cmad, 1.0, np.where(r <= 0.999 * cmad, (1 - u**2) ** 2, 0.0))
-        if cmad <= 0:
-            rw = np.ones(n)
-    return {"trend": T, "seasonal": S, "resid": y - S - T, "observed": y}
+            u = np.where(cmad > 0, r / cmad, 0.0)
+        RW = np.where((cmad <= 0) | (r <= 0.001 * cmad), 1.0, np.where(r <= 0.999 * cmad, (1 - u**2) ** 2, 0.0))
+    return {"trend": T, "seasonal": S, "resid": Y - S - T, "observed": Y}
+
+
+def stl(y: np.ndarray, period: int, seasonal: int = 7, robust: bool = True,
+        trend: int | None = None, low_pass: int | None = None) -> dict[str, np.ndarray]:
+    """The decomposition of one series."""
+    r = stl_stack(np.asarray(y, dtype=float)[None, :], period, seasonal, robust, trend, low_pass)
+    return {k: v[0] for k, v in r.items()}
+
+
+def strengths(part: np.ndarray, resid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(F, F/(F+1)) of every row with population variances; 0 where var(resid) = 0."""
+    vr = np.var(resid, axis=1)
+    some = vr > 0
+    f = np.where(some, np.var(part, axis=1) / np.where(some, vr, 1.0), 0.0)
+    return f, f / (f + 1.0)
 
 
 def strength(part: np.ndarray, resid: np.ndarray) -> tuple[float, float]:

@@ -1,42 +1,20 @@
-"""Autocorrelation detector (DT-4) and full ACF table (DT-5).
+"""Autocorrelation detector (DT-4), full ACF table (DT-5) and PACF (DT-12).
 
-r_k = sum_i (x_i - mu)(x_{i+k} - mu) / sum_i (x_i - mu)^2 (biased, positional after
-dropping NULLs). Only the lags around the requested periods are needed, so each
-needed lag is one ``lead(dx, k)`` in a single window pass over the (bounded) grid,
-followed by one ``groupBy(sensor)`` of sums.
+r_k = sum_i (x_i - mu)(x_{i+k} - mu) / sum_i (x_i - mu)^2 (biased, positional after dropping NULLs), for all lags from one
+FFT per stack of sensors. The PACF follows from the same lags by Levinson-Durbin.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+import math
 
-from tidewise.config import DetectionConfig
-from tidewise.functions.columns import by_sensor, SENSOR
-from tidewise.operators.detect_common import as_detection, clean, register
-
-
-def needed_lags(periods, tolerance: int, max_lag: int) -> list[int]:
-    lags = set()
-    for p in periods:
-        for k in range(max(1, p - tolerance), p + tolerance + 1):
-            if k <= max_lag:
-                lags.add(k)
-    return sorted(lags)
+import numpy as np
+from pyspark.sql import DataFrame
 
-
-def acf_at_lags(grid: DataFrame, lags: list[int]) -> DataFrame:
-    """One row per sensor: n, den = sum dx^2 and acf_k for each lag (one window pass of
-    ``lead`` products, then one partial aggregation). Built as SQL text (few client calls)."""
-    c = clean(grid)
-    prods = c.selectExpr("sensor", "n", "pos", "value - avg(value) OVER (PARTITION BY sensor) AS dx").selectExpr(
-        "sensor", "n", "dx", *[f"dx * lead(dx, {k}) OVER (PARTITION BY sensor ORDER BY pos) AS p{k}" for k in lags])
-    aggs = [F.expr("first(n)").alias("n"), F.expr("sum(dx * dx)").alias("den")]
-    if lags:  # all lag sums in one struct: one client call, however many lags
-        aggs.append(F.expr("struct(" + ", ".join(f"sum(p{k}) AS s{k}" for k in lags) + ")").alias("s"))
-    m = prods.groupBy(SENSOR).agg(*aggs)
-    m = m.select(SENSOR, "n", "den", "s.*") if lags else m
-    return m.selectExpr("sensor", "n", "den", *[f"try_divide(coalesce(s{k}, 0.0D), den) AS acf{k}" for k in lags])
+from tidewise.config import DetectionConfig
+from tidewise.operators.detect_common import as_detection, register
+from tidewise.operators.spectra import kernel_scores
+from tidewise.operators.stacked import run_stacks
 
 
 def acf_detect(grid: DataFrame, periods=(7, 30, 365), cfg: DetectionConfig = DetectionConfig()) -> DataFrame:
@@ -44,52 +22,39 @@ def acf_detect(grid: DataFrame, periods=(7, 30, 365), cfg: DetectionConfig = Det
 
     max_lag = min(cfg.acf_max_lag, n // 2 - 1); sensors with max_lag < 10 yield no rows;
     p > max_lag gives score 0 with ``period_exceeds_max_lag``; ties go to the smallest lag.
-    The peak is picked per sensor row with a higher-order expression over the period's
-    candidate lags (``array_min`` of ``(-|acf|, lag)`` structs): no join, one pass.
     """
-    tol = cfg.acf_tolerance
-    lags = needed_lags(periods, tol, cfg.acf_max_lag)
-    m = acf_at_lags(grid, lags).withColumn("max_lag", F.expr(f"least({cfg.acf_max_lag}, floor(n / 2) - 1)")).filter(
-        F.col("max_lag") >= 10
-    )
-    per = []
-    for p in periods:
-        cands = [k for k in lags if max(1, p - tol) <= k <= p + tol]
-        if cands:
-            arr = "array(" + ", ".join(f"named_struct('key', -abs(acf{k}), 'lag', {k}, 'acf', acf{k})" for k in cands) + ")"
-            best = f"array_min(filter({arr}, x -> x.lag <= max_lag))"
-        else:
-            best = "CAST(NULL AS STRUCT<key: DOUBLE, lag: INT, acf: DOUBLE>)"
-        per.append(f"named_struct('period', {int(p)}, 'best', {best})")
-    rows = m.select(SENSOR, "n", "den", "max_lag", F.expr(f"explode(array({', '.join(per)})) AS x")).select(
-        SENSOR, "n", "den", "max_lag", "x.period", "x.best")
-    return rows.select(
-        SENSOR,
-        F.col("period").cast("long").alias("period"),
-        F.expr("CASE WHEN period > max_lag OR den <= 0 OR best.acf IS NULL THEN 0.0D ELSE abs(best.acf) END").alias("score"),
-        F.expr(f"coalesce(NOT (period > max_lag) AND NOT (den <= 0) AND abs(best.acf) > 1.96D / sqrt(CAST(n AS DOUBLE)) "
-               f"AND abs(best.acf) > {cfg.acf_peak_threshold!r}D, false)").alias("significant"),
-        F.expr("CASE WHEN period > max_lag THEN 'period_exceeds_max_lag' WHEN den <= 0 THEN 'zero_variance' END").alias("error"),
-        F.expr("CASE WHEN NOT period > max_lag THEN best.acf END").alias("peak_value"),
-        F.expr("CAST(CASE WHEN NOT period > max_lag THEN best.lag END AS BIGINT)").alias("actual_lag"),
-        F.expr("1.96D / sqrt(CAST(n AS DOUBLE))").alias("conf_int"),
-        F.col("max_lag").cast("long").alias("max_lag"),
-    )
-
-
-@register("acf")
+    return kernel_scores(grid, periods, cfg, ("acf",)).select(
+        "sensor", "period", "score", "significant", "error", "peak_value", "actual_lag", "conf_int", "max_lag")
+
+
+@register("acf", kernel=True)
 def detect_acf(grid: DataFrame, periods, cfg: DetectionConfig = DetectionConfig()) -> DataFrame:
     return as_detection(acf_detect(grid, periods, cfg), "acf")
 
 
 def acf_full(grid: DataFrame, max_lag: int = 400) -> DataFrame:
-    """DT-5: ACF for lags 0..min(max_lag, n//2 - 1) with +/-1.96/sqrt(n).
+    """DT-5: ACF for lags 0..min(max_lag, n//2 - 1) with +/-1.96/sqrt(n); a sensor that failed has one row with ``error``."""
+    from tidewise.kernels.spectral import acf_stack
 
-    Per sensor numpy FFT in a grouped map (O(n log n) instead of n x lags join rows);
-    the grid is bounded per sensor so one group fits one task.
-    """
-    from tidewise.kernels.spectral import acf_fft_group
+    def run(names, t, Y, bins):
+        last, ci = min(max_lag, Y.shape[1] // 2 - 1), 1.96 / math.sqrt(Y.shape[1])
+        lags = np.arange(last + 1)
+        values = acf_stack(Y, last).ravel() if last >= 0 else np.zeros(0)
+        rows = len(values)
+        return {"sensor": np.repeat(np.array(names, dtype=object), len(lags)), "lag": np.tile(lags, len(names)), "acf": values,
+                "conf_int_upper": np.full(rows, ci), "conf_int_lower": np.full(rows, -ci), "error": [None] * rows}
+
+    return run_stacks(grid, run, "sensor string, lag long, acf double, conf_int_upper double, conf_int_lower double, error string")
+
+
+def pacf(grid: DataFrame, nlags: int = 50) -> DataFrame:
+    """DT-12: partial autocorrelations by Levinson-Durbin on the biased ACF (Yule-Walker, 'ywm'), lags 0..min(nlags, n//2 - 1)."""
+    from tidewise.kernels.spectral import acf_stack, pacf_stack
+
+    def run(names, t, Y, bins):
+        last = min(nlags, Y.shape[1] // 2 - 1)
+        lags = np.arange(last + 1)
+        values = pacf_stack(acf_stack(Y, last)).ravel() if last >= 0 else np.zeros(0)
+        return {"sensor": np.repeat(np.array(names, dtype=object), len(lags)), "lag": np.tile(lags, len(names)), "pacf": values, "error": [None] * len(values)}
 
-    c = clean(by_sensor(grid)).select(SENSOR, "pos", "value")
-    schema = "sensor string, lag long, acf double, conf_int_upper double, conf_int_lower double"
-    return c.groupBy(SENSOR).applyInPandas(lambda pdf: acf_fft_group(pdf, max_lag), schema=schema)
+    return run_stacks(grid, run, "sensor string, lag long, pacf double, error string")

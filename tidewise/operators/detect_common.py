@@ -15,10 +15,12 @@ REGISTRY: dict[str, Callable[..., DataFrame]] = {}
 _UNITS = {"day": "DAY", "hour": "HOUR"}
 
 
-def register(name: str):
-    """DT-15: a detector is ``fn(grid, periods, cfg) -> DataFrame[DETECTION_COLUMNS]``."""
+def register(name: str, kernel: bool = False):
+    """DT-15: a detector is ``fn(grid, periods, cfg) -> DataFrame[DETECTION_COLUMNS]``. The library's ``kernel`` detectors share
+    one pass in ``detect_all``; one registered anew under such a name is called as it is."""
 
     def deco(fn):
+        fn.kernel = kernel
         REGISTRY[name] = fn
         return fn
 

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from tidewise.config import DetectionConfig
 from tidewise.functions.columns import SENSOR, by_sensor
 from tidewise.operators import acf, harmonic, periodogram, stl  # noqa: F401  (registers detectors)
-from tidewise.operators.detect_common import REGISTRY
+from tidewise.operators.detect_common import DETECTION_COLUMNS, REGISTRY
+from tidewise.operators.spectra import KERNEL_METHODS, kernel_scores
 
 
 def eligible(grid: DataFrame, min_points: int = 100) -> tuple[DataFrame, DataFrame]:
@@ -38,7 +39,10 @@ def detect_all(grid: DataFrame, cfg: DetectionConfig = DetectionConfig(), method
     # kernels' own (identical) repartition reuse it.
     g = by_sensor(grid)
     g = eligible(g, cfg.min_points)[0] if gate else g
-    parts = [REGISTRY[m](g, cfg.periods, cfg) for m in methods]
+    kernels = [m for m in methods if m in KERNEL_METHODS and getattr(REGISTRY[m], "kernel", False)]
+    parts = [REGISTRY[m](g, cfg.periods, cfg) for m in methods if m not in kernels]
+    if kernels:  # one Python pass for all of them
+        parts.append(kernel_scores(g, cfg.periods, cfg, kernels).select(*DETECTION_COLUMNS))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

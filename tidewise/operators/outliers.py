@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewise.functions.columns import by_sensor, BIN, SENSOR
+from tidewise.functions.quantiles import aggregate_with_quantiles
 
 
 def _whole() -> Window:
@@ -79,8 +80,10 @@ def detect_outliers(grid: DataFrame, method: str = "iqr", threshold: float | Non
     raise ValueError(f"Unknown outlier detection method: {method}")
 
 
-def remove_outliers(grid: DataFrame, method: str = "iqr", threshold: float | None = None, replace_with: str = "nan", **kw) -> DataFrame:
-    """OU-5: flagged values -> NULL, the sensor median (computed with the outliers), or linear fill."""
+def remove_outliers(grid: DataFrame, method: str = "iqr", threshold: float | None = None, replace_with: str = "nan",
+                    buffer_rows: int | None = None, **kw) -> DataFrame:
+    """OU-5: flagged values -> NULL, the sensor median (computed with the outliers), or linear fill. A grid is bounded by the
+    calendar, so its median is a window; with ``buffer_rows`` (raw readings) it is joined, larger sensors' by selection."""
     from tidewise.operators.impute import interpolate_linear
 
     f = detect_outliers(grid, method, threshold, **kw)
@@ -89,6 +92,9 @@ def remove_outliers(grid: DataFrame, method: str = "iqr", threshold: float | Non
         return f.select(*[c for c in cols if c != "value"], F.when(~F.col("is_outlier"), F.col("value")).alias("value"))
     if replace_with == "median":
         med = F.median("value").over(_whole())
+        if buffer_rows is not None:
+            m = aggregate_with_quantiles(grid, [SENSOR], [], "value", [0.5], buffer_rows).select(SENSOR, F.col("_q")[0].alias("_median"))
+            f, med = f.join(m, SENSOR, "left"), F.col("_median")
         return f.select(*[c for c in cols if c != "value"], F.when(F.col("is_outlier"), med).otherwise(F.col("value")).alias("value"))
     if replace_with == "interpolate":
         nulled = f.select(*[c for c in cols if c != "value"], F.when(~F.col("is_outlier"), F.col("value")).alias("value"))

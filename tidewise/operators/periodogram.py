@@ -5,23 +5,25 @@ fmin = 1/max_period, df = 1/(samples_per_peak * span), Nf = 1 + round((1/min_per
 t = whole days since the first point. Standard power with a fitted mean equals the R^2 of
 ``y ~ 1 + sin(2 pi f t) + cos(2 pi f t)``, i.e. the harmonic closed form at p = 1/f.
 
-The detector only needs the frequencies whose period lies strictly inside (0.8 p, 1.2 p):
-those few frequency rows are generated per (sensor, period) first and joined to the grid
-points on ``sensor`` (equi-join), then reduced with one ``groupBy(sensor, period, k)`` of
-partial aggregates. The full periodogram uses an exact FFT per sensor instead.
+Exact FFTs over stacks of sensors evaluate every grid frequency in O(M log M), M = samples_per_peak x span. The native
+band join (``periodogram_band_power``: the frequencies whose period lies strictly inside (0.8 p, 1.2 p), joined to the
+points and reduced by partial aggregates) says the same without a kernel; tests compare the two.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewise.config import DetectionConfig
-from tidewise.functions.columns import by_sensor, SENSOR, lgamma_sql
+from tidewise.functions.columns import SENSOR
 from tidewise.operators.detect_common import as_detection, clean, register
 from tidewise.operators.harmonic import r2_from_moments
+from tidewise.operators.spectra import frequency_grid, kernel_scores
+from tidewise.operators.stacked import run_stacks
 
 TWO_PI = 2.0 * math.pi
 
@@ -36,28 +38,6 @@ def sensor_stats(c: DataFrame) -> DataFrame:
     )
 
 
-def fap_baluev_sql(z: str = "power", n: str = "n", span: str = "span", var_t: str = "var_t") -> str:
-    """SQL text of the Baluev (2008) false-alarm probability for standard-normalised power.
-
-    f_max is the automatic limit of the original call (samples_per_peak 5, nyquist_factor 5)."""
-    nd = f"CAST({n} AS DOUBLE)"
-    nh, nk = f"({nd} - 1.0D)", f"({nd} - 3.0D)"
-    df5 = f"(1.0D / (5.0D * {span}))"
-    fmin5 = f"(0.5D * {df5})"
-    fmax_raw = f"(2.5D * {nd} / {span})"
-    nf5 = f"(rint(({fmax_raw} - {fmin5}) / {df5}) + 1.0D)"
-    fmax = f"({fmin5} + {df5} * ({nf5} - 1.0D))"
-    w = f"({fmax} * sqrt({4.0 * math.pi!r}D * {var_t}))"
-    gamma = f"(sqrt(2.0D / {nh}) * exp({lgamma_sql(f'{nh} / 2.0D')} - {lgamma_sql(f'({nh} - 1.0D) / 2.0D')}))"
-    om = f"greatest(1.0D - {z}, 0.0D)"
-    tau = f"({gamma} * {w} * power({om}, ({nk} - 1.0D) / 2.0D) * sqrt({nh} * {z} / 2.0D))"
-    return f"(1.0D - (1.0D - power({om}, {nk} / 2.0D)) * exp(-{tau}))"
-
-
-def fap_baluev(z: str = "power", n: str = "n", span: str = "span", var_t: str = "var_t") -> Column:
-    return F.expr(fap_baluev_sql(z, n, span, var_t))
-
-
 def band_frequencies(stats: DataFrame, periods, cfg: DetectionConfig) -> DataFrame:
     """(sensor, period, k, f) for every grid frequency whose period is strictly inside (0.8p, 1.2p)."""
     fmin = 1.0 / cfg.periodogram_max_period
@@ -98,105 +78,39 @@ def periodogram_band_power(grid: DataFrame, periods=(7, 30, 365), cfg: Detection
     return m.select(SENSOR, "period", "k", "f", r2.alias("power"))
 
 
-def band_peaks(grid: DataFrame, periods=(7, 30, 365), cfg: DetectionConfig = DetectionConfig()) -> DataFrame:
-    """Per (sensor, period): peak power among the grid frequencies whose period lies strictly
-    inside (0.8 p, 1.2 p), with n, span and var(t) for the FAP.
-
-    One grouped map per sensor over its (bounded) cleaned grid: the exact FFT evaluates every
-    grid frequency in O(M log M), M = samples_per_peak x span, instead of n x Nf trig rows.
-    """
-    import numpy as np
-    import pandas as pd
-
-    from tidewise.kernels.spectral import periodogram_fft
-
-    fmin = 1.0 / cfg.periodogram_max_period
-    fmax = 1.0 / cfg.periodogram_min_period
-    spp = float(cfg.periodogram_samples_per_peak)
-    ps = [int(p) for p in periods]
-    cols = ["sensor", "period", "n", "span", "var_t", "power", "actual_period"]
-    schema = ("sensor string, period long, n long, span double, var_t double, power double, actual_period double")
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        t = pdf["t"].to_numpy(dtype=float)
-        y = pdf["value"].to_numpy(dtype=float)
-        name = pdf["sensor"].iloc[0]
-        n = len(t)
-        span = float(t.max()) if n else 0.0
-        var_t = float(np.var(t)) if n else 0.0
-        rows = []
-        if span > 0:
-            df = 1.0 / (spp * span)
-            nf = int(np.rint((fmax - fmin) / df)) + 1
-            power = periodogram_fft(t, y, fmin, df, nf)
-            f = fmin + np.arange(nf) * df
-            per = 1.0 / f
-            for p in ps:
-                m = (per > p * 0.8) & (per < p * 1.2)
-                if m.any():
-                    idx = np.flatnonzero(m)
-                    j = idx[int(np.argmax(power[idx]))]
-                    rows.append((name, p, n, span, var_t, float(power[j]), float(per[j])))
-                else:
-                    rows.append((name, p, n, span, var_t, None, None))
-        else:
-            rows = [(name, p, n, span, var_t, None, None) for p in ps]
-        return pd.DataFrame(rows, columns=cols)
-
-    c = clean(by_sensor(grid), cfg.time_unit).select(SENSOR, "t", "value")
-    return c.groupBy(SENSOR).applyInPandas(run, schema=schema)
-
-
 def periodogram_detect(grid: DataFrame, periods=(7, 30, 365), cfg: DetectionConfig = DetectionConfig()) -> DataFrame:
     """Per (sensor, period): peak power in the band, the period at the peak, Baluev FAP.
 
     score = min(power, 1); significant when FAP < threshold; an empty band gives score 0
     with ``period_out_of_range``. Ties go to the lowest frequency (first in grid order).
-    The FAP is a native expression on the peak rows.
     """
-    r = band_peaks(grid, periods, cfg)
-    fap = fap_baluev("power", "n", "span", "var_t")
-    has = F.col("power").isNotNull()
-    return r.select(
-        SENSOR,
-        F.col("period").cast("long").alias("period"),
-        F.when(has, F.least(F.col("power"), F.lit(1.0))).otherwise(F.lit(0.0)).alias("score"),
-        F.when(has, fap < F.lit(cfg.fap_threshold)).otherwise(F.lit(False)).alias("significant"),
-        F.when(~has, F.lit("period_out_of_range")).alias("error"),
-        F.col("power"),
-        F.col("actual_period"),
-        F.when(has, fap).alias("fap"),
-    )
+    return kernel_scores(grid, periods, cfg, ("periodogram",)).select(
+        SENSOR, "period", "score", "significant", "error", "power", "actual_period", "fap")
 
 
-@register("periodogram")
+@register("periodogram", kernel=True)
 def detect_periodogram(grid: DataFrame, periods, cfg: DetectionConfig = DetectionConfig()) -> DataFrame:
     return as_detection(periodogram_detect(grid, periods, cfg), "periodogram")
 
 
-def periodogram_full(grid: DataFrame, cfg: DetectionConfig = DetectionConfig()) -> DataFrame:
-    """DT-11: (sensor, k, frequency, power, period) over the whole grid, exact FFT per sensor."""
-    import numpy as np
-    import pandas as pd
+def periodogram_full(grid: DataFrame, cfg: DetectionConfig = DetectionConfig(), max_period: float | None = None) -> DataFrame:
+    """DT-11: (sensor, k, frequency, power, period, error) over the whole grid by exact FFTs; with ``max_period`` only the
+    frequencies of at most this period (RP-6). A sensor without a span has no rows, one that failed has one with ``error``."""
+    from tidewise.kernels.spectral import periodogram_stack
 
-    from tidewise.kernels.spectral import periodogram_fft
-
-    fmin = 1.0 / cfg.periodogram_max_period
-    fmax = 1.0 / cfg.periodogram_min_period
-    spp = cfg.periodogram_samples_per_peak
-    c = clean(by_sensor(grid), cfg.time_unit).select(SENSOR, "t", "value")
-    schema = "sensor string, k long, frequency double, power double, period double"
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        t = pdf["t"].to_numpy(dtype=float)
-        span = float(t.max()) if len(t) else 0.0
-        if span <= 0:
-            return pd.DataFrame(columns=["sensor", "k", "frequency", "power", "period"])
-        df = 1.0 / (spp * span)
-        nf = int(np.rint((fmax - fmin) / df)) + 1
-        p = periodogram_fft(t, pdf["value"].to_numpy(dtype=float), fmin, df, nf)
-        k = np.arange(nf, dtype=np.int64)
-        f = fmin + k * df
-        return pd.DataFrame({"sensor": pdf["sensor"].iloc[0], "k": k, "frequency": f, "power": p, "period": 1.0 / f})
-
-    return c.groupBy(SENSOR).applyInPandas(run, schema=schema)
+    def run(names, t, Y, bins):
+        span = float(t.max())
+        k, f, power = np.zeros(0, dtype=np.int64), np.zeros(0), np.zeros((len(names), 0))
+        if span > 0:
+            fmin, df, nf = frequency_grid(span, cfg)
+            k = np.arange(nf, dtype=np.int64)
+            f = fmin + k * df
+            power = periodogram_stack(t, Y, fmin, df, nf)
+            if max_period is not None:
+                kept = 1.0 / f <= max_period
+                k, f, power = k[kept], f[kept], power[:, kept]
+        rows = len(k) * len(names)
+        return {"sensor": np.repeat(np.array(names, dtype=object), len(k)), "k": np.tile(k, len(names)), "frequency": np.tile(f, len(names)),
+                "power": power.ravel(), "period": np.tile(1.0 / f, len(names)), "error": [None] * rows}
+
+    return run_stacks(grid, run, "sensor string, k long, frequency double, power double, period double, error string", cfg.time_unit)

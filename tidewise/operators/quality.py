@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewise.functions.columns import SENSOR
+from tidewise.functions.columns import BIN, SENSOR
+from tidewise.functions.quantiles import aggregate_with_quantiles
+from tidewise.operators.resample import on_calendar
 
 # fixed values: texts and formats of the original health report, warnings and checks
 REPORT_TITLE = "=== Data Health Report ==="
@@ -24,6 +26,9 @@ SHORT_RANGE_DAYS = 30
 ANNUAL_DAYS = 365
 CHECK_LOADED = "Loaded %d records"
 CHECK_MISSING = "Missing rate: %.2f%%"
+CHECK_PREPROCESSED = "Preprocessed %d sensors"
+CHECK_DETECTED = "Detected seasonality in %d sensors"
+CHECK_SCORED = "Scored %d sensors"
 
 
 def health_summary(readings: DataFrame, periods=(7, 30, 365)) -> DataFrame:
@@ -51,7 +56,12 @@ def health_summary(readings: DataFrame, periods=(7, 30, 365)) -> DataFrame:
         F.max(F.when(d, F.col("c"))).cast("double").alias("obs_max"),
         F.avg(F.when(d, F.col("c"))).alias("obs_mean"),
     )
-    rate = F.coalesce(F.try_divide(F.col("missing").cast("double"), F.col("total_records").cast("double")), F.lit(0.0))
+    return _report(row.withColumn("cells", F.col("total_records")), periods)
+
+
+def _report(row: DataFrame, periods) -> DataFrame:
+    """The one report row from its totals: total_records, cells, missing, start, end, sensor_count, all_missing, obs_*."""
+    rate = F.coalesce(F.try_divide(F.col("missing").cast("double"), F.col("cells").cast("double")), F.lit(0.0))
     span = F.timestamp_diff("DAY", F.col("start"), F.col("end"))
     row = row.withColumn("missing_rate", rate).withColumn("span_days", span)
     w = warnings_array(row, periods)
@@ -84,9 +94,36 @@ def health_summary(readings: DataFrame, periods=(7, 30, 365)) -> DataFrame:
         healthy.alias("healthy"),
         F.col("warnings"),
         text.alias("summary"),
+        *[c for c in row.columns if c == "sensors"],
     )
 
 
+def wide_health(wide: DataFrame, sensors: list[str], periods=(7, 30, 365)) -> DataFrame:
+    """DQ-1..DQ-6 of a wide frame (``ts`` and a column per sensor), where a record is a row of the file: the report row, and
+    ``sensors``, the missing count of each sensor column. One scan, one aggregate over all columns per day, one over the days."""
+    days = wide.groupBy(F.to_date("ts").alias("day")).agg(
+        F.count(F.lit(1)).alias("c"), F.min("ts").alias("lo"), F.max("ts").alias("hi"),
+        *[F.count(F.col(f"`{s}`")).alias(f"_{i}") for i, s in enumerate(sensors)])
+    present = F.when(F.col("day").isNotNull(), F.col("c"))
+    total = F.coalesce(F.sum("c"), F.lit(0))
+    row = days.agg(
+        total.alias("total_records"), F.min("lo").alias("start"), F.max("hi").alias("end"),
+        F.min(present).cast("double").alias("obs_min"), F.max(present).cast("double").alias("obs_max"), F.avg(present).alias("obs_mean"),
+        F.array(*[F.struct(F.lit(s).alias("sensor"), (total - F.coalesce(F.sum(f"_{i}"), F.lit(0))).alias("missing_count")) for i, s in enumerate(sensors)]).alias("sensors"))
+    row = row.withColumns({
+        "sensor_count": F.lit(len(sensors)).cast("long"), "cells": F.col("total_records") * len(sensors),
+        "missing": F.aggregate("sensors", F.lit(0).cast("long"), lambda n, s: n + s["missing_count"]),
+        "all_missing": F.size(F.filter("sensors", lambda s: s["missing_count"] == F.col("total_records"))).cast("long")})
+    return _report(row, periods)
+
+
+def wide_health_by_sensor(health: DataFrame) -> DataFrame:
+    """DQ-2/DQ-4 rows of ``wide_health``: (sensor, missing_count, missing_rate, all_missing)."""
+    s = health.select("total_records", F.explode("sensors").alias("s"))
+    return s.select("s.sensor", "s.missing_count", F.coalesce(F.try_divide(F.col("s.missing_count").cast("double"), F.col("total_records").cast("double")), F.lit(0.0)).alias("missing_rate"),
+                    (F.col("s.missing_count") == F.col("total_records")).alias("all_missing"))
+
+
 def warnings_array(row: DataFrame, periods) -> Column:
     """DQ-5 warning texts (NULL entries filtered out)."""
     span = F.col("span_days")
@@ -149,23 +186,16 @@ def keep_valid(readings: DataFrame, min_records: int = 100) -> DataFrame:
     return readings.join(v, SENSOR, "left_semi")
 
 
-def describe(series: DataFrame) -> DataFrame:
+def describe(series: DataFrame, buffer_rows: int | None = None) -> DataFrame:
     """DQ-9 per sensor: count, mean, std (sample), min, q25, median, q75, max, skewness and
-    excess kurtosis (bias-corrected, as pandas), cv = std/mean. Input is a grid (the exact
-    percentiles hold one count map per sensor, bounded by the calendar)."""
+    excess kurtosis (bias-corrected, as pandas), cv = std/mean. A grid is bounded by the calendar, so one buffer per sensor holds its
+    percentiles; give raw readings ``buffer_rows`` (``quantiles.BUFFER_ROWS``), beyond which a sensor's are selected over several tasks."""
     v = F.col("value")
-    m = series.groupBy(SENSOR).agg(
-        F.count(v).alias("count"),
-        F.avg(v).alias("mean"),
-        F.stddev_samp(v).alias("std"),
-        F.min(v).alias("min"),
-        F.percentile(v, F.lit(0.25)).alias("q25"),
-        F.median(v).alias("median"),
-        F.percentile(v, F.lit(0.75)).alias("q75"),
-        F.max(v).alias("max"),
-        F.skewness(v).alias("g1"),
-        F.kurtosis(v).alias("g2"),
-    )
+    m = aggregate_with_quantiles(series, [SENSOR], [
+        F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"),
+        F.skewness(v).alias("g1"), F.kurtosis(v).alias("g2"),
+    ], "value", [0.25, 0.5, 0.75], buffer_rows)
+    m = m.withColumns({name: F.col("_q")[i] for i, name in enumerate(("q25", "median", "q75"))})
     n = F.col("count").cast("double")
     skew = F.when(n > 2, F.col("g1") * F.sqrt(n * (n - 1)) / (n - 2))
     kurt = F.when(n > 3, ((n + 1) * F.col("g2") + 6) * (n - 1) / ((n - 2) * (n - 3)))
@@ -175,34 +205,33 @@ def describe(series: DataFrame) -> DataFrame:
     )
 
 
-def missing_matrix(readings: DataFrame) -> DataFrame:
-    """DQ-10: (sensor, day) -> NULL readings and readings."""
-    return readings.groupBy(SENSOR, F.to_date("ts").alias("day")).agg(
-        F.count_if(F.col("value").isNull()).cast("long").alias("n_missing"),
-        F.count(F.lit(1)).cast("long").alias("n_total"),
-    )
+def missing_matrix(readings: DataFrame, shared_range: bool = True) -> DataFrame:
+    """DQ-10 on the daily grid: (sensor, day) -> NULL readings, readings, and whether the day lacks a value. Days without any
+    reading are rows, too: from the first to the last day of the whole frame (``shared_range``), or of each sensor."""
+    days = readings.groupBy(SENSOR, F.to_date("ts").alias(BIN)).agg(
+        F.count_if(F.col("value").isNull()).cast("long").alias("n_missing"), F.count(F.lit(1)).cast("long").alias("n_total"))
+    g = on_calendar(days.filter(F.col(BIN).isNotNull()), "D", ["n_missing", "n_total"], shared_range).na.fill(0, ["n_missing", "n_total"])
+    return g.select(SENSOR, F.col(BIN).alias("day"), "n_missing", "n_total", (F.col("n_total") == F.col("n_missing")).alias("is_missing"))
 
 
-def health_checks(readings: DataFrame, detections: DataFrame | None = None, scores: DataFrame | None = None) -> DataFrame:
-    """DQ-11: (check_name, passed, message) rows; run-level checks when their tables are given."""
+def health_checks(readings: DataFrame, grid: DataFrame | None = None, detections: DataFrame | None = None,
+                  scores: DataFrame | None = None) -> DataFrame:
+    """DQ-11: (check_name, passed, message) rows: data and missing rate, then the steps of a run whose tables are given."""
     s = readings.agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("value").isNull()).alias("m")
     ).withColumn("rate", F.coalesce(F.try_divide(F.col("m").cast("double"), F.col("n").cast("double")), F.lit(0.0)))
-    checks = [
-        s.select(F.lit("data_loaded").alias("check_name"), (F.col("n") > 0).alias("passed"),
-                 F.format_string(CHECK_LOADED, F.col("n")).alias("message")),
-        s.select(F.lit("missing_rate").alias("check_name"), (F.col("rate") < HIGH_MISSING_RATE).alias("passed"),
-                 F.format_string(CHECK_MISSING, F.col("rate") * 100).alias("message")),
-    ]
-    if detections is not None:
-        d = detections.agg(F.count(F.lit(1)).alias("k"))
-        checks.append(d.select(F.lit("detection").alias("check_name"), (F.col("k") > 0).alias("passed"),
-                               F.format_string("%d detection results", F.col("k")).alias("message")))
-    if scores is not None:
-        d = scores.agg(F.count(F.lit(1)).alias("k"))
-        checks.append(d.select(F.lit("scoring").alias("check_name"), (F.col("k") > 0).alias("passed"),
-                               F.format_string("%d sensors scored", F.col("k")).alias("message")))
-    out = checks[0]
-    for c in checks[1:]:
-        out = out.unionByName(c)
+    data = F.inline(F.array(
+        F.struct(F.lit("data_loaded").alias("check_name"), (F.col("n") > 0).alias("passed"), F.format_string(CHECK_LOADED, F.col("n")).alias("message")),
+        F.struct(F.lit("missing_rate").alias("check_name"), (F.col("rate") < HIGH_MISSING_RATE).alias("passed"), F.format_string(CHECK_MISSING, F.col("rate") * 100).alias("message"))))
+    out = s.select(data)
+    for name, table, passed, text in (("preprocessing", grid, F.lit(True), CHECK_PREPROCESSED), ("detection", detections, F.col("k") > 0, CHECK_DETECTED),
+                                      ("scoring", scores, F.lit(True), CHECK_SCORED)):
+        if table is not None:
+            k = table.agg(F.count_distinct(SENSOR).alias("k"))
+            out = out.unionByName(k.select(F.lit(name).alias("check_name"), passed.alias("passed"), F.format_string(text, F.col("k")).alias("message")))
     return out
+
+
+def run_checks(readings: DataFrame, grid: DataFrame, detections: DataFrame, scores: DataFrame) -> DataFrame:
+    """DQ-11: the five checks of a whole run."""
+    return health_checks(readings, grid, detections, scores)

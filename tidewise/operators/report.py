@@ -72,13 +72,10 @@ def detail_tables(grid: DataFrame, scores: DataFrame, periods=(7, 30, 365), n: i
     g = g.join(counts.select(SENSOR), SENSOR, "left_semi")
     p1 = int(periods[0])
     p2 = int(periods[1]) if len(periods) > 1 else p1
-    comps = stl.stl_components(g, p2).unionByName(stl.stl_components(g, p1))
-    chosen = counts.select(SENSOR, F.when(F.lit(p2) <= F.floor(F.col("n_points") / 2), F.lit(p2)).otherwise(F.lit(p1))
-                           .cast("long").alias("period"))
     return {
-        "components": comps.join(chosen, [SENSOR, "period"], "left_semi"),
+        "components": stl.stl_components(g, p1, long_period=p2),
         "acf": acf.acf_full(g),
         "fit": harmonic.fit_and_predict(g, periods),
-        "periodogram": periodogram.periodogram_full(g).filter(F.col("period") <= 100),
-        "pacf": stl.pacf(g, 50),
+        "periodogram": periodogram.periodogram_full(g, max_period=100),
+        "pacf": acf.pacf(g, 50),
     }

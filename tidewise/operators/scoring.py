@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewise.config import DetectionConfig, ScoringConfig, Thresholds
-from tidewise.functions.columns import SENSOR, distributed_row_number, exact_median
+from tidewise.functions.columns import SENSOR, distributed_row_number, numbered, ordered_parts
+from tidewise.functions.quantiles import selected_quantiles
 from tidewise.operators.ensemble import wide_scores
 
 LEVELS = {"High": 3, "Medium": 2, "Low": 1, "None": 0}
@@ -25,47 +26,10 @@ def normalize_score(value: Column, lo: float = 0.0, hi: float = 1.0) -> Column:
     return F.when(value.isNull() | F.isnan(value), F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), x)))
 
 
-def method_scores(detections: DataFrame, periods, methods) -> DataFrame:
-    """SC-2: ``{m}_{p}`` (absent -> 0), ``{m}_max`` (floor 0) per sensor."""
-    w = wide_scores(detections, periods, methods)
-    maxes = [F.greatest(F.lit(0.0), *[F.col(f"{m}_{p}") for p in periods]).alias(f"{m}_max") for m in methods]
-    return w.select("*", *maxes)
-
-
-def composite(cfg: ScoringConfig = ScoringConfig()) -> Column:
-    """SC-3: w_stl stl_max + w_acf acf_max + w_f min(10 fourier_max, 1)."""
-    return (
-        F.lit(cfg.weight("stl")) * F.col("stl_max")
-        + F.lit(cfg.weight("acf")) * F.col("acf_max")
-        + F.lit(cfg.weight("fourier")) * F.least(F.col("fourier_max") * 10.0, F.lit(1.0))
-    )
-
-
-def _oks(t: Thresholds, scale: float = 1.0) -> list[Column]:
-    return [
-        F.col("stl_max") > t.stl_strength * scale,
-        F.col("acf_max") > t.acf_peak * scale,
-        F.col("fourier_max") > t.delta_r2 * scale,
-    ]
 
 
-def label_strict(cfg: ScoringConfig = ScoringConfig()) -> Column:
-    """SC-6: number of methods above the strict thresholds -> High / Medium / Low / None."""
-    n = sum(F.when(c, 1).otherwise(0) for c in _oks(cfg.strict))
-    return F.when(n == 3, "High").when(n == 2, "Medium").when(n == 1, "Low").otherwise("None")
 
 
-def label_exploratory(cfg: ScoringConfig = ScoringConfig()) -> Column:
-    """SC-7: signal above exploratory and above strict -> High; signal -> Medium; above half -> Low."""
-    def any_(cs):
-        out = cs[0]
-        for c in cs[1:]:
-            out = out | c
-        return out
-
-    sig, strong, weak = any_(_oks(cfg.exploratory)), any_(_oks(cfg.strict)), any_(_oks(cfg.exploratory, 0.5))
-    return F.when(sig & strong, "High").when(sig, "Medium").when(weak, "Low").otherwise("None")
-
 
 def _thr(t: Thresholds, scale: float = 1.0) -> list[str]:
     return [f"stl_max > {t.stl_strength * scale!r}D", f"acf_max > {t.acf_peak * scale!r}D",
@@ -108,14 +72,26 @@ def scores_table(detections: DataFrame, det: DetectionConfig = DetectionConfig()
     )
 
 
+def _rank_order(sort_by: str, ascending: bool) -> list[Column]:
+    return [F.col(sort_by).asc_nulls_last() if ascending else F.col(sort_by).desc_nulls_last(), F.col(SENSOR).asc()]
+
+
 def ranking(scores: DataFrame, sort_by: str = "composite_score", ascending: bool = False) -> DataFrame:
     """RK-2: ``rank`` 1..n first; ties by sensor. Distributed: range-partitioned sort plus
-    per-partition offsets (no single-task window over all sensors)."""
-    key = F.col(sort_by).asc_nulls_last() if ascending else F.col(sort_by).desc_nulls_last()
-    r = distributed_row_number(scores, [key, F.col(SENSOR).asc()], "rank")
+    per-partition offsets (no single-task window over all sensors). Runs its sort when called."""
+    r = distributed_row_number(scores, _rank_order(sort_by, ascending), "rank")
     return r.select("rank", *[c for c in scores.columns])
 
 
+def ranked_scores(scores: DataFrame, sort_by: str = "composite_score", ascending: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(scores, ranking) from one written table: the scores are written in rank order, so that ranking needs no sort of its own."""
+    from tidewise.session import cut_lineage
+
+    order = _rank_order(sort_by, ascending)
+    ordered = cut_lineage(ordered_parts(scores, order), "scores")
+    return ordered.drop("_pid"), numbered(ordered, order).select("rank", *scores.columns)
+
+
 def top_sensors(scores: DataFrame, n: int = 10, min_confidence: str = "Low", mode: str = "strict") -> DataFrame:
     """RK-3: top n by composite among sensors at or above a label (TakeOrderedAndProject)."""
     col = f"confidence_{mode}"
@@ -165,7 +141,7 @@ def summary_statistics(scores: DataFrame, methods=("stl", "acf", "fourier", "per
     for m in present:
         aggs += [f"avg({m}_max) AS {m}_mean", f"stddev_samp({m}_max) AS {m}_std", f"max({m}_max) AS {m}_maxv"]
     # the median is exact but distributed (no single group with every sensor's score)
-    med = exact_median(scores, "composite_score").select("median").scalar()
+    med = selected_quantiles(scores, [], "composite_score", [0.5]).agg(F.max(F.col("_q")[0])).scalar()
     row = scores.agg(*[F.expr(a) for a in aggs]).select("*", med.alias("composite_median"))
     entries = [("overall", "total_sensors", "total_sensors")]
     entries += [("composite_score_stats", k, f"composite_{k}") for k in ("mean", "std", "min", "max", "median")]

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewise.functions.columns import by_sensor, BIN, SENSOR
+from tidewise.functions.quantiles import aggregate_with_quantiles
 from tidewise.operators.detect_common import clean
 
 CP_SCHEMA = "sensor string, cp_bin {bt}"
@@ -117,10 +118,12 @@ def segments(grid: DataFrame, cps: DataFrame) -> DataFrame:
     return segments_from_marks(g)
 
 
-def segment_statistics(grid: DataFrame, cps: DataFrame | None = None, segmented: DataFrame | None = None) -> DataFrame:
-    """CP-5: per (sensor, segment) start, end, n_points (NULL rows counted), mean, sample std, min, max, median."""
+def segment_statistics(grid: DataFrame, cps: DataFrame | None = None, segmented: DataFrame | None = None,
+                       buffer_rows: int | None = None) -> DataFrame:
+    """CP-5: per (sensor, segment) start, end, n_points (NULL rows counted), mean, sample std, min, max, median. A grid's segments
+    are bounded by the calendar; with ``buffer_rows``, the median of a larger one is selected over several tasks."""
     s = segmented if segmented is not None else segments(grid, cps)
-    return s.groupBy(SENSOR, "segment").agg(
+    m = aggregate_with_quantiles(s, [SENSOR, "segment"], [
         F.min(BIN).alias("start"),
         F.max(BIN).alias("end"),
         F.count(F.lit(1)).cast("long").alias("n_points"),
@@ -128,5 +131,5 @@ def segment_statistics(grid: DataFrame, cps: DataFrame | None = None, segmented:
         F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
-        F.median("value").alias("median"),
-    )
+    ], "value", [0.5], buffer_rows)
+    return m.withColumn("median", F.col("_q")[0]).drop("_q")

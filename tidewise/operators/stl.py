@@ -1,116 +1,48 @@
-"""STL seasonal / trend strength (DT-1, DT-2), components (DT-3) and PACF (DT-12).
+"""STL seasonal / trend strength (DT-1, DT-2) and components (DT-3).
 
-The decomposition is iterative LOESS, which has no DataFrame form: it runs per sensor
-in ``groupBy(sensor).applyInPandas`` on the cleaned grid (bounded by the calendar span),
-all requested periods in one call so the series is shipped to Python once. A failure
-in one group becomes an ``error`` row instead of failing the stage. The variance ratios
-of the returned rows are plain numbers; everything around the kernel is DataFrame code.
+The decomposition is iterative LOESS, which has no DataFrame form: it runs in numpy on stacks of sensors with equal
+points (``operators.stacked``), all requested periods in one call. A failure of one sensor becomes an ``error`` row.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tidewise.config import DetectionConfig
-from tidewise.functions.columns import by_sensor, BIN, SENSOR
-from tidewise.operators.detect_common import as_detection, clean, register
-
-STL_SCHEMA = (
-    "sensor string, period long, score double, significant boolean, error string, "
-    "f_season double, var_seasonal double, var_residual double, trend_strength double"
-)
-
-
-def _stl_group(pdf: pd.DataFrame, periods, seasonal: int, robust: bool, threshold: float) -> pd.DataFrame:
-    from tidewise.kernels.stl import stl, strength
-
-    pdf = pdf.sort_values("pos")
-    y = pdf["value"].to_numpy(dtype=float)
-    name = pdf["sensor"].iloc[0]
-    rows = []
-    for p in periods:
-        if len(y) < 2 * p:
-            rows.append((name, int(p), 0.0, False, "insufficient_data", None, None, None, None))
-            continue
-        try:
-            r = stl(y, int(p), seasonal=seasonal, robust=robust)
-            f, score = strength(r["seasonal"], r["resid"])
-            _, tstr = strength(r["trend"], r["resid"])
-            rows.append(
-                (name, int(p), float(score), bool(score > threshold), None, f,
-                 float(np.var(r["seasonal"])), float(np.var(r["resid"])), float(tstr))
-            )
-        except Exception as e:  # isolate failures per group
-            rows.append((name, int(p), 0.0, False, str(e), None, None, None, None))
-    return pd.DataFrame(rows, columns=[c.split()[0] for c in STL_SCHEMA.split(", ")])
+from tidewise.functions.columns import BIN
+from tidewise.operators.acf import pacf  # noqa: F401  (DT-12 lived here)
+from tidewise.operators.detect_common import as_detection, register
+from tidewise.operators.spectra import kernel_scores
+from tidewise.operators.stacked import run_stacks
 
 
 def stl_strength(grid: DataFrame, periods=(7, 30, 365), cfg: DetectionConfig = DetectionConfig()) -> DataFrame:
-    """Per (sensor, period): F = var(seasonal)/var(resid), score = F/(F+1), trend strength."""
-    c = clean(by_sensor(grid)).select(SENSOR, "pos", "value")
-    ps, ns, rb, th = tuple(periods), cfg.stl_seasonal, cfg.stl_robust, cfg.stl_strength_threshold
-    return c.groupBy(SENSOR).applyInPandas(lambda pdf: _stl_group(pdf, ps, ns, rb, th), schema=STL_SCHEMA)
+    """Per (sensor, period): F = var(seasonal)/var(resid), score = F/(F+1), trend strength; ``insufficient_data`` with
+    fewer points than two periods."""
+    return kernel_scores(grid, periods, cfg, ("stl",)).select(
+        "sensor", "period", "score", "significant", "error", "f_season", "var_seasonal", "var_residual", "trend_strength")
 
 
-@register("stl")
+@register("stl", kernel=True)
 def detect_stl(grid: DataFrame, periods, cfg: DetectionConfig = DetectionConfig()) -> DataFrame:
     return as_detection(stl_strength(grid, periods, cfg), "stl")
 
 
-COMP_SCHEMA = "sensor string, period long, bin date, observed double, trend double, seasonal double, residual double"
-
-
-def stl_components(grid: DataFrame, period: int = 7, cfg: DetectionConfig = DetectionConfig()) -> DataFrame:
-    """DT-3: one row per non-null point with trend, seasonal, residual (none when n < 2 period)."""
-    from tidewise.kernels.stl import stl
-
-    c = clean(by_sensor(grid)).select(SENSOR, BIN, "pos", "value")
-    bin_type = dict(grid.dtypes)[BIN]
-    schema = COMP_SCHEMA.replace("bin date", f"bin {bin_type}")
-    ns, rb = cfg.stl_seasonal, cfg.stl_robust
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pos")
-        y = pdf["value"].to_numpy(dtype=float)
-        cols = [f.split()[0] for f in schema.split(", ")]
-        if len(y) < 2 * period:
-            return pd.DataFrame(columns=cols)
-        r = stl(y, period, seasonal=ns, robust=rb)
-        return pd.DataFrame({"sensor": pdf["sensor"].to_numpy(), "period": period, "bin": pdf[BIN].to_numpy(),
-                             "observed": y, "trend": r["trend"], "seasonal": r["seasonal"], "residual": r["resid"]})[cols]
-
-    return c.groupBy(SENSOR).applyInPandas(run, schema=schema)
-
-
-def pacf(grid: DataFrame, nlags: int = 50) -> DataFrame:
-    """DT-12: partial autocorrelations by Levinson-Durbin on the biased ACF (Yule-Walker, 'ywm').
-
-    The ACF rows come from the FFT table (DT-5); the recursion runs on <= nlags+1 values per sensor.
-    """
-    from tidewise.operators.acf import acf_full
-
-    a = acf_full(grid, max_lag=nlags).select(SENSOR, "lag", "acf")
+def stl_components(grid: DataFrame, period: int = 7, cfg: DetectionConfig = DetectionConfig(), long_period: int | None = None) -> DataFrame:
+    """DT-3: one row per non-null point with trend, seasonal, residual (none when n < 2 period). With ``long_period``, a
+    sensor of at least twice as many points is decomposed by that one instead. A sensor that failed has one row with ``error``."""
+    from tidewise.kernels.stl import stl_stack
 
-    def lev(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("lag")
-        r = pdf["acf"].to_numpy(dtype=float)
-        p = len(r) - 1
-        out = np.zeros(p + 1)
-        out[0] = 1.0
-        if p >= 1 and np.isfinite(r).all():
-            phi = np.zeros((p + 1, p + 1))
-            phi[1, 1] = r[1]
-            out[1] = r[1]
-            v = 1.0 - r[1] ** 2
-            for k in range(2, p + 1):
-                num = r[k] - np.dot(phi[k - 1, 1:k], r[1:k][::-1])
-                phi[k, k] = num / v if v != 0 else 0.0
-                phi[k, 1:k] = phi[k - 1, 1:k] - phi[k, k] * phi[k - 1, 1:k][::-1]
-                v = v * (1.0 - phi[k, k] ** 2)
-                out[k] = phi[k, k]
-        return pd.DataFrame({"sensor": pdf["sensor"].iloc[0], "lag": np.arange(p + 1, dtype=np.int64), "pacf": out})
+    def run(names, t, Y, bins):
+        p = long_period if long_period and Y.shape[1] >= 2 * long_period else period
+        if Y.shape[1] < 2 * p:
+            return {c: [] for c in ("sensor", "period", "bin", "observed", "trend", "seasonal", "residual", "error")}
+        r = stl_stack(Y, p, seasonal=cfg.stl_seasonal, robust=cfg.stl_robust)
+        return {"sensor": np.repeat(np.array(names, dtype=object), Y.shape[1]), "period": np.full(Y.size, p), "bin": pa.concat_arrays(bins),
+                "observed": Y.ravel(), "trend": r["trend"].ravel(), "seasonal": r["seasonal"].ravel(), "residual": r["resid"].ravel(),
+                "error": [None] * Y.size}
 
-    return by_sensor(a).groupBy(SENSOR).applyInPandas(lev, schema="sensor string, lag long, pacf double")
+    schema = f"sensor string, period long, bin {dict(grid.dtypes)[BIN]}, observed double, trend double, seasonal double, residual double, error string"
+    return run_stacks(grid, run, schema)

@@ -12,17 +12,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewise.config import DetectionConfig
+from tidewise.config import DetectionConfig, ScoringConfig, Thresholds
 from tidewise.functions.columns import r6
 from tidewise.operators import (acf, harmonic, impute, outliers, periodogram, quality, resample, scoring,
                                 segments, stl)
 from tidewise.operators.ensemble import combine, detect_all
 from tidewise.plans import oracle as O
+from tidewise.plans.stl_oracle import stl_ctes
 from tidewise.session import cut_lineage, ship_package
 from tidewise.sources.tables import readings
 
 PERIODS = (7, 30, 365)
-EXACT_METHODS = ("acf", "periodogram", "fourier")
+METHODS = DetectionConfig().methods
 
 
 def fin(df: DataFrame) -> DataFrame:
@@ -59,12 +60,12 @@ def orders_eligible(spark, sf):
     return eligible(orders_filled(spark, sf), 100)[0]
 
 
-def exact_detections(spark, sf):
-    return detect_all(orders_eligible(spark, sf), DetectionConfig(), EXACT_METHODS, gate=False)
+def orders_detections(spark, sf):
+    return detect_all(orders_eligible(spark, sf), DetectionConfig(), METHODS, gate=False)
 
 
-def exact_scores(spark, sf):
-    return scoring.scores_table(exact_detections(spark, sf), DetectionConfig(), methods=EXACT_METHODS)
+def orders_scores(spark, sf):
+    return scoring.scores_table(orders_detections(spark, sf), DetectionConfig(), methods=METHODS)
 
 
 Q: dict = {}
@@ -99,6 +100,19 @@ def _ingest_long(spark, sf):
     return to_long(wide.toDF("ts", *names), names)
 
 
+_HS_B2 = """b2 AS (SELECT *, COALESCE(CAST(missing AS DOUBLE) / NULLIF(CAST(total_records AS DOUBLE), 0), 0.0) AS missing_rate,
+                    CAST(floor((epoch(end_ts) - epoch(start_ts)) / 86400) AS BIGINT) AS span_days FROM b)"""
+_HS_B3 = """b3 AS (SELECT *, list_filter([CASE WHEN total_records = 0 THEN 'No records in data' END,
+                    CASE WHEN missing_rate > 0.1 THEN printf('High missing rate: %.1f%%', missing_rate * 100) END,
+                    CASE WHEN all_missing > 0 THEN printf('Sensors with all missing values: %d', all_missing) END,
+                    CASE WHEN total_records > 0 AND span_days < 30 THEN printf('Short date range: %d days (recommended: >30 days)', span_days) END,
+                    CASE WHEN total_records > 0 AND span_days < 365 THEN printf('Date range (%d days) may be insufficient for annual seasonality detection', span_days) END],
+                    lambda x: x IS NOT NULL) AS warnings FROM b2)"""
+_SUMMARY_TEXT = """'=== Data Health Report ===' || chr(10) || format('Total records: {:,}', total_records) || chr(10)
+    || 'Date range: ' || CAST(start_ts AS VARCHAR) || ' to ' || CAST(end_ts AS VARCHAR) || chr(10) || 'Sensor count: ' || sensor_count || chr(10)
+    || printf('Overall missing rate: %.2f%%', missing_rate * 100) || chr(10)
+    || printf('Observations per day: min=%.1f, max=%.1f, mean=%.1f', COALESCE(obs_min, 0.0), COALESCE(obs_max, 0.0), COALESCE(obs_mean, 0.0))
+    || CASE WHEN len(warnings) > 0 THEN chr(10) || chr(10) || 'Warnings:' || chr(10) || array_to_string(list_transform(warnings, lambda x: '  - ' || x), chr(10)) ELSE '' END AS summary"""
 _HS = O.with_(f"r AS ({O.readings_sql('orders')})",
               "pd AS (SELECT CAST(ts AS DATE) AS day, count(*) AS c FROM r GROUP BY 1)",
               "ss AS (SELECT sensor, count(value) AS nn FROM r GROUP BY 1)",
@@ -107,24 +121,39 @@ _HS = O.with_(f"r AS ({O.readings_sql('orders')})",
                     (SELECT count(*) FROM ss) AS sensor_count, (SELECT count(*) FILTER (WHERE nn = 0) FROM ss) AS all_missing,
                     (SELECT CAST(min(c) AS DOUBLE) FROM pd) AS obs_min, (SELECT CAST(max(c) AS DOUBLE) FROM pd) AS obs_max,
                     (SELECT avg(c) FROM pd) AS obs_mean FROM r)""",
-              """b2 AS (SELECT *, COALESCE(CAST(missing AS DOUBLE) / NULLIF(CAST(total_records AS DOUBLE), 0), 0.0) AS missing_rate,
-                    CAST(floor((epoch(end_ts) - epoch(start_ts)) / 86400) AS BIGINT) AS span_days FROM b)""",
-              """b3 AS (SELECT *, list_filter([CASE WHEN total_records = 0 THEN 'No records in data' END,
-                    CASE WHEN missing_rate > 0.1 THEN printf('High missing rate: %.1f%%', missing_rate * 100) END,
-                    CASE WHEN all_missing > 0 THEN printf('Sensors with all missing values: %d', all_missing) END,
-                    CASE WHEN total_records > 0 AND span_days < 30 THEN printf('Short date range: %d days (recommended: >30 days)', span_days) END,
-                    CASE WHEN total_records > 0 AND span_days < 365 THEN printf('Date range (%d days) may be insufficient for annual seasonality detection', span_days) END],
-                    lambda x: x IS NOT NULL) AS warnings FROM b2)""")
+              _HS_B2, _HS_B3)
 
 
 @q("health_summary", _HS + """SELECT total_records, CAST(start_ts AS VARCHAR) AS start_ts, CAST(end_ts AS VARCHAR) AS end_ts,
     sensor_count, missing AS missing_count, ROUND(missing_rate, 6) + 0.0 AS missing_rate,
     ROUND(COALESCE(obs_min, 0.0), 6) + 0.0 AS obs_per_day_min, ROUND(COALESCE(obs_max, 0.0), 6) + 0.0 AS obs_per_day_max,
     ROUND(COALESCE(obs_mean, 0.0), 6) + 0.0 AS obs_per_day_mean, span_days, CAST(len(warnings) AS BIGINT) AS n_warnings,
-    (len(warnings) = 0 AND total_records > 0) AS healthy, array_to_string(warnings, ' | ') AS warnings FROM b3""")
+    (len(warnings) = 0 AND total_records > 0) AS healthy, array_to_string(warnings, ' | ') AS warnings, """ + _SUMMARY_TEXT + " FROM b3")
 def _health_summary(spark, sf):
-    s = quality.health_summary(orders(spark, sf))
-    return s.drop("summary").withColumn("warnings", F.array_join("warnings", " | "))
+    return quality.health_summary(orders(spark, sf)).withColumn("warnings", F.array_join("warnings", " | "))
+
+
+@q("wide_health", O.with_(f"r AS ({O.readings_sql('orders')})",
+   "names AS (SELECT DISTINCT sensor FROM r)", "times AS (SELECT DISTINCT ts FROM r)",
+   "w AS (SELECT t.ts, n.sensor, m.value FROM times t CROSS JOIN names n LEFT JOIN (SELECT ts, sensor, avg(value) AS value FROM r GROUP BY 1, 2) m ON m.ts = t.ts AND m.sensor = n.sensor)",
+   "pd AS (SELECT CAST(ts AS DATE) AS day, count(*) AS c FROM times GROUP BY 1)",
+   "ss AS (SELECT sensor, count(value) AS nn FROM w GROUP BY 1)",
+   """b AS (SELECT (SELECT count(*) FROM times) AS total_records, (SELECT count(*) - count(value) FROM w) AS missing, (SELECT count(*) FROM w) AS cells,
+        (SELECT min(ts) FROM times) AS start_ts, (SELECT max(ts) FROM times) AS end_ts, (SELECT count(*) FROM ss) AS sensor_count,
+        (SELECT count(*) FILTER (WHERE nn = 0) FROM ss) AS all_missing, (SELECT CAST(min(c) AS DOUBLE) FROM pd) AS obs_min,
+        (SELECT CAST(max(c) AS DOUBLE) FROM pd) AS obs_max, (SELECT avg(c) FROM pd) AS obs_mean)""",
+   _HS_B2.replace("CAST(total_records AS DOUBLE)", "CAST(cells AS DOUBLE)"), _HS_B3)
+   + """SELECT total_records, CAST(start_ts AS VARCHAR) AS start_ts, CAST(end_ts AS VARCHAR) AS end_ts, sensor_count, missing AS missing_count,
+    ROUND(missing_rate, 6) + 0.0 AS missing_rate, ROUND(COALESCE(obs_min, 0.0), 6) + 0.0 AS obs_per_day_min, ROUND(COALESCE(obs_max, 0.0), 6) + 0.0 AS obs_per_day_max,
+    ROUND(COALESCE(obs_mean, 0.0), 6) + 0.0 AS obs_per_day_mean, span_days, CAST(len(warnings) AS BIGINT) AS n_warnings,
+    (len(warnings) = 0 AND total_records > 0) AS healthy, array_to_string(warnings, ' | ') AS warnings, (SELECT string_agg((SELECT total_records FROM b3) - nn, ',' ORDER BY sensor) FROM ss) AS missing_by_sensor, """
+   + _SUMMARY_TEXT + " FROM b3")
+def _wide_health(spark, sf):
+    """DQ-1..DQ-6 of the wide frame: one row per timestamp, a column per order priority."""
+    wide = orders(spark, sf).groupBy("ts").pivot("sensor").agg(F.avg("value"))
+    h = quality.wide_health(wide, sorted(wide.columns[1:]))
+    return h.withColumns({"warnings": F.array_join("warnings", " | "),
+                          "missing_by_sensor": F.array_join(F.transform("sensors", lambda s: s["missing_count"].cast("string")), ",")}).drop("sensors")
 
 
 @q("health_warnings", _HS + "SELECT CAST(generate_subscripts(warnings, 1) - 1 AS BIGINT) AS position, unnest(warnings) AS warning FROM b3")
@@ -179,9 +208,12 @@ def _describe(spark, sf):
     return quality.describe(orders_grid(spark, sf))
 
 
-@q("missing_matrix", O.with_(f"r AS ({O.readings_sql('events')})")
-   + """SELECT sensor, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) FILTER (WHERE value IS NULL) AS n_missing,
-   count(*) AS n_total FROM r GROUP BY 1, 2""")
+@q("missing_matrix", O.with_(f"r AS ({O.readings_sql('events')})",
+   "d AS (SELECT sensor, CAST(ts AS DATE) AS day, count(*) - count(value) AS n_missing, count(*) AS n_total FROM r GROUP BY 1, 2)",
+   "cal AS (SELECT s.sensor, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS day FROM (SELECT DISTINCT sensor FROM d) s, "
+   "(SELECT min(day)::TIMESTAMP AS lo, max(day)::TIMESTAMP AS hi FROM d))")
+   + "SELECT cal.sensor, CAST(cal.day AS VARCHAR) AS day, COALESCE(n_missing, 0) AS n_missing, COALESCE(n_total, 0) AS n_total, "
+   "COALESCE(n_missing, 0) = COALESCE(n_total, 0) AS is_missing FROM cal LEFT JOIN d ON d.sensor = cal.sensor AND d.day = cal.day")
 def _missing_matrix(spark, sf):
     return quality.missing_matrix(readings(spark, sf, "events"))
 
@@ -363,7 +395,7 @@ def _acf_detect(spark, sf):
    "sm AS (SELECT lg.sensor, lg.lag, sum(a.dx * b.dx) AS s FROM lg JOIN cx a ON a.sensor = lg.sensor "
    "JOIN cx b ON b.sensor = a.sensor AND b.pos = a.pos + lg.lag GROUP BY 1, 2)")
    + """SELECT lg.sensor, CAST(lg.lag AS BIGINT) AS lag, ROUND(COALESCE(sm.s, 0.0) / lg.den, 6) + 0.0 AS acf,
-   ROUND(1.96 / sqrt(CAST(lg.n AS DOUBLE)), 6) + 0.0 AS conf_int_upper, ROUND(-1.96 / sqrt(CAST(lg.n AS DOUBLE)), 6) + 0.0 AS conf_int_lower
+   ROUND(1.96 / sqrt(CAST(lg.n AS DOUBLE)), 6) + 0.0 AS conf_int_upper, ROUND(-1.96 / sqrt(CAST(lg.n AS DOUBLE)), 6) + 0.0 AS conf_int_lower, CAST(NULL AS VARCHAR) AS error
    FROM lg LEFT JOIN sm ON sm.sensor = lg.sensor AND sm.lag = lg.lag""")
 def _acf_full(spark, sf):
     return acf.acf_full(orders_eligible(spark, sf), 400)
@@ -393,7 +425,7 @@ def _events_filled(spark, sf):
         var_pop(cos({O.TWO_PI} * fr.f * c.t)) AS vcc, covar_pop(sin({O.TWO_PI} * fr.f * c.t), cos({O.TWO_PI} * fr.f * c.t)) AS vsc,
         max(st.vyy) AS vyy FROM fr JOIN c ON c.sensor = fr.sensor JOIN st ON st.sensor = fr.sensor GROUP BY 1, 2, 3)""")
    + f"SELECT sensor, CAST(k AS BIGINT) AS k, ROUND(f, 6) + 0.0 AS frequency, ROUND({O.r2_case()}, 6) + 0.0 AS power, "
-   "ROUND(1.0 / f, 6) + 0.0 AS period FROM pw")
+   "ROUND(1.0 / f, 6) + 0.0 AS period, CAST(NULL AS VARCHAR) AS error FROM pw")
 def _periodogram_full(spark, sf):
     return periodogram.periodogram_full(_events_filled(spark, sf))
 
@@ -401,30 +433,30 @@ def _periodogram_full(spark, sf):
 @q("periodogram_slice", None)
 def _periodogram_slice(spark, sf):
     """RP-6: the detail slice of the full periodogram (period <= 100)."""
-    return periodogram.periodogram_full(_events_filled(spark, sf)).filter(F.col("period") <= 100)
+    return periodogram.periodogram_full(_events_filled(spark, sf), max_period=100)
 
 
 ORACLE["periodogram_slice"] = ORACLE["periodogram_full"].replace(
-    "ROUND(1.0 / f, 6) + 0.0 AS period FROM pw", "ROUND(1.0 / f, 6) + 0.0 AS period FROM pw WHERE 1.0 / f <= 100")
+    " AS error FROM pw", " AS error FROM pw WHERE 1.0 / f <= 100")
 
 
 # ---- ensemble, scores, ranking -----------------------------------------------------------------------
 
-_SC = O.scores_ctes(EXACT_METHODS, PERIODS)
-_SCOLS = O.score_columns(EXACT_METHODS, PERIODS)
+_SC = O.scores_ctes(METHODS, PERIODS)
+_SCOLS = O.score_columns(METHODS, PERIODS)
 
 
-@q("ensemble_combine", O.with_(*O.detections_ctes(EXACT_METHODS, PERIODS), *O.combine_ctes(EXACT_METHODS, PERIODS))
+@q("ensemble_combine", O.with_(*O.detections_ctes(METHODS, PERIODS), *O.combine_ctes(METHODS, PERIODS))
    + "SELECT comb.sensor, comb.period, ROUND(combined_score, 6) + 0.0 AS combined_score, CAST(best_period AS BIGINT) AS best_period, "
    "ROUND(max_combined_score, 6) + 0.0 AS max_combined_score FROM comb JOIN best ON best.sensor = comb.sensor")
 def _ensemble_combine(spark, sf):
-    return combine(exact_detections(spark, sf), PERIODS, EXACT_METHODS)
+    return combine(orders_detections(spark, sf), PERIODS, METHODS)
 
 
-@q("detections", O.with_(*O.detections_ctes(EXACT_METHODS, PERIODS))
+@q("detections", O.with_(*O.detections_ctes(METHODS, PERIODS))
    + "SELECT sensor, method, period, ROUND(score, 6) + 0.0 AS score, significant, error FROM det")
 def _detections(spark, sf):
-    return exact_detections(spark, sf)
+    return orders_detections(spark, sf)
 
 
 def _scores_sql(extra_sel="", where="", src="scores"):
@@ -434,17 +466,17 @@ def _scores_sql(extra_sel="", where="", src="scores"):
 
 @q("scores_table", _scores_sql())
 def _scores_table(spark, sf):
-    return exact_scores(spark, sf)
+    return orders_scores(spark, sf)
 
 
 @q("classify_strict", O.with_(*_SC) + "SELECT sensor, confidence_strict FROM scores")
 def _classify_strict(spark, sf):
-    return exact_scores(spark, sf).select("sensor", "confidence_strict")
+    return orders_scores(spark, sf).select("sensor", "confidence_strict")
 
 
 @q("classify_exploratory", O.with_(*_SC) + "SELECT sensor, confidence_exploratory FROM scores")
 def _classify_exploratory(spark, sf):
-    return exact_scores(spark, sf).select("sensor", "confidence_exploratory")
+    return orders_scores(spark, sf).select("sensor", "confidence_exploratory")
 
 
 @q("ranking", O.with_(*_SC, "rk AS (SELECT *, row_number() OVER (ORDER BY composite_score DESC NULLS LAST, sensor) AS rank FROM scores)")
@@ -452,7 +484,7 @@ def _classify_exploratory(spark, sf):
    + ", CAST(best_period AS BIGINT) AS best_period, confidence_strict, confidence_exploratory FROM rk")
 def _ranking(spark, sf):
     # the global sort samples its input first: rank a materialised scores table, not the plan
-    return scoring.ranking(cut_lineage(exact_scores(spark, sf)))
+    return scoring.ranking(cut_lineage(orders_scores(spark, sf)))
 
 
 @q("top_sensors", O.with_(*_SC, "lv AS (SELECT *, CASE confidence_strict WHEN 'High' THEN 3 WHEN 'Medium' THEN 2 "
@@ -461,34 +493,34 @@ def _ranking(spark, sf):
    + ", CAST(best_period AS BIGINT) AS best_period, confidence_strict, confidence_exploratory FROM lv WHERE lvl >= 1 "
    "ORDER BY composite_score DESC, sensor LIMIT 3")
 def _top_sensors(spark, sf):
-    return scoring.top_sensors(exact_scores(spark, sf), n=3, min_confidence="Low")
+    return scoring.top_sensors(orders_scores(spark, sf), n=3, min_confidence="Low")
 
 
 @q("label_distribution", O.with_(*_SC) + "SELECT confidence_strict AS label, count(*) AS count, "
    "ROUND(count(*) * 100.0 / (SELECT count(*) FROM scores), 6) + 0.0 AS percentage FROM scores GROUP BY 1")
 def _label_distribution(spark, sf):
-    return scoring.label_distribution(exact_scores(spark, sf), "strict")
+    return scoring.label_distribution(orders_scores(spark, sf), "strict")
 
 
 @q("label_distribution_exploratory", O.with_(*_SC) + "SELECT confidence_exploratory AS label, count(*) AS count, "
    "ROUND(count(*) * 100.0 / (SELECT count(*) FROM scores), 6) + 0.0 AS percentage FROM scores GROUP BY 1")
 def _label_distribution_x(spark, sf):
-    return scoring.label_distribution(exact_scores(spark, sf), "exploratory")
+    return scoring.label_distribution(orders_scores(spark, sf), "exploratory")
 
 
 @q("period_filter", _scores_sql(where="WHERE combined_7 >= 0.1"))
 def _period_filter(spark, sf):
-    return scoring.filter_by_period(exact_scores(spark, sf), 7, 0.1)
+    return scoring.filter_by_period(orders_scores(spark, sf), 7, 0.1)
 
 
-@q("period_agreement", O.with_(*O.detections_ctes(EXACT_METHODS, PERIODS))
+@q("period_agreement", O.with_(*O.detections_ctes(METHODS, PERIODS))
    + "SELECT sensor, period, COALESCE(array_to_string(list_sort(list(method) FILTER (WHERE significant)), ','), '') AS significant_methods, "
-   "count(*) FILTER (WHERE significant) AS num_significant, ROUND(sum(score) / 3.0, 6) + 0.0 AS combined_score, "
-   "ROUND(count(*) FILTER (WHERE significant) / 3.0, 6) + 0.0 AS agreement, "
-   + ", ".join(f"ROUND(COALESCE(max(score) FILTER (WHERE method = '{m}'), 0.0), 6) + 0.0 AS {m}_score" for m in EXACT_METHODS)
+   "count(*) FILTER (WHERE significant) AS num_significant, ROUND(sum(score) / 4.0, 6) + 0.0 AS combined_score, "
+   "ROUND(count(*) FILTER (WHERE significant) / 4.0, 6) + 0.0 AS agreement, "
+   + ", ".join(f"ROUND(COALESCE(max(score) FILTER (WHERE method = '{m}'), 0.0), 6) + 0.0 AS {m}_score" for m in METHODS)
    + " FROM det GROUP BY sensor, period")
 def _period_agreement(spark, sf):
-    return scoring.period_agreement(exact_detections(spark, sf), EXACT_METHODS)
+    return scoring.period_agreement(orders_detections(spark, sf), METHODS)
 
 
 _SUM_METHODS = ("stl", "acf", "fourier", "periodogram")
@@ -511,15 +543,15 @@ def _summary_sql():
 
 @q("summary_stats", _summary_sql())
 def _summary_stats(spark, sf):
-    return scoring.summary_statistics(cut_lineage(exact_scores(spark, sf)), _SUM_METHODS)
+    return scoring.summary_statistics(cut_lineage(orders_scores(spark, sf)), _SUM_METHODS)
 
 
 @q("heatmap", O.with_(*_SC) + "SELECT sensor, ROUND(composite_score, 6) + 0.0 AS composite_score, "
-   + ", ".join(f"ROUND({m}_{p}, 6) + 0.0 AS {m}_{p}" for m in EXACT_METHODS for p in PERIODS)
+   + ", ".join(f"ROUND({m}_{p}, 6) + 0.0 AS {m}_{p}" for m in METHODS for p in PERIODS)
    + " FROM scores ORDER BY composite_score DESC, sensor LIMIT 3")
 def _heatmap(spark, sf):
     from tidewise.operators.report import heatmap
-    return heatmap(exact_scores(spark, sf), EXACT_METHODS, PERIODS, n=3)
+    return heatmap(orders_scores(spark, sf), METHODS, PERIODS, n=3)
 
 
 @q("summary_cards", O.with_(*_SC) + "SELECT count(*) AS total_sensors, "
@@ -528,20 +560,18 @@ def _heatmap(spark, sf):
    + ", ROUND(max(composite_score), 6) + 0.0 AS max_composite, ROUND(avg(composite_score), 6) + 0.0 AS mean_composite FROM scores")
 def _summary_cards(spark, sf):
     from tidewise.operators.report import summary_cards
-    return summary_cards(exact_scores(spark, sf))
+    return summary_cards(orders_scores(spark, sf))
 
 
 @q("report_table", O.with_(*_SC, "rk AS (SELECT *, row_number() OVER (ORDER BY composite_score DESC NULLS LAST, sensor) AS rank FROM scores)")
    + "SELECT sensor, CAST(rank AS BIGINT) AS rank, ROUND(composite_score, 6) + 0.0 AS composite_score, confidence_strict, "
    "confidence_exploratory, ROUND(stl_max, 6) + 0.0 AS stl_max, ROUND(acf_max, 6) + 0.0 AS acf_max, "
    "ROUND(fourier_max, 6) + 0.0 AS fourier_max, ROUND(periodogram_max, 6) + 0.0 AS periodogram_max, "
-   "CAST(best_period AS BIGINT) AS best_period, ROUND(acf_7, 6) + 0.0 AS acf_7, ROUND(acf_30, 6) + 0.0 AS acf_30, "
-   "ROUND(acf_365, 6) + 0.0 AS acf_365, ROUND(periodogram_7, 6) + 0.0 AS periodogram_7, "
-   "ROUND(periodogram_30, 6) + 0.0 AS periodogram_30, ROUND(periodogram_365, 6) + 0.0 AS periodogram_365 "
+   "CAST(best_period AS BIGINT) AS best_period, " + ", ".join(f"ROUND({m}_{p}, 6) + 0.0 AS {m}_{p}" for m in METHODS[:2] for p in PERIODS) + " "
    "FROM rk ORDER BY rank LIMIT 100")
 def _report_table(spark, sf):
     from tidewise.operators.report import report_table
-    return report_table(scoring.ranking(cut_lineage(exact_scores(spark, sf))))
+    return report_table(scoring.ranking(cut_lineage(orders_scores(spark, sf))))
 
 
 @q("overview_series", O.with_(*_SC)
@@ -549,14 +579,14 @@ def _report_table(spark, sf):
    "ROUND(s.composite_score, 6) + 0.0 AS composite_score FROM filled f LEFT JOIN scores s ON s.sensor = f.sensor")
 def _overview_series(spark, sf):
     from tidewise.operators.report import overview_series
-    return overview_series(orders_filled(spark, sf), exact_scores(spark, sf))
+    return overview_series(orders_filled(spark, sf), orders_scores(spark, sf))
 
 
 def _median_scores(spark, sf):
     g = impute.interpolate_linear(resample.resample(orders(spark, sf), "D", "median"), direction="forward")
     from tidewise.operators.ensemble import eligible
-    det = detect_all(eligible(g, 100)[0], DetectionConfig(), EXACT_METHODS, gate=False)
-    return scoring.scores_table(det, DetectionConfig(), methods=EXACT_METHODS)
+    det = detect_all(eligible(g, 100)[0], DetectionConfig(), METHODS, gate=False)
+    return scoring.scores_table(det, DetectionConfig(), methods=METHODS)
 
 
 def _median_sc():
@@ -565,7 +595,7 @@ def _median_sc():
 
 @q("run_compare", O.with_(*_SC, "ra AS (SELECT sensor, row_number() OVER (ORDER BY composite_score DESC NULLS LAST, sensor) AS rank, "
    "composite_score, confidence_strict FROM scores)")
-   .replace("WITH ", "WITH runb AS (" + O.with_(*_median_sc()) + "SELECT sensor, row_number() OVER (ORDER BY composite_score DESC NULLS LAST, sensor) AS rank, composite_score, confidence_strict FROM scores), ", 1)
+   .replace("WITH RECURSIVE ", "WITH RECURSIVE runb AS (" + O.with_(*_median_sc()) + "SELECT sensor, row_number() OVER (ORDER BY composite_score DESC NULLS LAST, sensor) AS rank, composite_score, confidence_strict FROM scores), ", 1)
    + """SELECT COALESCE(ra.sensor, runb.sensor) AS sensor, CAST(ra.rank AS BIGINT) AS rank_a, CAST(runb.rank AS BIGINT) AS rank_b,
    CAST(runb.rank - ra.rank AS BIGINT) AS rank_delta, ROUND(ra.composite_score, 6) + 0.0 AS score_a,
    ROUND(runb.composite_score, 6) + 0.0 AS score_b, ROUND(runb.composite_score - ra.composite_score, 6) + 0.0 AS score_delta,
@@ -573,17 +603,17 @@ def _median_sc():
    ra.confidence_strict IS DISTINCT FROM runb.confidence_strict AS label_changed
    FROM ra FULL OUTER JOIN runb ON ra.sensor = runb.sensor""")
 def _run_compare(spark, sf):
-    return scoring.compare_runs(scoring.ranking(cut_lineage(exact_scores(spark, sf))),
+    return scoring.compare_runs(scoring.ranking(cut_lineage(orders_scores(spark, sf))),
                                 scoring.ranking(cut_lineage(_median_scores(spark, sf))))
 
 
 @q("variant_compare", None)
 def _variant_compare(spark, sf):
-    return scoring.compare_variants({"mean": exact_scores(spark, sf), "median": _median_scores(spark, sf)})
+    return scoring.compare_variants({"mean": orders_scores(spark, sf), "median": _median_scores(spark, sf)})
 
 
 ORACLE["variant_compare"] = (
-    O.with_(*_SC).replace("WITH ", "WITH vb AS (" + O.with_(*_median_sc()) + "SELECT 'median' AS variant, sensor, composite_score, confidence_strict FROM scores), ", 1)
+    O.with_(*_SC).replace("WITH RECURSIVE ", "WITH RECURSIVE vb AS (" + O.with_(*_median_sc()) + "SELECT 'median' AS variant, sensor, composite_score, confidence_strict FROM scores), ", 1)
     + ", u AS (SELECT 'mean' AS variant, sensor, composite_score, confidence_strict FROM scores UNION ALL SELECT * FROM vb) "
     "SELECT variant, count(*) AS n_sensors, ROUND(avg(composite_score), 6) + 0.0 AS mean_composite, "
     "ROUND(max(composite_score), 6) + 0.0 AS max_composite, count(*) FILTER (WHERE confidence_strict = 'High') AS n_high FROM u GROUP BY variant"
@@ -747,20 +777,40 @@ def _anonymize_text(spark, sf):
 
 # ---- rows-only (iterative / randomised kernels) ----------------------------------------------------------
 
-@q("stl_strength")
+_STL_SQL = O.with_(*_DET_BASE, *stl_ctes(PERIODS))
+_COMPONENTS_SQL = [*_DET_BASE, *stl_ctes((7,)),
+                   "comps AS (SELECT r.sensor, r.period, c.bin, r.y, r.trend, r.seasonal, r.residual FROM stl_rows r JOIN c ON c.sensor = r.sensor AND c.pos = r.i)"]
+
+
+@q("stl_strength", _STL_SQL + "SELECT sensor, period, ROUND(score, 6) + 0.0 AS score, score > 0.5 AS significant, error, ROUND(f_season, 6) + 0.0 AS f_season, "
+   "ROUND(vs, 0) + 0.0 AS var_seasonal, ROUND(vr, 0) + 0.0 AS var_residual, ROUND(trend_strength, 6) + 0.0 AS trend_strength FROM stl")
 def _stl_strength(spark, sf):
-    return stl.stl_strength(orders_eligible(spark, sf), PERIODS)
+    s = stl.stl_strength(orders_eligible(spark, sf), PERIODS)
+    return s.withColumns({c: F.round(c, 0) for c in ("var_seasonal", "var_residual")})  # about 1e9: the last digits are noise
+
+
+def _rounded_components(c):
+    """Values of about 1e5 after 32 passes of smoothing: three digits are sure."""
+    return c.withColumns({x: F.round(x, 3) + 0.0 for x in ("trend", "seasonal", "residual")})
 
 
-@q("stl_components")
+_COMPONENTS_SEL = ("SELECT sensor, period, CAST(bin AS VARCHAR) AS bin, " + ", ".join(
+    f"ROUND({x}, {d}) + 0.0 AS {n}" for x, n, d in (("y", "observed", 6), ("trend", "trend", 3), ("seasonal", "seasonal", 3), ("residual", "residual", 3)))
+    + ", CAST(NULL AS VARCHAR) AS error FROM comps")
+
+
+@q("stl_components", O.with_(*_COMPONENTS_SQL) + _COMPONENTS_SEL)
 def _stl_components(spark, sf):
-    return stl.stl_components(orders_eligible(spark, sf), 7)
+    return _rounded_components(stl.stl_components(orders_eligible(spark, sf), 7))
 
 
-@q("residual_histogram")
+@q("residual_histogram", O.with_(*_COMPONENTS_SQL, "edges AS (SELECT sensor, period, min(residual) AS lo, max(residual) AS hi FROM comps GROUP BY 1, 2)",
+   "hist AS (SELECT c.sensor, c.period, c.residual, CASE WHEN hi > lo THEN least(CAST(floor((residual - lo) * 50 / (hi - lo)) AS BIGINT) + 1, 50) ELSE 1 END AS bucket "
+   "FROM comps c JOIN edges e ON e.sensor = c.sensor AND e.period = c.period)")
+   + "SELECT sensor, period, bucket, count(*) AS count, ROUND(min(residual), 3) + 0.0 AS lo, ROUND(max(residual), 3) + 0.0 AS hi FROM hist GROUP BY 1, 2, 3")
 def _residual_histogram(spark, sf):
     from tidewise.operators.report import residual_histogram
-    return residual_histogram(stl.stl_components(orders_eligible(spark, sf), 7))
+    return residual_histogram(stl.stl_components(orders_eligible(spark, sf), 7)).withColumns({c: F.round(c, 3) + 0.0 for c in ("lo", "hi")})
 
 
 @q("joint_fit")
@@ -808,20 +858,45 @@ def _interp_polynomial(spark, sf):
     return impute.interpolate_missing(orders_grid(spark, sf), "polynomial", order=2)
 
 
-@q("ensemble_all_methods")
+@q("ensemble_all_methods", _scores_sql())
 def _ensemble_all(spark, sf):
-    det = detect_all(orders_eligible(spark, sf), DetectionConfig(), gate=False)
-    return scoring.scores_table(det, DetectionConfig())
+    """The whole run with its tables written: grid, detections and scores, each read back by the next step."""
+    from tidewise.plans.run import analyze
+    return analyze(orders(spark, sf), materialize=True)["scores"]
+
+
+@q("run_checks", O.with_(*_SC, "k AS (SELECT (SELECT count(*) FROM r) AS n, (SELECT count(*) - count(value) FROM r) AS m, (SELECT count(DISTINCT sensor) FROM ge) AS g, "
+   "(SELECT count(DISTINCT sensor) FROM det) AS d, (SELECT count(*) FROM scores) AS s)")
+   + """SELECT unnest(['data_loaded', 'missing_rate', 'preprocessing', 'detection', 'scoring']) AS check_name, unnest([n > 0, m / n < 0.1, true, d > 0, true]) AS passed,
+   unnest([printf('Loaded %d records', n), printf('Missing rate: %.2f%%', 100.0 * m / n), printf('Preprocessed %d sensors', g), printf('Detected seasonality in %d sensors', d),
+   printf('Scored %d sensors', s)]) AS message FROM k""")
+def _run_checks(spark, sf):
+    """DQ-11: the five checks of a whole run."""
+    from tidewise.plans.run import analyze
+    return analyze(orders(spark, sf), materialize=True)["checks"]
+
+
+#: below what the noise of these tables reaches, so that every label occurs
+_LOW = Thresholds(stl_strength=0.4, acf_peak=0.04, delta_r2=0.02)
+
+
+@q("classify_thresholds", O.with_(*O.scores_ctes(METHODS, PERIODS, thresholds=(_LOW.stl_strength, _LOW.acf_peak, _LOW.delta_r2)))
+   + "SELECT sensor, ROUND(stl_max, 6) + 0.0 AS stl_max, ROUND(acf_max, 6) + 0.0 AS acf_max, ROUND(fourier_max, 6) + 0.0 AS fourier_max, "
+   "ROUND(composite_score, 6) + 0.0 AS composite_score, confidence_strict, confidence_exploratory FROM scores")
+def _classify_thresholds(spark, sf):
+    """SC-6/SC-7 with the user's own strict thresholds."""
+    s = scoring.scores_table(orders_detections(spark, sf), DetectionConfig(), ScoringConfig(strict=_LOW))
+    return s.select("sensor", "stl_max", "acf_max", "fourier_max", "composite_score", "confidence_strict", "confidence_exploratory")
 
 
 # ---- accessors and detail tables -------------------------------------------------------------------------
 
-@q("score_lookup", O.with_(*O.detections_ctes(EXACT_METHODS, PERIODS))
+@q("score_lookup", O.with_(*O.detections_ctes(METHODS, PERIODS))
    + "SELECT s.sensor, ROUND(COALESCE(d.score, 0.0), 6) + 0.0 AS score, COALESCE(d.significant, false) AS significant "
    "FROM (SELECT DISTINCT sensor FROM det) s LEFT JOIN (SELECT * FROM det WHERE method = 'acf' AND period = 30) d ON d.sensor = s.sensor")
 def _score_lookup(spark, sf):
     from tidewise.operators.ensemble import get_score
-    return get_score(exact_detections(spark, sf), "acf", 30)
+    return get_score(orders_detections(spark, sf), "acf", 30)
 
 
 @q("score_normalize", O.with_(*_DET_BASE, *O.harmonic_ctes(PERIODS))
@@ -835,13 +910,13 @@ def _score_normalize(spark, sf):
 @q("detail_components")
 def _detail_components(spark, sf):
     from tidewise.operators.report import detail_tables
-    return detail_tables(orders_filled(spark, sf), cut_lineage(exact_scores(spark, sf)), PERIODS, n=2)["components"]
+    return detail_tables(orders_filled(spark, sf), cut_lineage(orders_scores(spark, sf)), PERIODS, n=2)["components"]
 
 
 @q("detail_fit")
 def _detail_fit(spark, sf):
     from tidewise.operators.report import detail_tables
-    return detail_tables(orders_filled(spark, sf), cut_lineage(exact_scores(spark, sf)), PERIODS, n=2)["fit"]
+    return detail_tables(orders_filled(spark, sf), cut_lineage(orders_scores(spark, sf)), PERIODS, n=2)["fit"]
 
 
 @q("cp_window_rbf")

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 
+from tidewise.plans.stl_oracle import stl_ctes
 from tidewise.sources.tables import readings_sql
 
 TWO_PI = repr(2.0 * math.pi)
@@ -25,7 +26,7 @@ def txt(c: str, alias: str | None = None) -> str:
 
 
 def with_(*ctes: str) -> str:
-    return "WITH " + ",\n".join(ctes) + "\n"
+    return "WITH RECURSIVE " + ",\n".join(ctes) + "\n"
 
 
 def bin_expr(freq: str) -> str:
@@ -221,9 +222,13 @@ def periodogram_ctes(periods=(7, 30, 365), min_period: int = 2, max_period: int
     ]
 
 
-def detections_ctes(methods=("acf", "periodogram", "fourier"), periods=(7, 30, 365)) -> list[str]:
+def detections_ctes(methods=("stl", "acf", "periodogram", "fourier"), periods=(7, 30, 365)) -> list[str]:
     ctes = filled_ctes("orders") + clean_ctes("filled", gate=True)
     parts = []
+    if "stl" in methods:
+        ctes += stl_ctes(periods)
+        ctes.append("det_stl AS (SELECT sensor, 'stl' AS method, period, score, score > 0.5 AS significant, error FROM stl)")
+        parts.append("SELECT sensor, method, period, score, significant, error FROM det_stl")
     if "acf" in methods:
         ctes += acf_ctes(periods)
         parts.append("SELECT sensor, method, period, score, significant, error FROM det_acf")
@@ -251,7 +256,7 @@ def combine_ctes(methods, periods) -> list[str]:
     ]
 
 
-def scores_ctes(methods=("acf", "periodogram", "fourier"), periods=(7, 30, 365), w=(0.3, 0.3, 0.4)) -> list[str]:
+def scores_ctes(methods=("stl", "acf", "periodogram", "fourier"), periods=(7, 30, 365), w=(0.3, 0.3, 0.4), thresholds=(0.5, 0.3, 0.1)) -> list[str]:
     ctes = detections_ctes(methods, periods) + combine_ctes(methods, periods)
     cols = []
     for m in methods:
@@ -267,10 +272,10 @@ def scores_ctes(methods=("acf", "periodogram", "fourier"), periods=(7, 30, 365),
           + ", ".join(f"max(CASE WHEN c.period = {p} THEN c.combined_score END) AS combined_{p}" for p in periods)
           + " FROM best b JOIN comb c ON c.sensor = b.sensor GROUP BY 1, 2, 3)")
     comp = f"{w[0]} * stl_max + {w[1]} * acf_max + {w[2]} * least(fourier_max * 10.0, 1.0)"
-    strict = ("(CASE WHEN stl_max > 0.5 THEN 1 ELSE 0 END + CASE WHEN acf_max > 0.3 THEN 1 ELSE 0 END "
-              "+ CASE WHEN fourier_max > 0.1 THEN 1 ELSE 0 END)")
+    above = [f"{m}_max > {x!r}" for m, x in zip(("stl", "acf", "fourier"), thresholds)]
+    strict = "(" + " + ".join(f"CASE WHEN {a} THEN 1 ELSE 0 END" for a in above) + ")"
     sig = "(stl_max > 0.2 OR acf_max > 0.15 OR fourier_max > 0.05)"
-    strong = "(stl_max > 0.5 OR acf_max > 0.3 OR fourier_max > 0.1)"
+    strong = "(" + " OR ".join(above) + ")"
     weak = f"(stl_max > {0.2 * 0.5!r} OR acf_max > {0.15 * 0.5!r} OR fourier_max > {0.05 * 0.5!r})"
     sc = (f"""scores AS (SELECT ms2.*, cw.best_period, cw.max_combined_score, {', '.join(f'cw.combined_{p}' for p in periods)},
              {comp} AS composite_score,
@@ -280,7 +285,7 @@ def scores_ctes(methods=("acf", "periodogram", "fourier"), periods=(7, 30, 365),
     return ctes + [ms, ms2, cw, sc]
 
 
-def score_columns(methods=("acf", "periodogram", "fourier"), periods=(7, 30, 365)) -> list[str]:
+def score_columns(methods=("stl", "acf", "periodogram", "fourier"), periods=(7, 30, 365)) -> list[str]:
     cols = [f"{m}_{p}" for m in methods for p in periods] + [f"{m}_max" for m in methods]
     for m in ("stl", "acf", "fourier"):
         if m not in methods:
