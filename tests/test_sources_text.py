@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewise.config import DataConfig
-from tidewise.operators import quality, textops
+from tidewise.operators import logs, quality, textops
 from tidewise.sources import readers, sinks, synthetic
 from tidewise.sources.tables import readings
 
@@ -93,7 +93,7 @@ def test_log_lines_and_errors(spark):
                 "2024-01-01 10:00:02 INFO end\n")
     lines = readers.read_log_lines(spark, os.path.join(d, "run.log"))
     assert lines.count() == 5
-    errs = textops.error_extract(lines, "file").collect()
+    errs = logs.error_extract(lines, "file").collect()
     assert [e["message"] for e in errs] == ["file missing\n  detail line"]
     tail = textops.log_tail(lines, "file", 2).collect()[0]
     assert tail["excerpt"] == "2024-01-01 10:00:02 INFO end\n"
@@ -104,9 +104,10 @@ def test_name_dictionary_and_replacement(spark):
     d = textops.name_dictionary(names, "s")
     got = {r["name"]: r["alias"] for r in d.collect()}
     assert got == {"sensor_1": "SENSOR_001", "sensor_10": "SENSOR_002", "sensor_2": "SENSOR_003"}
-    pairs = textops.collect_dictionary(d)
+    pairs = [(r["name"], r["alias"]) for r in d.collect()]
     df = spark.createDataFrame([("sensor_10 and sensor_1",)], "t string")
     fixed = df.select(textops.replace_names(F.col("t"), pairs)).collect()[0][0]
+    assert textops.anonymize(df, ["t"], d).collect()[0][0] == fixed
     parity = df.select(textops.replace_names(F.col("t"), sorted(pairs), parity=True)).collect()[0][0]
     assert fixed == "SENSOR_002 and SENSOR_001"
     assert parity == "SENSOR_0010 and SENSOR_001"  # the original substring behaviour
@@ -207,7 +208,7 @@ def test_anonymize_bundles_every_text_field(spark):
         json.dump(b, f)
     bundles = readers.read_bundles(spark, d)
     names = spark.createDataFrame([("sensor_1",), ("sensor_10",)], "s string")
-    pairs = textops.collect_dictionary(textops.name_dictionary(names, "s"))
+    pairs = textops.name_dictionary(names, "s")
     r = textops.anonymize_bundles(bundles, pairs).collect()[0]
     assert r["log_excerpt"] == "SENSOR_001 and SENSOR_002"
     assert r["warnings"] == ["SENSOR_001 low"]

@@ -59,4 +59,5 @@ def aggregate_with_quantiles(df: DataFrame, keys: list[str], aggs: list[Column],
         return df.groupBy(*keys).agg(*aggs, q)
     ordinary = df.join(hot, keys, "left_anti").groupBy(*keys).agg(*aggs, q)
     large = df.join(hot, keys, "left_semi")
-    return ordinary.unionByName(large.groupBy(*keys).agg(*aggs).join(selected_quantiles(large, keys, col, probs), keys, "left"))
+    rest = large.groupBy(*keys).agg(*aggs) if aggs else hot
+    return ordinary.unionByName(rest.join(selected_quantiles(large, keys, col, probs), keys, "left"))

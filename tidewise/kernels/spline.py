@@ -52,15 +52,98 @@ def coefficients(t: np.ndarray, k: int, x: np.ndarray, y: np.ndarray) -> np.ndar
     return out[:n]
 
 
-def spline_values(x: np.ndarray, y: np.ndarray, xq: np.ndarray, order: int) -> np.ndarray:
-    """The spline of degree ``order`` (fewer points than order + 1: the polynomial through them) at ``xq``."""
+def spline_values(x: np.ndarray, y: np.ndarray, xq: np.ndarray, order: int, residual: float = 0.0) -> np.ndarray:
+    """The spline of degree ``order`` (fewer points than order + 1: the polynomial through them) at ``xq``; through the points, or
+    the smoothest one whose squared residuals sum to at most ``residual``."""
     k = min(order, len(x) - 1)
     t = knots(x, k)
-    c = coefficients(t, k, x, y)
+    c = smoothing_coefficients(t, k, x, y, residual) if residual > 0 else coefficients(t, k, x, y)
     first, values = basis(t, k, xq)
     return (c[first[:, None] + np.arange(k + 1)] * values).sum(axis=1)
 
 
+def _banded_solve(A: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """x with A x = b for a symmetric positive definite A of bandwidth w, given as rows of diagonal and w upper diagonals."""
+    n, w = A.shape[0], A.shape[1] - 1
+    A, b = A.copy(), b.astype(float).copy()
+    for i in range(n):
+        m = min(w, n - 1 - i)
+        f = A[i, 1:m + 1] / A[i, 0]
+        for r in range(1, m + 1):
+            A[i + r, :m - r + 1] -= f[r - 1] * A[i, r:m + 1]
+        b[i + 1:i + m + 1] -= f * b[i]
+    x = np.zeros(n + w)
+    for i in range(n - 1, -1, -1):
+        x[i] = (b[i] - A[i, 1:] @ x[i + 1:i + w + 1]) / A[i, 0]
+    return x[:n]
+
+
+def _gram(first: np.ndarray, values: np.ndarray, n: int, w: int) -> np.ndarray:
+    """M'M as diagonal and w upper diagonals, for rows of M with ``values`` from column ``first`` on."""
+    out = np.zeros((n, w + 1))
+    k = values.shape[1]
+    for i in range(k):
+        for j in range(i, k):
+            np.add.at(out[:, j - i], first + i, values[:, i] * values[:, j])
+    return out
+
+
+def jumps(t: np.ndarray, k: int) -> np.ndarray:
+    """Rows of k + 2 factors: the jump of the k-th derivative at each interior knot is row . coefficients[j : j + k + 2]."""
+    n = len(t) - k - 1
+    # row i: the d-th derivative's coefficient i in terms of the coefficients i - d .. i
+    rows = np.ones((n, 1))
+    for d in range(1, k + 1):
+        new = np.zeros((n, d + 1))
+        for i in range(d, n):
+            step = (k - d + 1) / (t[i + k - d + 1] - t[i])
+            new[i, 1:] += step * rows[i]
+            new[i, :-1] -= step * rows[i - 1]
+        rows = new
+    out = np.zeros((n - k - 1, k + 2))
+    for j in range(k + 1, n):
+        out[j - k - 1, 1:] += rows[j]
+        out[j - k - 1, :-1] -= rows[j - 1]
+    return out
+
+
+def smoothing_coefficients(t: np.ndarray, k: int, x: np.ndarray, y: np.ndarray, residual: float) -> np.ndarray:
+    """Coefficients of the smoothest spline with sum of squared residuals at most ``residual``: the squared jumps of its k-th derivative
+    are least. The weight of the jumps is found by bisection of its logarithm; a polynomial that keeps the bound is taken as it is."""
+    n = len(x)
+    first, values = basis(t, k, x)
+    fit = _gram(first, values, n, k + 1)
+    rough = jumps(t, k)
+    if not len(rough):
+        return coefficients(t, k, x, y)
+    rough = rough / np.abs(rough).max()
+    penalty = _gram(np.arange(len(rough)), rough, n, k + 1)
+    rhs = np.zeros(n)
+    for c in range(k + 1):
+        np.add.at(rhs, first + c, values[:, c] * y)
+
+    def solved(log_weight: float) -> tuple[np.ndarray, float]:
+        c = _banded_solve(fit + np.exp(log_weight) * penalty, rhs)
+        return c, float(((y - (c[first[:, None] + np.arange(k + 1)] * values).sum(axis=1)) ** 2).sum())
+
+    scale = np.log(fit[:, 0].max() / max(penalty[:, 0].max(), 1e-300))
+    low, high = scale - 30.0, scale + 30.0
+    best, found = solved(high)
+    if found <= residual:
+        return best
+    best = coefficients(t, k, x, y)
+    for _ in range(40):
+        middle = (low + high) / 2
+        c, found = solved(middle)
+        if found <= residual:
+            best, low = c, middle
+            if found >= 0.999 * residual:
+                break
+        else:
+            high = middle
+    return best
+
+
 def allowed(known: np.ndarray, direction: str, limit: int | None) -> np.ndarray:
     """Positions that ``direction`` and ``limit`` (rows from the nearest known point on that side) let be filled."""
     i, n = np.arange(len(known)), len(known)
@@ -72,7 +155,7 @@ def allowed(known: np.ndarray, direction: str, limit: int | None) -> np.ndarray:
 
 
 def spline_fill(pdf: pd.DataFrame, cols: list[str], order: int = 3, extrapolate: bool = True,
-                direction: str = "forward", limit: int | None = None) -> pd.DataFrame:
+                direction: str = "forward", limit: int | None = None, residual_per_point: float = 0.0) -> pd.DataFrame:
     pdf = pdf.sort_values("bin").reset_index(drop=True)
     t = pd.to_datetime(pdf["bin"])
     x_all = ((t - t.iloc[0]).dt.total_seconds() / 86400.0).to_numpy(dtype=float)
@@ -85,6 +168,6 @@ def spline_fill(pdf: pd.DataFrame, cols: list[str], order: int = 3, extrapolate:
         if not extrapolate:
             target &= (x_all > x[0]) & (x_all < x[-1])
         if target.any():
-            out[target] = spline_values(x, y, x_all[target], order)
+            out[target] = spline_values(x, y, x_all[target], order, residual_per_point * len(x))
     pdf["value"] = out
     return pdf[cols]

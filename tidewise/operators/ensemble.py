@@ -100,3 +100,24 @@ def get_score(detections: DataFrame, method: str, period: int) -> DataFrame:
     return detections.groupBy(SENSOR).agg(
         F.coalesce(F.max(F.when(one, F.col("score"))), F.lit(0.0)).alias("score"),
         F.coalesce(F.max(F.when(one, F.col("significant"))), F.lit(False)).alias("significant"))
+
+
+def _sorted(entries):
+    """Map entries (k, v) by key; the values may hold maps, which have no order."""
+    return F.array_sort(entries, lambda a, b: F.when(a["k"] < b["k"], -1).when(a["k"] > b["k"], 1).otherwise(0))
+
+
+def result_json(detections: DataFrame, periods, methods) -> DataFrame:
+    """DT-16: each sensor's whole result as one JSON text: best period and its score, combined scores, and per method its
+    best period and score and every period's score, significance and error (a missing one is left out)."""
+    per_period = F.struct("score", "significant", "error")
+    by_method = detections.groupBy(SENSOR, "method").agg(
+        F.map_from_entries(_sorted(F.collect_list(F.struct(F.col("period").cast("string").alias("k"), per_period.alias("v"))))).alias("periods"),
+        F.max(F.struct("score", (-F.col("period")).alias("p"))).alias("best"))
+    result = F.struct("method", F.col("best.score").alias("max_score"), (-F.col("best.p")).alias("best_period"), "periods")
+    results = by_method.groupBy(SENSOR).agg(
+        F.map_from_entries(_sorted(F.collect_list(F.struct(F.col("method").alias("k"), result.alias("v"))))).alias("method_results"))
+    w = wide_scores(detections, periods, methods).select(SENSOR, *combined_columns(periods, methods))
+    w = w.select("*", *best_period_columns(periods))
+    combined = F.map_from_arrays(F.array(*[F.lit(str(p)) for p in periods]), F.array(*[f"combined_{p}" for p in periods])).alias("combined_scores")
+    return w.join(results, SENSOR).select(SENSOR, F.to_json(F.struct(SENSOR, "best_period", "max_combined_score", combined, "method_results")).alias("json"))

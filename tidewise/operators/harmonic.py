@@ -121,8 +121,8 @@ def joint_moments(grid: DataFrame, periods=(7, 30, 365), time_unit: str = "day")
 def joint_fit(grid: DataFrame, periods=(7, 30, 365), time_unit: str = "day") -> DataFrame:
     """DT-7: per sensor r2 and delta_r2 of the model with every period, plus coefficients.
 
-    The (2k x 2k) solve is per sensor on one row, in ``mapInPandas`` (lstsq, so collinear
-    designs give the minimum-norm fit like the original).
+    The moments are native partial aggregates; the (2k x 2k) systems of an Arrow batch of sensors are solved at once by
+    their pseudo-inverses, so collinear designs give the minimum-norm fit like the original.
     """
     import numpy as np
     import pandas as pd
@@ -137,33 +137,40 @@ def joint_fit(grid: DataFrame, periods=(7, 30, 365), time_unit: str = "day") ->
 
     def solve(batches):
         for pdf in batches:
-            out = []
-            for row in pdf.itertuples(index=False):
-                r = row._asdict()
-                cxx = np.zeros((k, k))
-                for i in range(k):
-                    for j in range(i, k):
-                        cxx[i, j] = cxx[j, i] = r[f"c{i}_{j}"]
-                cxy = np.array([r[f"cy{i}"] for i in range(k)])
-                b = np.linalg.lstsq(cxx, cxy, rcond=None)[0]
-                vyy = r["vyy"]
-                r2 = float(b @ cxy / vyy) if vyy > 0 else 0.0
-                a0 = r["my"] - float(sum(b[i] * r[f"m{i}"] for i in range(k)))
-                out.append([r["sensor"], int(r["n"]), r2, r2, a0] + [float(v) for v in b])
-            yield pd.DataFrame(out, columns=["sensor", "n", "r2", "delta_r2", "intercept"] + [f"b{i}" for i in range(k)])
+            cxx = np.empty((len(pdf), k, k))
+            for i in range(k):
+                for j in range(i, k):
+                    cxx[:, i, j] = cxx[:, j, i] = pdf[f"c{i}_{j}"]
+            cxy = pdf[[f"cy{i}" for i in range(k)]].to_numpy(dtype=float)
+            b = np.einsum("sij,sj->si", np.linalg.pinv(cxx, rcond=k * np.finfo(float).eps, hermitian=True), cxy)
+            vyy = pdf["vyy"].to_numpy(dtype=float)
+            r2 = np.where(vyy > 0, np.einsum("si,si->s", b, cxy) / np.where(vyy > 0, vyy, 1.0), 0.0)
+            means = pdf[[f"m{i}" for i in range(k)]].to_numpy(dtype=float)
+            out = {"sensor": pdf["sensor"], "n": pdf["n"], "r2": r2, "delta_r2": r2, "intercept": pdf["my"] - np.einsum("si,si->s", b, means)}
+            yield pd.DataFrame(out | {f"b{i}": b[:, i] for i in range(k)})
 
     return mom.mapInPandas(solve, schema=schema)
 
 
 def fit_and_predict(grid: DataFrame, periods=(7, 30, 365), time_unit: str = "day") -> DataFrame:
-    """DT-8: fitted values of the joint model on every non-null grid point."""
-    fit = joint_fit(grid, periods, time_unit)
-    c = clean(grid, time_unit)
-    xs = _design(F.col("t"), periods)
-    pred = F.col("intercept")
-    for i, x in enumerate(xs):
-        pred = pred + F.col(f"b{i}") * x
-    return c.join(fit.drop("n"), SENSOR).select(SENSOR, BIN, F.col("value"), pred.alias("fitted"))
+    """DT-8: fitted values of the joint model on every non-null grid point, in one scan: sensors with equal points share the
+    design, and one least-squares solution (minimum-norm) fits and predicts the whole stack. A sensor that failed has one row with ``error``."""
+    import numpy as np
+    import pyarrow as pa
+
+    from tidewise.operators.stacked import run_stacks
+
+    ps = [float(p) for p in periods]
+
+    def run(names, t, Y, bins):
+        X = np.column_stack([f(TWO_PI * t / p) for p in ps for f in (np.sin, np.cos)])
+        X = X - X.mean(axis=0)
+        my = Y.mean(axis=1, keepdims=True)
+        fitted = (X @ np.linalg.lstsq(X, (Y - my).T, rcond=None)[0]).T + my
+        return {"sensor": np.repeat(np.array(names, dtype=object), Y.shape[1]), "bin": pa.concat_arrays(bins),
+                "value": Y.ravel(), "fitted": fitted.ravel(), "error": [None] * Y.size}
+
+    return run_stacks(grid, run, f"sensor string, bin {dict(grid.dtypes)[BIN]}, value double, fitted double, error string", time_unit)
 
 
 def delta_r2_map(grid: DataFrame, periods=(7, 30, 365), time_unit: str = "day") -> DataFrame:

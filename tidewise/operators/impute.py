@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewise.functions.columns import by_sensor, BIN, SENSOR, days_between
+from tidewise.operators.stacked import run_guarded
 
 _UNB = Window.unboundedPreceding
 _UNF = Window.unboundedFollowing
@@ -131,11 +132,14 @@ def fill_seasonal_mean(grid: DataFrame, period: int = 7) -> DataFrame:
 
 
 def interpolate_spline(grid: DataFrame, order: int = 3, extrapolate: bool = True,
-                       direction: str = "forward", limit: int | None = None) -> DataFrame:
-    """IM-4/IM-5: interpolating spline of any ``order`` >= 1 through the known points, per sensor in a
-    grouped map (the grid is bounded per sensor). ``extrapolate`` extends the end polynomials to outer gaps:
-    trailing ones in direction 'forward', leading ones in 'backward', either in 'both'. ``limit`` fills at
-    most k NULLs counted from each allowed side.
+                       direction: str = "forward", limit: int | None = None, residual_per_point: float = 0.0) -> DataFrame:
+    """IM-4/IM-5: spline of any ``order`` >= 1 through the known points, per sensor in a grouped map (the grid is bounded
+    per sensor). ``extrapolate`` extends the end polynomials to outer gaps: trailing ones in direction 'forward', leading ones in
+    'backward', either in 'both'. ``limit`` fills at most k NULLs counted from each allowed side.
+
+    With ``residual_per_point`` > 0 the smoothest spline whose squared residuals at the known points sum to at most that
+    many times their number takes its place (1.0 is the bound of the original); known points keep their values.
+    A sensor for which this fails keeps its gaps.
     """
     from tidewise.kernels.spline import spline_fill
 
@@ -143,23 +147,22 @@ def interpolate_spline(grid: DataFrame, order: int = 3, extrapolate: bool = True
         raise ValueError(f"Spline order must be at least 1: {order}")
     if direction not in ("forward", "backward", "both"):
         raise ValueError(f"Unknown limit_direction: {direction}")
-    schema = grid.schema
     cols = grid.columns
 
     def fill(pdf):
-        return spline_fill(pdf, cols, order, extrapolate, direction, limit)
+        return spline_fill(pdf, cols, order, extrapolate, direction, limit, residual_per_point)
 
-    return by_sensor(grid).groupBy(SENSOR).applyInPandas(fill, schema=schema)
+    return run_guarded(by_sensor(grid), fill, grid.schema, lambda pdf, message: pdf[cols])
 
 
 def impute_missing(grid: DataFrame, method: str = "linear", limit: int | None = None, **kw) -> DataFrame:
-    """IM-9: dispatcher."""
+    """IM-9: dispatcher; ``limit`` holds for every method that fills from a neighbour."""
     if method == "none":
         return grid
     if method == "linear":
         return interpolate_linear(grid, "both", limit)
     if method == "spline":
-        return interpolate_spline(grid, order=kw.get("order", 3))
+        return interpolate_spline(grid, kw.get("order", 3), True, kw.get("direction", "both"), limit, kw.get("residual_per_point", 0.0))
     if method == "ffill":
         return forward_fill(grid, limit)
     if method == "seasonal":

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidewise.functions.columns import by_sensor, BIN, SENSOR
 from tidewise.functions.quantiles import aggregate_with_quantiles
+from tidewise.operators.stacked import run_guarded
 
 
 def _whole() -> Window:
@@ -53,7 +54,7 @@ def flag_rolling(grid: DataFrame, window: int = 30, threshold: float = 3.0) -> D
 def flag_iforest(grid: DataFrame, contamination: float = 0.05, seed: int = 42, n_trees: int = 100,
                  max_samples: int = 256) -> DataFrame:
     """OU-3: 1-D isolation forest per sensor (grouped map); flags the top ``contamination`` share. Each tree
-    is grown on ``max_samples`` points (the published default), all points are scored."""
+    is grown on ``max_samples`` points (the published default), all points are scored. A sensor for which this fails has no flags."""
     from tidewise.kernels.iforest import iforest_group
 
     from pyspark.sql import types as T
@@ -64,7 +65,7 @@ def flag_iforest(grid: DataFrame, contamination: float = 0.05, seed: int = 42, n
     def run(pdf):
         return iforest_group(pdf, cols, contamination, seed, n_trees, max_samples)
 
-    return by_sensor(grid).groupBy(SENSOR).applyInPandas(run, schema=schema)
+    return run_guarded(by_sensor(grid), run, schema, lambda pdf, message: pdf[cols].assign(is_outlier=False))
 
 
 def detect_outliers(grid: DataFrame, method: str = "iqr", threshold: float | None = None, **kw) -> DataFrame:

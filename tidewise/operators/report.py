@@ -59,23 +59,28 @@ def summary_cards(scores: DataFrame) -> DataFrame:
     return scores.agg(*aggs)
 
 
+#: lags of the detail ACF and PACF, and the periods that the two periodogram slices show: fixed values
+DETAIL_LAGS, DETAIL_PACF_LAGS, MIN_DETAIL_LAGS = 200, 50, 10
+SLICE_PERIODS = (100, 400)
+
+
 def detail_tables(grid: DataFrame, scores: DataFrame, periods=(7, 30, 365), n: int = 5, min_points: int = 100) -> dict:
-    """RP-2: per-sensor detail tables for the top-n sensors by composite (>= min_points points):
-    STL components (period = 2nd requested period if <= n_points // 2, else the 1st), full ACF,
-    joint-model fit, full periodogram and PACF. Sensors are selected with a semi-join on the
-    (n-row) top list, so every table is computed only for them."""
+    """RP-2: per-sensor detail tables for the top-n sensors by composite (>= min_points points): STL components (2nd requested
+    period where there are two of them, else the 1st), ACF to 200 lags and PACF to 50 (sensors with more than 10 lags), joint-model
+    fit, and the periodogram up to a period of 100. Sensors are selected by a semi-join with the n-row top list, which Spark broadcasts
+    only where it measures it as small, and by a window, so each table reads the grid once."""
     from tidewise.operators import acf, harmonic, periodogram, stl
+    from tidewise.operators.ensemble import eligible
 
     top = top_sensors(scores, n=n, min_confidence="None").select(SENSOR)
-    g = grid.join(F.broadcast(top), SENSOR, "left_semi")
-    counts = g.groupBy(SENSOR).agg(F.count("value").alias("n_points")).filter(F.col("n_points") >= min_points)
-    g = g.join(counts.select(SENSOR), SENSOR, "left_semi")
+    g = eligible(grid.join(top, SENSOR, "left_semi"), min_points)[0]
+    lags = eligible(g, 2 * (MIN_DETAIL_LAGS + 2))[0]  # n // 2 - 1 > 10
     p1 = int(periods[0])
     p2 = int(periods[1]) if len(periods) > 1 else p1
     return {
         "components": stl.stl_components(g, p1, long_period=p2),
-        "acf": acf.acf_full(g),
+        "acf": acf.acf_full(lags, DETAIL_LAGS),
         "fit": harmonic.fit_and_predict(g, periods),
-        "periodogram": periodogram.periodogram_full(g, max_period=100),
-        "pacf": acf.pacf(g, 50),
+        "periodogram": periodogram.periodogram_full(g, max_period=SLICE_PERIODS[0]),
+        "pacf": acf.pacf(lags, DETAIL_PACF_LAGS),
     }

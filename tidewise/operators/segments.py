@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tidewise.functions.columns import by_sensor, BIN, SENSOR
 from tidewise.functions.quantiles import aggregate_with_quantiles
 from tidewise.operators.detect_common import clean
+from tidewise.operators.stacked import run_guarded
 
 CP_SCHEMA = "sensor string, cp_bin {bt}"
 
@@ -85,18 +86,15 @@ def changepoints_pelt(grid: DataFrame, model: str = "rbf", min_size: int = 30, p
         name = pdf["sensor"].iloc[0]
         if len(x) < 2 * min_size:
             return pd.DataFrame(columns=["sensor", "cp_bin", "error"])
-        try:
-            if method == "window":
-                bk = window_changepoints(x, model, width, min_size, penalty, jump)
-            else:
-                bk = pelt(x, model, min_size, penalty, jump)
-        except Exception as e:  # noqa: BLE001
-            return pd.DataFrame({"sensor": [name], "cp_bin": [None], "error": [str(e)]})
+        if method == "window":
+            bk = window_changepoints(x, model, width, min_size, penalty, jump)
+        else:
+            bk = pelt(x, model, min_size, penalty, jump)
         idx = [i - 1 for i in bk[:-1] if i < len(x)]
         bins = pdf[BIN].to_numpy()[idx]
         return pd.DataFrame({"sensor": name, "cp_bin": bins, "error": None})
 
-    return c.groupBy(SENSOR).applyInPandas(run, schema=schema)
+    return run_guarded(c, run, schema, lambda pdf, message: pd.DataFrame({"sensor": pdf["sensor"].iloc[:1], "cp_bin": None, "error": message}))
 
 
 def detect_changepoints(grid: DataFrame, method: str = "pelt", model: str = "rbf", min_size: int = 30,

@@ -76,6 +76,18 @@ def guarded(kernel: Kernel, stack: list[Series], fields: list[str]) -> Iterator[
             yield {f: [stack[0].name if f == SENSOR else str(e) or type(e).__name__ if f == "error" else None] for f in fields}
 
 
+def run_guarded(grouped: DataFrame, run: Callable, schema, on_error: Callable) -> DataFrame:
+    """``run(pdf)`` on each sensor's rows in a grouped map; a sensor for which it fails gives ``on_error(pdf, message)``, so one bad
+    sensor never ends a stage."""
+    def guard(pdf):
+        try:
+            return run(pdf)
+        except Exception as e:  # noqa: BLE001
+            return on_error(pdf, str(e) or type(e).__name__)
+
+    return grouped.groupBy(SENSOR).applyInPandas(guard, schema)
+
+
 def run_stacks(grid: DataFrame, kernel: Kernel, schema: str, time_unit: str = "day") -> DataFrame:
     """``kernel`` on the non-null points of the sensors of ``grid`` (sensor, bin, value) -> ``schema``."""
     from pyspark.sql.pandas.types import to_arrow_schema

@@ -1,8 +1,7 @@
 """Text / diagnostics operators (TXT-1..TXT-10), re-aimed at tables of text and log lines.
 
-All are row-level expressions or bounded windows: per document, per log file (bounded by
-rotation: derived logs here are one file per user and day), per bundle. The name dictionary (one
-entry per sensor) is part of the plan as two constants: a pattern and a map.
+All are row-level expressions or bounded windows: per document, per log file, per bundle. Names are replaced by a join with
+the dictionary table (``anonymize``); error messages of logs (TXT-6) are in ``logs``.
 """
 
 from __future__ import annotations
@@ -16,18 +15,15 @@ from pyspark.sql import types as T
 
 from tidewise.functions.columns import distributed_row_number
 
-# fixed values: default path patterns of the original masker (Windows, Unix, home), its token,
-# the log-entry start, name prefix, error/tail limits and the response-parsing defaults
+# fixed values: default path patterns of the original masker (Windows, Unix, home), its token, the name prefix, the
+# tail limit and the response-parsing defaults
 DEFAULT_PATH_PATTERNS = [
     r"[A-Za-z]:\\[^\s\"']+",
     r"/[^\s\"']+(?:/[^\s\"']+)+",
     r"~[^\s\"']+",
 ]
 PATH_MASK = "[PATH_MASKED]"
-DATE_START = r"^\d{4}-\d{2}-\d{2}"
 NAME_PREFIX = "SENSOR_"
-MAX_ERRORS = 10
-MAX_ERROR_CHARS = 500
 TAIL_LINES = 100
 NO_SUMMARY = "No summary provided"
 DEFAULT_CONFIDENCE = "medium"
@@ -69,10 +65,17 @@ def _any_of(names: list[str]) -> str:
     return "|".join(out)
 
 
+def _replaced(text: Column, pattern: Column, alias: Column) -> Column:
+    """Each match of ``pattern`` replaced by its entry in the map ``alias``."""
+    between = F.split(text, pattern, -1)
+    aliases = F.transform(F.regexp_extract_all(text, pattern, F.lit(0)), lambda m: F.element_at(alias, m))
+    return F.concat_ws("", F.flatten(F.zip_with(between, aliases, lambda t, m: F.array(t, F.coalesce(m, F.lit(""))))))
+
+
 def replace_names(text: Column, dictionary: list[tuple[str, str]], parity: bool = False) -> Column:
-    """TXT-3: substring replacement in one pass, at each place the longest name, so neither ``sensor_1``
-    eats the prefix of ``sensor_10`` nor a name rewrites an alias; any number of names. ``parity=True``
-    replaces one name after the other in dictionary order, over the aliases too."""
+    """TXT-3 for a list of pairs that the caller has: substring replacement in one pass, at each place the longest name, so
+    neither ``sensor_1`` eats the prefix of ``sensor_10`` nor a name rewrites an alias. ``parity=True`` replaces one name after
+    the other in dictionary order, over the aliases too. For a table of names see ``anonymize``."""
     pairs = [(n, a) for n, a in dictionary if n]
     if not pairs:
         return text
@@ -81,15 +84,7 @@ def replace_names(text: Column, dictionary: list[tuple[str, str]], parity: bool
         return F.aggregate(steps, text, lambda acc, p: F.replace(acc, p["n"], p["a"]))
     pattern = _any_of(sorted({n for n, _ in pairs}))
     alias = F.from_json(F.lit(json.dumps(dict(pairs))), "map<string,string>")
-    between = F.split(text, pattern, -1)
-    aliases = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: F.element_at(alias, m))
-    replaced = F.concat_ws("", F.flatten(F.zip_with(between, aliases, lambda t, m: F.array(t, F.coalesce(m, F.lit(""))))))
-    return F.when(text.rlike(pattern), replaced).otherwise(text)
-
-
-def collect_dictionary(d: DataFrame) -> list[tuple[str, str]]:
-    """The name dictionary for the expressions above: one short pair per sensor, however many readings there are."""
-    return [(r["name"], r["alias"]) for r in d.select("name", "alias").collect()]
+    return F.when(text.rlike(pattern), _replaced(text, F.lit(pattern), alias)).otherwise(text)
 
 
 def map_strings(c: Column, kind: T.DataType, f: Callable[[Column], Column]) -> Column:
@@ -107,9 +102,62 @@ def map_strings(c: Column, kind: T.DataType, f: Callable[[Column], Column]) -> C
     return c
 
 
-def anonymize_column(df: DataFrame, col: str, dictionary: list[tuple[str, str]]) -> DataFrame:
-    """TXT-4: anonymise every string of a column, nested or not."""
-    return df.withColumn(col, map_strings(F.col(col), df.schema[col].dataType, lambda c: replace_names(c, dictionary)))
+def _strings(c: Column, kind: T.DataType) -> Column:
+    """All strings inside a column, as an array."""
+    none = F.array().cast("array<string>")
+    if isinstance(kind, T.StringType):
+        return F.array(c)
+    if isinstance(kind, T.ArrayType):
+        return F.coalesce(F.flatten(F.transform(c, lambda x: _strings(x, kind.elementType))), none)
+    if isinstance(kind, T.MapType):
+        return F.concat(_strings(F.map_keys(c), T.ArrayType(kind.keyType)), _strings(F.map_values(c), T.ArrayType(kind.valueType)))
+    if isinstance(kind, T.StructType):
+        return F.coalesce(F.concat(none, *[_strings(c[x.name], x.dataType) for x in kind.fields]), none)
+    return none
+
+
+#: characters of a text that are cut into windows at once
+PIECE_CHARS = 50_000
+
+
+def occurring_names(texts: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """(_key, _alias): for the string arrays ``_strings`` of each ``_key`` the dictionary's names that occur anywhere in them, as a map
+    to their aliases. Every window of a text as long as some name is joined with the dictionary table, so the names never pass
+    through the driver or the plan; only the set of their lengths does, as a scalar subquery."""
+    lengths = dictionary.agg(F.sort_array(F.collect_set(F.length("name"))).alias("_lengths")).scalar()
+    longest = F.coalesce(F.array_max("_lengths"), F.lit(0))
+    t = texts.select("_key", F.explode("_strings").alias("s"), lengths.alias("_lengths"))
+    # a long text in pieces that overlap by the longest name
+    starts = F.sequence(F.lit(0), F.floor(F.length("s") / PIECE_CHARS).cast("int"))
+    pieces = t.select("_key", "_lengths", F.explode(F.transform(starts, lambda i: F.substring("s", i * PIECE_CHARS + 1, longest + PIECE_CHARS))).alias("s"))
+    window = lambda n: F.concat(F.lit("(?s)(?=(.{"), n.cast("string"), F.lit("}))"))
+    windows = F.flatten(F.transform("_lengths", lambda n: F.array_distinct(F.regexp_extract_all("s", window(n), F.lit(1)))))
+    hits = pieces.select("_key", F.explode(windows).alias("name")).join(dictionary.select("name", "alias"), "name")
+    return hits.groupBy("_key").agg(F.map_from_entries(F.collect_set(F.struct("name", "alias"))).alias("_alias"))
+
+
+def anonymize(df: DataFrame, columns: list[str], dictionary: DataFrame, mask: bool = False) -> DataFrame:
+    """TXT-3/TXT-4/TXT-5 with a table of names (name, alias): in every string of ``columns``, nested or not, names are replaced in one
+    pass, at each place the longest; with ``mask``, paths are masked after that.
+
+    The names that occur in a row's strings come from a distributed join; the row is then rewritten by an expression that
+    knows only those. Rows are matched by a hash of their strings: equal rows are looked up once, and a clash of two only
+    widens the names tried."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    strings = F.filter(F.concat(*[_strings(F.col(c), kinds[c]) for c in columns]), lambda s: s.isNotNull())
+    keyed = df.withColumn("_key", F.xxhash64(strings))
+    texts = keyed.groupBy("_key").agg(F.first(strings).alias("_strings")).select("_key", F.array_distinct("_strings").alias("_strings"))
+    found = occurring_names(texts, dictionary.filter(F.length("name") > 0))
+    by_length = F.sort_array(F.transform(F.map_keys("_alias"), lambda n: F.struct(F.length(n).alias("l"), n.alias("n"))), asc=False)
+    quoted = F.transform(by_length, lambda x: F.concat(F.lit("\\Q"), F.replace(x["n"], F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E")))
+    pattern = F.array_join(quoted, "|")
+
+    def clean(c: Column) -> Column:
+        c = F.when(c.isNull() | F.col("_alias").isNull(), c).otherwise(_replaced(c, pattern, F.col("_alias")))
+        return mask_paths(c) if mask else c
+
+    joined = keyed.join(found, "_key", "left")
+    return joined.select(*[map_strings(F.col(f"`{c}`"), kinds[c], clean).alias(c) if c in columns else F.col(f"`{c}`") for c in df.columns])
 
 
 def text_lines(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -139,38 +187,20 @@ def text_tail(df: DataFrame, key: str, text: str, max_lines: int = TAIL_LINES) -
 
 
 def event_log_lines(events: DataFrame) -> DataFrame:
-    """Log lines derived from the events table, one log file per user and day:
-    ``<ts> <LEVEL> <event_type>: value=<v> event=<id>`` with ERROR for error events."""
+    """Log lines derived from the events table, one log file per user, numbered by time:
+    ``<ts> <LEVEL> <event_type>: value=<v> event=<id>`` with ERROR for error events. Of the errors, one in four has no colon, one
+    goes on for a second line, and one has a date in the middle of the line."""
     level = F.when(F.col("event_type") == "error", "ERROR").otherwise("INFO")
-    return events.select(
-        F.format_string("user_%d/%s", F.col("user_id"), F.to_date("ts").cast("string")).alias("file"),
-        F.col("ts"),
-        F.col("event_id"),
-        F.format_string("%s %s %s: value=%.2f event=%d", F.col("ts").cast("string"), level, F.col("event_type"),
-                        F.col("value"), F.col("event_id")).alias("line"),
-    )
-
-
-def error_extract(lines: DataFrame, key: str = "file", order: list[str] | None = None, max_errors: int = MAX_ERRORS) -> DataFrame:
-    """TXT-6 (line-session form): a line starting with a date opens an entry, other lines continue it;
-    entries containing ``ERROR`` yield the text after the first ':' following ERROR, trimmed, first
-    500 chars; at most ``max_errors`` per file (the original keeps the first 10)."""
-    order = order or ["line_no"]
-    w = Window.partitionBy(key).orderBy(*order)
-    starts = F.col("line").rlike(DATE_START).cast("int")
-    s = lines.withColumn("_entry", F.sum(starts).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    s = s.withColumn("_pos", F.row_number().over(w))
-    entries = s.groupBy(key, "_entry").agg(
-        F.min("_pos").alias("_first"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_pos", "line"))), lambda x: x["line"]), "\n").alias("text"),
-    )
-    err = entries.filter(F.col("text").contains("ERROR"))
-    msg = F.regexp_extract(F.col("text"), r"(?s)ERROR.*?:(.*)", 1)
-    err = err.withColumn("message", F.substring(F.trim(msg), 1, MAX_ERROR_CHARS))
-    we = Window.partitionBy(key).orderBy("_first")
-    return err.withColumn("n", F.row_number().over(we)).filter(F.col("n") <= max_errors).select(
-        key, F.col("n").cast("long").alias("n"), "message"
-    )
+    head = F.format_string("%s %s %s", F.col("ts").cast("string"), level, F.col("event_type"))
+    body = F.format_string("value=%.2f event=%d", F.col("value"), F.col("event_id"))
+    kind = F.when(F.col("event_type") == "error", F.col("event_id") % 4).otherwise(0)
+    entry = (F.when(kind == 1, F.concat(head, F.lit(" "), body))
+             .when(kind == 2, F.concat(head, F.lit(": "), body, F.lit("\n  caused by event "), F.col("event_id").cast("string")))
+             .when(kind == 3, F.concat(head, F.lit(": "), body, F.lit(" seen "), F.to_date("ts").cast("string"), F.lit(" again: yes")))
+             .otherwise(F.concat(head, F.lit(": "), body)))
+    file = F.format_string("user_%d.log", F.col("user_id"))
+    rows = events.select(file.alias("file"), "ts", "event_id", F.posexplode(F.split(entry, "\n")).alias("_part", "line"))
+    return rows.select("file", F.row_number().over(Window.partitionBy("file").orderBy("ts", "event_id", "_part")).cast("long").alias("line_no"), "line")
 
 
 def step_shares(steps: DataFrame, bundle: str, step: str, duration: str) -> DataFrame:
@@ -235,13 +265,7 @@ def parse_response(text: Column) -> Column:
     )
 
 
-def anonymize_bundles(bundles: DataFrame, dictionary: list[tuple[str, str]], mask: bool = True) -> DataFrame:
+def anonymize_bundles(bundles: DataFrame, dictionary: DataFrame, mask: bool = True) -> DataFrame:
     """TXT-5: names replaced and paths masked in every string of the bundle rows, nested ones included;
     only the bundle's id, time and version stay as they are."""
-    def clean(c):
-        c = replace_names(c, dictionary)
-        return mask_paths(c) if mask else c
-
-    return bundles.select(*[
-        F.col(x.name) if x.name in BUNDLE_KEYS else map_strings(F.col(x.name), x.dataType, clean).alias(x.name)
-        for x in bundles.schema.fields])
+    return anonymize(bundles, [c for c in bundles.columns if c not in BUNDLE_KEYS], dictionary, mask)

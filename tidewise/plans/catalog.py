@@ -17,6 +17,7 @@ from tidewise.functions.columns import r6
 from tidewise.operators import (acf, harmonic, impute, outliers, periodogram, quality, resample, scoring,
                                 segments, stl)
 from tidewise.operators.ensemble import combine, detect_all
+from tidewise.plans import model_oracle as M
 from tidewise.plans import oracle as O
 from tidewise.plans.stl_oracle import stl_ctes
 from tidewise.session import cut_lineage, ship_package
@@ -579,7 +580,8 @@ def _report_table(spark, sf):
    "ROUND(s.composite_score, 6) + 0.0 AS composite_score FROM filled f LEFT JOIN scores s ON s.sensor = f.sensor")
 def _overview_series(spark, sf):
     from tidewise.operators.report import overview_series
-    return overview_series(orders_filled(spark, sf), orders_scores(spark, sf))
+    grid = cut_lineage(orders_filled(spark, sf))  # one scan: the scores read the written grid
+    return overview_series(grid, scoring.scores_table(detect_all(grid, DetectionConfig(), METHODS), DetectionConfig(), methods=METHODS))
 
 
 def _median_scores(spark, sf):
@@ -697,19 +699,40 @@ def _mask_paths(spark, sf):
     return p.select("page_id", mask_paths(F.col("url")).alias("url_masked"), mask_paths(F.col("html")).alias("html_masked"))
 
 
-_LINES_SQL = ("lines AS (SELECT printf('user_%d/%s', user_id, CAST(CAST(ts AS DATE) AS VARCHAR)) AS file, ts, event_id, "
-              "printf('%s %s %s: value=%.2f event=%d', CAST(ts AS VARCHAR), CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'INFO' END, "
-              "event_type, value, event_id) AS line FROM events)")
+_LINES_SQL = ("entries AS (SELECT *, printf('%s %s %s', CAST(ts AS VARCHAR), CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'INFO' END, event_type) AS head, "
+              "printf('value=%.2f event=%d', value, event_id) AS body, CASE WHEN event_type = 'error' THEN event_id % 4 ELSE 0 END AS kind FROM events)",
+              "texts AS (SELECT user_id, ts, event_id, CASE kind WHEN 1 THEN head || ' ' || body WHEN 2 THEN head || ': ' || body || chr(10) || '  caused by event ' || event_id "
+              "WHEN 3 THEN head || ': ' || body || ' seen ' || CAST(CAST(ts AS DATE) AS VARCHAR) || ' again: yes' ELSE head || ': ' || body END AS entry FROM entries)")
 
 
-@q("error_extract", O.with_(_LINES_SQL,
-   "e AS (SELECT file, ts, event_id, line FROM lines WHERE regexp_matches(line, '^[0-9]{4}-[0-9]{2}-[0-9]{2}') AND contains(line, 'ERROR'))")
-   + "SELECT file, n, message FROM (SELECT file, CAST(row_number() OVER (PARTITION BY file ORDER BY ts, event_id) AS BIGINT) AS n, "
-   "substring(trim(regexp_extract(line, '(?s)ERROR.*?:(.*)', 1)), 1, 500) AS message FROM e) WHERE n <= 10")
+def _errors_sql(file: str) -> str:
+    return O.with_(*_LINES_SQL, f"files AS (SELECT {file} AS file, string_agg(entry, chr(10) ORDER BY ts, event_id) AS t FROM texts GROUP BY 1)",
+                   "found AS (SELECT file, regexp_extract_all(t, '(?s)ERROR.*?:(.*?)(?:\\d{4}-\\d{2}-\\d{2}|$)', 1)[:10] AS m FROM files)") + \
+        "SELECT file, n, substring(trim(m[n], ' ' || chr(9) || chr(10) || chr(13)), 1, 500) AS message FROM (SELECT *, unnest(range(1, len(m) + 1)) AS n FROM found)"
+
+
+@q("error_extract", _errors_sql("printf('user_%d.log', user_id)"))
 def _error_extract(spark, sf):
-    from tidewise.operators.textops import error_extract, event_log_lines
+    from tidewise.operators.logs import error_extract
+    from tidewise.operators.textops import event_log_lines
+    from tidewise.sources.tables import table
+    return error_extract(event_log_lines(table(spark, sf, "events")))
+
+
+@q("error_extract_one_file", _errors_sql("'all.log'"))
+def _error_extract_one_file(spark, sf):
+    """TXT-6 on one long log, written and read back in splits; the file's chunks are scanned by many tasks."""
+    import uuid
+
+    from tidewise.operators.logs import error_extract
+    from tidewise.operators.textops import event_log_lines
+    from tidewise.session import run_folder
+    from tidewise.sources.readers import read_log_lines
     from tidewise.sources.tables import table
-    return error_extract(event_log_lines(table(spark, sf, "events")), "file", ["ts", "event_id"], 10)
+    folder = f"{run_folder(spark)}/log-{uuid.uuid4().hex}"
+    events = table(spark, sf, "events").withColumn("user_id", F.lit(0))
+    event_log_lines(events).coalesce(1).sortWithinPartitions("line_no").select("line").write.text(folder)  # one file is the point here
+    return error_extract(read_log_lines(spark, folder), chunk_lines=500).withColumn("file", F.lit("all.log"))
 
 
 @q("log_tail", O.with_("sp AS (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents)",
@@ -763,15 +786,21 @@ def _json_extract(spark, sf):
                     F.size("r.recommendations").cast("long").alias("n_recommendations"), "r.confidence")
 
 
-@q("anonymize_text")
+def _named(c: str) -> str:
+    """``c`` with the names replaced, the longest first (no alias holds a name)."""
+    return f"list_reduce(list_prepend({{'name': '', 'alias': {c}}}, names), lambda a, x: {{'name': '', 'alias': replace(a.alias, x.name, x.alias)}}).alias"
+
+
+@q("anonymize_text", O.with_("d AS (SELECT name, printf('SENSOR_%03d', row_number() OVER (ORDER BY name)) AS alias FROM (SELECT DISTINCT source AS name FROM documents WHERE source IS NOT NULL))",
+   "l AS (SELECT list({'name': name, 'alias': alias} ORDER BY length(name) DESC) AS names FROM d)")
+   + f"SELECT doc_id, {_named("concat_ws(' ', source, lang)")} AS label, {_named('source')} AS m_key, {_named('text')} AS text FROM documents, l")
 def _anonymize_text(spark, sf):
-    from tidewise.operators.textops import anonymize_column, collect_dictionary, name_dictionary
+    """TXT-3/TXT-4: the sources as names, replaced in a plain column, a map's keys and whole texts."""
+    from tidewise.operators.textops import anonymize, name_dictionary
     from tidewise.sources.tables import table
     docs = table(spark, sf, "documents")
-    d = collect_dictionary(name_dictionary(docs, "source"))
-    out = docs.select("doc_id", F.concat_ws(" ", "source", "lang").alias("label"), F.map_from_arrays(F.array("source"), F.array("lang")).alias("m"),
-                      "text")
-    out = anonymize_column(anonymize_column(anonymize_column(out, "label", d), "m", d), "text", d)
+    out = docs.select("doc_id", F.concat_ws(" ", "source", "lang").alias("label"), F.map_from_arrays(F.array("source"), F.array("lang")).alias("m"), "text")
+    out = anonymize(out, ["label", "m", "text"], name_dictionary(docs, "source"))
     return out.select("doc_id", "label", F.map_keys("m")[0].alias("m_key"), "text")
 
 
@@ -813,32 +842,39 @@ def _residual_histogram(spark, sf):
     return residual_histogram(stl.stl_components(orders_eligible(spark, sf), 7)).withColumns({c: F.round(c, 3) + 0.0 for c in ("lo", "hi")})
 
 
-@q("joint_fit")
+_JOINT = [*_DET_BASE, *M.joint_ctes(PERIODS)]
+_FITTED = "intercept + " + " + ".join(f"b{2 * i + j} * {f}({O.TWO_PI} * t / {float(p)!r})" for i, p in enumerate(PERIODS) for j, f in enumerate(("sin", "cos")))
+
+
+@q("joint_fit", O.with_(*_JOINT) + "SELECT sensor, n, ROUND(r2, 6) + 0.0 AS r2, ROUND(r2, 6) + 0.0 AS delta_r2, ROUND(intercept, 6) + 0.0 AS intercept, "
+   + ", ".join(f"ROUND(b{i}, 6) + 0.0 AS b{i}" for i in range(2 * len(PERIODS))) + " FROM joint")
 def _joint_fit(spark, sf):
     return harmonic.joint_fit(orders_eligible(spark, sf), PERIODS)
 
 
-@q("joint_delta_r2")
+@q("joint_delta_r2", O.with_(*_JOINT, *O.harmonic_ctes(PERIODS)) + "SELECT sensor, 'period_' || period AS key, ROUND(r2, 6) + 0.0 AS delta_r2 FROM det_fourier "
+   "UNION ALL SELECT sensor, 'full', ROUND(r2, 6) + 0.0 FROM joint")
 def _joint_delta(spark, sf):
     return harmonic.delta_r2_map(orders_eligible(spark, sf), PERIODS)
 
 
-@q("joint_predict")
+@q("joint_predict", O.with_(*_JOINT) + f"SELECT c.sensor, CAST(c.bin AS VARCHAR) AS bin, ROUND(c.value, 6) + 0.0 AS value, ROUND({_FITTED}, 4) + 0.0 AS fitted, "
+   "CAST(NULL AS VARCHAR) AS error FROM c JOIN joint ON joint.sensor = c.sensor")
 def _joint_predict(spark, sf):
-    return harmonic.fit_and_predict(orders_eligible(spark, sf), PERIODS)
+    return harmonic.fit_and_predict(orders_eligible(spark, sf), PERIODS).withColumn("fitted", F.round("fitted", 4) + 0.0)
 
 
-@q("pacf")
+@q("pacf", O.with_(*_DET_BASE, *M.pacf_ctes(50)) + "SELECT sensor, lag, ROUND(pacf, 6) + 0.0 AS pacf, CAST(NULL AS VARCHAR) AS error FROM pacf")
 def _pacf(spark, sf):
-    return stl.pacf(orders_eligible(spark, sf), 50)
+    return acf.pacf(orders_eligible(spark, sf), 50)
 
 
-@q("cp_pelt")
+@q("cp_pelt", O.with_(*_CPW, *M.pelt_l2_ctes(CP_PEN)) + "SELECT sensor, CAST(cp_bin AS VARCHAR) AS cp_bin, CAST(NULL AS VARCHAR) AS error FROM cps")
 def _cp_pelt(spark, sf):
     return segments.changepoints_pelt(orders_filled(spark, sf), model="l2", min_size=30, penalty=CP_PEN)
 
 
-@q("cp_pelt_rbf")
+@q("cp_pelt_rbf", O.with_(*_CPW, *M.pelt_rbf_ctes(1.0)) + "SELECT sensor, CAST(cp_bin AS VARCHAR) AS cp_bin, CAST(NULL AS VARCHAR) AS error FROM cps")
 def _cp_pelt_rbf(spark, sf):
     return segments.changepoints_pelt(orders_filled(spark, sf), model="rbf", min_size=30, penalty=1.0)
 
@@ -848,12 +884,15 @@ def _outlier_iforest(spark, sf):
     return outliers.flag_iforest(orders_grid(spark, sf), 0.05, 42, 100)
 
 
-@q("interp_spline")
+_SPLINE_SEL = "SELECT sensor, CAST(bin AS VARCHAR) AS bin, ROUND(value, 6) + 0.0 AS value FROM filled"
+
+
+@q("interp_spline", O.with_(*O.grid_ctes("orders"), *M.cubic_spline_ctes()) + _SPLINE_SEL)
 def _interp_spline(spark, sf):
     return impute.interpolate_spline(orders_grid(spark, sf), order=3)
 
 
-@q("interp_polynomial")
+@q("interp_polynomial", O.with_(*O.grid_ctes("orders"), *M.quadratic_spline_ctes()) + _SPLINE_SEL)
 def _interp_polynomial(spark, sf):
     return impute.interpolate_missing(orders_grid(spark, sf), "polynomial", order=2)
 
@@ -907,19 +946,81 @@ def _score_normalize(spark, sf):
         "sensor", "period", scoring.normalize_score(F.col("sin_coef"), -5000.0, 5000.0).alias("normalized"))
 
 
-@q("detail_components")
-def _detail_components(spark, sf):
+def _details(spark, sf, table):
+    """The grid is written once: the scores and the detail tables read that."""
     from tidewise.operators.report import detail_tables
-    return detail_tables(orders_filled(spark, sf), cut_lineage(orders_scores(spark, sf)), PERIODS, n=2)["components"]
+    grid = cut_lineage(orders_filled(spark, sf))
+    scores = cut_lineage(scoring.scores_table(detect_all(grid, DetectionConfig(), METHODS), DetectionConfig(), methods=METHODS))
+    return detail_tables(grid, scores, PERIODS, n=2)[table]
+
 
+_TOP2 = "top2 AS (SELECT sensor FROM scores ORDER BY composite_score DESC, sensor LIMIT 2)"
 
-@q("detail_fit")
+
+@q("detail_components", O.with_(*_SC, _TOP2, "comps AS (SELECT r.sensor, CAST(r.period AS BIGINT) AS period, c.bin, r.y, r.trend, r.seasonal, r.residual FROM stl_rows r "
+   "JOIN c ON c.sensor = r.sensor AND c.pos = r.i WHERE r.period = 30 AND r.sensor IN (SELECT sensor FROM top2))") + _COMPONENTS_SEL)
+def _detail_components(spark, sf):
+    return _rounded_components(_details(spark, sf, "components"))
+
+
+@q("detail_acf", O.with_(*_SC, _TOP2, "cxs AS (SELECT * FROM cx WHERE sensor IN (SELECT sensor FROM top2))",
+   "dls AS (SELECT sensor, max(n) AS n, sum(dx * dx) AS d, unnest(generate_series(0, least(200, max(n) // 2 - 1))) AS lag FROM cxs GROUP BY sensor)",
+   "sms AS (SELECT dls.sensor, dls.lag, sum(a.dx * b.dx) AS s FROM dls JOIN cxs a ON a.sensor = dls.sensor JOIN cxs b ON b.sensor = a.sensor AND b.pos = a.pos + dls.lag GROUP BY 1, 2)")
+   + "SELECT dls.sensor, CAST(dls.lag AS BIGINT) AS lag, ROUND(s / d, 6) + 0.0 AS acf, ROUND(1.96 / sqrt(CAST(n AS DOUBLE)), 6) + 0.0 AS conf_int_upper, "
+   "ROUND(-1.96 / sqrt(CAST(n AS DOUBLE)), 6) + 0.0 AS conf_int_lower, CAST(NULL AS VARCHAR) AS error FROM dls JOIN sms ON sms.sensor = dls.sensor AND sms.lag = dls.lag")
+def _detail_acf(spark, sf):
+    return _details(spark, sf, "acf")
+
+
+@q("detail_pacf", O.with_(*_SC, _TOP2, "ct AS (SELECT * FROM c WHERE sensor IN (SELECT sensor FROM top2))", *M.pacf_ctes(50, "ct"))
+   + "SELECT sensor, lag, ROUND(pacf, 6) + 0.0 AS pacf, CAST(NULL AS VARCHAR) AS error FROM pacf")
+def _detail_pacf(spark, sf):
+    return _details(spark, sf, "pacf")
+
+
+@q("detail_periodogram", O.with_(*_SC, _TOP2, "dst AS (SELECT sensor, max(t) AS span, avg(value) AS mean_y, var_pop(value) AS vyy FROM c WHERE sensor IN (SELECT sensor FROM top2) GROUP BY 1)",
+   "dfr AS (SELECT * FROM (SELECT *, 0.002 + k * (1.0 / (10.0 * span)) AS f FROM (SELECT *, unnest(generate_series(0, CAST(round_even(0.498 / (1.0 / (10.0 * span)), 0) AS BIGINT))) AS k FROM dst)) WHERE 1.0 / f <= 100)",
+   f"""dpw AS (SELECT fr.sensor, fr.k, fr.f, covar_pop(sin({O.TWO_PI} * fr.f * c.t), c.value - fr.mean_y) AS vsy, covar_pop(cos({O.TWO_PI} * fr.f * c.t), c.value - fr.mean_y) AS vcy,
+        var_pop(sin({O.TWO_PI} * fr.f * c.t)) AS vss, var_pop(cos({O.TWO_PI} * fr.f * c.t)) AS vcc, covar_pop(sin({O.TWO_PI} * fr.f * c.t), cos({O.TWO_PI} * fr.f * c.t)) AS vsc, max(fr.vyy) AS vyy
+      FROM dfr fr JOIN c ON c.sensor = fr.sensor GROUP BY 1, 2, 3)""")
+   + f"SELECT sensor, CAST(k AS BIGINT) AS k, ROUND(f, 6) + 0.0 AS frequency, ROUND({O.r2_case()}, 6) + 0.0 AS power, ROUND(1.0 / f, 6) + 0.0 AS period, CAST(NULL AS VARCHAR) AS error FROM dpw")
+def _detail_periodogram(spark, sf):
+    return _details(spark, sf, "periodogram")
+
+
+@q("detail_fit", O.with_(*_SC, _TOP2, *M.joint_ctes(PERIODS)) + f"SELECT c.sensor, CAST(c.bin AS VARCHAR) AS bin, ROUND(c.value, 6) + 0.0 AS value, ROUND({_FITTED}, 4) + 0.0 AS fitted, "
+   "CAST(NULL AS VARCHAR) AS error FROM c JOIN joint ON joint.sensor = c.sensor WHERE c.sensor IN (SELECT sensor FROM top2)")
 def _detail_fit(spark, sf):
-    from tidewise.operators.report import detail_tables
-    return detail_tables(orders_filled(spark, sf), cut_lineage(orders_scores(spark, sf)), PERIODS, n=2)["fit"]
+    return _details(spark, sf, "fit").withColumn("fitted", F.round("fitted", 4) + 0.0)
+
+
+@q("periodogram_slice_400")
+def _periodogram_slice_400(spark, sf):
+    """RP-6: the display slice of the full periodogram (period <= 400)."""
+    return periodogram.periodogram_full(_events_filled(spark, sf), max_period=400)
+
+
+ORACLE["periodogram_slice_400"] = ORACLE["periodogram_full"].replace(" AS error FROM pw", " AS error FROM pw WHERE 1.0 / f <= 400")
+
+
+@q("result_json", O.with_(*O.detections_ctes(METHODS, PERIODS), *O.combine_ctes(METHODS, PERIODS), "mb AS (SELECT sensor, period, score, row_number() OVER (PARTITION BY sensor ORDER BY score DESC, period) AS i FROM det WHERE method = 'stl')")
+   + """SELECT b.sensor, CAST(b.best_period AS BIGINT) AS best_period, ROUND(b.max_combined_score, 6) + 0.0 AS max_combined_score,
+   (SELECT ROUND(combined_score, 6) + 0.0 FROM comb c WHERE c.sensor = b.sensor AND c.period = 30) AS combined_30,
+   (SELECT ROUND(score, 6) + 0.0 FROM det d WHERE d.sensor = b.sensor AND method = 'acf' AND period = 365) AS acf_365,
+   (SELECT significant FROM det d WHERE d.sensor = b.sensor AND method = 'periodogram' AND period = 7) AS periodogram_7_significant,
+   mb.period AS stl_best_period, ROUND(mb.score, 6) + 0.0 AS stl_max_score FROM best b JOIN mb ON mb.sensor = b.sensor AND mb.i = 1""")
+def _result_json(spark, sf):
+    """DT-16: the JSON text of each sensor's result, read back by path."""
+    from tidewise.operators.ensemble import result_json
+    j = result_json(orders_detections(spark, sf), PERIODS, METHODS)
+    at = lambda path, kind: F.get_json_object("json", path).cast(kind)
+    return j.select("sensor", at("$.best_period", "long").alias("best_period"), at("$.max_combined_score", "double").alias("max_combined_score"),
+                    at("$.combined_scores.30", "double").alias("combined_30"), at("$.method_results.acf.periods.365.score", "double").alias("acf_365"),
+                    at("$.method_results.periodogram.periods.7.significant", "boolean").alias("periodogram_7_significant"),
+                    at("$.method_results.stl.best_period", "long").alias("stl_best_period"), at("$.method_results.stl.max_score", "double").alias("stl_max_score"))
 
 
-@q("cp_window_rbf")
+@q("cp_window_rbf", O.with_(*_CPW, *M.window_rbf_ctes(1.0)) + "SELECT sensor, CAST(cp_bin AS VARCHAR) AS cp_bin, CAST(NULL AS VARCHAR) AS error FROM cps")
 def _cp_window_rbf(spark, sf):
     return segments.changepoints_pelt(orders_filled(spark, sf), model="rbf", min_size=30, penalty=1.0, method="window")
 

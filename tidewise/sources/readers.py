@@ -11,11 +11,14 @@ from tidewise.functions.columns import nan_to_null
 
 
 def _header(spark: SparkSession, path: str) -> list[str]:
-    # One-line read of the header only: the schema is then declared, never inferred.
-    first = spark.read.text(path).limit(1).collect()
-    if not first:
+    """Column names from the first line, read by the CSV reader (quoted commas stay); the schema is then declared, never inferred."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p):
+        raise FileNotFoundError(f"Data file not found: {path}")
+    first = spark.read.option("header", False).option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True).csv(path).first()
+    if first is None:
         raise ValueError(f"empty input: {path}")
-    return [c.strip().strip('"') for c in first[0][0].split(",")]
+    return [c or "" for c in first]
 
 
 def detect_sensor_columns(columns: list[str], prefix: str = "sensor_") -> list[str]:
@@ -42,10 +45,6 @@ def read_wide_csv(spark: SparkSession, path: str, cfg: DataConfig = DataConfig()
     STRING for anything else. Timestamp = date || ' ' || time when the time column
     exists (``concat`` keeps a NULL time NULL), else the date alone.
     """
-    import os
-
-    if not os.path.exists(path) and "://" not in path:
-        raise FileNotFoundError(f"Data file not found: {path}")
     cols = _header(spark, path)
     if cfg.date_column not in cols:
         raise ValueError(f"Date column '{cfg.date_column}' not found in data")
@@ -146,12 +145,20 @@ def bundle_steps(bundles: DataFrame) -> DataFrame:
 
 
 def read_log_lines(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-8: log files as ``(file, line_no, line)``; whole files, line numbers per file.
-
-    ``wholetext`` keeps a file in one row so line numbers are exact; ``posexplode``
-    then spreads the lines back out. Log files are bounded by rotation.
-    """
-    files = spark.read.text(path, wholetext=True).withColumn("file", F.input_file_name())
-    return files.select(
-        "file", F.posexplode(F.split(F.col("value"), "\n", -1)).alias("line_no", "line")
-    ).withColumn("line_no", F.col("line_no") + 1)
+    """SRC-8: log files as ``(file, line_no, line)``, line numbers per file from 1, as by splitting the text at line feeds (a file
+    that ends with one has an empty last line; a carriage return before one goes). An empty file has no rows.
+
+    Files are read in splits by many tasks. Spark numbers the lines of a split in order, so a line's number is its place in its
+    split plus the lines of the file's earlier splits: a running sum over one row per split."""
+    at = F.col("_metadata")
+    raw = spark.read.option("lineSep", "\n").text(path).select(
+        at["file_path"].alias("file"), at["file_block_start"].alias("_split"), at["file_size"].alias("_size"),
+        F.monotonically_increasing_id().alias("_id"), "value")
+    splits = raw.groupBy("file", "_split", "_size").agg(
+        F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_lines"), F.sum(F.octet_length("value") + 1).alias("_bytes"))
+    along = Window.partitionBy("file").orderBy("_split").rowsBetween(Window.unboundedPreceding, 0)
+    offsets = splits.withColumn("_before", F.sum("_lines").over(along) - F.col("_lines"))
+    lines = raw.drop("_size").join(offsets.select("file", "_split", "_first", "_before"), ["file", "_split"]).select(
+        "file", (F.col("_before") + F.col("_id") - F.col("_first") + 1).alias("line_no"), F.regexp_replace("value", "\r$", "").alias("line"))
+    last = splits.groupBy("file", "_size").agg(F.sum("_lines").alias("n"), F.sum("_bytes").alias("b")).filter(F.col("b") == F.col("_size"))
+    return lines.unionByName(last.select("file", (F.col("n") + 1).alias("line_no"), F.lit("").alias("line")))

@@ -58,7 +58,7 @@ def save_results(results: dict[str, DataFrame], output_dir: str, run: str | None
     for kind in ("scores", "ranking"):
         if kind in results:
             base = f"{output_dir.rstrip('/')}/{kind}"
-            results[kind].withColumn("run_id", F.lit(run)).write.mode("append").partitionBy("run_id").parquet(base)
+            results[kind].write.mode("overwrite").parquet(f"{base}/run_id={run}")  # a run that is saved again replaces its rows
             save_scores_csv(results[kind], f"{base}_csv/run_id={run}")
             out[kind] = base
     if "summary" in results:
@@ -71,21 +71,21 @@ def save_results(results: dict[str, DataFrame], output_dir: str, run: str | None
 def save_bundles(bundles: DataFrame, path: str, anonymize: bool = True) -> str:
     """SNK-4: diagnostic bundles as JSON; by default the sensor names listed in ``data_summary.sensor_columns``
     are replaced (TXT-1/3) and paths masked (TXT-2) in every string of every field."""
-    from tidewise.operators.textops import anonymize_bundles, collect_dictionary, name_dictionary
+    from tidewise.operators.textops import anonymize_bundles, name_dictionary
 
     b = bundles
     if anonymize:
         listed = F.col("data_summary")["sensor_columns"]
         names = b.select(F.explode(F.from_json(listed, "array<string>")).alias("name"))
-        b = anonymize_bundles(b, collect_dictionary(name_dictionary(names, "name")))
+        b = anonymize_bundles(b, name_dictionary(names, "name"))
     b.write.mode("overwrite").json(path)
     return path
 
 
 def write_wide_csv(long: DataFrame, path: str, sensors: list[str], include_time: bool = True) -> str:
-    """SNK-5: long readings -> wide CSV with ``date[, time], sensor_*`` (pivot with an explicit list)."""
+    """SNK-5: long readings -> wide CSV with ``date[, time], sensor_*`` (pivot with an explicit list), as many part files as tasks."""
     w = long.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("date"), F.date_format("ts", "HH:mm:ss").alias("time")) \
         .pivot("sensor", sensors).agg(F.first("value"))
     cols = ["date"] + (["time"] if include_time else []) + sensors
-    w.select(*cols).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    w.select(*cols).write.mode("overwrite").option("header", True).csv(path)
     return path
