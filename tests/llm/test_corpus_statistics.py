@@ -8,6 +8,7 @@ from fractions import Fraction
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidewise.llm import collocations, exactdedup, skyband
 
@@ -216,3 +217,29 @@ def test_counts_are_by_words_and_hashes_only_choose(spark):
     counts, sizes = collocations.phrase_counts(frame(spark, rows), collocations.Scratch(spark, "test"), threshold=1)
     assert {tuple(r["phrase"].split(" ")): r["f"] for r in counts.collect()} == dict(f["en"])
     assert [tuple(r) for r in sizes.collect()] == [("en", n["en"])]
+
+
+# ---- word hashes ---------------------------------------------------------------------------------------
+
+def test_regular_words_have_hashes_of_their_own(spark):
+    """Thue-Morse words cancel out in any polynomial modulo 2**64; two documents of them share no shingle."""
+    import pyarrow as pa
+
+    from tidewise.llm import ctw, jaccard
+    from tidewise.llm.bytewords import Words
+
+    bits = [0]
+    while len(bits) < 1024:
+        bits += [1 - x for x in bits]
+    one, two = ("".join(c[x] for x in bits) for c in ("ab", "ba"))
+    w = Words(pa.array([f"{one} {two}", f"\n{two}  {one}", "a" * 8, "a" * 9, "", " "]), 0, 6)
+    h = w.hash.tolist()
+    assert h[0] == h[3] and h[1] == h[2] and len(set(h)) == 4
+    rows = frame(spark, [(1, f"{one} {one} {one}", "en", "s"), (2, f"{two} {two} {two}", "en", "s"), (3, f"x {one} y z", "en", "s")])
+    found = {r["doc_id"]: (r["component_id"], r["n_links"]) for r in jaccard.report(rows).collect()}
+    assert found == {1: (1, 0), 2: (2, 0), 3: (3, 0)}
+    kept = sorted(r["doc_id"] for r in jaccard.keep_one(rows.select("doc_id", "text"), 5, 80).collect())
+    assert kept == [1, 2, 3]
+    split = frame(spark, [(1, one, "en", "s"), (2, two, "en", "s")]).withColumn("held", F.col("doc_id") == 2)
+    known = {r["doc_id"]: (r["n_known"], r["n_tokens"]) for r in ctw.score(split).collect()}
+    assert known == {1: (2, 2), 2: (1, 2)}  # the second word is unknown, its end is not

@@ -1,9 +1,9 @@
 """Vectorised words of many texts at once (numpy, inside tasks).
 
 A batch of texts is one byte buffer. Words are runs outside the ASCII white space (0x20, 0x09-0x0D) after
-lower-casing A-Z; each gets a 64-bit polynomial hash, computed from prefix sums modulo 2**64 with
-an odd base (so that the shift by the word's start can be undone) and finished by a bit mixer. Word
-identity is this hash: two given words clash with a chance near 2**-60.
+lower-casing A-Z; each gets a 64-bit hash: its 8-byte pieces go through a bit mixer, each with its place, before they
+are summed, so that no regular pattern of bytes cancels out (as in a polynomial modulo 2**64). Word identity is
+this hash: two given words clash with a chance near 2**-64.
 """
 
 from __future__ import annotations
@@ -14,25 +14,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-_BASE = 0x9E3779B97F4A7C15
-_INV = pow(_BASE, -1, 1 << 64)
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 #: ASCII other than letters and digits
 IS_PUNCTUATION = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
-_POWERS = {_BASE: np.ones(1, dtype=np.uint64), _INV: np.ones(1, dtype=np.uint64)}
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    have = _POWERS[base]
-    if len(have) < n:
-        m = max(n, 1 << 16)
-        steps = np.full(m, base, dtype=np.uint64)
-        steps[0] = 1
-        have = _POWERS[base] = np.multiply.accumulate(steps)
-    return have
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -43,6 +30,22 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def word_hashes(low: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the words low[start:end] (none of them empty)."""
+    if not len(start):
+        return np.zeros(0, dtype=np.uint64)
+    padded = np.concatenate((low, np.zeros(8, dtype=np.uint8)))
+    eight = np.ndarray((len(low),), dtype="<u8", buffer=padded.data, strides=(1,))  # the 8 bytes from every place on
+    pieces = (end - start + 7) // 8
+    first = np.cumsum(pieces) - pieces
+    number = np.arange(int(pieces.sum())) - np.repeat(first, pieces)
+    at = np.repeat(start, pieces) + 8 * number
+    inside = np.minimum(np.repeat(end, pieces) - at, 8).astype(np.uint64)
+    piece = eight[at] & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(64) - np.uint64(8) * inside))
+    summed = np.add.reduceat(mix(piece ^ mix(number.astype(np.uint64))), first)
+    return mix(summed + (end - start).astype(np.uint64))
+
+
 def slices(texts: pa.Array, most: int = 1 << 21) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``most`` bytes of text; a longer text is a range of its own."""
     lengths = np.asarray(pc.fill_null(pc.binary_length(texts), 0), dtype=np.int64)
@@ -84,9 +87,7 @@ class Words:
         self.start = np.flatnonzero(opens)
         self.end = np.flatnonzero(closes) + 1
         self.first = np.searchsorted(self.start, self.doc_at)
-        prefix = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum((self.low.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, n)[:n], out=prefix[1:])
-        self.hash = mix((prefix[self.end] - prefix[self.start]) * _powers(_INV, n)[self.start])
+        self.hash = word_hashes(self.low, self.start, self.end)
 
     def grams(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of all n-word windows that lie in one text, and the number of the first window of
