@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tidewise.functions.columns import lgamma_sql
 from tidewise.llm.bytewords import Words, slices
-from tidewise.session import cut_lineage, ship_package
+from tidewise.session import Scratch, ship_package
 
 DEPTH = 4
 END = 0xFF  # no byte of UTF-8
@@ -83,8 +83,8 @@ def _pack(rows: list[pa.RecordBatch]) -> bytes:
 
 
 def blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(block, payload): the rows of ``docs`` (doc_id, held, text) in compressed blocks of about ``block_bytes`` of text,
-    written once, so that a block stays what it is when a task is run again."""
+    """(block, payload): the rows of ``docs`` (doc_id, held, text) in compressed blocks of about ``block_bytes`` of text.
+    Write it before use, so that a block stays what it is when a task is run again."""
     def run(batches):
         from pyspark import TaskContext
 
@@ -101,7 +101,7 @@ def blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
         if held:
             yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([_pack(held)], pa.binary())], names=["block", "payload"])
 
-    return cut_lineage(docs.mapInArrow(run, "block long, payload binary"), "lm-blocks")
+    return docs.mapInArrow(run, "block long, payload binary")
 
 
 def _texts(payload: bytes):
@@ -150,8 +150,9 @@ def _byte(key: str, j: int) -> str:
     return f"(shiftright({key}, {8 * j}) & 255)"
 
 
-def window_costs(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(key, cost): log10 probability of a window's byte after its context, from (key, n)."""
+def window_costs(counts: DataFrame, scratch: Scratch, depth: int = DEPTH) -> DataFrame:
+    """(key, cost): log10 probability of a window's byte after its context, from (key, n). The levels of the trees are the tables
+    ``node0`` .. of ``scratch``."""
     # the eight decisions of a byte: node = leading one and the bits so far, bit = the next one
     # a context of d bytes is kept in the low d bytes, the latest byte lowest
     decisions = counts.select(
@@ -163,7 +164,7 @@ def window_costs(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
         F.sum(F.expr("if(bit = 0, n, 0D)")).alias("a"), F.sum(F.expr("if(bit = 1, n, 0D)")).alias("b"))
     half = float(np.log(0.5))
     nodes: dict[int, DataFrame] = {}
-    nodes[depth] = cut_lineage(level.select("ctx", "node", "a", "b", F.expr(_kt("a", "b")).alias("pw"), F.lit(1.0).alias("own")), "ctw")
+    nodes[depth] = scratch.keep(level.select("ctx", "node", "a", "b", F.expr(_kt("a", "b")).alias("pw"), F.lit(1.0).alias("own")), f"node{depth}")
     for d in range(depth - 1, -1, -1):
         shallower = F.expr(f"ctx & {(1 << (8 * d)) - 1}L")
         up = (nodes[d + 1].groupBy(shallower.alias("ctx"), "node")
@@ -171,7 +172,7 @@ def window_costs(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
               .withColumn("kt", F.expr(_kt("a", "b"))))
         most = F.greatest("kt", "below")
         pw = F.lit(half) + most + F.log1p(F.exp(F.least("kt", "below") - most))
-        nodes[d] = cut_lineage(up.withColumn("pw", pw).select("ctx", "node", "a", "b", "pw", F.exp(F.lit(half) + F.col("kt") - F.col("pw")).alias("own")), "ctw")
+        nodes[d] = scratch.keep(up.withColumn("pw", pw).select("ctx", "node", "a", "b", "pw", F.exp(F.lit(half) + F.col("kt") - F.col("pw")).alias("own")), f"node{d}")
     one = F.expr("(b + 0.5D) / (a + b + 1D)")
     path = nodes[0].select("ctx", "node", (F.col("own") * one).alias("p"), (1 - F.col("own")).alias("rest"))
     for d in range(1, depth + 1):
@@ -188,14 +189,17 @@ def score(docs: DataFrame, depth: int = DEPTH, block_bytes: int = BLOCK_BYTES) -
     """One row per row of (doc_id, held, text): token counts, base score and the model's log10 probability."""
     spark = docs.sparkSession
     ship_package(spark)
-    payloads = blocks(docs.select(F.col("doc_id").cast("long"), F.col("held").cast("boolean"), "text"), block_bytes)
-    asked = cut_lineage(ask(payloads, depth), "lm-asked")
-    totals = cut_lineage(asked.groupBy("kind", "key").agg(F.sum("n").alias("n")), "lm-counts")
+    scratch = Scratch(spark, "lm")
+    payloads = scratch.keep(blocks(docs.select(F.col("doc_id").cast("long"), F.col("held").cast("boolean"), "text"), block_bytes), "blocks")
+    asked = scratch.keep(ask(payloads, depth), "asked")
+    totals = scratch.keep(asked.groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
     n_docs = docs.filter(~F.col("held")).count()  # training end tokens
     row = totals.filter(f"kind = {WORD}").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(F.col("n") > 0).alias("v")).collect()[0]
     all_tokens, distinct = row["n"] + n_docs, row["v"] + (n_docs > 0)
     values = totals.filter(f"kind = {WORD}").select("kind", "key", F.col("n").cast("double").alias("value")).unionAll(
-        window_costs(totals.filter(f"kind = {WINDOW}").select("key", "n"), depth).select(F.lit(WINDOW).alias("kind"), "key", F.col("cost").alias("value")))
+        window_costs(totals.filter(f"kind = {WINDOW}").select("key", "n"), scratch, depth).select(F.lit(WINDOW).alias("kind"), "key", F.col("cost").alias("value")))
+    values = scratch.keep(values, "values")
+    scratch.drop("counts", *[f"node{d}" for d in range(depth + 1)])
     answers = asked.select("block", "kind", "key").join(values, ["kind", "key"]).select("block", "kind", "key", "value")
     unit = float(np.log10(all_tokens + distinct + 1)) if all_tokens + distinct else 0.0
     end_count = float(n_docs)
