@@ -243,3 +243,51 @@ def test_regular_words_have_hashes_of_their_own(spark):
     split = frame(spark, [(1, one, "en", "s"), (2, two, "en", "s")]).withColumn("held", F.col("doc_id") == 2)
     known = {r["doc_id"]: (r["n_known"], r["n_tokens"]) for r in ctw.score(split).collect()}
     assert known == {1: (2, 2), 2: (1, 2)}  # the second word is unknown, its end is not
+
+
+# ---- large maps of the Jaccard join --------------------------------------------------------------------
+
+def test_large_maps_lose_no_link_and_part_strangers():
+    from tidewise.llm import jaccard
+
+    rnd = np.random.default_rng(7)
+    sets = []
+    for size in (1500, 1600, 2047, 2048, 2049, 4000, 9000):
+        base = np.unique(rnd.integers(0, 1 << 63, size, dtype=np.uint64))
+        sets += [base] + [np.unique(np.concatenate((base[int(len(base) * cut):], rnd.integers(0, 1 << 63, int(len(base) * cut), dtype=np.uint64)))) for cut in (0.02, 0.1, 0.2)]
+        sets.append(base[: int(len(base) * 0.85)])
+    sets.append(np.unique(rnd.integers(0, 1 << 63, 300, dtype=np.uint64)))
+    a, b = np.triu_indices(len(sets), 1)
+    size, large = np.array([len(u) for u in sets]), [jaccard._large_map(u) for u in sets]
+    assert large[-1] is None and len(large[0]) == 4096 // 8
+    for percent in (80, 90):
+        linked = jaccard._linked(sets, a, b, percent)
+        possible = jaccard._possible_large(large, size, a, b, percent)
+        assert possible[linked].all() and linked.sum() > 10
+        mapped = np.array([m is not None for m in large])
+        strangers = (a // 5 != b // 5) & mapped[a] & mapped[b]
+        assert not possible[strangers].any()
+
+
+def test_long_near_copies_link(spark):
+    from tidewise.llm import jaccard
+
+    rnd = random.Random(8)
+    pool = ["w%d" % i for i in range(3000)]
+    long = [[rnd.choice(pool) for _ in range(n)] for n in (2500, 6000, 2500)]
+    texts = []
+    for words in long:
+        other = list(words)
+        other[100] = "changed"
+        texts += [" ".join(words), " ".join(other), " ".join(words[: len(words) * 97 // 100])]
+    rows = [(i, t, "en", "s") for i, t in enumerate(texts + texts[:2] + [None, ""])]
+
+    def shingles(t):
+        w = (t or "").encode().lower().split()
+        return {tuple(w[i:i + 3]) for i in range(max(len(w) - 2, 1))} if w else set()
+
+    sets = {i: shingles(t) for i, t, *_ in rows}
+    links = {i: [j for j in sets if j != i and sets[i] and 100 * len(sets[i] & sets[j]) >= 90 * len(sets[i] | sets[j])] for i in sets}
+    found = {r["doc_id"]: r for r in jaccard.report(frame(spark, rows)).collect()}
+    assert {i: r["n_links"] for i, r in found.items()} == {i: len(x) for i, x in links.items()}
+    assert {i: r["component_id"] for i, r in found.items() if links[i]} == {i: min(x + [i]) for i, x in links.items() if x}

@@ -13,9 +13,11 @@ result. Classes that share such a key meet in a bucket, and there a signature tr
 
 What the trees leave are candidate pairs; a large bucket sends on a spanning forest of them. The components of the
 candidates are clusters: every link lies inside one, and a class that lies in many common buckets is sent to its cluster
-once. There the whole texts meet, signature trees name the pairs again, and every pair is verified, block pair by
-block pair. What leaves a task is the number of links of each class and a spanning forest of them, so a group of n near
-copies sends 2 n rows, not n * n; the forest gives the components. Both are exact.
+once. A long document's map says little, so clusters are pruned once more, by maps that grow with the set (two bits per
+shingle; the larger of two is folded to the smaller), and their components are the clusters whose whole texts are
+fetched. There signature trees name the pairs again, and every pair is verified, block pair by block pair. What leaves
+a task is the number of links of each class and a spanning forest of them, so a group of n near copies sends 2 n
+rows, not n * n; the forest gives the components. Both are exact.
 
 Scale: a bucket over BLOCK members and a cluster over BLOCK_SHINGLES shingles are split into blocks by size, and
 only block pairs whose size ranges fit meet in a task. Candidates, links and labels stay distributed.
@@ -38,7 +40,7 @@ from pyspark.sql import types as T
 
 from tidewise.llm.bytewords import Words, slices
 from tidewise.llm.components import components
-from tidewise.session import cut_lineage, ship_package
+from tidewise.session import Scratch, ship_package
 
 BITS = 2048
 SAMPLED = 1420  # shingles of a long document in its map: they set half the bits
@@ -84,13 +86,28 @@ def _signature(u: np.ndarray) -> np.ndarray:
     return np.packbits(bits)
 
 
+def _level(size: np.ndarray) -> np.ndarray:
+    """Binary logarithm of the bits of the large map: at least two per shingle; 0 for sets whose small map holds all."""
+    return np.where(size > SAMPLED, np.ceil(np.log2(np.maximum(2 * size, 2))), 0).astype(np.int64)
+
+
+def _large_map(u: np.ndarray) -> bytes | None:
+    """Map of all shingles of a long document by their low bits, so that dropping the highest of these folds it."""
+    level = int(_level(np.array([len(u)]))[0])
+    if not level:
+        return None
+    bits = np.zeros(1 << level, dtype=bool)
+    bits[(u & np.uint64((1 << level) - 1)).astype(np.int64)] = True
+    return np.packbits(bits).tobytes()
+
+
 def _set_id(u: np.ndarray) -> bytes:
     return hashlib.blake2b(u.tobytes(), digest_size=16).digest()
 
 
 def shingle_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(doc_id, n_shingles, set_id, short, sig, prefix) of every row; the last four are null for an empty set. ``short``
-    is the first half of set_id: enough to meet by, since a clash only adds a candidate."""
+    """(doc_id, n_shingles, set_id, short, sig, large, prefix) of every row; the last five are null for an empty set, and
+    ``large`` is for all but long ones. ``short`` is the first half of set_id: enough to meet by, since a clash only adds a candidate."""
     spark = docs.sparkSession
     heavy = _common(docs, n)
     order = np.argsort(heavy)
@@ -101,12 +118,12 @@ def shingle_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
         for b in batches:
             for lo, hi in slices(b.column(1)):
                 keys, first = Words(b.column(1), lo, hi).grams(n)
-                size, ids, shorts, sigs, prefixes = [], [], [], [], []
+                size, ids, shorts, sigs, larges, prefixes = [], [], [], [], [], []
                 for d in range(hi - lo):
                     u = np.unique(keys[first[d]:first[d + 1]])
                     size.append(len(u))
                     if not len(u):
-                        ids.append(None), shorts.append(None), sigs.append(None), prefixes.append(None)
+                        ids.append(None), shorts.append(None), sigs.append(None), larges.append(None), prefixes.append(None)
                         continue
                     take = len(u) - _least_common(len(u), percent) + 1
                     if len(common):
@@ -118,13 +135,14 @@ def shingle_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
                     ids.append(_set_id(u))
                     shorts.append(int.from_bytes(ids[-1][:8], "little", signed=True))
                     sigs.append(_signature(u).tobytes())
+                    larges.append(_large_map(u))
                     prefixes.append(ordered.view(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(lo, hi - lo), pa.array(size, pa.int64()), pa.array(ids, pa.binary()), pa.array(shorts, pa.int64()),
-                     pa.array(sigs, pa.binary()), pa.array(prefixes, pa.list_(pa.int64()))],
-                    names=["doc_id", "n_shingles", "set_id", "short", "sig", "prefix"])
+                     pa.array(sigs, pa.binary()), pa.array(larges, pa.binary()), pa.array(prefixes, pa.list_(pa.int64()))],
+                    names=["doc_id", "n_shingles", "set_id", "short", "sig", "large", "prefix"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, set_id binary, short long, sig binary, prefix array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, set_id binary, short long, sig binary, large binary, prefix array<long>")
 
 
 def _could(x, y, a, b, common, percent):
@@ -266,6 +284,57 @@ def _prune(rows: DataFrame, percent: int) -> DataFrame:
     return rows.select("key", "i", "j", "blk", "n_shingles", "sig", "set_id").mapInArrow(run, "a binary, b binary")
 
 
+def _possible_large(large: list[bytes | None], size: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """Which of the pairs (a, b) their large maps leave: the overlap is at most the common bits and what collides in either
+    map. Pairs with a short document stay as they are."""
+    level = _level(size)
+    out = np.ones(len(a), dtype=bool)
+    low = np.minimum(level[a], level[b])
+    for to in np.unique(low[low > 0]):
+        pairs = np.flatnonzero(low == to)
+        members, at = np.unique(np.concatenate((a[pairs], b[pairs])), return_inverse=True)
+        maps = np.empty((len(members), 1 << (to - 3)), dtype=np.uint8)
+        for k, m in enumerate(members):
+            bits = np.frombuffer(large[m], dtype=np.uint8)
+            maps[k] = np.bitwise_or.reduce(bits.reshape(-1, 1 << (to - 3)), axis=0)
+        maps = maps.view(np.uint64)
+        rest = size[members] - np.bitwise_count(maps).sum(axis=1).astype(np.int64)
+        x, y = at[:len(pairs)], at[len(pairs):]
+        step = max(1, (1 << 22) // maps.shape[1])
+        for lo in range(0, len(pairs), step):
+            i, j = x[lo:lo + step], y[lo:lo + step]
+            common = np.bitwise_count(maps[i] & maps[j]).sum(axis=1).astype(np.int64) + np.minimum(rest[i], rest[j])
+            out[pairs[lo:lo + step]] = (100 + percent) * common >= percent * (size[members[i]] + size[members[j]])
+    return out
+
+
+def _named(size: np.ndarray, sig: np.ndarray, blk: np.ndarray, i: int, j: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of the members of one block pair that the signature trees leave."""
+    order = np.argsort(size, kind="stable")
+    one, two = order[blk[order] == i], order[blk[order] == j]
+    if not len(one) or not len(two):
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    a, b = traverse(Tree(size[one], sig[one]), None if i == j else Tree(size[two], sig[two]), percent)
+    return one[a], two[b]
+
+
+def _refine(rows: DataFrame, percent: int) -> DataFrame:
+    """Clusters (key, i, j; sorted) pruned by the large maps: a spanning forest (a, b) of the pairs that stay."""
+    def run(batches):
+        for t, cuts in _runs(batches, 3):
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                part = t.slice(lo, hi - lo)
+                size, ids = np.asarray(part.column("n_shingles")), part.column("set_id").to_pylist()
+                sig = np.ascontiguousarray(_fixed(part.column("sig"), BITS // 8)).view(np.uint64)
+                a, b = _named(size, sig, np.asarray(part.column("blk")), part.column("i")[0].as_py(), part.column("j")[0].as_py(), percent)
+                good = _possible_large(part.column("large").to_pylist(), size, a, b, percent)
+                label = _forest(a[good], b[good], len(ids))
+                inner = np.flatnonzero(label != np.arange(len(ids)))
+                yield pa.RecordBatch.from_arrays([pa.array([ids[k] for k in x], pa.binary()) for x in (inner, label[inner])], names=["a", "b"])
+
+    return rows.select("key", "i", "j", "blk", "n_shingles", "sig", "large", "set_id").mapInArrow(run, "a binary, b binary")
+
+
 def _block_pairs(member: DataFrame, percent: int) -> DataFrame:
     """``member`` (key, blk, n_shingles, ...) with i and j: a row for every pair of blocks of its key that it takes part
     in and whose size ranges fit; nearly every key has the one pair (0, 0)."""
@@ -312,41 +381,40 @@ def _linked(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray, percent: int)
 
 
 def _texts(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(set_id, text) of the wanted (set_id, doc_id): the text is fetched by id and accepted by its set."""
+    """The rows of ``wanted`` (doc_id, set_id, key, i, j, blk, copies) with their texts: a text is fetched by id and accepted by its
+    set, so an id with several texts gives the right one (an equal row more than once)."""
+    columns = ["key", "i", "j", "blk", "set_id", "copies", "text"]
+
     def run(batches):
         for b in batches:
-            for lo, hi in slices(b.column(1)):
+            for lo, hi in slices(b.column(6)):
                 part = b.slice(lo, hi - lo)
-                own = [_set_id(u) for u in _sets(part.column(1), n)]
-                ok = pa.array([x == y for x, y in zip(own, part.column(0).to_pylist())], pa.bool_())
+                own = [_set_id(u) for u in _sets(part.column(6), n)]
+                ok = pa.array([x == y for x, y in zip(own, part.column(4).to_pylist())], pa.bool_())
                 yield part.filter(ok)
 
-    got = (docs.select(F.col("doc_id").alias("_id"), "text").join(wanted, F.col("_id").eqNullSafe(F.col("doc_id")))
-           .select("set_id", "text").mapInArrow(run, "set_id binary, text string"))
-    return got.dropDuplicates(["set_id"])
+    got = docs.select(F.col("doc_id").alias("_id"), "text").join(wanted, F.col("_id").eqNullSafe(F.col("doc_id"))).select(*columns)
+    return got.mapInArrow(run, got.schema)
 
 
-def _verify(members: DataFrame, texts: DataFrame, n: int, percent: int, tasks: int) -> DataFrame:
+def _verify(rows: DataFrame, n: int, percent: int, tasks: int) -> DataFrame:
     """Every candidate pair of every cluster (block pair) is verified. Rows (a, b, null) are spanning links, rows
     (a, null, n) say that class a is linked to n documents of other classes there."""
     def run(batches):
         for t, cuts in _runs(batches, 3):
             for lo, hi in zip(cuts[:-1], cuts[1:]):
                 part = t.slice(lo, hi - lo)
+                ids = part.column("set_id").to_pylist()
+                once = [k for k in range(len(ids)) if k == 0 or ids[k] != ids[k - 1]]  # sorted: equal rows follow one another
+                if len(once) < len(ids):
+                    part = part.take(pa.array(once))
+                    ids = part.column("set_id").to_pylist()
                 sets = _sets(part.column("text").combine_chunks(), n)
                 size = np.array([len(u) for u in sets])
                 sig = np.stack([_signature(u) for u in sets]).view(np.uint64)
-                blk, order = np.asarray(part.column("blk")), np.argsort(size, kind="stable")
-                i, j = part.column("i")[0].as_py(), part.column("j")[0].as_py()
-                if i == j:
-                    one = two = order
-                    a, b = traverse(Tree(size[one], sig[one]), None, percent)
-                else:
-                    one, two = order[blk[order] == i], order[blk[order] == j]
-                    if not len(one) or not len(two):
-                        continue
-                    a, b = traverse(Tree(size[one], sig[one]), Tree(size[two], sig[two]), percent)
-                a, b = one[a], two[b]
+                a, b = _named(size, sig, np.asarray(part.column("blk")), part.column("i")[0].as_py(), part.column("j")[0].as_py(), percent)
+                near = _possible_large([_large_map(u) for u in sets], size, a, b, percent)
+                a, b = a[near], b[near]
                 good = _linked(sets, a, b, percent)
                 a, b = a[good], b[good]
                 copies = np.asarray(part.column("copies"))
@@ -355,42 +423,52 @@ def _verify(members: DataFrame, texts: DataFrame, n: int, percent: int, tasks: i
                 np.add.at(count, b, copies[a])
                 label = _forest(a, b, len(sets))
                 inner, some = np.flatnonzero(label != np.arange(len(sets))), np.flatnonzero(count)
-                ids = part.column("set_id").to_pylist()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([ids[x] for x in inner] + [ids[x] for x in some], pa.binary()),
                      pa.array([ids[x] for x in label[inner]] + [None] * len(some), pa.binary()),
                      pa.array([None] * len(inner) + count[some].tolist(), pa.int64())], names=["a", "b", "n"])
 
-    rows = (members.join(texts, "set_id").select("key", "i", "j", "blk", "set_id", "copies", "text")
-            .repartition(tasks, "key", "i", "j").sortWithinPartitions("key", "i", "j", "set_id"))
+    rows = rows.repartition(tasks, "key", "i", "j").sortWithinPartitions("key", "i", "j", "set_id")
     return rows.mapInArrow(run, "a binary, b binary, n long")
 
 
-def links(docs: DataFrame, sets: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+def _clusters(classes: DataFrame, cluster: DataFrame, percent: int, carried: list[str]) -> DataFrame:
+    """The classes of each cluster (v, c) in blocks by size, a row for each pair of blocks that a class takes part in."""
+    inside = Window.partitionBy("key").orderBy("n_shingles", "set_id")
+    before = F.coalesce(F.sum("n_shingles").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    member = classes.join(cluster, classes["set_id"] == cluster["v"]).select(F.col("c").alias("key"), "set_id", "n_shingles", *carried)
+    return _block_pairs(member.withColumn("blk", F.floor(before / BLOCK_SHINGLES).cast("int")), percent)
+
+
+def links(docs: DataFrame, sets: DataFrame, n: int, percent: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """Links (a, b) between classes of ``sets`` that connect all that the threshold connects, and (a, n): the number of
-    documents of other classes that class a is linked to, of all pairs that reach the threshold."""
+    documents of other classes that class a is linked to, of all pairs that reach the threshold. Of its tables in ``scratch`` only
+    the links stay."""
     spark = docs.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     full = sets.filter(F.col("set_id").isNotNull())
-    classes = cut_lineage(full.groupBy("set_id").agg(
+    classes = scratch.keep(full.groupBy("set_id").agg(
         F.min("doc_id").alias("doc_id"), F.first("short").alias("short"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"),
-        F.count(F.lit(1)).alias("copies")), "jaccard-classes")
+        F.first("large").alias("large"), F.count(F.lit(1)).alias("copies")), "classes")
     keys = full.select("set_id", "short", "n_shingles", "prefix").dropDuplicates(["set_id"]).select(F.explode("prefix").alias("key"), "short", "n_shingles")
     # the size range is tested first: a member stays if the next smaller or larger one of its bucket fits
     place = Window.partitionBy("key").orderBy("n_shingles", "short")
     met = keys.withColumn("less", F.lag("n_shingles").over(place)).withColumn("more", F.lead("n_shingles").over(place))
     met = met.filter((100 * F.col("less") >= percent * F.col("n_shingles")) | (100 * F.col("n_shingles") >= percent * F.col("more")))
-    member = cut_lineage(met.select("key", "short", "n_shingles", F.floor((F.row_number().over(place) - 1) / BLOCK).cast("int").alias("blk")), "jaccard-buckets")
+    member = scratch.keep(met.select("key", "short", "n_shingles", F.floor((F.row_number().over(place) - 1) / BLOCK).cast("int").alias("blk")), "buckets")
+    scratch.drop("sets")
     spread = _block_pairs(member, percent).select("key", "i", "j", "blk", "short")
     rows = (spread.join(classes.select("short", "set_id", "n_shingles", "sig"), "short")
             .repartition(tasks, "key", "i", "j").sortWithinPartitions("key", "i", "j"))
     cluster = components(_prune(rows, percent))
-    inside = Window.partitionBy("key").orderBy("n_shingles", "set_id")
-    before = F.coalesce(F.sum("n_shingles").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    member = classes.join(cluster, classes["set_id"] == cluster["v"]).select(F.col("c").alias("key"), "set_id", "doc_id", "n_shingles", "copies")
-    member = cut_lineage(member.withColumn("blk", F.floor(before / BLOCK_SHINGLES).cast("int")), "jaccard-clusters")
-    texts = _texts(docs, member.select("set_id", "doc_id"), n)
-    found = cut_lineage(_verify(_block_pairs(member, percent).select("key", "i", "j", "blk", "set_id", "copies"), texts, n, percent, tasks), "jaccard-links")
+    scratch.drop("buckets")
+    rows = (_clusters(classes, cluster, percent, ["sig", "large"]).select("key", "i", "j", "blk", "n_shingles", "sig", "large", "set_id")
+            .repartition(tasks, "key", "i", "j").sortWithinPartitions("key", "i", "j"))
+    cluster = components(_refine(rows, percent))
+    wanted = scratch.keep(_clusters(classes, cluster, percent, ["doc_id", "copies"]).select("doc_id", "set_id", "key", "i", "j", "blk", "copies"), "wanted")
+    scratch.drop("classes")
+    found = scratch.keep(_verify(_texts(docs, wanted, n), n, percent, tasks), "links")
+    scratch.drop("wanted")
     return found.filter("n IS NULL").select("a", "b"), found.filter("n IS NOT NULL").groupBy("a").agg(F.sum("n").alias("n"))
 
 
@@ -399,9 +477,11 @@ def groups(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     n_links the number of other rows at the threshold or above, equal sets among them."""
     ship_package(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    sets = cut_lineage(shingle_sets(docs, n, percent), "jaccard-sets")
-    spanning, linked = links(docs, sets, n, percent)
-    label = components(spanning)
+    scratch = Scratch(docs.sparkSession, "jaccard")
+    sets = scratch.keep(shingle_sets(docs, n, percent), "sets")
+    own = scratch.keep(sets.select("doc_id", "n_shingles", "set_id"), "own")  # what is left of the sets after the join
+    spanning, linked = links(docs, sets, n, percent, scratch)
+    sets, label = own, components(spanning)
     smallest = sets.filter(F.col("set_id").isNotNull()).groupBy("set_id").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"))
     smallest = smallest.join(label, smallest["set_id"] == label["v"], "left").select("set_id", "least", "copies", F.coalesce("c", "set_id").alias("c"))
     component = smallest.groupBy("c").agg(F.min("least").alias("component_id"))
@@ -432,14 +512,17 @@ def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     several sets are looked up by their own set."""
     ship_package(docs.sparkSession)
     short = docs.select(F.col("doc_id").cast("long"), "text")
-    sets = cut_lineage(shingle_sets(short, n, percent), "jaccard-sets")
-    label = components(links(short, sets, n, percent)[0])
+    scratch = Scratch(docs.sparkSession, "jaccard")
+    sets = scratch.keep(shingle_sets(short, n, percent), "sets")
+    own = scratch.keep(sets.select("doc_id", "n_shingles", "set_id"), "own")
+    label = components(links(short, sets, n, percent, scratch)[0])
+    sets = own
     full = sets.filter(F.col("set_id").isNotNull()).groupBy("set_id").agg(F.min("doc_id").alias("_id"))
     full = full.join(label, full["set_id"] == label["v"], "left").select(F.coalesce("c", "set_id").alias("c"), F.struct(F.col("_id").isNull(), "_id", "set_id").alias("s"))
     kept = full.groupBy("c").agg(F.min("s").alias("s")).select(F.col("s")["_id"].alias("_id"), F.col("s")["set_id"].alias("_own"))
     kept = kept.unionByName(sets.filter(F.col("set_id").isNull()).select(F.col("doc_id").alias("_id"), F.col("set_id").alias("_own")).distinct())
     ids = sets.groupBy("doc_id").agg(F.min("set_id").alias("a"), F.max("set_id").alias("b"), F.count("set_id").alias("k"), F.count(F.lit(1)).alias("m"))
-    several = cut_lineage(ids.filter((F.col("a") != F.col("b")) | ((F.col("k") > 0) & (F.col("k") < F.col("m")))).select(F.col("doc_id").alias("_many")), "jaccard-several")
+    several = scratch.keep(ids.filter((F.col("a") != F.col("b")) | ((F.col("k") > 0) & (F.col("k") < F.col("m")))).select(F.col("doc_id").alias("_many")), "several")
     same = F.col("doc_id").eqNullSafe(F.col("_id"))
     plain = docs.join(kept.join(several, F.col("_id").eqNullSafe(F.col("_many")), "left_anti"), same).drop("_id").withColumnRenamed("_own", "_set")
     mixed = _with_set(docs.join(several, F.col("doc_id").eqNullSafe(F.col("_many")), "left_semi"), n)
