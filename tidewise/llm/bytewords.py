@@ -89,19 +89,32 @@ class Words:
         self.first = np.searchsorted(self.start, self.doc_at)
         self.hash = word_hashes(self.low, self.start, self.end)
 
-    def grams(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of all n-word windows that lie in one text, and the number of the first window of
-        each text. A text of 1 to n - 1 words has one window, its whole sequence."""
+    def _windows(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first word, words from there to the end of the text) of all n-word windows that lie in one text, and the number of the
+        first window of each text. A text of 1 to n - 1 words has one window, its whole sequence."""
         count = np.diff(self.first)
-        w = len(self.hash)
         windows = np.where(count >= n, count - n + 1, (count > 0).astype(np.int64))
         first = np.concatenate(([0], np.cumsum(windows)))
         doc = np.repeat(np.arange(len(count)), windows)
         at = self.first[:-1][doc] + (np.arange(first[-1]) - first[doc])
-        left = self.first[1:][doc] - at  # words from here to the end of the text
+        return at, self.first[1:][doc] - at, first
+
+    def grams(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of all windows (see ``_windows``), and the number of the first window of each text."""
+        at, left, first = self._windows(n)
         acc = np.minimum(left, n).astype(np.uint64)
         padded = np.concatenate((self.hash, np.zeros(n, dtype=np.uint64)))
         for j in range(n):
             h = padded[at + j] * np.uint64(pow(0xD6E8FEB86659FD93, j + 1, 1 << 64))
             acc += h if j == 0 else np.where(left > j, h, np.uint64(0))
         return mix(acc), first
+
+    def least(self, n: int, values: np.ndarray) -> np.ndarray:
+        """The smallest of the words' ``values`` in each window."""
+        at, left, _ = self._windows(n)
+        top = np.iinfo(values.dtype).max
+        padded = np.concatenate((values, np.full(n, top, dtype=values.dtype)))
+        out = np.full(len(at), top, dtype=values.dtype)
+        for j in range(n):
+            out = np.minimum(out, np.where(left > j, padded[at + j], top))
+        return out

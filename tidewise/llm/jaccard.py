@@ -2,8 +2,8 @@
 
 A document's set is its distinct n-word shingles (64-bit hashes). Documents with equal sets form a class; one
 of each class goes on. Two classes can only reach ``percent`` if they share a shingle among the first few of each
-set in any fixed order (prefix filter); common shingles come last in our order, which changes the work, not the
-result. Classes that share such a key meet in a bucket, and there a signature tree prunes:
+set in any fixed order (prefix filter); in ours a shingle comes first whose rarest word is rare in the corpus (by a count
+sketch of fixed size), so that few strangers meet, which changes the work, not the result. Classes that share such a key meet in a bucket, and there a signature tree prunes:
 
 * a member has its size, a bit map of its shingles (of a long document those with the smallest hashes, as many as fill
   half the map) and ``rest`` = size - bits set;
@@ -32,8 +32,8 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,29 +48,37 @@ LEAF, FAN = 16, 8
 SMALL = 16  # buckets up to this size are one leaf; they are taken together
 BLOCK = 1024
 BLOCK_SHINGLES = 1 << 20
-HEAVY = 1 << 16  # common shingles that come last in the order (an upper bound of what is broadcast)
+CELL_BITS = 22  # cells of the word counts that order the shingles: 4 MB are broadcast
 
 
-def _common(docs: DataFrame, n: int) -> np.ndarray:
-    """The HEAVY most frequent shingles, least frequent first: every task counts all its shingles and sends
-    those that are frequent in it."""
+def word_levels(docs: DataFrame) -> np.ndarray:
+    """How often words occur, in steps of an eighth of a power of two, by the first CELL_BITS bits of their hashes (words of one cell
+    are counted together). One byte per cell, whatever the corpus: a fixed size to collect and to broadcast."""
+    segment = 1 << 16
+
     def run(batches):
-        held, rows = [], 0
+        held = np.zeros(1 << CELL_BITS, dtype=np.uint32)
         for b in batches:
             for lo, hi in slices(b.column(0)):
-                keys, first = Words(b.column(0), lo, hi).grams(n)
-                u, c = np.unique(keys, return_counts=True)
-                held.append((u[c > 1], c[c > 1]))
-                rows += hi - lo
-        if held:
-            keys, inv = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
-            count = np.bincount(inv, weights=np.concatenate([h[1] for h in held]), minlength=len(keys)).astype(np.int64)
-            often = count >= max(8, rows // 500)
-            yield pa.RecordBatch.from_arrays([pa.array(keys[often].view(np.int64)), pa.array(count[often])], names=["key", "n"])
-
-    top = (docs.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-           .orderBy(F.desc("n"), "key").limit(HEAVY).collect())
-    return np.array([r["key"] for r in reversed(top)], dtype=np.int64).view(np.uint64)
+                cell, n = np.unique((Words(b.column(0), lo, hi).hash >> np.uint64(64 - CELL_BITS)).astype(np.int64), return_counts=True)
+                held[cell] += n.astype(np.uint32)
+        for k in range(0, len(held), segment):
+            some = np.flatnonzero(held[k:k + segment])
+            if len(some):
+                yield pa.RecordBatch.from_arrays([pa.array([k // segment], pa.int32()), pa.array([some.astype(np.uint16).tobytes()]), pa.array([held[k + some].tobytes()])],
+                                                 names=["segment", "cells", "counts"])
+
+    def add(group):
+        total = np.zeros(segment, dtype=np.int64)
+        for cells, counts in zip(group["cells"], group["counts"]):
+            total[np.frombuffer(cells, dtype=np.uint16)] += np.frombuffer(counts, dtype=np.uint32)
+        return pd.DataFrame({"segment": [group["segment"].iloc[0]], "levels": [np.minimum(8 * np.log2(total + 1.0), 254).astype(np.uint8).tobytes()]})
+
+    parts = docs.select("text").mapInArrow(run, "segment int, cells binary, counts binary")
+    out = np.zeros(1 << CELL_BITS, dtype=np.uint8)
+    for r in parts.groupBy("segment").applyInPandas(add, "segment int, levels binary").collect():
+        out[r["segment"] * segment:(r["segment"] + 1) * segment] = np.frombuffer(r["levels"], dtype=np.uint8)
+    return out
 
 
 def _least_common(size: int, percent: int) -> int:
@@ -108,30 +116,24 @@ def _set_id(u: np.ndarray) -> bytes:
 def shingle_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """(doc_id, n_shingles, set_id, short, sig, large, prefix) of every row; the last five are null for an empty set, and
     ``large`` is for all but long ones. ``short`` is the first half of set_id: enough to meet by, since a clash only adds a candidate."""
-    spark = docs.sparkSession
-    heavy = _common(docs, n)
-    order = np.argsort(heavy)
-    shared = spark.sparkContext.broadcast((heavy[order], order))  # at most HEAVY shingles
+    shared = docs.sparkSession.sparkContext.broadcast(word_levels(docs))  # a byte for each of the 2 ** CELL_BITS cells
 
     def run(batches):
-        common, rank = shared.value
+        levels = shared.value
         for b in batches:
             for lo, hi in slices(b.column(1)):
-                keys, first = Words(b.column(1), lo, hi).grams(n)
+                w = Words(b.column(1), lo, hi)
+                keys, first = w.grams(n)
+                rarest = w.least(n, levels[(w.hash >> np.uint64(64 - CELL_BITS)).astype(np.int64)])
                 size, ids, shorts, sigs, larges, prefixes = [], [], [], [], [], []
                 for d in range(hi - lo):
-                    u = np.unique(keys[first[d]:first[d + 1]])
+                    u, place = np.unique(keys[first[d]:first[d + 1]], return_index=True)
                     size.append(len(u))
                     if not len(u):
                         ids.append(None), shorts.append(None), sigs.append(None), larges.append(None), prefixes.append(None)
                         continue
                     take = len(u) - _least_common(len(u), percent) + 1
-                    if len(common):
-                        at = np.minimum(np.searchsorted(common, u), len(common) - 1)
-                        late = common[at] == u
-                        ordered = np.concatenate((u[~late][:take], u[late][np.argsort(rank[at[late]])]))[:take]
-                    else:
-                        ordered = u[:take]
+                    ordered = u[np.argsort(rarest[first[d]:first[d + 1]][place], kind="stable")[:take]]
                     ids.append(_set_id(u))
                     shorts.append(int.from_bytes(ids[-1][:8], "little", signed=True))
                     sigs.append(_signature(u).tobytes())
