@@ -395,7 +395,8 @@ def _texts(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
                 ok = pa.array([x == y for x, y in zip(own, part.column(4).to_pylist())], pa.bool_())
                 yield part.filter(ok)
 
-    got = docs.select(F.col("doc_id").alias("_id"), "text").join(wanted, F.col("_id").eqNullSafe(F.col("doc_id"))).select(*columns)
+    # one plan at every size: a few wanted rows aren't broadcast either
+    got = docs.select(F.col("doc_id").alias("_id"), "text").join(wanted.hint("merge"), F.col("_id").eqNullSafe(F.col("doc_id"))).select(*columns)
     return got.mapInArrow(run, got.schema)
 
 
