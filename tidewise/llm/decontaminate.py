@@ -3,9 +3,11 @@
 A seed is a fixed mask over consecutive words; the positions with 0 are ignored, so a substituted word under a 0
 doesn't hide the passage. The seed hashes of the benchmark items are joined with those of the documents,
 window by window. Each hit names a diagonal (document position - item position); along it the words are
-compared one by one, and the best run (match +1, mismatch -2) is the verified overlap. Overlaps of an item on
-several diagonals (after an inserted or missing word) add up. A document is contaminated by an item if the
-overlaps match ``min_words`` words, or 4/5 of a shorter item.
+compared one by one, and the best runs (match +1, mismatch -2) are the verified overlaps. Those of an item, also on
+several diagonals (after an inserted or missing word), add up where they follow one another in the item and in the
+document, on diagonals at most ``MAX_SHIFT`` words apart: the heaviest such chain counts. A document is contaminated by
+an item if the chain matches ``min_words`` words, or 4/5 of a shorter item. Items of 5 to 12 words have seeds of their
+own, which propose them wherever one word is substituted; their words are also compared over the whole item.
 
 Words are lower-cased runs of letters and digits (any byte beyond ASCII counts as a letter).
 
@@ -13,9 +15,10 @@ Scale: the benchmark is taken in blocks of at most ``BLOCK_WORDS`` words (its si
 seeds are broadcast, and the documents are passed over row-locally, once per block, without any shuffle. Only
 verified pairs leave the tasks.
 
-Cases: null or empty texts hold nothing; items under MIN_ITEM words take no part, items shorter than the
-shortest mask match as a whole; repeated items and documents each give their own pairs; extra columns pass
-through ``drop_contaminated``.
+Cases: null or empty texts and items hold nothing, an empty table gives no pairs; items of one or two words (any
+text holds such) contaminate a document that consists of them, items of three or four match as a whole; repeated items
+and documents each give their own pairs; of equally heavy chains the first in the document is reported; very long texts
+are taken whole, a chain only looks back over twice the item; extra columns pass through ``drop_contaminated``.
 """
 
 from __future__ import annotations
@@ -30,8 +33,11 @@ from tidewise.session import ship_package
 
 # fixed values: the masks
 MASKS = ("11111", "1101101", "1011011", "110010011")
+SHORT_MASKS = ("1111", "11011", "10111", "11101")
 MIN_ITEM = 3
 MIN_WORDS = 10
+SHORT_ITEM = MIN_WORDS * 5 // 4
+MAX_SHIFT = 8
 BLOCK_WORDS = 1 << 20
 _TABLE_BITS = 22
 ODD = mix(np.arange(64, dtype=np.uint64)) | np.uint64(1)
@@ -58,12 +64,16 @@ class Index:
         self.ids, self.words, self.first = ids, w.hash, w.first
         self.masks: dict[str, tuple] = {}
         lengths = np.diff(self.first)
-        short = {int(n) for n in lengths if MIN_ITEM <= n < min(map(len, MASKS))}
-        for mask in [*MASKS, *("1" * n for n in sorted(short))]:
-            whole = len(mask) in short
+        least, most = min(map(len, MASKS)), SHORT_ITEM
+        # mask -> item lengths that it serves; "1" * n stands for whole items of n words
+        uses = {mask: (least, None) for mask in MASKS}
+        uses |= {mask: (least, most) for mask in SHORT_MASKS}
+        whole = {"1" * int(n): int(n) for n in np.unique(lengths) if 0 < n < least}
+        for mask in [*uses, *(m for m in whole if m not in uses)]:
+            lo, hi = uses.get(mask, (whole.get(mask), whole.get(mask)))
             h, item, pos = [], [], []
             for i, n in enumerate(lengths):
-                if n < MIN_ITEM or (whole and n != len(mask)):
+                if n == 0 or not (lo <= n and (hi is None or n <= hi) or n == whole.get(mask)):
                     continue
                 own = seed_hashes(self.words[self.first[i]:self.first[i + 1]], mask)
                 h.append(own)
@@ -84,7 +94,10 @@ class Index:
         for mask, (h, item, pos, seen) in self.masks.items():
             own = seed_hashes(w.hash, mask)
             n = len(own)
-            at = np.flatnonzero(seen[(own >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)] & (np.arange(n) + len(mask) <= ends[:n]))
+            fits = np.arange(n) + len(mask) <= ends[:n]
+            if len(mask) < MIN_ITEM:  # only documents that consist of the item
+                fits &= np.diff(w.first)[doc_of[:n]] == len(mask)
+            at = np.flatnonzero(seen[(own >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)] & fits)
             lo, hi = np.searchsorted(h, own[at]), np.searchsorted(h, own[at], side="right")
             count = hi - lo
             at = np.repeat(at, count)
@@ -92,36 +105,65 @@ class Index:
             found.append(np.stack([doc_of[at], item[k], at - pos[k]], axis=1))
         return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 3), dtype=np.int64)
 
-    def verify(self, w: Words, min_words: int = MIN_WORDS) -> list[tuple]:
-        """(document, item, matched, mismatched, first word, last word) of every contaminated pair."""
-        best: dict[tuple, list] = {}
-        for doc, item, diagonal in self.hits(w).tolist():
-            a, b = self.first[item], self.first[item + 1]
-            lo = max(diagonal, w.first[doc])
-            hi = min(diagonal + (b - a), w.first[doc + 1])
-            same = self.words[a + lo - diagonal:a + hi - diagonal] == w.hash[lo:hi]
-            total = np.concatenate(([0], np.cumsum(np.where(same, 1, -2))))
+    def _overlaps(self, w: Words, doc: int, item: int, diagonal: int, need: int) -> list[tuple]:
+        """The runs along a diagonal, (matched, mismatched, document from, to, item from, to) each: the best one, then
+        the best before and after it, and so on, while they match enough words."""
+        a, b = self.first[item], self.first[item + 1]
+        lo = max(diagonal, w.first[doc])
+        hi = min(diagonal + (b - a), w.first[doc + 1])
+        same = self.words[a + lo - diagonal:a + hi - diagonal] == w.hash[lo:hi]
+        if b - a <= SHORT_ITEM and hi - lo == b - a and same.sum() >= need:
+            return [(int(same.sum()), int(b - a - same.sum()), int(lo), int(hi), 0, int(b - a))]
+        least, out, rest = min(MIN_ITEM + 1, b - a), [], [(0, int(hi - lo))]
+        while rest:
+            x, y = rest.pop()
+            if same[x:y].sum() < least:
+                continue
+            total = np.concatenate(([0], np.cumsum(np.where(same[x:y], 1, -2))))
             low = np.minimum.accumulate(total)
             end = int(np.argmax(total - low))
             begin = int(np.flatnonzero(total[:end + 1] == low[end])[-1])
-            matched = int(same[begin:end].sum())
-            if matched >= min(MIN_ITEM + 1, b - a):
-                best.setdefault((doc, item), []).append((matched, end - begin - matched, lo + begin, lo + end, lo + begin - diagonal, lo + end - diagonal))
+            matched = int(same[x + begin:x + end].sum())
+            if matched >= least:
+                at = int(lo) + x
+                out.append((matched, end - begin - matched, at + begin, at + end, int(at + begin - diagonal), int(at + end - diagonal)))
+                rest += [(x, x + begin), (x + end, y)]
+        return out
+
+    def verify(self, w: Words, min_words: int = MIN_WORDS) -> list[tuple]:
+        """(document, item, matched, mismatched, first word, last word) of every contaminated pair."""
+        found: dict[tuple, list] = {}
+        for doc, item, diagonal in self.hits(w).tolist():
+            size = int(self.first[item + 1] - self.first[item])
+            need = min(min_words, -(-4 * size // 5))
+            found.setdefault((doc, item, size, need), []).extend(self._overlaps(w, doc, item, diagonal, need))
         out = []
-        for (doc, item), runs in best.items():
-            need = min(min_words, int(np.ceil(0.8 * (self.first[item + 1] - self.first[item]))))
-            runs.sort(reverse=True)
-            taken = []
-            for r in runs:  # runs on other diagonals add up where they cover other words of the item
-                if all(r[5] <= t[4] or r[4] >= t[5] for t in taken):
-                    taken.append(r)
-            if sum(r[0] for r in taken) >= need:
-                first = min(r[2] for r in taken) - w.first[doc]
-                last = max(r[3] for r in taken) - 1 - w.first[doc]
-                out.append((doc, item, sum(r[0] for r in taken), sum(r[1] for r in taken), int(first), int(last)))
+        for (doc, item, size, need), runs in found.items():
+            if sum(r[0] for r in runs) >= need:
+                matched, mismatched, lo, hi = heaviest_chain(runs, size)
+                if matched >= need:
+                    out.append((doc, item, matched, mismatched, int(lo - w.first[doc]), int(hi - 1 - w.first[doc])))
         return out
 
 
+def heaviest_chain(runs: list[tuple], size: int) -> tuple:
+    """(matched, mismatched, document from, to) of the chain of runs that matches most words. Runs follow one
+    another in the item and in the document, neighbours on diagonals at most MAX_SHIFT apart; so a run's
+    predecessor begins at most twice the item's ``size`` and MAX_SHIFT words before it."""
+    runs = sorted(runs, key=lambda r: r[2])
+    chains: list[tuple] = []
+    for i, r in enumerate(runs):
+        best = (0, 0, r[2])
+        for j in range(i - 1, -1, -1):
+            p = runs[j]
+            if p[2] < r[2] - 2 * size - MAX_SHIFT:
+                break
+            if p[3] <= r[2] and p[5] <= r[4] and abs((r[2] - r[4]) - (p[2] - p[4])) <= MAX_SHIFT and chains[j][0] > best[0]:
+                best = chains[j]
+        chains.append((best[0] + r[0], best[1] + r[1], best[2], r[3]))
+    return max(chains, key=lambda c: (c[0], -c[2]))
+
+
 def indexes(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", block_words: int = BLOCK_WORDS):
     """The benchmark as broadcast indexes of bounded size, one after the other."""
     spark = benchmark.sparkSession
