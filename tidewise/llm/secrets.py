@@ -8,8 +8,8 @@ path. All steps are DataFrame functions.
 Scale: the copies of a text meet in a partial aggregate before the shuffle, so a hot text sends
 one row per task. The join back carries only (path, blob); its hot blob is split by AQE's skew join.
 
-Cases: a null or empty text is the blob of the empty string, without findings; repeated rows each get
-their row; a clashing extra column is dropped (only the id and the text are read).
+Cases: a null or empty text is the blob of the empty string, without findings; very long texts are scanned whole; an
+empty table adds no blobs; repeated rows each get their row, a pair that two runs appended counts once; a clashing extra column is dropped (only the id and the text are read).
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewise.llm.spans import empty, regex_spans
-from tidewise.session import run_folder, write_table
+from tidewise.session import cut_lineage, run_folder, write_table
 
 # fixed values: kind -> (pattern, guard)
 # assign  (password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)  letters in either case, group 2 of 12+
@@ -66,16 +66,18 @@ def findings(text: Column) -> Column:
 def update_ledger(docs: DataFrame, ledger: str, rule_version: str = RULE_VERSION) -> DataFrame:
     """Scan the blobs of ``docs`` that the ledger folder lacks under this rule version, append the
     results as one batch folder, and return the ledger's rows for this version. The folder may be new;
-    a batch appears only once it is written whole, so a rerun after a failure scans what is missing."""
+    a batch appears only once it is written whole, so a rerun after a failure scans what is missing. Where the ledger
+    has rows, the digests alone look for unseen blobs, and only the texts of these are moved."""
     spark = docs.sparkSession
     blobs = docs.select(F.sha2(F.coalesce("text", F.lit("")), 256).alias("blob"), F.coalesce("text", F.lit("")).alias("text"))
-    unseen = blobs.groupBy("blob").agg(F.first("text").alias("text"))
     schema = f"blob string, found {FOUND}"
     version = f"{ledger.rstrip('/')}/rule_version={rule_version}"
     p = spark._jvm.org.apache.hadoop.fs.Path(version)
     if p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
         seen = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(version).select("blob")
-        unseen = unseen.join(seen, "blob", "left_anti")
+        new = cut_lineage(blobs.select("blob").distinct().join(seen, "blob", "left_anti"), "unseen")
+        blobs = blobs.join(new, "blob", "left_semi")
+    unseen = blobs.groupBy("blob").agg(F.first("text").alias("text"))
     write_table(unseen.select("blob", findings(F.col("text")).alias("found")), f"{version}/{uuid.uuid4().hex}")
     return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(version)
 
@@ -83,7 +85,8 @@ def update_ledger(docs: DataFrame, ledger: str, rule_version: str = RULE_VERSION
 def scan(docs: DataFrame, ledger: str | None = None, rule_version: str = RULE_VERSION) -> DataFrame:
     """(doc_id, blob, found) for every row of ``docs``; ``ledger`` defaults to a new one of this run."""
     ledger = ledger or f"{run_folder(docs.sparkSession)}/ledger-{uuid.uuid4().hex}"
-    known = update_ledger(docs, ledger, rule_version).filter(F.size("found") > 0)
+    # two runs at once may both append a pair: it counts once
+    known = update_ledger(docs, ledger, rule_version).filter(F.size("found") > 0).groupBy("blob").agg(F.first("found").alias("found"))
     paths = docs.select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("blob"))
     return paths.join(known, "blob", "left").select("doc_id", "blob", F.coalesce("found", empty(FOUND)).alias("found"))
 
