@@ -69,6 +69,20 @@ def test_secrets(spark, tmp_path):
     assert secrets.report(docs.limit(0)).count() == 0
 
 
+def test_secrets_ledger_written_twice(spark, tmp_path):
+    """Two runs at once append the same pairs; each document still has one row. Later runs move only unseen texts."""
+    docs = docs_of(spark, ["token=abcdefghijklmnop", "clean", None, "token=abcdefghijklmnop"])
+    ledger = str(tmp_path / "ledger")
+    found = secrets.update_ledger(docs, ledger)
+    found.write.parquet(f"{ledger}/rule_version={secrets.RULE_VERSION}/again")
+    want = [(0, "assign:0:22"), (1, ""), (2, ""), (3, "assign:0:22")]
+    assert sorted((r["doc_id"], r["spans"]) for r in secrets.report(docs, ledger).collect()) == want
+    more = docs.unionAll(docs_of(spark, ["deadbeefdeadbeef"] * 3).withColumn("doc_id", F.col("doc_id") + 4))
+    got = sorted((r["doc_id"], r["spans"]) for r in secrets.report(more, ledger).collect())
+    assert got == want + [(i, "hex:0:16") for i in (4, 5, 6)]
+    assert sorted(r["spans"] for r in secrets.report(docs, ledger).collect()) == sorted(x for _, x in want)
+
+
 def test_pii(spark):
     card = "4111 1111 1111 1111"
     texts = ODD + [
@@ -100,6 +114,20 @@ def test_pii(spark):
     assert clean[10] == "é mail [EMAIL], ip [IP] and 1.2.3.256 card [CARD] or 4111111111111112 call [PHONE]"
 
 
+def test_pii_iban_forms_and_context(spark):
+    plain, spaced = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00"
+    texts = [f"iban {spaced} and", f"IBAN {spaced} IN EUR", f"bank GB29 NWBK 6016 1331 9268 19.", "account ES91 2100 0418 4502 0005 1332 NEXT", f"serial {plain}", f"my {plain}",
+             f"serial of the bank {plain}", f"{spaced[:-1]}1", "NO93 8601 1117 947", "DE89  3704 0044 0532 0130 00", None, "", "AA00 " * 3000]
+    docs = docs_of(spark, texts).withColumn("pii_iban", F.lit(1)).withColumn("score", F.lit("x"))
+    rows = {r["doc_id"]: r for r in pii.report(docs.unionAll(docs.limit(1))).collect()}
+    assert [rows[i]["n_iban"] for i in range(len(texts))] == [1, 1, 1, 1, 0, 1, 1, 0, 1, 0, 0, 0, 0]
+    assert rows[0]["spans"] == f"iban:5:{5 + len(spaced)}" and rows[1]["spans"] == rows[0]["spans"]
+    assert rows[3]["spans"] == "iban:8:37" and rows[0]["max_score"] == 0.9 and rows[5]["max_score"] == 0.7
+    clean = {r["doc_id"]: r["text"] for r in pii.redact(docs).collect()}
+    assert clean[0] == "iban [IBAN] and" and clean[4] == texts[4]
+    assert pii.report(docs.limit(0)).count() == 0
+
+
 def test_licenses(spark):
     grant = " ".join(licenses.GRANTS[0][1].split())
     texts = ODD + ["Under the MIT License. under\nthe mit-license! Apache License, Version 2.0", "cc by nc cc by nc", "CC-BY-NC", "under the mit", grant.upper(),
@@ -136,6 +164,27 @@ def test_sharding(spark):
     assert sharding.report(docs.limit(0)).count() == 0
 
 
+def test_sharding_of_rows_equal_in_text_and_id(spark):
+    """Most rows are one row repeated: it is cut across shards, and no cell holds all of them."""
+    rng = random.Random(2)
+    rows = [(7, "one row " * 3)] * 3000 + [(i, "x" * rng.randrange(0, 40)) for i in range(1000)] + [(None, None)] * 40
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("shard", F.lit(1)).withColumn("k1", F.lit(2))
+    got = sharding.report(docs).collect()
+    assert Counter((r["doc_id"], r["size"]) for r in got) == Counter((i, len(t or "") + 1) for i, t in rows)
+    size, slots = Counter(), {}
+    for r in got:
+        size[r["shard"]] += r["size"]
+        slots.setdefault(r["shard"], []).append(r["slot"])
+    assert sorted(slots) == list(range(8)) and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert max(size.values()) - min(size.values()) < 0.02 * sum(size.values()) / 8
+
+
+def test_sharding_cells_follow_the_rows(spark):
+    docs = docs_of(spark, [f"text {i}" for i in range(3000)])
+    rows = sharding.shard(docs, rows_per_cell=2).collect()
+    assert sorted((r["shard"], r["slot"]) for r in rows) == [(s, k) for s in range(8) for k in range(sum(r["shard"] == s for r in rows))]
+
+
 def test_bpe_equals_tiktoken_and_round_trips(spark):
     ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
@@ -246,6 +295,45 @@ def test_decontamination(spark):
     assert decontaminate.find(docs_of(spark, texts), benchmark.limit(0)).count() == 0
 
 
+def test_decontamination_of_short_items(spark):
+    """Any single substitution in an item of 5 to 11 words; items of one and two words only as whole documents."""
+    rng = random.Random(5)
+    items = [" ".join(f"i{n}w{k}" for k in range(n)) for n in range(1, 12)]
+    around = lambda t: " ".join(f"v{rng.randrange(400)}" for _ in range(30)) + f" {t} " + " ".join(f"v{rng.randrange(400)}" for _ in range(30))
+    texts, want = [], set()
+    for i, item in enumerate(items):
+        w = item.split()
+        texts += [item, around(item)]
+        want |= {(len(texts) - 2, i)} | ({(len(texts) - 1, i)} if len(w) > 2 else set())
+        for k in range(len(w)):
+            texts.append(around(" ".join([*w[:k], "other", *w[k + 1:]])))
+            want |= {(len(texts) - 1, i)} if len(w) >= 5 else set()
+        texts.append(around(" ".join(w[:len(w) // 2])))  # half an item is none
+        want |= {(len(texts) - 1, i)} if len(w) // 2 >= -(-4 * len(w) // 5) else set()
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    docs = docs_of(spark, texts)
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.find(docs, benchmark).collect()} == want
+    assert len(decontaminate.find(docs.unionAll(docs), benchmark.unionAll(benchmark)).collect()) == 4 * len(want)
+
+
+def test_decontamination_sums_only_neighbouring_runs(spark):
+    item = [f"b{k}" for k in range(30)]
+    far = lambda n: [f"f{k}" for k in range(n)]
+    texts = [
+        item[:5] + far(3000) + item[10:15],         # far apart
+        item[10:15] + far(3) + item[:5],            # reversed
+        item[:5] + far(5) + item[10:15],            # in place: the words between are substituted
+        item[:5] + far(9) + item[10:15],            # four words more between
+        item[:5] + far(14) + item[10:15],           # nine words more
+        item[:6] + far(3000) + item[:6],            # the same words twice
+        (item[:5] + far(40)) * 300 + item[:5] + ["x"] + item[5:10],
+    ]
+    benchmark = spark.createDataFrame([(0, " ".join(item))], "item_id long, text string")
+    docs = docs_of(spark, [" ".join(t) for t in texts])
+    got = {r["doc_id"]: (r["matched"], r["first_word"], r["last_word"]) for r in decontaminate.find(docs, benchmark).collect()}
+    assert got == {2: (10, 0, 14), 3: (10, 0, 18), 6: (10, 300 * 45, 300 * 45 + 10)}
+
+
 def test_language_id(spark):
     rng = random.Random(5)
     stock = {"en": ["the", "house", "with", "thing", "over"], "de": ["der", "schule", "nicht", "über", "ich"], "fr": ["les", "été", "oiseau", "que", "dans"]}

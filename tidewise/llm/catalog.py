@@ -95,7 +95,22 @@ Q = {f.__name__: f for f in (op1_ctw_score, op2_license_scan, op3_secret_scan, o
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE: dict[str, str] = {
-    "op11_skyband": f"""
+    # the links of a document include rows with an equal set; a set of shingles is the list of their sorted texts
+    "op6_jaccard_join": rf"""
+with recursive d as (select doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') as w from documents),
+sets as (select doc_id, case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+    else list_sort(list_distinct([array_to_string(w[i:i + 2], ' ') for i in range(1, len(w) - 1)])) end as s from d),
+classes as (select row_number() over () as c, s, count(*) as m, min(doc_id) as doc_id from sets group by s),
+parts as (select c, len(s) as n, unnest(s) as shingle from classes),
+links as (select a.c as a, b.c as b from parts a join parts b on a.shingle = b.shingle and a.c <> b.c and 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+  group by a.c, b.c, a.n, b.n having 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+reach as (select a, b from links union select r.a, l.b from reach r join links l on l.a = r.b),
+least_id as (select c.c, least(c.doc_id, min(o.doc_id)) as component_id from classes c left join reach r on r.a = c.c left join classes o on o.c = r.b group by c.c, c.doc_id),
+partners as (select l.a as c, sum(o.m) as n from links l join classes o on o.c = l.b group by l.a)
+select s.doc_id, len(s.s) as n_shingles, case when len(s.s) = 0 then s.doc_id else i.component_id end as component_id,
+  case when len(s.s) = 0 then 0 else c.m - 1 + coalesce(p.n, 0) end::bigint as n_links
+from sets s join classes c on c.s = s.s join least_id i using (c) left join partners p using (c)""",
+    "op11_skyband": rf"""
 with d as (select row_number() over () as doc, coalesce(lang, '') as lang, coalesce(source, '') as source, {_LOWER} as text from documents),
 words as (select doc, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from d),
 kept as (select lang, term, count(*) as lc from words group by lang, term having count(distinct doc) >= 30),
@@ -114,10 +129,10 @@ both_parts as (
 ranked as (select *, row_number() over (partition by lang, source, part order by value desc, item) as rank from both_parts)
 select lang, source, part, item, value, rank from ranked where part = 'pair' or rank <= 50""",
     "op12_exact_dedup": r"""
-with d as (select doc_id, sha256(regexp_replace(coalesce(text, ''), '[ 	-]+', ' ', 'g')) as text_sha256 from documents)
+with d as (select doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) as text_sha256 from documents)
 select doc_id, min(doc_id) over same as keep_id, count(*) over same as group_size, doc_id = min(doc_id) over same as kept, text_sha256
 from d window same as (partition by text_sha256)""",
-    "op13_collocations": f"""
+    "op13_collocations": rf"""
 with d as (select coalesce(lang, 'und') as lang, {_LOWER} as text from documents),
 pieces as (select lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) as piece from d),
 words as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
