@@ -7,14 +7,17 @@ when the next leaf's distance D and its k-th best distance d satisfy  chi2cdf(D*
 that is still unseen would have been projected that far with probability 1 - STOP at most.
 
 The top of the tree is fitted on a bounded sample (SAMPLE rows by hash) and cuts the projected space into cells; every row
-is indexed in its cell. A query first searches its own cell, which bounds d; then it is sent, in one more round, only to
-the cells whose boxes the test can't rule out. A cell over BLOCK rows is split by hash into blocks with a tree each.
+is indexed in its cell. A cell over BLOCK rows gets a tree of its own, fitted in a task on one in RATE of its rows, whose
+leaves hold about BLOCK rows each, so leaves grow in number with the table and stay equal in size. A query first
+searches its own leaf, which bounds d; then it is sent, in one more round, only to the leaves whose boxes the test can't
+rule out. A leaf over BLOCK rows (by chance, or by equal projections) is split by hash into blocks, all of which are asked.
 
 Equal vectors are one point that keeps its k + 1 smallest ids, so a vector shared by a third of all rows is one
 point in the index, and as a query it is searched once. Nothing of the corpus reaches the driver but the sample.
 
 Cases: vectors that are null, zero, or hold null or non-finite components take no part; a vector is compared with those
-of its own length only; rows equal in id and vector are one row; ties go to the smaller vec_id; other columns aren't read.
+of its own length only; rows equal in id and vector are one row; ties go to the smaller vec_id; an empty table, or
+one without a row to ask for, gives no rows; other columns aren't read.
 """
 
 from __future__ import annotations
@@ -33,6 +36,7 @@ DIMS = 8
 STOP = 0.98
 SAMPLE = 20_000
 BLOCK = 8192
+RATE = 256
 LEAF = 64
 
 
@@ -178,7 +182,7 @@ def _matrix(column) -> np.ndarray:
 
 
 def _search(points: DataFrame, asked: DataFrame, k: int, quantile: float) -> DataFrame:
-    """(point, p, cos) of every query point sent to a block (dim, cell, part)."""
+    """(q, p, cos) of every query point sent to a block (dim, cell, leaf, part)."""
     def run(key, block: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if not len(block) or not len(queries):
             return pd.DataFrame({"q": [], "p": [], "cos": []})
@@ -189,11 +193,76 @@ def _search(points: DataFrame, asked: DataFrame, k: int, quantile: float) -> Dat
             out.append(pd.DataFrame({"q": q, "p": ids[rows], "cos": cos}))
         return pd.concat(out) if out else pd.DataFrame({"q": [], "p": [], "cos": []})
 
-    by = ["dim", "cell", "part"]
+    by = ["dim", "cell", "leaf", "part"]
     return (points.groupBy(*by).cogroup(asked.groupBy(*by)).applyInPandas(run, "q long, p long, cos double"))
 
 
-def knn(vectors: DataFrame, every: int = 50, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding", stop: float = STOP) -> DataFrame:
+TREE = "dim int, cell long, axis array<int>, cut array<double>, down array<int>, up array<int>, leaf array<int>, low array<double>, high array<double>"
+
+
+def _fit(points: DataFrame, top, most: int) -> DataFrame:
+    """TREE: a tree for each (dim, cell) of a sample (dim, cell, v); a leaf holds at most ``most`` sample points. Boxes are cut to the cell's."""
+    def run(key, part: pd.DataFrame) -> pd.DataFrame:
+        dim, cell = key
+        nodes = split(project(_matrix(part["v"])), most)
+        number, low, high = cells(nodes)
+        if dim in top.value:
+            _, _, lows, highs = top.value[dim]
+            low, high = np.maximum(low, lows[cell]), np.minimum(high, highs[cell])
+        at = range(len(nodes))
+        return pd.DataFrame({"dim": [dim], "cell": [cell], "axis": [[-1 if i in number else nodes[i][0] for i in at]],
+                             "cut": [[0.0 if i in number else nodes[i][1] for i in at]], "down": [[-1 if i in number else nodes[i][2] for i in at]],
+                             "up": [[-1 if i in number else nodes[i][3] for i in at]], "leaf": [[number.get(i, -1) for i in at]],
+                             "low": [low.ravel()], "high": [high.ravel()]})
+
+    return points.groupBy("dim", "cell").applyInPandas(run, TREE)
+
+
+def _tree(rows: pd.DataFrame) -> tuple[list[tuple], dict[int, int], np.ndarray, np.ndarray]:
+    """What ``_fit`` wrote; a cell without a sampled row is one leaf without bounds."""
+    if not len(rows):
+        return [(None, None)], {0: 0}, np.full((1, DIMS), -np.inf), np.full((1, DIMS), np.inf)
+    r = rows.iloc[0]
+    nodes = [(None, None) if axis < 0 else (axis, cut, down, up) for axis, cut, down, up in zip(r["axis"], r["cut"], r["down"], r["up"])]
+    number = {i: leaf for i, leaf in enumerate(r["leaf"]) if leaf >= 0}
+    return nodes, number, np.asarray(r["low"]).reshape(-1, DIMS), np.asarray(r["high"]).reshape(-1, DIMS)
+
+
+def _salted(trees: DataFrame) -> DataFrame:
+    """A copy of a cell's tree for each of its salts: one for BLOCK rows, whose vectors are far larger."""
+    return trees.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+
+
+def _leaves(points: DataFrame, trees: DataFrame) -> DataFrame:
+    """Points (p, copies, dim, v, cell, salt) with their leaf."""
+    def run(rows: pd.DataFrame, tree: pd.DataFrame) -> pd.DataFrame:
+        nodes, number, _, _ = _tree(tree)
+        leaf = locate(nodes, number, project(_matrix(rows["v"]))) if len(rows) else np.zeros(0, dtype=np.int64)
+        return rows[["p", "copies", "dim", "v", "cell"]].assign(leaf=leaf)
+
+    by = ["dim", "cell", "salt"]
+    return points.groupBy(*by).cogroup(_salted(trees).groupBy(*by)).applyInPandas(run, "p long, copies long, dim int, v array<double>, cell long, leaf long")
+
+
+def _open(asked: DataFrame, trees: DataFrame, quantile: float) -> DataFrame:
+    """Query points (q, dim, cell, v, d2, own, salt) once for each leaf of the cell that the test can't rule out, but for their own."""
+    def run(rows: pd.DataFrame, tree: pd.DataFrame) -> pd.DataFrame:
+        _, _, low, high = _tree(tree)
+        at, leaf = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+        points = project(_matrix(rows["v"])) if len(rows) else []
+        for i, (p, d2, own) in enumerate(zip(points, rows["d2"], rows["own"])):
+            near = np.flatnonzero(_gap(low, high, p) < quantile * d2)
+            near = near[near != own]
+            at.append(np.full(len(near), i))
+            leaf.append(near)
+        return rows[["dim", "cell", "q", "v", "d2"]].iloc[np.concatenate(at)].assign(leaf=np.concatenate(leaf))
+
+    by = ["dim", "cell", "salt"]
+    return asked.groupBy(*by).cogroup(_salted(trees).groupBy(*by)).applyInPandas(run, "dim int, cell long, q long, v array<double>, d2 double, leaf long")
+
+
+def knn(vectors: DataFrame, every: int = 50, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding", stop: float = STOP, block: int = BLOCK,
+        rate: int = RATE, sample_rows: int = SAMPLE) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of every row whose id ``every`` divides."""
     spark = vectors.sparkSession
     ship_package(spark)
@@ -205,13 +274,13 @@ def knn(vectors: DataFrame, every: int = 50, k: int = 5, id_col: str = "vec_id",
     names = kept.groupBy("v").agg(F.min("vec_id").alias("p"), F.count(F.lit(1)).alias("copies"), F.sort_array(F.collect_list("vec_id")).alias("ids"))
     names = cut_lineage(names.withColumn("dim", F.size("v")), "knn-points")
     queries = rows.filter(F.col("vec_id") % every == 0)
-    sample = (names.select("dim", "v").orderBy(F.xxhash64("v"), "v").limit(SAMPLE)).toArrow()  # at most SAMPLE rows
+    sample = (names.select("dim", "v").orderBy(F.xxhash64("v"), "v").limit(sample_rows)).toArrow()  # at most SAMPLE rows
     total = names.count()
     trees = {}
     dims = np.asarray(sample["dim"])
     for dim in np.unique(dims).tolist():
         own = sample["v"].take(pa.array(np.flatnonzero(dims == dim))).to_pylist()
-        most = max(LEAF, int(len(own) * BLOCK / max(1, total)))
+        most = max(LEAF, int(len(own) * block / max(1, total)))
         nodes = split(project(np.array(own, dtype=np.float64)), most)
         trees[dim] = (nodes, *cells(nodes))
     shared = spark.sparkContext.broadcast(trees)  # at most SAMPLE / LEAF cells
@@ -230,44 +299,57 @@ def knn(vectors: DataFrame, every: int = 50, k: int = 5, id_col: str = "vec_id",
 
     placed = cut_lineage(names.select("p", "copies", "dim", "v").mapInArrow(place, "p long, copies long, dim int, v array<double>, cell long"), "knn-cells")
     size = {(r["dim"], r["cell"]): r["n"] for r in placed.groupBy("dim", "cell").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per cell
-    parts = {c: -(-n // BLOCK) for c, n in size.items()}
-    table = spark.createDataFrame([(d, c, n) for (d, c), n in parts.items()], "dim int, cell long, parts int")
-    points = cut_lineage(placed.join(F.broadcast(table), ["dim", "cell"]).withColumn("part", F.pmod(F.xxhash64("p"), F.col("parts")).cast("int")), "knn-blocks")
+    large = any(n > block for n in size.values())  # else every cell is one leaf
+    salts = spark.createDataFrame([(d, c, -(-n // block)) for (d, c), n in size.items()], "dim int, cell long, salts int")
+    placed = placed.join(F.broadcast(salts), ["dim", "cell"])  # one row per cell of the top
+    salt = F.pmod(F.xxhash64("p"), F.col("salts")).cast("int")
+    located = placed.filter("salts = 1").select("p", "copies", "dim", "v", "cell", F.lit(0).cast("long").alias("leaf"))
+    if large:
+        inner = placed.filter("salts > 1")
+        trees2 = _fit(inner.filter(F.pmod(F.xxhash64("v"), F.lit(rate)) == 0).select("dim", "cell", "v"), shared, max(1, block // rate))
+        trees2 = cut_lineage(F.broadcast(salts).filter("salts > 1").join(trees2, ["dim", "cell"]), "knn-trees")
+        located = cut_lineage(located.unionAll(_leaves(inner.withColumn("salt", salt), trees2)), "knn-leaves")
+    leaves = located.groupBy("dim", "cell", "leaf").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"))
+    leaves = cut_lineage(leaves, "knn-sizes")
+    points = cut_lineage(located.join(leaves, ["dim", "cell", "leaf"]).withColumn("part", F.pmod(F.xxhash64("p"), F.col("parts")).cast("int")).drop("parts"), "knn-blocks")
+
+    def to_parts(asked: DataFrame) -> DataFrame:
+        asked = asked.join(leaves, ["dim", "cell", "leaf"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        return cut_lineage(asked.select("dim", "cell", "leaf", "part", "q", "v", "d2"), "knn-asked")
+
     asking = queries.select("v").distinct().join(names, "v").select(F.col("p").alias("q"), "v", "dim")
-    home = placed.select(F.col("p").alias("q"), "dim", "cell").join(asking, ["q", "dim"])
-    home = home.join(F.broadcast(table), ["dim", "cell"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    sent = cut_lineage(home.withColumn("d2", F.lit(1e9)).select("dim", "cell", "part", "q", "v", "d2"), "knn-asked")
-    first = cut_lineage(_search(points, sent, k, quantile), "knn-first")
+    home = points.select(F.col("p").alias("q"), "dim", "cell", "leaf")
+    first = cut_lineage(_search(points, to_parts(asking.join(home, ["q", "dim"]).withColumn("d2", F.lit(1e9))), k, quantile), "knn-first")
     weight = names.select("p", "copies")
     ranked = first.join(weight, "p").withColumn("before", F.sum("copies").over(
         Window.partitionBy("q").orderBy(F.desc("cos")).rowsBetween(Window.unboundedPreceding, 0)))
     bound = ranked.filter(F.col("before") >= k + 1).groupBy("q").agg(F.max("cos").alias("last"))
     bound = asking.join(bound, "q", "left").withColumn("d2", F.coalesce(2 - 2 * F.col("last") + 1e-12, F.lit(1e9)))
-    own = placed.select(F.col("p").alias("q"), F.col("cell").alias("own"))
+    own = home.select("q", F.col("cell").alias("own_cell"), F.col("leaf").alias("own_leaf"))
 
     def route(batches):
         for b in batches:
             t = b.to_pydict()
-            out = {"q": [], "dim": [], "cell": [], "part": [], "v": [], "d2": []}
-            for q, dim, v, d2, home_cell in zip(t["q"], t["dim"], t["v"], t["d2"], t["own"]):
+            out = {"q": [], "dim": [], "cell": [], "v": [], "d2": []}
+            for q, dim, v, d2 in zip(t["q"], t["dim"], t["v"], t["d2"]):
+                near = [0]
                 if dim in shared.value:
                     _, _, low, high = shared.value[dim]
-                    gap = _gap(low, high, project(np.array([v], dtype=np.float64))[0])
-                    near = np.flatnonzero(gap < quantile * d2).tolist()
-                else:
-                    near = [0]
+                    near = np.flatnonzero(_gap(low, high, project(np.array([v], dtype=np.float64))[0]) < quantile * d2).tolist()
                 for c in near:
-                    if c != home_cell:
-                        for part in range(parts.get((dim, c), 0)):
-                            for name, x in zip(out, (q, dim, c, part, v, d2)):
-                                out[name].append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(out["dim"], pa.int32()), pa.array(out["cell"], pa.int64()), pa.array(out["part"], pa.int32()),
-                                              pa.array(out["q"], pa.int64()), pa.array(out["v"], pa.list_(pa.float64())), pa.array(out["d2"], pa.float64())],
-                                             names=["dim", "cell", "part", "q", "v", "d2"])
-
-    routed = bound.join(own, "q").select("q", "dim", "v", "d2", "own").mapInArrow(
-        route, "dim int, cell long, part int, q long, v array<double>, d2 double")
-    second = _search(points, cut_lineage(routed, "knn-asked"), k, quantile)
+                    for name, x in zip(out, (q, dim, c, v, d2)):
+                        out[name].append(x)
+            yield pa.RecordBatch.from_arrays([pa.array(out["dim"], pa.int32()), pa.array(out["cell"], pa.int64()), pa.array(out["q"], pa.int64()),
+                                              pa.array(out["v"], pa.list_(pa.float64())), pa.array(out["d2"], pa.float64())], names=["dim", "cell", "q", "v", "d2"])
+
+    routed = bound.select("q", "dim", "v", "d2").mapInArrow(route, "dim int, cell long, q long, v array<double>, d2 double")
+    routed = routed.join(F.broadcast(salts), ["dim", "cell"]).join(own, "q")
+    routed = routed.withColumn("own", F.when(F.col("cell") == F.col("own_cell"), F.col("own_leaf")).otherwise(-1))
+    asked = routed.filter("salts = 1 and own = -1").select("dim", "cell", "q", "v", "d2", F.lit(0).cast("long").alias("leaf"))
+    if large:
+        routed = routed.filter("salts > 1").withColumn("salt", F.pmod(F.xxhash64("q"), F.col("salts")).cast("int"))
+        asked = asked.unionAll(_open(routed.select("dim", "cell", "q", "v", "d2", "own", "salt"), trees2, quantile))
+    second = _search(points, to_parts(asked), k, quantile)
     # back from points to ids: every query id asks as its point
     found = first.unionAll(second)
     found = found.join(names.select("p", "ids"), "p")
