@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -146,6 +147,43 @@ def test_licenses(spark):
     assert rows[14]["labels"] == "mit" and rows[14]["base_labels"] == ""
 
 
+def brute_licenses(text):
+    """(labels, best share) by trying every template at every place."""
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(lower))
+    labels, best = set(), 0.0
+    for label, words_, must in [(label, p, [p]) for label, p in licenses.BASE_PHRASES] + licenses.GRANTS:
+        t, must = words_.split(), [p.split() for p in must]
+        place = [next(k for k in range(len(t)) if t[k:k + len(p)] == p) for p in must]
+        sure = {a + k for a, p in zip(place, must) for k in range(len(p))}
+        for i in range(len(w)):
+            at = i - place[0]
+            near = [[at + place[0]]] + [[x for x in range(at + a - licenses.SHIFT, at + a + licenses.SHIFT + 1) if x >= 0] for a in place[1:]]
+            if all(any(w[x:x + len(p)] == p for x in xs) for xs, p in zip(near, must)):
+                labels.add(label)
+                best = max(best, sum(k in sure or (0 <= at + k < len(w) and w[at + k] == x) for k, x in enumerate(t)) / len(t))
+    return ",".join(sorted(labels)), best
+
+
+def test_license_templates(spark):
+    bsd3 = next(t for label, t, _ in licenses.GRANTS if label == "bsd-3")
+    named = bsd3.replace("the copyright holder", "the University of Upper and Lower Example, its departments, institutes and libraries,")
+    gpl = "GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or"
+    texts = [t for _, t, _ in licenses.GRANTS] + [named, gpl, gpl + " gnu " * 30 + "version 3 of the license", gpl.replace("version 2", "x " * 30 + "version 2"),
+             bsd3.replace("the copyright holder", "n " * 40), "version 2 of the license " + "gnu general public license " * 60, bsd3[20:], *ODD]
+    rows = {r["doc_id"]: r for r in licenses.report(docs_of(spark, texts).repartition(3)).collect()}
+    for i, t in enumerate(texts):
+        labels, best = brute_licenses(t)
+        assert (rows[i]["labels"], round(rows[i]["score"], 12)) == (labels, round(best, 12)), t
+    for i, (label, _, _) in enumerate(licenses.GRANTS):
+        assert label in rows[i]["labels"].split(",") and rows[i]["score"] == 1
+    n = len(licenses.GRANTS)
+    assert rows[n]["labels"] == "bsd-3" and rows[n]["score"] < 1
+    assert rows[n + 1]["labels"] == rows[n + 2]["labels"] == "gpl,gpl-2" and rows[n + 3]["labels"] == "gpl" and rows[n + 4]["labels"] == ""
+    twice = docs_of(spark, [gpl])
+    assert licenses.report(twice.unionAll(twice)).count() == 2 and licenses.report(twice.limit(0)).count() == 0
+
+
 def test_sharding(spark):
     rng = random.Random(1)
     texts = ["x" * rng.randrange(0, 400) for _ in range(600)] + ["hot text " * 9] * 300 + [None, "", "é" * 50]
@@ -471,6 +509,29 @@ def test_neighbours(spark):
     assert neighbours.report(table.limit(0)).count() == 0
 
 
+def test_neighbours_with_trees_inside_cells(spark):
+    """Cells far over a block: leaves follow the rows, the own leaf and those that the test leaves open are searched."""
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((3000, 6))
+    x[1000:1400] = x[7]
+    table = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>").repartition(5)
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    for small in ({"block": 32, "rate": 4, "sample_rows": 400}, {"block": 16, "rate": 4000, "sample_rows": 200}):  # the latter: cells without a sampled row
+        found = {}
+        for r in neighbours.knn(table, every=100, **small).orderBy("query_id", "rank").collect():
+            found.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+        hit = 0
+        for q in range(0, 3000, 100):
+            cos = u @ u[q]
+            cos[q] = -2
+            kth = np.sort(cos)[-5]
+            assert len(found[q]) == 5 and len({i for i, _ in found[q]}) == 5 and q not in {i for i, _ in found[q]}
+            assert all(abs(s - cos[i]) < 1e-12 for i, s in found[q])
+            hit += sum(s >= kth - 1e-9 for _, s in found[q])
+        assert hit / 150 >= 0.9
+        assert [i for i, _ in found[1000]] == [7, 1001, 1002, 1003, 1004]
+
+
 def test_pipeline_keeps_clean_documents(spark, tmp_path):
     import corpus_pipeline
 

@@ -94,7 +94,51 @@ Q = {f.__name__: f for f in (op1_ctw_score, op2_license_scan, op3_secret_scan, o
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+
+def _license_templates() -> str:
+    """(t, label, base, ws, anchor, anchor_at, others, sure) of every template as SQL rows; places count from 1."""
+    from tidewise.llm import licenses
+
+    def words(ws: list[str]) -> str:
+        return "[" + ", ".join(f"'{w}'" for w in ws) + "]"
+
+    rows = []
+    for i, t in enumerate(licenses._templates()):
+        others = ", ".join(f"{{'shift': {at - t['must_at'][0]}, 'p': {words(p)}}}" for p, at in zip(t["must"][1:], t["must_at"][1:]))
+        rows.append(f"({i}, '{t['label']}', {str(t['base']).lower()}, {words(t['words'])}, {words(t['must'][0])}, {t['must_at'][0] + 1}, "
+                    f"[{others}]::struct(shift int, p varchar[])[], {[k + 1 for k in t['sure']]})")
+    return "values " + ",\n".join(rows)
+
+
+def _license_sql() -> str:
+    from tidewise.llm.licenses import SHIFT
+
+    return rf"""
+with templates(t, label, base, ws, anchor, anchor_at, others, sure) as ({_license_templates()}),
+d as (select row_number() over () as row, doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+anchors as (select row, w, t.*, unnest(list_filter(range(1, len(w) + 1), lambda i: w[i:i + len(anchor) - 1] = anchor)) as i
+  from d join templates t on contains(' ' || array_to_string(w, ' ') || ' ', ' ' || array_to_string(anchor, ' ') || ' ')),
+found as (select row, label, base, i - 1 as place,
+    len(list_filter(range(1, len(ws) + 1), lambda k: list_contains(sure, k) or (i - anchor_at + k >= 1 and coalesce(w[i - anchor_at + k] = ws[k], false)))) / len(ws) as share
+  from anchors where len(list_filter(others, lambda o: len(list_filter(range(greatest(1, i + o.shift - {SHIFT}), i + o.shift + {SHIFT + 1}),
+    lambda b: w[b:b + len(o.p) - 1] = o.p)) = 0)) = 0),
+marks as (select row, count(*) filter (base) as n_base, min(place) filter (base) as first_word, max(place) filter (base) as last_word,
+    string_agg(distinct label, ',' order by label) filter (base) as base_labels, string_agg(distinct label, ',' order by label) as labels, max(share) as score
+  from found group by row)
+select doc_id, len(w) as n_words, coalesce(n_base, 0) as n_base, first_word, last_word, coalesce(base_labels, '') as base_labels,
+  coalesce(labels, '') as labels, coalesce(score, 0.0)::double as score
+from d left join marks using (row)"""
+
+
 ORACLE: dict[str, str] = {
+    "op2_license_scan": _license_sql(),
+    # every candidate is compared; the query's tree search must have missed none of the 5 nearest
+    "op10_stable_projections": """
+with v as (select distinct vec_id, list_transform(embedding, lambda x: x::double) as v from embeddings where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+pairs as (select q.vec_id as query_id, c.vec_id, list_cosine_similarity(q.v, c.v) as score from v q join v c on q.vec_id <> c.vec_id and len(q.v) = len(c.v) where q.vec_id % 50 = 0),
+ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from pairs)
+select query_id, rank, vec_id, score from ranked where rank <= 5""",
     # the links of a document include rows with an equal set; a set of shingles is the list of their sorted texts
     "op6_jaccard_join": rf"""
 with recursive d as (select doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') as w from documents),
