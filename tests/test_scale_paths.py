@@ -292,6 +292,39 @@ def test_log_lines_are_numbered_over_splits(spark):
         assert [got.get(f, {}).get(i + 1) for i in range(len(want))] == want and len(got.get(f, {})) == len(want)
 
 
+def test_one_log_in_parts_is_numbered_as_one_file(spark):
+    d = tmpdir()
+    for f, t in {"part-0": "a\nb é\n", "part-1": "", "part-2": "\n".join(f"line {i}" for i in range(2000)) + "\n", "part-3": "c\n"}.items():
+        with open(os.path.join(d, f), "w") as out:
+            out.write(t)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        got = readers.read_log_lines(spark, d, parts=True).orderBy("line_no").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [r["line"] for r in got] == ["a", "b é", *[f"line {i}" for i in range(2000)], "c", ""]
+    assert [r["line_no"] for r in got] == list(range(1, 2005)) and {r["file"] for r in got} == {d}
+
+
+def test_lines_of_one_log_are_spread_over_tasks(spark):
+    rows = [(i, f"2024-01-{i % 28 + 1:02d} 00:00:00", "error" if i % 3 else "click") for i in range(3000)]
+    events = spark.createDataFrame(rows, "event_id long, t string, event_type string").select(
+        "event_id", F.col("t").cast("timestamp_ntz").alias("ts"), F.lit(0).alias("user_id"), "event_type", F.lit(1.5).alias("value"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = textops.event_log_lines(events).withColumn("task", F.spark_partition_id()).orderBy("line_no").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len({r["task"] for r in got}) > 1
+    entries = []
+    for i, t, kind in sorted(rows, key=lambda r: (r[1], r[0])):
+        head, k = f"{t} {'ERROR' if kind == 'error' else 'INFO'} {kind}", i % 4 if kind == "error" else 0
+        body = f"value=1.50 event={i}"
+        entries += [f"{head} {body}"] if k == 1 else [f"{head}: {body}", f"  caused by event {i}"] if k == 2 else \
+            [f"{head}: {body} seen {t[:10]} again: yes"] if k == 3 else [f"{head}: {body}"]
+    assert [(r["file"], r["line_no"], r["line"]) for r in got] == [("user_0.log", n + 1, x) for n, x in enumerate(entries)]
+
+
 def test_csv_header_with_a_quoted_comma(spark):
     p = os.path.join(tmpdir(), "x.csv")
     with open(p, "w") as f:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewise.functions.columns import distributed_row_number
+from tidewise.session import cut_lineage
 
 # fixed values: default path patterns of the original masker (Windows, Unix, home), its token, the name prefix, the
 # tail limit and the response-parsing defaults
@@ -200,7 +201,15 @@ def event_log_lines(events: DataFrame) -> DataFrame:
              .otherwise(F.concat(head, F.lit(": "), body)))
     file = F.format_string("user_%d.log", F.col("user_id"))
     rows = events.select(file.alias("file"), "ts", "event_id", F.posexplode(F.split(entry, "\n")).alias("_part", "line"))
-    return rows.select("file", F.row_number().over(Window.partitionBy("file").orderBy("ts", "event_id", "_part")).cast("long").alias("line_no"), "line")
+    # a file may hold most of the events: its lines are sorted by range partitions, whose rows Spark numbers in order, so a
+    # line's number is its place among the file's lines of its partition plus those of the earlier partitions
+    ordered = cut_lineage(rows.orderBy("file", "ts", "event_id", "_part").select("file", F.monotonically_increasing_id().alias("_id"), "line"), "lines")
+    ordered = ordered.withColumn("_range", F.shiftright("_id", 33))
+    ranges = ordered.groupBy("file", "_range").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_lines"))
+    along = Window.partitionBy("file").orderBy("_range").rowsBetween(Window.unboundedPreceding, 0)
+    offsets = ranges.withColumn("_before", F.sum("_lines").over(along) - F.col("_lines"))
+    return ordered.join(offsets, ["file", "_range"]).select(
+        "file", (F.col("_before") + F.col("_id") - F.col("_first") + 1).alias("line_no"), "line")
 
 
 def step_shares(steps: DataFrame, bundle: str, step: str, duration: str) -> DataFrame:

@@ -721,7 +721,7 @@ def _error_extract(spark, sf):
 
 @q("error_extract_one_file", _errors_sql("'all.log'"))
 def _error_extract_one_file(spark, sf):
-    """TXT-6 on one long log, written and read back in splits; the file's chunks are scanned by many tasks."""
+    """TXT-6 on one long log, written in parts, in order, and read back in splits as one file; its chunks are scanned by many tasks."""
     import uuid
 
     from tidewise.operators.logs import error_extract
@@ -731,8 +731,8 @@ def _error_extract_one_file(spark, sf):
     from tidewise.sources.tables import table
     folder = f"{run_folder(spark)}/log-{uuid.uuid4().hex}"
     events = table(spark, sf, "events").withColumn("user_id", F.lit(0))
-    event_log_lines(events).coalesce(1).sortWithinPartitions("line_no").select("line").write.text(folder)  # one file is the point here
-    return error_extract(read_log_lines(spark, folder), chunk_lines=500).withColumn("file", F.lit("all.log"))
+    event_log_lines(events).orderBy("line_no").select("line").write.text(folder)  # no task holds the whole log
+    return error_extract(read_log_lines(spark, folder, parts=True), chunk_lines=500).withColumn("file", F.lit("all.log"))
 
 
 @q("log_tail", O.with_("sp AS (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents)",

@@ -144,21 +144,23 @@ def bundle_steps(bundles: DataFrame) -> DataFrame:
     return bundles.select("bundle_id", F.explode_outer("processing_steps").alias("s")).select("bundle_id", "s.*")
 
 
-def read_log_lines(spark: SparkSession, path: str) -> DataFrame:
+def read_log_lines(spark: SparkSession, path: str, parts: bool = False) -> DataFrame:
     """SRC-8: log files as ``(file, line_no, line)``, line numbers per file from 1, as by splitting the text at line feeds (a file
-    that ends with one has an empty last line; a carriage return before one goes). An empty file has no rows.
+    that ends with one has an empty last line; a carriage return before one goes). An empty file has no rows. With ``parts`` the files
+    under ``path``, in the order of their names, are one log that lies in parts, each ending with a line feed; its ``file`` is ``path``.
 
     Files are read in splits by many tasks. Spark numbers the lines of a split in order, so a line's number is its place in its
     split plus the lines of the file's earlier splits: a running sum over one row per split."""
     at = F.col("_metadata")
     raw = spark.read.option("lineSep", "\n").text(path).select(
-        at["file_path"].alias("file"), at["file_block_start"].alias("_split"), at["file_size"].alias("_size"),
-        F.monotonically_increasing_id().alias("_id"), "value")
-    splits = raw.groupBy("file", "_split", "_size").agg(
+        (F.lit(path) if parts else at["file_path"]).alias("file"), at["file_path"].alias("_part"),
+        at["file_block_start"].alias("_split"), at["file_size"].alias("_size"), F.monotonically_increasing_id().alias("_id"), "value")
+    splits = raw.groupBy("file", "_part", "_split", "_size").agg(
         F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_lines"), F.sum(F.octet_length("value") + 1).alias("_bytes"))
-    along = Window.partitionBy("file").orderBy("_split").rowsBetween(Window.unboundedPreceding, 0)
+    along = Window.partitionBy("file").orderBy("_part", "_split").rowsBetween(Window.unboundedPreceding, 0)
     offsets = splits.withColumn("_before", F.sum("_lines").over(along) - F.col("_lines"))
-    lines = raw.drop("_size").join(offsets.select("file", "_split", "_first", "_before"), ["file", "_split"]).select(
+    lines = raw.drop("file", "_size").join(offsets.select("file", "_part", "_split", "_first", "_before"), ["_part", "_split"]).select(
         "file", (F.col("_before") + F.col("_id") - F.col("_first") + 1).alias("line_no"), F.regexp_replace("value", "\r$", "").alias("line"))
-    last = splits.groupBy("file", "_size").agg(F.sum("_lines").alias("n"), F.sum("_bytes").alias("b")).filter(F.col("b") == F.col("_size"))
+    ends = splits.groupBy("file", "_part", "_size").agg(F.sum("_lines").alias("n"), F.sum("_bytes").alias("b"))
+    last = ends.groupBy("file").agg(F.sum("n").alias("n"), F.max_by(F.col("b") == F.col("_size"), "_part").alias("closed")).filter("closed")
     return lines.unionByName(last.select("file", (F.col("n") + 1).alias("line_no"), F.lit("").alias("line")))
