@@ -272,6 +272,14 @@ def test_error_messages_equal_the_pattern(spark, chunk):
         assert [got.get(f, {})[i + 1] for i in range(len(got.get(f, {})))] == want, f
 
 
+def test_many_small_files_run_as_streams(spark, capsys):
+    rows = [(f"f{i}", n + 1, line) for i in range(700) for n, line in enumerate([f"ERROR a: one {i}", "2024-01-01 ERROR b:", f" two {i}"])]
+    found = logs.error_extract(spark.createDataFrame([*rows, (None, 1, "ERROR: x")], "file string, line_no long, line string"))
+    found.explain()
+    assert "FlatMapGroups" not in capsys.readouterr().out  # a frame per file and chunk took most of the time
+    assert sorted(map(tuple, found.collect())) == sorted(x for i in range(700) for x in ((f"f{i}", 1, f"one {i}"), (f"f{i}", 2, f"two {i}")))
+
+
 def test_log_lines_are_numbered_over_splits(spark):
     d = tmpdir()
     texts = {"a.log": "".join(f"line {i} é\n" for i in range(3000)), "b.log": "one\r\ntwo\r\n\r\nlast", "c.log": "\n\n", "d.log": ""}
