@@ -244,6 +244,23 @@ def test_names_equal_one_pass_over_the_longest(spark, monkeypatch):
     assert {r["id"]: r["t"] for r in textops.anonymize(df, ["t"], d).collect()} == want
 
 
+@pytest.mark.parametrize("most", [1, 200])
+def test_names_are_looked_up_by_their_shapes(spark, monkeypatch, most):
+    monkeypatch.setattr(textops, "MOST_CHARACTERS", most)
+    names = [chr(c) + "q" + chr(161 - c if 33 < c < 128 else 33) for c in range(1, 128)] + ["\U0001f600é", "src1", "src20"]
+    d = spark.createDataFrame([(n, f"<{i}>") for i, n in enumerate(names)], "name string, alias string")
+    text = "plain words before " + " ".join(names) + " and after src2 sr"
+    df = spark.createDataFrame([(1, text)], "id long, t string")
+    pattern = re.compile("|".join(map(re.escape, sorted(names, key=len, reverse=True))), re.DOTALL)
+    alias = {n: f"<{i}>" for i, n in enumerate(names)}
+    assert textops.anonymize(df, ["t"], d).first()["t"] == pattern.sub(lambda m: alias[m[0]], text)
+    few = spark.createDataFrame([("src1", "a"), ("src12", "b")], "name string, alias string")
+    one = textops._shapes(few)
+    found = spark.createDataFrame([("one src12 among words " * 50,)], "s string").select(one.alias("x"), "s").select(
+        F.expr("flatten(transform(x.patterns, p -> regexp_extract_all(s, p, 1)))").alias("w")).first()["w"]
+    assert len(found) == (100 if most == 200 else len(found)) and set(found) >= {"src1", "src12"}  # once every window of both lengths
+
+
 # ---- logs ----------------------------------------------------------------------------------------------
 
 #: the original's pattern: fixed value

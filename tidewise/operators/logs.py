@@ -56,7 +56,6 @@ def _stripped(c: Column) -> Column:
 #: rows of a batch that a task hands back
 BATCH_ROWS = 10_000
 _ARROW = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "boolean": pa.bool_()}
-_ARROW = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "boolean": pa.bool_()}
 
 
 def _by_run(df: DataFrame, by: list[str], then: str, of_run: Callable[[tuple, Iterable[tuple]], Iterator[tuple]],

@@ -121,18 +121,34 @@ def _strings(c: Column, kind: T.DataType) -> Column:
 PIECE_CHARS = 50_000
 
 
+#: a place of the names at which more characters than this stand takes any
+MOST_CHARACTERS = 200
+
+
+def _shapes(dictionary: DataFrame) -> Column:
+    """Scalar (longest, patterns): the longest name's length, and for each length a pattern whose group 1 is, from every place of a
+    text, what agrees with the names of that length in the characters that stand at each of their places. So it finds all
+    names of this length and little else; its own length is bounded by theirs and the alphabet."""
+    each = F.transform(F.sequence(F.lit(1), F.length("name")), lambda i: F.substring("name", i, F.lit(1)))
+    characters = dictionary.select(F.length("name").alias("n"), F.posexplode(each).alias("at", "c"))
+    quoted = F.when(F.col("c").rlike(r"^[\x00-\x7F&&[^A-Za-z0-9]]$"), F.concat(F.lit("\\"), "c")).otherwise(F.col("c"))
+    places = characters.groupBy("n", "at").agg(F.sort_array(F.collect_set(quoted)).alias("of"))
+    place = F.when(F.size("of") > MOST_CHARACTERS, ".").otherwise(F.concat(F.lit("["), F.array_join("of", ""), F.lit("]")))
+    lengths = places.groupBy("n").agg(F.array_sort(F.collect_list(F.struct("at", place.alias("p")))).alias("places"))
+    pattern = F.concat(F.lit("(?s)(?=("), F.array_join(F.transform("places", lambda x: x["p"]), ""), F.lit("))"))
+    return lengths.agg(F.struct(F.coalesce(F.max("n"), F.lit(0)).alias("longest"), F.collect_list(pattern).alias("patterns"))).scalar()
+
+
 def occurring_names(texts: DataFrame, dictionary: DataFrame) -> DataFrame:
     """(_key, _alias): for the string arrays ``_strings`` of each ``_key`` the dictionary's names that occur anywhere in them, as a map
-    to their aliases. Every window of a text as long as some name is joined with the dictionary table, so the names never pass
-    through the driver or the plan; only the set of their lengths does, as a scalar subquery."""
-    lengths = dictionary.agg(F.sort_array(F.collect_set(F.length("name"))).alias("_lengths")).scalar()
-    longest = F.coalesce(F.array_max("_lengths"), F.lit(0))
-    t = texts.select("_key", F.explode("_strings").alias("s"), lengths.alias("_lengths"))
+    to their aliases. Every part of a text that has some name's length and shape is joined with the dictionary table, so the names
+    never pass through the driver or the plan; only their shapes do, as a scalar subquery."""
+    t = texts.select("_key", F.explode("_strings").alias("s"), _shapes(dictionary).alias("_shapes"))
     # a long text in pieces that overlap by the longest name
     starts = F.sequence(F.lit(0), F.floor(F.length("s") / PIECE_CHARS).cast("int"))
-    pieces = t.select("_key", "_lengths", F.explode(F.transform(starts, lambda i: F.substring("s", i * PIECE_CHARS + 1, longest + PIECE_CHARS))).alias("s"))
-    window = lambda n: F.concat(F.lit("(?s)(?=(.{"), n.cast("string"), F.lit("}))"))
-    windows = F.flatten(F.transform("_lengths", lambda n: F.array_distinct(F.regexp_extract_all("s", window(n), F.lit(1)))))
+    longest = F.col("_shapes.longest")
+    pieces = t.select("_key", "_shapes", F.explode(F.transform(starts, lambda i: F.substring("s", i * PIECE_CHARS + 1, longest + PIECE_CHARS))).alias("s"))
+    windows = F.flatten(F.transform("_shapes.patterns", lambda p: F.array_distinct(F.regexp_extract_all("s", p, F.lit(1)))))
     hits = pieces.select("_key", F.explode(windows).alias("name")).join(dictionary.select("name", "alias"), "name")
     return hits.groupBy("_key").agg(F.map_from_entries(F.collect_set(F.struct("name", "alias"))).alias("_alias"))
 
@@ -142,12 +158,12 @@ def anonymize(df: DataFrame, columns: list[str], dictionary: DataFrame, mask: bo
     pass, at each place the longest; with ``mask``, paths are masked after that.
 
     The names that occur in a row's strings come from a distributed join; the row is then rewritten by an expression that
-    knows only those. Rows are matched by a hash of their strings: equal rows are looked up once, and a clash of two only
+    knows only those. Rows are matched by a hash of their strings: equal rows share their names, and a clash of two only
     widens the names tried."""
     kinds = {f.name: f.dataType for f in df.schema.fields}
     strings = F.filter(F.concat(*[_strings(F.col(c), kinds[c]) for c in columns]), lambda s: s.isNotNull())
     keyed = df.withColumn("_key", F.xxhash64(strings))
-    texts = keyed.groupBy("_key").agg(F.first(strings).alias("_strings")).select("_key", F.array_distinct("_strings").alias("_strings"))
+    texts = keyed.select("_key", F.array_distinct(strings).alias("_strings"))
     found = occurring_names(texts, dictionary.filter(F.length("name") > 0))
     by_length = F.sort_array(F.transform(F.map_keys("_alias"), lambda n: F.struct(F.length(n).alias("l"), n.alias("n"))), asc=False)
     quoted = F.transform(by_length, lambda x: F.concat(F.lit("\\Q"), F.replace(x["n"], F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E")))
