@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import regex
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -235,6 +236,18 @@ def test_bpe_equals_tiktoken_and_round_trips(spark):
     assert all(bytes(r["decoded"]) == (texts[r["doc_id"]] or "").encode() for r in back)
 
 
+def test_bpe_memory_of_a_block(monkeypatch):
+    ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    seen, replay = [], bpe.Codec._replay
+    monkeypatch.setattr(bpe.Codec, "_replay", lambda self, *arrays: (seen.extend(a.itemsize for a in arrays), replay(self, *arrays))[1])
+    words = [f"wörd{i * 7919}x" for i in range(3000)]
+    codec = bpe.Codec(ranks)
+    rows, ids = bpe.encode_texts(codec, regex.compile(public_tokenizers.PATTERN), iter([" ".join(words), None]))
+    assert seen and max(seen) == 4 and max(r.itemsize for r in rows) == 4  # eight bytes each before, five arrays of the block's bytes
+    assert b"".join(codec.decode(ids[k]) for k in rows[0]) == " ".join(words).encode() and not len(rows[1])
+    assert bpe.BLOCK_BYTES <= 8 << 20
+
+
 def test_bpe_order_inside_a_word():
     for seed in range(40):  # ranks out of training order
         rng = random.Random(seed)

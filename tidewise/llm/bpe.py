@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tidewise.llm.bytewords import slices
+from tidewise.llm.bytewords import release_memory, slices
 from tidewise.session import ship_package
 
 
@@ -44,7 +44,7 @@ class Codec:
         self.most_scalar = most_scalar
         self.token = {i: t for t, i in ranks.items()}
         self.ranks = ranks
-        self.byte = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int64)
+        self.byte = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         self.shift = max(self.token).bit_length()
         self.pairs = {}  # (left, right) as one number -> merged id
         for t, i in ranks.items():
@@ -53,13 +53,13 @@ class Codec:
                 if left is not None and right is not None:
                     self.pairs[left << self.shift | right] = i
         self.keys = np.array(sorted(self.pairs), dtype=np.int64)
-        self.ids = np.array([self.pairs[int(k)] for k in self.keys], dtype=np.int64)
+        self.ids = np.array([self.pairs[int(k)] for k in self.keys], dtype=np.int32)
 
     def _lookup(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Merged ids, -1 where the two tokens don't merge."""
-        key = left << self.shift | right
+        key = left.astype(np.int64) << self.shift | right
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[at] == key, self.ids[at], -1)
+        return np.where(self.keys[at] == key, self.ids[at], np.int32(-1))
 
     def encode_words(self, words: list[bytes]) -> list[list[int]]:
         """Ids of every word, by replaying the merges over all of them."""
@@ -68,14 +68,15 @@ class Codec:
         lengths = np.array([len(w) for w in parts], dtype=np.int64)
         begin = np.concatenate(([0], np.cumsum(lengths)))
         n = int(begin[-1])
-        sym = self.byte[np.frombuffer(b"".join(parts), dtype=np.uint8)] if n else np.zeros(0, np.int64)
-        nxt, prv = np.arange(1, n + 1), np.arange(-1, n - 1)
+        place = np.int32 if n < 1 << 31 else np.int64  # a block's arrays are most of a task's memory
+        sym = self.byte[np.frombuffer(b"".join(parts), dtype=np.uint8)] if n else np.zeros(0, np.int32)
+        nxt, prv = np.arange(1, n + 1, dtype=place), np.arange(-1, n - 1, dtype=place)
         nxt[begin[1:][lengths > 0] - 1] = -1
         prv[begin[:-1][lengths > 0]] = -1
-        pair = np.full(n, -1, dtype=np.int64)  # merged id of the pair that begins at a position, or -1
+        pair = np.full(n, -1, dtype=np.int32)  # merged id of the pair that begins at a position, or -1
         live = np.flatnonzero(nxt >= 0)
         pair[live] = self._lookup(sym[live], sym[live + 1])
-        self._replay(sym, nxt, prv, pair, np.repeat(np.arange(len(parts)), lengths))
+        self._replay(sym, nxt, prv, pair, np.repeat(np.arange(len(parts), dtype=place), lengths))
         left = np.flatnonzero(sym >= 0)
         ids, ends = sym[left].tolist(), np.searchsorted(left, begin).tolist()
         done = iter(range(len(parts)))
@@ -198,7 +199,7 @@ class Codec:
         return b"".join([token[i] for i in ids])
 
 
-def encode_texts(codec: Codec, pattern, texts: list[str | None]) -> Iterator[tuple[list[int], dict[int, list[int]]]]:
+def encode_texts(codec: Codec, pattern, texts: Iterable[str | None]) -> Iterator[tuple[list[int], dict[int, list[int]]]]:
     """For each text: the numbers of its words, and the block's word ids. The caller joins them."""
     number: dict[str, int] = {}
     rows = []
@@ -207,11 +208,15 @@ def encode_texts(codec: Codec, pattern, texts: list[str | None]) -> Iterator[tup
         for w in set(found):
             if w not in number:
                 number[w] = len(number)
-        rows.append(np.fromiter(map(number.__getitem__, found), dtype=np.int64, count=len(found)))
+        rows.append(np.fromiter(map(number.__getitem__, found), dtype=np.int32, count=len(found)))
     ids = codec.encode_words([w.encode("utf-8", "surrogatepass") for w in number])
     return rows, ids
 
 
+#: bytes of text of a block: the words, ids and index of one block are most of a task's memory
+BLOCK_BYTES = 8 << 20
+
+
 def _blocks(batches: Iterator[pa.RecordBatch], block_bytes: int):
     for b in batches:
         texts = b.column(1)
@@ -220,7 +225,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], block_bytes: int):
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text",
-           block_bytes: int = 32 << 20) -> DataFrame:
+           block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(id, ids array<int>) for every row."""
     ship_package(docs.sparkSession)
     schema = T.StructType([docs.schema[id_col], T.StructField("ids", T.ArrayType(T.IntegerType()))])
@@ -228,13 +233,18 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
     def run(batches):
         codec, pat = Codec(ranks), regex.compile(pattern)
         for b in _blocks(batches, block_bytes):
-            rows, ids = encode_texts(codec, pat, b.column(1).to_pylist())
-            out = [[x for k in row for x in ids[k]] for row in rows]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, type=pa.list_(pa.int32()))], names=[id_col, "ids"])
+            yield _encoded(codec, pat, b, [id_col, "ids"])
+            release_memory()
 
     return docs.select(id_col, text_col).mapInArrow(run, schema)
 
 
+def _encoded(codec: Codec, pat, b: pa.RecordBatch, names: list[str]) -> pa.RecordBatch:
+    rows, ids = encode_texts(codec, pat, (t.as_py() for t in b.column(1)))
+    out = [[x for k in row for x in ids[k]] for row in rows]
+    return pa.RecordBatch.from_arrays([b.column(0), pa.array(out, type=pa.list_(pa.int32()))], names=names)
+
+
 def decode(encoded: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids") -> DataFrame:
     """``encoded`` with a binary column ``decoded``: the bytes of its ids (null stays null)."""
     ship_package(encoded.sparkSession)
@@ -249,24 +259,31 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids") ->
     return encoded.mapInArrow(run, schema)
 
 
-def report(docs: DataFrame, ranks: dict[bytes, int], pattern: str, block_bytes: int = 32 << 20) -> DataFrame:
+def report(docs: DataFrame, ranks: dict[bytes, int], pattern: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per document: number of ids, digest of the ids, digest of the bytes decoded from them."""
     ship_package(docs.sparkSession)
 
     def run(batches):
         codec, pat = Codec(ranks), regex.compile(pattern)
         for b in _blocks(batches, block_bytes):
-            rows, ids = encode_texts(codec, pat, b.column(1).to_pylist())
-            lengths = np.array([len(x) for x in ids], dtype=np.int64)
-            written = [",".join(map(str, x)).encode() for x in ids]
-            decoded = [codec.decode(x) for x in ids]
-            n, h_ids, h_bytes = [], [], []
-            for row in rows:
-                n.append(int(lengths[row].sum()))
-                numbers = row.tolist()
-                h_ids.append(hashlib.sha256(b",".join(map(written.__getitem__, numbers))).hexdigest())
-                h_bytes.append(hashlib.sha256(b"".join(map(decoded.__getitem__, numbers))).hexdigest())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(h_ids, pa.string()), pa.array(h_bytes, pa.string())],
-                                             names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            yield _reported(codec, pat, b)  # nothing of a block lives on while the next one is encoded
+            release_memory()
+        del codec
+        release_memory()
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
+def _reported(codec: Codec, pat, b: pa.RecordBatch) -> pa.RecordBatch:
+    rows, ids = encode_texts(codec, pat, (t.as_py() for t in b.column(1)))
+    lengths = np.array([len(x) for x in ids], dtype=np.int64)
+    written = [",".join(map(str, x)).encode() for x in ids]
+    decoded = [codec.decode(x) for x in ids]
+    n, h_ids, h_bytes = [], [], []
+    for row in rows:
+        n.append(int(lengths[row].sum()))
+        numbers = row.tolist()
+        h_ids.append(hashlib.sha256(b",".join(map(written.__getitem__, numbers))).hexdigest())
+        h_bytes.append(hashlib.sha256(b"".join(map(decoded.__getitem__, numbers))).hexdigest())
+    return pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(h_ids, pa.string()), pa.array(h_bytes, pa.string())],
+                                      names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])

@@ -8,6 +8,7 @@ this hash: two given words clash with a chance near 2**-64.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,6 +23,15 @@ IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 IS_PUNCTUATION = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
 
+def release_memory() -> None:
+    """Hands what a block has freed back to the system. Python workers live on from task to task, so memory that one
+    stage has freed but kept would stand beside the next stage's."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Bijective finisher on uint64 (splitmix64)."""
     x = x + np.uint64(0x9E3779B97F4A7C15)
