@@ -4,11 +4,14 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.parquet as pq
 import regex
 import pytest
 import tiktoken
@@ -545,6 +548,58 @@ def test_neighbours_with_trees_inside_cells(spark):
         assert [i for i, _ in found[1000]] == [7, 1001, 1002, 1003, 1004]
 
 
+def test_neighbours_of_many_queries(spark, tmp_path):
+    """A leaf meets all its queries at once: 1.6e9 pairs are a matter of seconds, one query after the other would take minutes."""
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((40_000, 64)).astype(np.float32)
+    table = pa.table({"vec_id": np.arange(40_000), "embedding": pa.ListArray.from_arrays(np.arange(40_001, dtype=np.int32) * 64, pa.array(x.ravel()))})
+    pq.write_table(table, str(tmp_path / "embeddings.parquet"), row_group_size=5000)
+    began = time.time()
+    neighbours.knn(spark.read.parquet(str(tmp_path / "embeddings.parquet")), every=1).write.parquet(str(tmp_path / "out"))
+    took = time.time() - began
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert out.count() == 200_000
+    found = {}
+    for r in out.filter("query_id % 400 = 7").orderBy("query_id", "rank").collect():
+        found.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    u = x.astype(np.float64)
+    u /= np.linalg.norm(u, axis=1)[:, None]
+    hit = 0
+    for q in range(7, 40_000, 400):
+        cos = u @ u[q]
+        cos[q] = -2
+        assert all(abs(s - cos[i]) < 1e-12 for i, s in found[q])
+        hit += len({i for i, _ in found[q]} & set(np.argsort(-cos)[:5].tolist()))
+    assert hit >= 495
+    assert took < 90
+
+
+def test_neighbours_of_floats(spark):
+    """Float columns: nulls inside, signs of zero, repeated rows, vectors of one direction, far scales, two lengths; ties go to the smaller id."""
+    rng = np.random.default_rng(8)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.standard_normal((400, 5)).astype(np.float32))]
+    rows += [(500 + i, [2.0**i, 0.0, 0.0, 0.0, 0.0]) for i in range(20)] + [(520 + i, [1.0, -0.0, 0.0, -0.0, 0.0]) for i in range(9)]
+    rows += [(600, [1e30] * 5), (601, [1e-30] * 5), (602, [1.0, None, 0.0, 0.0, 0.0]), (603, [float("inf"), 0.0, 0.0, 0.0, 0.0]), (604, []), (605, [-0.0] * 5)]
+    rows += [(700, [1.0, 0.0]), (701, [0.0, 1.0]), (500, [0.0, 0.0, 0.0, 0.0, -1.0])]
+    table = spark.createDataFrame(rows + rows[:450], "vec_id long, embedding array<float>").repartition(3)
+    good = [(i, v) for i, v in rows if i < 602 or i >= 700]
+    for small in ({}, {"block": 16, "rate": 4, "sample_rows": 100}):
+        got = {}
+        for r in neighbours.knn(table, every=20, stop=0.9999, **small).orderBy("query_id", "rank").collect():
+            assert r["rank"] == len(got.setdefault(r["query_id"], [])) + 1
+            got[r["query_id"]].append((r["vec_id"], r["score"]))
+        assert set(got) == {i for i, _ in good if i % 20 == 0}
+        assert got[700] == [(701, 0.0)]
+        assert [i for i, _ in got[520]] == [500, 501, 502, 503, 504]
+        for q, qv in good:
+            if q % 20 or q in (500, 700):
+                continue
+            u = np.array(qv, dtype=np.float64) / np.abs(qv).max()
+            cos = {i: float(u @ w / math.sqrt((u @ u) * (w @ w))) for i, v in good if i != q and len(v) == 5 for w in [np.array(v, dtype=np.float64) / np.abs(v).max()]}
+            least = sorted(cos.values())[-5]
+            assert len(got[q]) == 5 and all(s >= least - 1e-9 for _, s in got[q]), q
+
+
 def test_pipeline_keeps_clean_documents(spark, tmp_path):
     import corpus_pipeline
 
