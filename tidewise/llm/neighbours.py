@@ -23,7 +23,7 @@ trees and a number of rows for each leaf.
 
 Cases: vectors that are null, zero, or hold null or non-finite components take no part; a vector is compared with those
 of its own length only; rows equal in id and vector are one row, rows
-equal in id alone are two; ties go to the smaller vec_id; an empty table, or
+equal in id alone are two (a query's own id never answers it, and only one such row is made up for); ties go to the smaller vec_id; an empty table, or
 one without a row to ask for, gives no rows; other columns aren't read.
 """
 
